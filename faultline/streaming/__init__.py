@@ -1,0 +1,12 @@
+"""Streaming.
+
+The analyses have no stream source, watermark or state of their own: every
+input is a finished table.  The operators are plain DataFrame transformations,
+so the stateless ones (classification, filters, escaping, rendering) apply to
+a streaming DataFrame unchanged, and the aggregations can run per micro-batch
+through :func:`faultline.streaming.batches.upsert_each_batch`.
+"""
+
+from .batches import upsert_each_batch
+
+__all__ = ["upsert_each_batch"]
