@@ -121,7 +121,9 @@ def difficulty_rank(fact: DataFrame, key: str | Sequence[str], distinct: str,
     per_key = rows.groupBy(*keys).agg(*aggs)
     ranked = rank_rows(per_key, [(total_name, False), (diversity_name, True)], out=rank_name)
     ranked = ranked.select(*keys, total_name, diversity_name, *categories.values(), rank_name)
-    res = ranked.orderBy(rank_name, *keys)
+    # rank_rows leaves partition i holding the i-th range of the ranking key,
+    # so sorting inside partitions already yields the global rank order.
+    res = ranked.sortWithinPartitions(rank_name, *keys)
     if view:
         res.createOrReplaceTempView(view)
     return res

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,18 @@ def fits(df: DataFrame, max_rows: int | None) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_each(dfs: Sequence[DataFrame], max_rows: int | None) -> list[bool]:
+    """:func:`fits` for several DataFrames in one job (at most max_rows+1 rows
+    read per input and task; one count per input reaches the driver)."""
+    if not dfs:
+        return []
+    if max_rows is None or max_rows < 0:
+        return [False] * len(dfs)
+    parts = [d.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, d in enumerate(dfs)]
+    counts = dict(reduce(DataFrame.unionAll, parts).groupBy("_i").count().collect())
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
 def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only behind a proven row bound; otherwise leave the
     choice to Spark's size estimate and AQE."""
@@ -100,8 +113,8 @@ def attach(fact: DataFrame, dims: Sequence[Dim], keep: Sequence[str] = (),
     df = fact.select(*needed)
 
     small, large = [], []
-    for d in dims:
-        (small if fits(d.projected(), broadcast_max_rows) else large).append(d)
+    for d, ok in zip(dims, fits_each([d.projected() for d in dims], broadcast_max_rows)):
+        (small if ok else large).append(d)
 
     def drop_keys(frame: DataFrame, d: Dim, still_needed: set[str]) -> DataFrame:
         gone = [k for k in _names(d.on) if k not in keep and k not in still_needed and not d.keep_key]

@@ -1,0 +1,20 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when it has fewer partitions than
+    there are task slots, before CPU-heavy per-row work (tokenising,
+    keyword search).
+
+    A large input already arrives in many file splits and is returned as is,
+    so the extra shuffle is only paid by small, under-split inputs (a single
+    file or row group), where it buys parallelism.
+    """
+    slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from .layout import spread
 from .ranking import rank_rows
 
 # The concept ladder of the reference data preparation, in
@@ -66,8 +67,16 @@ def keyword_label(text: Column, rules: Sequence[tuple], default: str | None,
 def classify_by_keywords(df: DataFrame, text_col: str, rules: Sequence[tuple] = CONCEPT_RULES,
                          default: str | None = CONCEPT_DEFAULT, out: str = "concept",
                          upper: bool = True) -> DataFrame:
-    """Add ``out`` = label of the first rule whose keyword occurs in ``text_col``."""
-    return df.withColumn(out, keyword_label(F.col(text_col), rules, default, upper))
+    """Add ``out`` = label of the first rule whose keyword occurs in ``text_col``.
+
+    The upper-cased text is a column of its own, so it is computed once per
+    row rather than once per rule.
+    """
+    if not upper:
+        return spread(df).withColumn(out, keyword_label(F.col(text_col), rules, default, False))
+    folded = spread(df).withColumn("_upper_text", F.upper(F.col(text_col)))
+    return (folded.withColumn(out, keyword_label(F.col("_upper_text"), rules, default, upper=False))
+                  .drop("_upper_text"))
 
 
 def build_dimension(df: DataFrame, col: str, id_name: str = "id", name: str | None = None,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-_MID, _PID, _POS, _N, _OFF = "_rk_mid", "_rk_pid", "_rk_pos", "_rk_n", "_rk_off"
+_MID, _FIRST, _PID, _POS, _N, _OFF = "_rk_mid", "_rk_first", "_rk_pid", "_rk_pos", "_rk_n", "_rk_off"
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
@@ -56,21 +56,25 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     sort = sort_columns(order)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    # One stage after the range shuffle: sort, number by position and mark
+    # the first row of each tie group (the window's clustering is satisfied
+    # by the range partitioning, so it adds no exchange).  Then materialise.
     ranged = (df.repartitionByRange(n, *sort)
                 .sortWithinPartitions(*sort)
-                .withColumn(_MID, F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+                .withColumn(_MID, F.monotonically_increasing_id()))
+    if method == "rank":
+        ranged = ranged.withColumn(_FIRST, F.min(_MID).over(Window.partitionBy(*names)))
+    else:
+        ranged = ranged.withColumn(_FIRST, F.col(_MID))
+    ranged = ranged.checkpoint(eager=True)
     ranged = (ranged.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS))
-                    .withColumn(_POS, F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+                    .withColumn(_POS, F.col(_FIRST).bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
 
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
 
+    # `offsets` has one row per partition: a bound set by `n`, not the data.
     numbered = ranged.join(F.broadcast(offsets), on=_PID, how="inner")
-    if method == "row_number":
-        value = F.col(_OFF) + F.col(_POS) + F.lit(1)
-    else:
-        first = F.min(_POS).over(Window.partitionBy(*names))
-        value = F.col(_OFF) + first + F.lit(1)
-    return numbered.withColumn(out, value.cast("long")).drop(_MID, _PID, _POS, _OFF)
+    value = F.col(_OFF) + F.col(_POS) + F.lit(1)
+    return numbered.withColumn(out, value.cast("long")).drop(_MID, _FIRST, _PID, _POS, _OFF)

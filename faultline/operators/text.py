@@ -18,6 +18,7 @@ from pyspark.sql.types import IntegralType
 
 from ..functions.numeric import intdiv
 from ..functions.text import tokens
+from .layout import spread
 
 # The default English stop-word list of the word-cloud step
 # (lower case, apostrophes kept).
@@ -61,7 +62,8 @@ def word_counts(df: DataFrame, text: str | Column, word: str = "word", out: str
     NULL texts are skipped (``dropna``); ``stopwords`` are filtered with an
     IN-set predicate before the shuffle.
     """
-    words = df.select(F.explode(tokens(_col(text))).alias(word))
+    texts = spread(df.select(_col(text).alias("_text")))
+    words = texts.select(F.explode(tokens("_text")).alias(word))
     if stopwords is not None:
         words = words.filter(~F.col(word).isin(sorted(set(stopwords))))
     return words.groupBy(word).agg(F.count(F.lit(1)).alias(out))

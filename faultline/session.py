@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 # shuffle partitions and splits skewed ones.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
