@@ -12,6 +12,9 @@ power of ten yields the same IEEE double in any engine.
 
 from __future__ import annotations
 
+from decimal import Decimal
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,11 +48,9 @@ def exact_percent(count, total, decimals: int = 1) -> Column:
 def share_exceeds(count, total, threshold) -> Column:
     """Strict test ``count * 100 / total > threshold`` without rounding.
 
-    Integer threshold: compared on longs.  Fractional thresholds are compared
-    as exact decimals.
+    The threshold is taken as the exact fraction ``p / q`` of its decimal
+    text, and ``count * 100 * q > p * total`` is compared on longs.
     """
+    frac = Fraction(Decimal(str(threshold)))
     c, t = _col(count).cast("long"), _col(total).cast("long")
-    if float(threshold).is_integer():
-        return c * F.lit(100) > F.lit(int(threshold)) * t
-    thr = F.lit(str(threshold)).cast("decimal(38,10)")
-    return c.cast("decimal(38,0)") * F.lit(100) > thr * t.cast("decimal(38,0)")
+    return c * F.lit(100 * frac.denominator) > F.lit(frac.numerator) * t

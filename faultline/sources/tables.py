@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..operators.ranking import rank_rows
 
@@ -34,12 +34,20 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+# The reader turns a quoted empty field into this marker (an unquoted empty
+# field is NULL); string columns then map it back to ''.  Without it both
+# read back as NULL.
+_EMPTY_MARK = "\u0000empty\u0000"
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header row.  Pass ``schema`` in production: inference scans
-    the data twice and guesses types."""
-    reader = spark.read.options(**CSV_OPTIONS)
+    """CSV with a header row; NULL and '' stay distinct.  Pass ``schema`` in
+    production: inference scans the data twice and guesses types."""
+    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", _EMPTY_MARK)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
-    return reader.csv(path)
+    df = reader.csv(path)
+    return df.select(*[F.when(F.col(f.name) == _EMPTY_MARK, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+                       if isinstance(f.dataType, StringType) else F.col(f.name) for f in df.schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:

@@ -28,11 +28,9 @@ def upsert_each_batch(stream: DataFrame, summarize: Callable[[DataFrame], DataFr
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         summary = summarize(batch)
-        prev = version(epoch - 1)
-        try:
-            old = spark.read.parquet(prev) if epoch > 0 else None
-        except Exception:  # no earlier version (first batch after an empty start)
-            old = None
+        # Batch ids of executed batches are consecutive, so version b - 1
+        # exists for every b > 0; a missing one is an error, not a reset.
+        old = spark.read.parquet(version(epoch - 1)) if epoch > 0 else None
         merged = summary if old is None else upsert_by_key(old, summary, key, **upsert_kwargs)
         merged.write.mode("overwrite").parquet(version(epoch))
 

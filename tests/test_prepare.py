@@ -1,0 +1,62 @@
+from pyspark.sql import functions as F
+
+from faultline.operators import prepare as P
+from tests.conftest import rows
+
+
+def test_concept_ladder_priority_and_substring(spark):
+    texts = [
+        ("SELECT a FROM t GROUP BY a HAVING count(*) > 1", "GROUP BY"),
+        ("SELECT a FROM t1 JOIN t2 ON x WHERE y", "JOIN"),
+        ("select a from t where b = 1", "WHERE"),            # lower case
+        ("SELECT COUNT_DISTINCT(a) FROM t", "DISTINCT"),      # keyword inside a word
+        ("SELECT a FROM (SELECT b FROM t) s", "SUBQUERY"),    # two SELECTs
+        ("INSERT INTO t VALUES (1)", "INSERT"),
+        ("UPDATE t SET a = 1", "UPDATE"),
+        ("DELETE FROM t", "DELETE"),
+        ("SELECT a FROM t", "SELECT"),                        # default
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "id int, q string")
+    got = [r.concept for r in P.classify_by_keywords(df, "q").orderBy("id").collect()]
+    assert got == [c for _, c in texts]
+
+
+def test_filter_categories(spark):
+    df = spark.createDataFrame([("syntax",), ("schema",), ("logic",), (None,)], "t string")
+    assert sorted(r.t for r in P.filter_categories(df, "t", ["syntax", "schema"]).collect()) == ["schema", "syntax"]
+
+
+def test_build_dimension_modes(spark):
+    df = spark.createDataFrame([(3, "b"), (1, "c"), (2, "a"), (4, "c"), (5, None)], "ord int, m string")
+    assert rows(P.build_dimension(df, "m").orderBy("id")) == [(1, "a"), (2, "b"), (3, "c")]
+    first = P.build_dimension(df, "m", mode="first_seen", order_col="ord").orderBy("id")
+    assert rows(first) == [(1, "c"), (2, "a"), (3, "b")]
+
+
+def test_encode_then_decode_returns_original(spark):
+    df = spark.createDataFrame([(i, f"m{i % 7}", f"n{i % 3}") for i in range(50)], "id int, m string, n string")
+    dm = P.build_dimension(df, "m", id_name="m_id")
+    dn = P.build_dimension(df, "n", id_name="n_id", mode="first_seen", order_col="id")
+    enc = P.encode_fact(df, [("m", dm, "m", "m_id"), ("n", dn, "n", "n_id")])
+    assert enc.columns == ["id", "m_id", "n_id"]
+    dec = enc.join(dm, "m_id").join(dn, "n_id").select("id", "m", "n")
+    assert sorted(rows(dec)) == sorted(rows(df))
+
+
+def test_build_star_end_to_end(spark):
+    flat = spark.createDataFrame([
+        (1, "SELECT * FROM t WHERE a = 'x'", "syntax", "missing quotes"),
+        (2, "SELECT a FROM t GROUP BY b", "schema", "aggregation misuse"),
+        (3, "SELECT b FROM u", "logic", "wrong"),
+        (4, "INSERT INTO t VALUES (1)", "syntax", "missing quotes"),
+    ], "row_no int, query string, error_type string, error_subtype string")
+    star = P.build_star(flat, "row_no", [("error_type", "error_type_id", "sorted"),
+                                         ("error_subtype", "subtype_id", "sorted"),
+                                         ("concept", "concept_id", "sorted")],
+                        category_col="error_type", keep=["syntax", "schema"], text_col="query")
+    fact = star.fact.orderBy("row_no")
+    assert fact.count() == 3
+    assert rows(star.dimensions["concept"].orderBy("concept_id")) == [(1, "GROUP BY"), (2, "INSERT"), (3, "WHERE")]
+    got = rows(fact, "row_no", "error_type_id", "subtype_id", "concept_id")
+    assert got == [(1, 2, 2, 3), (2, 1, 1, 1), (4, 2, 2, 2)]
