@@ -1,28 +1,37 @@
 """Global ranking and numbering without a single-partition window.
 
 ``Window.orderBy(...)`` with no partition moves every row to one task.  Here
-the rows are range-partitioned on the sort key (equal keys land in the same
-partition, so ties never straddle a boundary), sorted within partitions and
-numbered by position; a per-partition row count (one row per partition - a
-bound set by the partition count, not the data) gives each partition's
-offset.  The range-sorted rows are checkpointed once into the session's
-shared folder so the counts and the positions come from the same
-materialisation, also when a task or executor is retried.
-
-``rank``       = offset + position of the first row with the same key + 1
-``row_number`` = offset + position + 1 (ties in arbitrary order, as in SQL)
+the rows are range-partitioned on the sort key plus a per-row salt (a hash of
+the row, so a large group of equal keys spreads over many partitions
+instead of filling one), sorted within partitions and numbered by position.
+A per-partition row count - one row per partition, a bound set by the
+partition count and not by the data - gives each partition's offset, so
+
+    row_number = offset(partition) + position + 1
+
+``rank`` is the smallest row number among rows with the same key: a
+partial/final ``min`` per key (a hot key collapses to one row per task),
+joined back on the key with a checked broadcast (or a shuffle join AQE can
+split when skewed).
+
+The range-sorted rows are checkpointed once into the session's shared
+folder, so counts and positions come from one materialisation, also when a
+task or an executor is retried.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 
-_MID, _FIRST, _PID, _POS, _N, _OFF = "_rk_mid", "_rk_first", "_rk_pid", "_rk_pos", "_rk_n", "_rk_off"
+_SALT, _MID, _PID, _POS, _N, _OFF, _ROW = ("_rk_salt", "_rk_mid", "_rk_pid", "_rk_pos", "_rk_n",
+                                           "_rk_off", "_rk_row")
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
@@ -43,38 +52,43 @@ def sort_columns(order: Sequence) -> list[Column]:
 
 
 def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "rank",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None,
+              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Add a global ``rank`` or ``row_number`` column (BIGINT) ordered by ``order``.
 
     ``order``: column names (ascending) or ``(name, ascending)`` pairs.
+    ``row_number`` orders ties by the salt, i.e. arbitrarily but reproducibly.
     """
     if method not in ("rank", "row_number"):
         raise ValueError(f"unknown method {method!r}")
     spark = df.sparkSession
     shared_dir(spark)
     names = [n for n, _ in _order(order)]
-    sort = sort_columns(order)
+    cols = df.columns
+    sort = sort_columns(order) + [F.col(_SALT)]
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    # One stage after the range shuffle: sort, number by position and mark
-    # the first row of each tie group (the window's clustering is satisfied
-    # by the range partitioning, so it adds no exchange).  Then materialise.
-    ranged = (df.repartitionByRange(n, *sort)
-                .sortWithinPartitions(*sort)
-                .withColumn(_MID, F.monotonically_increasing_id()))
-    if method == "rank":
-        ranged = ranged.withColumn(_FIRST, F.min(_MID).over(Window.partitionBy(*names)))
-    else:
-        ranged = ranged.withColumn(_FIRST, F.col(_MID))
-    ranged = ranged.checkpoint(eager=True)
-    ranged = (ranged.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS))
-                    .withColumn(_POS, F.col(_FIRST).bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
+    salted = df.withColumn(_SALT, F.xxhash64(*[F.col(c) for c in cols]))
+    ranged = (salted.repartitionByRange(n, *sort)
+                    .sortWithinPartitions(*sort)
+                    .withColumn(_MID, F.monotonically_increasing_id())
+                    .checkpoint(eager=True))
+    ranged = ranged.select(*cols, F.shiftright(F.col(_MID), _POS_BITS).alias(_PID),
+                           F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(_POS))
 
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
 
     # `offsets` has one row per partition: a bound set by `n`, not the data.
-    numbered = ranged.join(F.broadcast(offsets), on=_PID, how="inner")
-    value = F.col(_OFF) + F.col(_POS) + F.lit(1)
-    return numbered.withColumn(out, value.cast("long")).drop(_MID, _FIRST, _PID, _POS, _OFF)
+    numbered = ranged.join(F.broadcast(offsets), on=_PID, how="inner").select(
+        *cols, (F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("long").alias(_ROW))
+    if method == "row_number":
+        return numbered.withColumnRenamed(_ROW, out)
+
+    keyed = [f"_rk_k{i}" for i in range(len(names))]
+    firsts = numbered.groupBy(*[F.col(c).alias(k) for c, k in zip(names, keyed)]).agg(
+        F.min(_ROW).alias(out))
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(names, keyed)])
+    return (numbered.join(checked_broadcast(firsts, broadcast_max_rows), on=cond, how="inner")
+                    .select(*cols, out))
