@@ -71,3 +71,15 @@ def render_template(template: str, fields: Mapping[str, object]) -> Column:
             raise KeyError(f"template field {name!r} has no column")
         parts.append(_col(fields[name]).cast("string"))
     return F.concat(*parts) if parts else F.lit("")
+
+
+# Spark's collation matching MySQL's utf8mb4_unicode_ci grouping
+# (case- and accent-insensitive, trailing spaces ignored).
+CI_AI_COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
+def collate_columns(df, cols, collation: str = CI_AI_COLLATION):
+    """Give string columns a collation; grouping, joins and equality then
+    follow it (opt-in; the default is binary comparison)."""
+    cols = set([cols] if isinstance(cols, str) else cols)
+    return df.select(*[F.collate(F.col(c), collation).alias(c) if c in cols else F.col(c) for c in df.columns])

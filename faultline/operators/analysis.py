@@ -195,6 +195,36 @@ def top_n_ranked(fact: DataFrame, keys: str | Sequence[str], n: int, dims: Seque
                .orderBy(F.col(out).desc(), *[F.col(k) for k in keys]))
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def register_top_n_function(spark, name: str, view: str, keys: Sequence[str], key_types: Sequence[str],
+                            out: str = "frequency", rank_name: str = "rnk") -> str:
+    """Create the SQL table function ``name(top_n INT)`` over ``view``: the
+    stored-procedure form of :func:`top_n_ranked` (``CALL proc(10)`` becomes
+    ``SELECT * FROM name(10)``).
+
+    ``LIMIT`` cannot take a parameter inside a SQL function, so the cut is
+    ``ROW_NUMBER() <= top_n`` (keys as tie-break), which Spark plans as a
+    per-partition top-n; ``RANK()`` is then taken over those rows only.
+    """
+    ks = ", ".join(_ident(k) for k in keys)
+    cols = ", ".join(f"{_ident(k)} {t}" for k, t in zip(keys, key_types))
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {_ident(name)}(top_n INT)
+        RETURNS TABLE ({cols}, {_ident(out)} BIGINT, {_ident(rank_name)} BIGINT)
+        RETURN
+        SELECT {ks}, {_ident(out)},
+               CAST(RANK() OVER (ORDER BY {_ident(out)} DESC) AS BIGINT) AS {_ident(rank_name)}
+        FROM (SELECT {ks}, COUNT(*) AS {_ident(out)},
+                     ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {ks}) AS _rn
+              FROM {_ident(view)} GROUP BY {ks})
+        WHERE _rn <= top_n
+    """)
+    return name
+
+
 def value_counts(df: DataFrame, col: str | Sequence[str], out: str = "count",
                  n: int | None = None) -> DataFrame:
     """``Series.value_counts()``: rows per value, descending (ties by value);

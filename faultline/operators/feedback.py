@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import left, render_template, strip_text
+from ..session import shared_dir
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach, checked_broadcast
 
 
@@ -80,15 +81,18 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
 
 def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col: str,
                 output_col: str = "response", error_col: str = "error",
-                drop_failed: bool = True) -> DataFrame:
+                drop_failed: bool = True, materialize: bool = True) -> DataFrame:
     """Apply a caller-supplied *batch* function to ``input_col`` in the executors.
 
     ``fn`` maps a pandas Series of inputs to a Series of outputs (one client
     per Python worker, batches of Arrow rows).  If a batch fails, its rows are
     retried one by one; a failing row gets ``error_col`` set and, with
-    ``drop_failed``, is skipped like the reference's ``continue``.  A retried
-    task calls ``fn`` again, so persist the result before further actions if
-    calls are costly, and keep ``fn`` idempotent.
+    ``drop_failed``, is skipped like the reference's ``continue``.
+
+    With ``materialize`` the enriched rows are checkpointed into the shared
+    folder at once, so later actions (an upsert reads its input twice) never
+    call the service again; only a retried task repeats its calls, so keep
+    ``fn`` idempotent.
     """
     schema = StructType(list(df.schema.fields) + [StructField(output_col, StringType(), True),
                                                   StructField(error_col, StringType(), True)])
@@ -113,6 +117,9 @@ def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col:
             yield pdf.assign(**{output_col: out.where(out.isna(), out.astype(str)), error_col: err})
 
     res = df.mapInPandas(run, schema)
+    if materialize:
+        shared_dir(df.sparkSession)
+        res = res.checkpoint(eager=True)
     if drop_failed:
         res = res.filter(F.col(error_col).isNull())
     return res

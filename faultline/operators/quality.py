@@ -132,6 +132,12 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("long"))
 
 
+def head_rows(df: DataFrame, order: str | Sequence[str], n: int = 5) -> DataFrame:
+    """``df.head(n)`` made deterministic: the first ``n`` rows by ``order``
+    (a per-partition top-n merged once)."""
+    return df.orderBy(*_list(order)).limit(n)
+
+
 def schema_info(df: DataFrame) -> DataFrame:
     """``df.info()``: column, type and non-null count, one row per column."""
     cols = df.columns

@@ -166,6 +166,17 @@ def q_top_n_ranked(spark, sf):
     return A.top_n_ranked(_t(spark, sf, "customer"), "c_nationkey", 10)
 
 
+@register("top_n_function", """
+SELECT c_nationkey, COUNT(*) AS frequency, RANK() OVER (ORDER BY COUNT(*) DESC) AS rnk
+FROM customer GROUP BY c_nationkey
+ORDER BY frequency DESC, c_nationkey LIMIT 10
+""")
+def q_top_n_function(spark, sf):
+    _t(spark, sf, "customer").createOrReplaceTempView("fl_customer")
+    fn = A.register_top_n_function(spark, "fl_top_nations", "fl_customer", ["c_nationkey"], ["INT"])
+    return spark.sql(f"SELECT * FROM {fn}(10) ORDER BY frequency DESC, c_nationkey")
+
+
 # Keyword ladder used on the test documents (priority order).
 DOC_RULES = (
     ("LICENSE", "license"),
@@ -337,6 +348,13 @@ def q_profile_shape(spark, sf):
     return Q.profile_shape(_t(spark, sf, "part")).toDF("n_rows", "n_columns")
 
 
+@register("head_rows", """
+SELECT * FROM part ORDER BY p_partkey LIMIT 5
+""")
+def q_head_rows(spark, sf):
+    return Q.head_rows(_t(spark, sf, "part"), "p_partkey", 5)
+
+
 @register("schema_info", """
 SELECT 'doc_id' AS column_name, 'bigint' AS type, COUNT(doc_id) AS non_null FROM documents
 UNION ALL SELECT 'text', 'string', COUNT(text) FROM documents

@@ -143,3 +143,19 @@ def test_group_count_mean_counts_non_null(spark):
     df = spark.createDataFrame([("a", "xx"), ("a", None), ("b", "xyz")], "g string, s string")
     got = rows(A.group_count_mean(df, "g", "s", F.length("s")))
     assert got == [("a", 1, 2.0), ("b", 1, 3.0)]
+
+
+def test_sql_table_function_matches_operator(spark):
+    df = spark.createDataFrame([(k,) for k, n in [(1, 3), (2, 3), (3, 2), (4, 2), (5, 1)] for _ in range(n)],
+                               "k int")
+    df.createOrReplaceTempView("t_keys")
+    A.register_top_n_function(spark, "top_keys", "t_keys", ["k"], ["INT"])
+    got = rows(spark.sql("SELECT * FROM top_keys(3) ORDER BY frequency DESC, k"))
+    assert got == rows(A.top_n_ranked(df, "k", 3)) == [(1, 3, 1), (2, 3, 1), (3, 2, 3)]
+
+
+def test_collation_groups_case_accent_and_trailing_space(spark):
+    from faultline.functions.text import collate_columns
+    df = spark.createDataFrame([("Syntax",), ("syntax ",), ("sýntax",), ("schema",)], "t string")
+    got = sorted(r[1] for r in A.value_counts(collate_columns(df, "t"), "t").collect())
+    assert got == [1, 3]

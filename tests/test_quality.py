@@ -45,3 +45,8 @@ def test_profile_columns_ties_go_to_smallest_value(spark):
     assert got == [("n", 3, 2, "1", 2), ("s", 4, 2, "a", 2)]
     assert rows(Q.profile_shape(df)) == [(4, 2)]
     assert rows(Q.schema_info(df)) == [("s", "string", 4), ("n", "int", 3)]
+
+
+def test_head_rows_is_ordered(spark):
+    df = spark.createDataFrame([(i,) for i in (5, 3, 9, 1, 7, 2)], "k int")
+    assert rows(Q.head_rows(df, "k", 3)) == [(1,), (2,), (3,)]
