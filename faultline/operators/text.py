@@ -95,22 +95,30 @@ def histogram_equal_width(df: DataFrame, value: str | Column, bins: int = 40,
     Integral values are binned exactly in integers,
     ``least((x - lo) * bins div (hi - lo), bins - 1)``; other values with the
     same formula in double.  All values equal -> everything in bin 0.
+
+    Integral values (lengths, counts) are first grouped by value - one scan
+    of the input, and the per-value table is small - and min, max and bins
+    come from that table.  Fractional values, mostly distinct, would make
+    that table as large as the input, so they take one statistics pass and
+    one binning pass instead (each a partial aggregate, no large shuffle).
     """
     vals = df.select(_col(value).alias("_x")).filter(F.col("_x").isNotNull())
     integral = isinstance(vals.schema["_x"].dataType, IntegralType)
     if integral:
-        vals = vals.select(F.col("_x").cast("long").alias("_x"))
+        rows = vals.groupBy(F.col("_x").cast("long").alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+        weight = F.sum("_m")
     else:
-        vals = vals.select(F.col("_x").cast("double").alias("_x"))
-    lo = vals.select(F.min("_x")).scalar()
-    hi = vals.select(F.max("_x")).scalar()
+        rows = vals.select(F.col("_x").cast("double").alias("_x"))
+        weight = F.count(F.lit(1))
+    stats = rows.select(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+    lo, hi = stats["lo"], stats["hi"]
     width = hi - lo
     if integral:
         raw = intdiv((F.col("_x") - lo) * F.lit(bins), width)
     else:
         raw = F.floor((F.col("_x") - lo) * F.lit(bins) / width).cast("long")
     b = F.when(width == 0, F.lit(0).cast("long")).otherwise(F.least(raw, F.lit(bins - 1).cast("long")))
-    counts = vals.groupBy(b.alias(bin_name)).agg(F.count(F.lit(1)).alias(out))
+    counts = rows.groupBy(b.alias(bin_name)).agg(weight.alias(out))
     # The bin axis has exactly `bins` rows and the counts at most `bins`.
     axis = df.sparkSession.range(bins).select(F.col("id").alias(bin_name))
     return (axis.join(F.broadcast(counts), on=bin_name, how="left")
@@ -129,21 +137,25 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
     Bandwidth: Scott's rule, ``stddev_samp * n ** (-1/5) * adjust``, unless
     given.  With ``count_bins`` the curve is scaled to histogram counts
     (``density * n * (max - min) / count_bins``), as drawn over a count
-    histogram.  Equal values are grouped first; each distinct value then adds
-    its weighted kernel at every grid point (a fixed ``points``-wide fan-out,
-    summed with a partial/final aggregate).
+    histogram.  Equal values are grouped first (one scan of the input); the
+    statistics come from that per-value table, the deviation in two passes
+    over it (mean, then squared distances).  Each distinct value then adds
+    its weighted kernel at every grid point - a fixed ``points``-wide
+    fan-out, summed with a partial/final aggregate.
     """
     vals = df.select(_col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    n = vals.select(F.count(F.lit(1))).scalar()
-    lo = vals.select(F.min("_x")).scalar()
-    hi = vals.select(F.max("_x")).scalar()
+    distinct = vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_m"))
+    stats = distinct.select(F.struct(F.sum("_m").alias("n"), F.min("_x").alias("lo"),
+                                     F.max("_x").alias("hi"),
+                                     (F.sum(F.col("_m") * F.col("_x")) / F.sum("_m")).alias("mean"))).scalar()
+    n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if bandwidth is None:
-        sd = vals.select(F.stddev_samp("_x")).scalar()
+        sq = distinct.select(F.sum(F.col("_m") * F.pow(F.col("_x") - stats["mean"], 2))).scalar()
+        sd = F.sqrt(sq / (n - F.lit(1)))
         bw = sd * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(float(adjust))
     else:
         bw = F.lit(float(bandwidth))
     step = (hi - lo) / F.lit(points - 1)
-    distinct = vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_m"))
     grid = distinct.select("_x", "_m", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     gx = F.when(F.col("point") == points - 1, hi).otherwise(F.col("point") * step + lo)
     z = (gx - F.col("_x")) / bw

@@ -309,13 +309,14 @@ e AS (SELECT g.range AS point, CASE WHEN g.range = 199 THEN p.hi ELSE g.range *
       FROM range(200) g, p)
 SELECT e.point, e.gx AS x,
        ROUND(SUM(d.m * exp(-0.5 * ((e.gx - d.x) / p.bw) * ((e.gx - d.x) / p.bw)))
-             / (p.n * p.bw * 2.5066282746310002) * p.n * (p.hi - p.lo) / 40, 9) AS density
+             / (p.n * p.bw * 2.5066282746310002) * p.n * (p.hi - p.lo) / 40, 6) AS density
 FROM e, d, p
 GROUP BY e.point, e.gx, p.n, p.bw, p.hi, p.lo
 ORDER BY e.point
 """)
 def q_density_curve(spark, sf):
-    return TX.density_curve(_t(spark, sf, "documents"), F.length("text"), points=200, count_bins=40)
+    return TX.density_curve(_t(spark, sf, "documents"), F.length("text"), points=200, count_bins=40,
+                            decimals=6)
 
 
 # --------------------------------------------------------------------- quality
