@@ -3,8 +3,8 @@
 A fact table references dimensions through foreign keys.  Each dimension is
 projected to its key and the attributes a query needs, then:
 
-* if it provably holds at most ``broadcast_max_rows`` rows (a bounded
-  ``limit(n + 1).count()``; the work stops after n + 1 rows per task) it is
+* if it provably holds at most ``broadcast_max_rows`` rows (an exact count,
+  all dimensions of a call in one job, one row per task shuffled) it is
   broadcast and joined inside the scan stage - the fact is never shuffled;
 * otherwise the fact is first *pre-aggregated* by its foreign keys (a partial
   + final count, so a hot key collapses to one row per task before the
@@ -37,20 +37,24 @@ def _names(x) -> tuple[str, ...]:
 
 
 def fits(df: DataFrame, max_rows: int | None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    if max_rows is None or max_rows < 0:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows."""
+    return fits_each([df], max_rows)[0]
 
 
 def fits_each(dfs: Sequence[DataFrame], max_rows: int | None) -> list[bool]:
-    """:func:`fits` for several DataFrames in one job (at most max_rows+1 rows
-    read per input and task; one count per input reaches the driver)."""
+    """Exact row counts of several (dimension) DataFrames in one job.
+
+    A partial/final count: each task sends one row per input to the final
+    aggregate, so no rows move (``limit(n).count()`` would ship up to n rows
+    from every task to one partition).  Parquet inputs are counted from
+    file footers; derived dimensions are evaluated once.  Dimensions are
+    small next to the fact, so this pass is cheap relative to the query.
+    """
     if not dfs:
         return []
     if max_rows is None or max_rows < 0:
         return [False] * len(dfs)
-    parts = [d.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, d in enumerate(dfs)]
+    parts = [d.select(F.lit(i).alias("_i")) for i, d in enumerate(dfs)]
     counts = dict(reduce(DataFrame.unionAll, parts).groupBy("_i").count().collect())
     return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
 

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 from .layout import spread
@@ -104,6 +105,48 @@ def build_dimension(df: DataFrame, col: str, id_name: str = "id", name: str | No
     return numbered.select(id_name, name)
 
 
+def build_dimensions(df: DataFrame, specs: Sequence[tuple[str, str, str]],
+                     order_col: str | None = None) -> dict[str, DataFrame]:
+    """Several dimensions in one pass over ``df``.
+
+    ``specs``: ``(column, id_name, mode)`` as in :func:`build_dimension`.
+    String columns are unpivoted to (dimension, member, order), reduced by
+    one partial/final aggregate and numbered by one range-partitioned
+    :func:`rank_rows` over (dimension, first order | -, member); each
+    dimension's ids start at 1 (its first row number comes from a table with
+    one row per dimension).  Other column types are built one by one, as
+    their order differs from the string order.
+    """
+    out: dict[str, DataFrame] = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    combined = [(i, spec) for i, spec in enumerate(specs) if isinstance(types[spec[0]], StringType)]
+    for col, id_name, mode in specs:
+        if not isinstance(types[col], StringType):
+            out[col] = build_dimension(df, col, id_name=id_name, mode=mode, order_col=order_col)
+    if not combined:
+        return out
+    if any(mode == "first_seen" for _, (_, _, mode) in combined) and not order_col:
+        raise ValueError("first_seen numbering needs order_col")
+    order_type = types[order_col] if order_col else LongType()
+    parts = []
+    for i, (col, _, mode) in combined:
+        if mode not in ("sorted", "first_seen"):
+            raise ValueError(f"unknown mode {mode!r}")
+        first = F.col(order_col) if mode == "first_seen" else F.lit(None).cast(order_type)
+        parts.append(F.struct(F.lit(i).alias("_d"), F.col(col).alias("_member"), first.alias("_first")))
+    members = (df.select(F.explode(F.array(*parts)).alias("_e")).select("_e.*")
+                 .filter(F.col("_member").isNotNull())
+                 .groupBy("_d", "_member").agg(F.min("_first").alias("_first")))
+    numbered = rank_rows(members, ["_d", "_first", "_member"], out="_rn", method="row_number")
+    # One row per dimension: a bound set by `specs`.
+    starts = numbered.groupBy("_d").agg(F.min("_rn").alias("_start"))
+    ids = numbered.join(F.broadcast(starts), on="_d").select(
+        "_d", "_member", (F.col("_rn") - F.col("_start") + F.lit(1)).alias("_id"))
+    for i, (col, id_name, _) in combined:
+        out[col] = ids.filter(F.col("_d") == i).select(F.col("_id").alias(id_name), F.col("_member").alias(col))
+    return out
+
+
 def encode_fact(fact: DataFrame, encodings: Sequence[tuple[str, DataFrame, str, str]],
                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Replace member columns by surrogate ids.
@@ -143,9 +186,6 @@ def build_star(flat: DataFrame, order_col: str, dimensions: Sequence[tuple],
         df = filter_categories(df, category_col, keep)
     if text_col:
         df = classify_by_keywords(df, text_col, rules, default, out=label_col)
-    dims, encodings = {}, []
-    for col, id_name, mode in dimensions:
-        dim = build_dimension(df, col, id_name=id_name, mode=mode, order_col=order_col)
-        dims[col] = dim
-        encodings.append((col, dim, col, id_name))
+    dims = build_dimensions(df, dimensions, order_col)
+    encodings = [(col, dims[col], col, id_name) for col, id_name, _ in dimensions]
     return Star(encode_fact(df, encodings), dims)

@@ -457,13 +457,11 @@ SELECT d.doc_id, ld.id AS lang_id, sd.id AS source_id
 FROM documents d LEFT JOIN ld ON d.lang = ld.lang LEFT JOIN sd ON d.source = sd.source
 """)
 def q_encode_fact(spark, sf):
-    docs = _t(spark, sf, "documents")
-    lang_dim = P.build_dimension(docs, "lang", mode="sorted")
-    source_dim = P.build_dimension(docs, "source", mode="first_seen", order_col="doc_id")
-    return P.encode_fact(
-        docs.select("doc_id", "lang", "source"),
-        [("lang", lang_dim.withColumnRenamed("id", "lang_id"), "lang", "lang_id"),
-         ("source", source_dim.withColumnRenamed("id", "source_id"), "source", "source_id")])
+    docs = _t(spark, sf, "documents").select("doc_id", "lang", "source")
+    dims = P.build_dimensions(docs, [("lang", "lang_id", "sorted"), ("source", "source_id", "first_seen")],
+                              order_col="doc_id")
+    return P.encode_fact(docs, [("lang", dims["lang"], "lang", "lang_id"),
+                                ("source", dims["source"], "source", "source_id")])
 
 
 @register("prepare_star", f"""

@@ -20,9 +20,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Schemas of table folders already read in this process, like a catalog's:
+# a later read passes the schema and skips the footer-reading job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Read table ``name`` stored as ``{base}/{name}.parquet``."""
-    return spark.read.parquet(os.path.join(base, f"{name}.parquet"))
+    path = os.path.abspath(os.path.join(base, f"{name}.parquet"))
+    known = _SCHEMAS.get(path)
+    if known is not None:
+        return spark.read.schema(known).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def tables(spark: SparkSession, base: str, names: Sequence[str] = TABLES) -> dict[str, DataFrame]:

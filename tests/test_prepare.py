@@ -60,3 +60,13 @@ def test_build_star_end_to_end(spark):
     assert rows(star.dimensions["concept"].orderBy("concept_id")) == [(1, "GROUP BY"), (2, "INSERT"), (3, "WHERE")]
     got = rows(fact, "row_no", "error_type_id", "subtype_id", "concept_id")
     assert got == [(1, 2, 2, 3), (2, 1, 1, 1), (4, 2, 2, 2)]
+
+
+def test_build_dimensions_one_pass_matches_single_builds(spark):
+    df = spark.createDataFrame([(i, f"m{(i * 7) % 11}", f"n{(i * 5) % 4}", i % 3) for i in range(60)],
+                               "ord int, m string, n string, k int")
+    specs = [("m", "m_id", "sorted"), ("n", "n_id", "first_seen"), ("k", "k_id", "sorted")]
+    dims = P.build_dimensions(df, specs, order_col="ord")
+    for col, id_name, mode in specs:
+        single = P.build_dimension(df, col, id_name=id_name, mode=mode, order_col="ord")
+        assert sorted(rows(dims[col])) == sorted(rows(single)), col
