@@ -1,20 +1,18 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from faultline.session import get_spark  # noqa: E402
+from faultline.session import get_spark, shared_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="faultline-test-ckpt-")
-    s = get_spark("local[4]", partitions=4, app="faultline-tests",
-                  extra={"spark.checkpoint.dir": ckpt})
+    s = get_spark("local[4]", partitions=4, app="faultline-tests")
+    shared_dir(s)  # the configured spark.checkpoint.dir, or a private one when unset
     yield s
     s.stop()
 

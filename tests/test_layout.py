@@ -1,0 +1,17 @@
+from faultline.operators.layout import spread
+from faultline.session import shared_dir
+
+
+def test_spread_only_under_split_inputs(spark):
+    slots = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == slots
+    many = spark.range(0, 100, 1, slots * 2)
+    assert spread(many).rdd.getNumPartitions() == slots * 2
+    assert sorted(r.id for r in spread(one).collect()) == list(range(100))
+
+
+def test_shared_dir_uses_the_session_setting(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = shared_dir(spark)
+    assert d and (configured is None or configured.rstrip("/").split(":")[-1] in d)
