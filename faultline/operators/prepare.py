@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, fits_each
 from .layout import spread
 from .ranking import rank_rows
 
@@ -157,9 +157,9 @@ def encode_fact(fact: DataFrame, encodings: Sequence[tuple[str, DataFrame, str,
     """
     out = fact
     order = list(fact.columns)
-    for col, dim, name_col, id_col in encodings:
-        lookup = dim.select(F.col(name_col).alias(col), F.col(id_col))
-        out = out.join(checked_broadcast(lookup, broadcast_max_rows), on=col, how="left").drop(col)
+    lookups = [dim.select(F.col(name_col).alias(col), F.col(id_col)) for col, dim, name_col, id_col in encodings]
+    for (col, _, _, id_col), lookup, small in zip(encodings, lookups, fits_each(lookups, broadcast_max_rows)):
+        out = out.join(F.broadcast(lookup) if small else lookup, on=col, how="left").drop(col)
         order = [id_col if c == col else c for c in order]
     return out.select(*order)
 

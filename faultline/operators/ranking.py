@@ -4,15 +4,18 @@
 the rows are range-partitioned on the sort key plus a per-row salt (a hash of
 the row, so a large group of equal keys spreads over many partitions
 instead of filling one), sorted within partitions and numbered by position.
-A per-partition row count - one row per partition, a bound set by the
-partition count and not by the data - gives each partition's offset, so
+A per-partition row count - one number per partition, a bound set by the
+partition count and not by the data, summed up on the driver - gives each
+partition's offset, so
 
     row_number = offset(partition) + position + 1
 
 ``rank`` is the smallest row number among rows with the same key: a
 partial/final ``min`` per key (a hot key collapses to one row per task),
-joined back on the key with a checked broadcast (or a shuffle join AQE can
-split when skewed).
+joined back on the key - broadcast when the row total proves the per-key
+table small, otherwise a shuffle join AQE can split when skewed.  Rows
+identical in every column share a salt and stay together; ranked inputs
+are normally aggregates, distinct by their group key.
 
 The range-sorted rows are checkpointed once into the session's shared
 folder, so counts and positions come from one materialisation, also when a
@@ -24,11 +27,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS
 
 _SALT, _MID, _PID, _POS, _N, _OFF, _ROW = ("_rk_salt", "_rk_mid", "_rk_pid", "_rk_pos", "_rk_n",
                                            "_rk_off", "_rk_row")
@@ -76,12 +79,17 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     ranged = ranged.select(*cols, F.shiftright(F.col(_MID), _POS_BITS).alias(_PID),
                            F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(_POS))
 
-    sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
-
-    # `offsets` has one row per partition: a bound set by `n`, not the data.
-    numbered = ranged.join(F.broadcast(offsets), on=_PID, how="inner").select(
+    # One count per partition: at most `n` numbers reach the driver, which
+    # turns them into offsets (running sums) and the total row count.
+    sizes = sorted((r[0], r[1]) for r in ranged.groupBy(_PID).agg(F.count(F.lit(1))).collect())
+    offsets, acc = [], 0
+    for pid, cnt in sizes:
+        offsets.append((pid, acc))
+        acc += cnt
+    total = acc
+    offsets_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, {_OFF} long")
+
+    numbered = ranged.join(F.broadcast(offsets_df), on=_PID, how="inner").select(
         *cols, (F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("long").alias(_ROW))
     if method == "row_number":
         return numbered.withColumnRenamed(_ROW, out)
@@ -90,5 +98,8 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     firsts = numbered.groupBy(*[F.col(c).alias(k) for c, k in zip(names, keyed)]).agg(
         F.min(_ROW).alias(out))
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(names, keyed)])
-    return (numbered.join(checked_broadcast(firsts, broadcast_max_rows), on=cond, how="inner")
+    # One row per distinct key, so at most `total` rows: broadcast when that
+    # bound is small enough, else a shuffle join (AQE splits a skewed key).
+    small = broadcast_max_rows is not None and total <= broadcast_max_rows
+    return (numbered.join(F.broadcast(firsts) if small else firsts, on=cond, how="inner")
                     .select(*cols, out))
