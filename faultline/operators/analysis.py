@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_percent, round_ratio, share_exceeds
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, Weights, attach
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach
 from .ranking import rank_rows
 
 # Labels of the dominance query.

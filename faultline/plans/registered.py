@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, LongType
 
-from ..functions.text import escape_literal, left, preview, render_template, strip_text
+from ..functions.text import escape_literal, left, preview, render_template
 from ..operators import analysis as A
 from ..operators import feedback as FB
 from ..operators import prepare as P

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from faultline.functions.text import escape_literal, preview, render_template, strip_text
 from tests.conftest import rows

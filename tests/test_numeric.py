@@ -1,6 +1,5 @@
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import functions as F
 
 from faultline.functions.numeric import exact_percent, round_ratio, share_exceeds
 

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from faultline.operators import prepare as P
 from tests.conftest import rows

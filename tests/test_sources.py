@@ -1,7 +1,5 @@
-import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from faultline.session import scratch_path
 from faultline.sources import tables as S

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from faultline.operators.analysis import value_counts
 from faultline.session import scratch_path

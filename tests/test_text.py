@@ -1,7 +1,6 @@
 import math
 from collections import Counter
 
-from pyspark.sql import functions as F
 
 from faultline.operators import text as T
 from tests.conftest import rows
