@@ -56,8 +56,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, registering one if unset.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; Spark
-    registers it at start-up.  A session without one (local mode, tests)
-    gets a private folder so ``DataFrame.checkpoint`` works.
+    registers it at start-up.  Only a local-mode session without one (tests,
+    single-machine runs) gets a private folder; on a cluster a missing
+    setting is an error, since executors cannot share a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +67,9 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(checkpoints and intermediate tables are written there)")
         configured = tempfile.mkdtemp(prefix="faultline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..operators.ranking import rank_rows
+from ..session import shared_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -155,6 +156,10 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     if prune:
         res = res.filter(F.col("_is_new"))
     if id_col:
+        # Kept and fresh rows both come from the merge: materialise it once
+        # instead of joining old and new twice.
+        shared_dir(res.sparkSession)
+        res = res.checkpoint(eager=True)
         kept = res.filter(F.col("_was_old"))
         fresh = res.filter(~F.col("_was_old")).drop(id_col)
         fresh = next_ids(old, fresh, id_col, keys).select(*kept.columns)
