@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -83,7 +83,9 @@ def word_weights(df: DataFrame, text: str | Column, n: int = 200,
     weight relative to the most frequent one (largest = 1.0)."""
     counts = word_counts(df, text, word, out, stopwords=stopwords)
     top = counts.orderBy(F.col(out).desc(), F.col(word)).limit(n)
-    biggest = counts.select(F.max(out)).scalar()
+    # The largest count of all words is the first of the top n: a window
+    # over those at most n rows, no second pass over the texts.
+    biggest = F.max(out).over(Window.partitionBy(F.lit(0)))
     return top.withColumn(weight, F.col(out) / biggest).orderBy(F.col(out).desc(), F.col(word))
 
 
