@@ -135,10 +135,48 @@ def feedback_report(results: DataFrame, rank_col: str, text_col: str, columns: S
                     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Stored results with names and a ``LEFT(text, preview_chars)`` preview, by rank."""
     rows = results
-    if dims:
+    if dims:  # names for the report, one lookup per stored row
         for d in dims:
             rows = rows.join(checked_broadcast(d.projected(), broadcast_max_rows),
                              on=[d.on] if isinstance(d.on, str) else list(d.on), how="inner")
     return (rows.select(F.col(rank_col), *[F.col(c) for c in columns],
                         left(text_col, preview_chars).alias(preview_name))
                 .orderBy(rank_col, *columns))
+
+
+def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col: str, template: str,
+                 fields: Mapping[str, str], service: Callable[[pd.Series], pd.Series], out_path: str,
+                 table_path: str | None = None, model_name: str = "", example_columns: Sequence[str] = (),
+                 example_dims: Sequence[Dim] = (), group_dims: Sequence[Dim] = (),
+                 report_columns: Sequence[str] = (), now=None, preview_chars: int = 70) -> DataFrame:
+    """The whole feedback run: worklist -> service -> upsert -> report.
+
+    Rows of the result table: ``feedback_id``, the group key, example id,
+    model name, prompt, generated text, rank, frequency and time.  The
+    current table at ``table_path`` (none on the first run) is merged by the
+    group key and written as a new version at ``out_path``; the report is
+    read from that version, ordered by rank.  Patterns whose service call
+    failed are skipped and keep their previous row, if any.
+    """
+    from ..sources.tables import upsert_by_key
+
+    spark = fact.sparkSession
+    g = _list(group)
+    work = feedback_worklist(fact, g, n, order_col, template, fields, example_columns, example_dims,
+                             group_dims)
+    done = enrich_rows(work, service, "prompt", output_col="generated_feedback")
+    rows = done.select(*g, F.col("example_id").cast("long").alias("example_id"),
+                       F.lit(model_name).alias("model_name"), F.col("prompt").alias("prompt_text"),
+                       strip_text("generated_feedback").alias("generated_feedback"),
+                       F.col("frequency_rank").cast("long").alias("frequency_rank"),
+                       F.col("frequency").cast("long").alias("error_frequency"))
+    if table_path:
+        old = spark.read.parquet(table_path)
+    else:
+        schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields])
+        old = spark.createDataFrame([], f"feedback_id long, {schema}, generated_at timestamp_ntz")
+    merged = upsert_by_key(old, rows, g, id_col="feedback_id", touched_col="generated_at", now=now)
+    merged.write.mode("errorifexists").parquet(out_path)
+    stored = spark.read.parquet(out_path)
+    return feedback_report(stored, "frequency_rank", "generated_feedback",
+                           [*g, *report_columns, "error_frequency"], preview_chars=preview_chars)

@@ -433,6 +433,62 @@ def q_functional_dependency(spark, sf):
     return Q.functional_dependency(_t(spark, sf, "part"), "p_brand", "p_type")
 
 
+# Natural keys and references of the test tables.
+TABLE_CONSTRAINTS = (
+    Q.Constraint("region", "primary_key", ("r_regionkey",)),
+    Q.Constraint("nation", "primary_key", ("n_nationkey",)),
+    Q.Constraint("nation", "foreign_key", ("n_regionkey",), ("region", ("r_regionkey",))),
+    Q.Constraint("supplier", "primary_key", ("s_suppkey",)),
+    Q.Constraint("supplier", "foreign_key", ("s_nationkey",), ("nation", ("n_nationkey",))),
+    Q.Constraint("customer", "primary_key", ("c_custkey",)),
+    Q.Constraint("customer", "foreign_key", ("c_nationkey",), ("nation", ("n_nationkey",))),
+    Q.Constraint("part", "primary_key", ("p_partkey",)),
+    Q.Constraint("orders", "primary_key", ("o_orderkey",)),
+    Q.Constraint("orders", "foreign_key", ("o_custkey",), ("customer", ("c_custkey",))),
+    Q.Constraint("lineitem", "primary_key", ("l_orderkey", "l_linenumber")),
+    Q.Constraint("lineitem", "foreign_key", ("l_orderkey",), ("orders", ("o_orderkey",))),
+    Q.Constraint("lineitem", "foreign_key", ("l_partkey",), ("part", ("p_partkey",))),
+    Q.Constraint("lineitem", "foreign_key", ("l_suppkey",), ("supplier", ("s_suppkey",))),
+    Q.Constraint("events", "primary_key", ("event_id",)),
+    Q.Constraint("documents", "primary_key", ("doc_id",)),
+    Q.Constraint("documents", "not_null", ("doc_id", "text", "lang", "source")),
+    Q.Constraint("documents", "max_length", ("text",), 5000),
+    Q.Constraint("labels", "primary_key", ("doc_id",)),
+    Q.Constraint("labels", "foreign_key", ("doc_id",), ("documents", ("doc_id",))),
+    Q.Constraint("labels", "between", ("quality",), (1, 4)),
+    Q.Constraint("conversations", "primary_key", ("conv_id", "turn")),
+)
+
+
+def _constraint_sql(c) -> str:
+    cols = list(c.columns)
+    head = f"SELECT '{c.table}' AS table_name, '{c.kind}' AS kind, '{','.join(cols)}' AS columns, "
+    if c.kind == "not_null":
+        return head + f"COUNT(*) AS violations FROM {c.table} WHERE " + " OR ".join(f"{x} IS NULL" for x in cols)
+    if c.kind == "primary_key":
+        k = ", ".join(cols)
+        return head + f"COUNT(*) AS violations FROM (SELECT {k} FROM {c.table} GROUP BY {k} HAVING COUNT(*) > 1)"
+    if c.kind == "foreign_key":
+        parent, pcols = c.arg
+        on = " AND ".join(f"p.{p} = c.{x}" for x, p in zip(cols, pcols))
+        nn = " AND ".join(f"c.{x} IS NOT NULL" for x in cols)
+        return head + (f"COUNT(*) AS violations FROM {c.table} c WHERE {nn} AND NOT EXISTS "
+                       f"(SELECT 1 FROM {parent} p WHERE {on})")
+    if c.kind == "between":
+        lo, hi = c.arg
+        return head + (f"COUNT(*) AS violations FROM {c.table} WHERE {cols[0]} IS NOT NULL "
+                       f"AND {cols[0]} NOT BETWEEN {lo} AND {hi}")
+    if c.kind == "max_length":
+        return head + f"COUNT(*) AS violations FROM {c.table} WHERE length({cols[0]}) > {c.arg}"
+    raise ValueError(c.kind)
+
+
+@register("constraint_report", "\nUNION ALL\n".join(_constraint_sql(c) for c in TABLE_CONSTRAINTS))
+def q_constraint_report(spark, sf):
+    names = sorted({c.table for c in TABLE_CONSTRAINTS})
+    return Q.constraint_report({n: _t(spark, sf, n) for n in names}, TABLE_CONSTRAINTS)
+
+
 # ----------------------------------------------------------------- preparation
 
 _SOURCE_SORTED = "SELECT ROW_NUMBER() OVER (ORDER BY source) AS id, source FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)"
@@ -593,6 +649,15 @@ def q_feedback_report(spark, sf):
     return FB.feedback_report(stored, "frequency_rank", "generated_feedback", ["lang", "error_frequency"])
 
 
+@register("feedback_job", ORACLE_SQL["feedback_report"])
+def q_feedback_job(spark, sf):
+    fields = {"frequency_rank": "frequency_rank", "frequency": "frequency", "lang": "lang",
+              "source": "source", "text": "text"}
+    return FB.feedback_job(_t(spark, sf, "documents"), "lang", 3, "doc_id", DOC_TEMPLATE, fields,
+                           review_service, out_path=scratch_path(spark, "feedback_v1"),
+                           model_name="review-service", example_columns=["source", "text"])
+
+
 # ------------------------------------------------------------------- sources
 
 @register("upsert_by_key", """

@@ -76,3 +76,24 @@ def test_feedback_report_preview(spark):
     res = spark.createDataFrame([(2, "s1", "x" * 100), (1, "s2", "short")], "rank long, subtype string, text string")
     got = rows(FB.feedback_report(res, "rank", "text", ["subtype"], preview_chars=70))
     assert got == [(1, "s2", "short"), (2, "s1", "x" * 70)]
+
+
+def test_feedback_job_twice_keeps_ids_and_refreshes(spark, fact):
+    from faultline.session import scratch_path
+
+    def service(s: pd.Series) -> pd.Series:
+        return "  Check " + s.str.len().astype(str) + " chars.\n"
+
+    args = dict(fact=fact, group="subtype", n=2, order_col="submission_id",
+                template="{subtype}: {query}", fields={"subtype": "subtype", "query": "query"},
+                service=service, model_name="pure", example_columns=["query"],
+                now=dt.datetime(2024, 3, 1))
+    v1 = scratch_path(spark, "fb_v1")
+    r1 = rows(FB.feedback_job(out_path=v1, **args))
+    assert r1 == [(1, "s2", 3, "Check 6 chars."), (2, "s1", 2, "Check 6 chars.")]
+    v2 = scratch_path(spark, "fb_v2")
+    r2 = rows(FB.feedback_job(out_path=v2, table_path=v1, **args))
+    assert r2 == r1
+    ids1 = dict(rows(spark.read.parquet(v1), "subtype", "feedback_id"))
+    ids2 = dict(rows(spark.read.parquet(v2), "subtype", "feedback_id"))
+    assert ids1 == ids2 and sorted(ids1.values()) == [1, 2]
