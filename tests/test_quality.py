@@ -50,3 +50,31 @@ def test_profile_columns_ties_go_to_smallest_value(spark):
 def test_head_rows_is_ordered(spark):
     df = spark.createDataFrame([(i,) for i in (5, 3, 9, 1, 7, 2)], "k int")
     assert rows(Q.head_rows(df, "k", 3)) == [(1,), (2,), (3,)]
+
+
+def test_constraint_report_on_the_declared_model(spark):
+    import datetime as dt
+
+    from faultline.sources.schemas import CONSTRAINTS, SCHEMAS
+
+    data = {
+        "ErrorType": [(1, "syntax"), (2, "schema"), (3, "syntax")],                  # duplicate name
+        "ErrorSubtype": [(1, "missing quotes", 1), (2, "x" * 101, 9)],               # too long, orphan
+        "Emotion": [(1, "anger")],
+        "SQLConcept": [(1, "WHERE")],
+        "LearningOutcome": [(1, "Use quotes for text."), (1, "again")],              # duplicate id
+        "Submission": [(1, "SELECT 1", 1, 1, 1, 1, "msg"), (2, "SELECT 2", 2, 1, 1, 7, "msg")],  # orphan outcome
+        "LLMFeedback": [(1, 1, 1, "m", "p", "f", 1, 2, dt.datetime(2024, 1, 1))],
+        "FeedbackEvaluation": [(1, 1, "r", "clarity", 4), (2, 1, "r", "tone", 5), (3, 2, "r", "tone", 1)],
+    }
+    tables = {t: spark.createDataFrame(rows_, SCHEMAS[t]) for t, rows_ in data.items()}
+    report = {(t, k, c): v for t, k, c, v in rows(Q.constraint_report(tables, CONSTRAINTS))}
+    assert report[("ErrorType", "unique", "type_name")] == 1
+    assert report[("ErrorSubtype", "max_length", "subtype_name")] == 1
+    assert report[("ErrorSubtype", "foreign_key", "error_type_id")] == 1
+    assert report[("LearningOutcome", "primary_key", "outcome_id")] == 1
+    assert report[("Submission", "foreign_key", "outcome_id")] == 1
+    assert report[("FeedbackEvaluation", "between", "score")] == 1
+    assert report[("FeedbackEvaluation", "foreign_key", "feedback_id")] == 1
+    bad = {k for k, v in report.items() if v}
+    assert len(bad) == 7 and len(report) == len(CONSTRAINTS)
