@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_percent, round_ratio, share_exceeds
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach, join_null_safe
 from .ranking import rank_rows
 
 # Labels of the dominance query.
@@ -90,7 +90,7 @@ def dominant_member(fact: DataFrame, group: str | Sequence[str], member: str | S
     counts = rows.groupBy(*g, *m).agg(w.count().alias(count_name))
     stats = counts.groupBy(*g).agg(F.sum(count_name).cast("long").alias(total_name),
                                    F.max(count_name).alias(count_name))
-    top = counts.join(stats, on=[*g, count_name], how="inner")
+    top = join_null_safe(counts, stats, [*g, count_name])
     res = top.select(
         *g, *m, count_name, total_name,
         exact_percent(count_name, total_name, decimals).alias(pct_name),
@@ -141,7 +141,7 @@ def share_within_group(fact: DataFrame, group: str | Sequence[str], member: str
     rows, w = attach(fact, dims, keep=_fact_cols(fact, g + m), broadcast_max_rows=broadcast_max_rows)
     counts = rows.groupBy(*g, *m).agg(w.count().alias(count_name))
     totals = counts.groupBy(*g).agg(F.sum(count_name).alias("_group_total"))
-    res = (counts.join(totals, on=g, how="inner")
+    res = (join_null_safe(counts, totals, g)
                  .select(*g, *m, count_name,
                          exact_percent(count_name, "_group_total", decimals).alias(pct_name)))
     if sort:

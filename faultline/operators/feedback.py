@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import left, render_template, strip_text
 from ..session import shared_dir
-from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach, checked_broadcast
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach, checked_broadcast, join_null_safe
 
 
 def _list(x) -> list[str]:
@@ -69,11 +69,11 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     if group_dims:
         top, _ = attach(top, group_dims, keep=top.columns, broadcast_max_rows=broadcast_max_rows)
     # `top` holds at most n rows: a proven bound for the broadcast.
-    members = fact.join(F.broadcast(top.select(*g)), on=g, how="left_semi")
+    members = join_null_safe(fact, F.broadcast(top.select(*g)), g, how="left_semi")
     examples = first_example_per_group(members, g, order_col, example_columns, example_dims,
                                        broadcast_max_rows)
     examples = examples.withColumnRenamed(order_col, example_name)
-    rows = top.join(F.broadcast(examples), on=g, how="inner")
+    rows = join_null_safe(top, F.broadcast(examples), g)
     cols = {k: F.col(v) for k, v in fields.items()}
     rows = rows.withColumn(prompt_name, render_template(template, cols))
     return rows.filter(F.col(prompt_name).isNotNull()).orderBy(rank_name)

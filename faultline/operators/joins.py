@@ -142,3 +142,12 @@ def attach(fact: DataFrame, dims: Sequence[Dim], keep: Sequence[str] = (),
             cols = [c for c in df.columns if c != WEIGHT]
             df = df.groupBy(*cols).agg(F.sum(WEIGHT).alias(WEIGHT))
     return df, Weights(WEIGHT)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` where NULL matches NULL (``<=>``), as GROUP BY
+    treats NULL keys as one group; the key columns appear once."""
+    tmp = {c: f"_ns_{i}" for i, c in enumerate(on)}
+    r = right.select(*[F.col(c).alias(tmp[c]) if c in tmp else F.col(c) for c in right.columns])
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(tmp[c])) for c in on])
+    return left.join(r, on=cond, how=how).drop(*tmp.values())

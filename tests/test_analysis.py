@@ -159,3 +159,12 @@ def test_collation_groups_case_accent_and_trailing_space(spark):
     df = spark.createDataFrame([("Syntax",), ("syntax ",), ("sýntax",), ("schema",)], "t string")
     got = sorted(r[1] for r in A.value_counts(collate_columns(df, "t"), "t").collect())
     assert got == [1, 3]
+
+
+def test_null_group_is_kept_like_group_by(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (None, "b"), ("g", "b")], "g string, m string")
+    dom = rows(A.dominant_member(df, "g", "m", 50))
+    assert (None, "a", 2, 3, 66.7, "High persistence") in dom and len(dom) == 2
+    share = rows(A.share_within_group(df, "g", "m"))
+    assert sorted(share, key=str) == sorted([(None, "a", 2, 66.7), (None, "b", 1, 33.3), ("g", "b", 1, 100.0)],
+                                            key=str)
