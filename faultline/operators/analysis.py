@@ -49,19 +49,29 @@ def frequency_by_keys(fact: DataFrame, keys: Sequence[str], dims: Sequence[Dim]
     return res
 
 
+def _distinct_count(col: str, approx_rsd: float | None) -> Column:
+    """Exact ``COUNT(DISTINCT col)``, or a HyperLogLog estimate with relative
+    standard deviation ``approx_rsd`` (opt-in: no (key, value) shuffle)."""
+    if approx_rsd is None:
+        return F.count_distinct(col)
+    return F.approx_count_distinct(col, rsd=approx_rsd)
+
+
 def ratio_total_to_distinct(fact: DataFrame, key: str | Sequence[str], distinct: str,
                             dims: Sequence[Dim] = (), decimals: int = 2,
                             total_name: str = "total", distinct_name: str = "distinct_count",
                             ratio_name: str = "ratio", sort: bool = True,
+                            approx_rsd: float | None = None,
                             broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows per key, distinct ``distinct`` values per key and their ratio,
-    ``ROUND(COUNT(*) / COUNT(DISTINCT x), decimals)`` half away from zero."""
+    ``ROUND(COUNT(*) / COUNT(DISTINCT x), decimals)`` half away from zero.
+    ``approx_rsd`` switches to an approximate distinct count."""
     keys = _list(key)
     rows, w = attach(fact, dims, keep=_fact_cols(fact, keys + [distinct]),
                      broadcast_max_rows=broadcast_max_rows)
     res = (rows.groupBy(*keys)
                .agg(w.count().alias(total_name),
-                    F.count_distinct(distinct).alias(distinct_name))
+                    _distinct_count(distinct, approx_rsd).alias(distinct_name))
                .withColumn(ratio_name, round_ratio(total_name, distinct_name, decimals)))
     if sort:
         res = res.orderBy(F.col(ratio_name).desc(), *[F.col(k) for k in keys])
@@ -105,6 +115,7 @@ def difficulty_rank(fact: DataFrame, key: str | Sequence[str], distinct: str,
                     category: str, categories: Mapping[str, str], dims: Sequence[Dim] = (),
                     total_name: str = "total", diversity_name: str = "diversity",
                     rank_name: str = "difficulty_rank", view: str | None = None,
+                    approx_rsd: float | None = None,
                     broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Per key: rows, distinct ``distinct``, rows per listed ``category``
     value (``categories`` maps value -> output column) and
@@ -116,7 +127,7 @@ def difficulty_rank(fact: DataFrame, key: str | Sequence[str], distinct: str,
     keys = _list(key)
     rows, w = attach(fact, dims, keep=_fact_cols(fact, keys + [distinct, category]),
                      broadcast_max_rows=broadcast_max_rows)
-    aggs = [w.count().alias(total_name), F.count_distinct(distinct).alias(diversity_name)]
+    aggs = [w.count().alias(total_name), _distinct_count(distinct, approx_rsd).alias(diversity_name)]
     aggs += [w.count_if(F.col(category) == F.lit(v)).alias(name) for v, name in categories.items()]
     per_key = rows.groupBy(*keys).agg(*aggs)
     ranked = rank_rows(per_key, [(total_name, False), (diversity_name, True)], out=rank_name)

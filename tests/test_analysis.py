@@ -168,3 +168,11 @@ def test_null_group_is_kept_like_group_by(spark):
     share = rows(A.share_within_group(df, "g", "m"))
     assert sorted(share, key=str) == sorted([(None, "a", 2, 66.7), (None, "b", 1, 33.3), ("g", "b", 1, 100.0)],
                                             key=str)
+
+
+def test_approximate_distinct_is_opt_in(spark):
+    df = spark.createDataFrame([(k % 3, k) for k in range(3000)], "g int, v int")
+    exact = {r[0]: r[2] for r in rows(A.ratio_total_to_distinct(df, "g", "v"))}
+    approx = {r[0]: r[2] for r in rows(A.ratio_total_to_distinct(df, "g", "v", approx_rsd=0.02))}
+    assert exact == {0: 1000, 1: 1000, 2: 1000}
+    assert all(abs(approx[g] - 1000) <= 80 for g in approx)
