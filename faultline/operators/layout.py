@@ -14,6 +14,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     so the extra shuffle is only paid by small, under-split inputs (a single
     file or row group), where it buys parallelism.
     """
+    if df.isStreaming:  # micro-batches are planned per trigger; leave them as they come
+        return df
     slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df

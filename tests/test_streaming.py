@@ -22,3 +22,16 @@ def test_upsert_each_batch_refreshes_counts(spark):
     got = sorted(rows(spark.read.parquet(os.path.join(out, latest)), "event_type", "count"))
     # the second batch's counts replace the first batch's for the same key
     assert ("error", 2) in got and ("click", 1) in got and ("view", 1) in got
+
+
+def test_stateless_operators_run_on_a_stream(spark):
+    from faultline.operators.prepare import classify_by_keywords
+
+    src = scratch_path(spark, "stream_queries")
+    spark.createDataFrame([(1, "SELECT a FROM t WHERE b"), (2, "select x from (select y from z)")],
+                          "id int, q string").coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema("id int, q string").parquet(src)
+    q = (classify_by_keywords(stream, "q").writeStream.format("memory").queryName("classified")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert sorted(rows(spark.table("classified"), "id", "concept")) == [(1, "WHERE"), (2, "SUBQUERY")]
