@@ -61,6 +61,24 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_key: str | Sequence
     return nonnull.join(parents, on=ck, how="left_anti")
 
 
+def orphan_keys(child: DataFrame, parent: DataFrame, child_key: str | Sequence[str],
+                parent_key: str | Sequence[str] | None = None, out: str = "rows") -> DataFrame:
+    """Foreign-key values without a parent, with the number of child rows
+    holding each.
+
+    The child is first reduced to one row per key (partial/final count; a
+    hot key is one row per task), so the anti join shuffles distinct keys,
+    not child rows.  NULL keys are not violations.
+    """
+    ck, pk = _list(child_key), _list(parent_key or child_key)
+    keys = child
+    for c in ck:
+        keys = keys.filter(F.col(c).isNotNull())
+    keys = keys.groupBy(*ck).agg(F.count(F.lit(1)).alias(out))
+    parents = parent.select(*[F.col(p).alias(c) for p, c in zip(pk, ck)])
+    return keys.join(parents, on=ck, how="left_anti")
+
+
 def range_violations(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """Rows failing ``CHECK (col BETWEEN lo AND hi)``; NULL passes a CHECK."""
     return df.filter(F.col(col).isNotNull() & ~F.col(col).between(lo, hi))
@@ -229,7 +247,12 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Con
         for i, c in enumerate(cs):
             parts.append(counts.select(*label(c), F.col(f"_v{i}").alias("violations")))
     for c in usable:
-        if c.kind not in _ROW_LEVEL:
+        if c.kind == "foreign_key":
+            parent, pcols = c.arg
+            orphans = orphan_keys(tables[c.table], tables[parent], list(c.columns), list(pcols), out="_n")
+            parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations"))
+                         .select(*label(c), F.col("violations")))
+        elif c.kind not in _ROW_LEVEL:
             parts.append(violations(tables, c).agg(F.count(F.lit(1)).alias("violations")).select(
                 *label(c), F.col("violations")))
     if not parts:

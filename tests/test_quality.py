@@ -78,3 +78,9 @@ def test_constraint_report_on_the_declared_model(spark):
     assert report[("FeedbackEvaluation", "foreign_key", "feedback_id")] == 1
     bad = {k for k, v in report.items() if v}
     assert len(bad) == 7 and len(report) == len(CONSTRAINTS)
+
+
+def test_orphan_keys_count_child_rows(spark):
+    child = spark.createDataFrame([(1, 10), (2, 99), (3, 99), (4, None)], "id int, p int")
+    parent = spark.createDataFrame([(10,)], "pid int")
+    assert rows(Q.orphan_keys(child, parent, "p", "pid")) == [(99, 2)]
