@@ -69,17 +69,17 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     names = [n for n, _ in _order(order)]
     cols = df.columns
     sort = sort_columns(order) + [F.col(_SALT)]
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     salted = df.withColumn(_SALT, F.xxhash64(*[F.col(c) for c in cols]))
-    ranged = (salted.repartitionByRange(n, *sort)
-                    .sortWithinPartitions(*sort)
+    # Without an explicit count the range shuffle uses the session's partition
+    # count and AQE may merge neighbouring small ranges - still in order.
+    ranged = salted.repartitionByRange(partitions, *sort) if partitions else salted.repartitionByRange(*sort)
+    ranged = (ranged.sortWithinPartitions(*sort)
                     .withColumn(_MID, F.monotonically_increasing_id())
                     .checkpoint(eager=True))
     ranged = ranged.select(*cols, F.shiftright(F.col(_MID), _POS_BITS).alias(_PID),
                            F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(_POS))
 
-    # One count per partition: at most `n` numbers reach the driver, which
+    # One count per partition: at most one number per task reaches the driver, which
     # turns them into offsets (running sums) and the total row count.
     sizes = sorted((r[0], r[1]) for r in ranged.groupBy(_PID).agg(F.count(F.lit(1))).collect())
     offsets, acc = [], 0
