@@ -29,6 +29,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from ..session import shared_dir
 from .joins import DEFAULT_BROADCAST_MAX_ROWS
@@ -69,7 +70,9 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     names = [n for n, _ in _order(order)]
     cols = df.columns
     sort = sort_columns(order) + [F.col(_SALT)]
-    salted = df.withColumn(_SALT, F.xxhash64(*[F.col(c) for c in cols]))
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)] or cols[:0]
+    salt = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0).cast("long")
+    salted = df.withColumn(_SALT, salt)
     # Without an explicit count the range shuffle uses the session's partition
     # count and AQE may merge neighbouring small ranges - still in order.
     ranged = salted.repartitionByRange(partitions, *sort) if partitions else salted.repartitionByRange(*sort)

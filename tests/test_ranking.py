@@ -44,3 +44,8 @@ def test_one_hot_key_holding_a_third_of_rows(spark):
     got = {r.id: r["rank"] for r in rank_rows(df, ["k"], partitions=6).collect()}
     assert got[0] == 1 and got[3] == 1
     assert got[1] == 1001  # 1000 rows share k = 0
+
+
+def test_rank_rows_with_a_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2}), (2, {"c": 3})], "k int, m map<string,int>")
+    assert sorted(r["rank"] for r in rank_rows(df, [("k", False)]).collect()) == [1, 1, 3]
