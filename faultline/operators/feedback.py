@@ -10,6 +10,7 @@ late, and the prompt is a JVM ``concat``.  The service call runs inside
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -148,7 +149,8 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
                  fields: Mapping[str, str], service: Callable[[pd.Series], pd.Series], out_path: str,
                  table_path: str | None = None, model_name: str = "", example_columns: Sequence[str] = (),
                  example_dims: Sequence[Dim] = (), group_dims: Sequence[Dim] = (),
-                 report_columns: Sequence[str] = (), now=None, preview_chars: int = 70) -> DataFrame:
+                 report_columns: Sequence[str] = (), now=None, preview_chars: int = 70,
+                 mode: str = "errorifexists") -> DataFrame:
     """The whole feedback run: worklist -> service -> upsert -> report.
 
     Rows of the result table: ``feedback_id``, the group key, example id,
@@ -156,7 +158,8 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
     current table at ``table_path`` (none on the first run) is merged by the
     group key and written as a new version at ``out_path``; the report is
     read from that version, ordered by rank.  Patterns whose service call
-    failed are skipped and keep their previous row, if any.
+    failed are skipped and keep their previous row, if any.  ``mode`` is the
+    write mode of the new version (never the folder being read).
     """
     from ..sources.tables import upsert_by_key
 
@@ -175,8 +178,10 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
     else:
         schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields])
         old = spark.createDataFrame([], f"feedback_id long, {schema}, generated_at timestamp_ntz")
+    if table_path and os.path.normpath(table_path) == os.path.normpath(out_path):
+        raise ValueError("write the new version to a new path, not over its input")
     merged = upsert_by_key(old, rows, g, id_col="feedback_id", touched_col="generated_at", now=now)
-    merged.write.mode("errorifexists").parquet(out_path)
+    merged.write.mode(mode).parquet(out_path)
     stored = spark.read.parquet(out_path)
     return feedback_report(stored, "frequency_rank", "generated_feedback",
                            [*g, *report_columns, "error_frequency"], preview_chars=preview_chars)

@@ -10,6 +10,8 @@ statement with the same column names for each.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 import pandas as pd
@@ -24,9 +26,16 @@ from ..operators import prepare as P
 from ..operators import quality as Q
 from ..operators import text as TX
 from ..operators.joins import Dim
-from ..session import scratch_path
+from ..session import stable_path
 from ..sources import tables as S
 
+
+def _out(spark: SparkSession, name: str, sf: str) -> str:
+    """Output folder of a writing query: one per query and input folder,
+    rewritten on every run."""
+    tag = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:10]
+    return stable_path(spark, f"{name}-{tag}")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -655,8 +664,8 @@ def q_feedback_job(spark, sf):
     fields = {"frequency_rank": "frequency_rank", "frequency": "frequency", "lang": "lang",
               "source": "source", "text": "text"}
     return FB.feedback_job(_t(spark, sf, "documents"), "lang", 3, "doc_id", DOC_TEMPLATE, fields,
-                           review_service, out_path=scratch_path(spark, "feedback_v1"),
-                           model_name="review-service", example_columns=["source", "text"])
+                           review_service, out_path=_out(spark, "feedback_v1", sf),
+                           model_name="review-service", example_columns=["source", "text"], mode="overwrite")
 
 
 # ------------------------------------------------------------------- sources
@@ -687,8 +696,8 @@ _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
 @register("append_rows", f"SELECT {_ORDER_COLS} FROM orders")
 def q_append_rows(spark, sf):
     orders = _t(spark, sf, "orders")
-    path = scratch_path(spark, "orders_appended")
-    S.append_rows(orders.filter(F.col("o_orderstatus") == "F"), path)
+    path = _out(spark, "orders_appended", sf)
+    orders.filter(F.col("o_orderstatus") == "F").write.mode("overwrite").parquet(path)
     S.append_rows(orders.filter((F.col("o_orderstatus") != "F") | F.col("o_orderstatus").isNull()), path)
     return spark.read.parquet(path)
 
@@ -704,11 +713,11 @@ FROM customer c, mx WHERE c.c_mktsegment <> 'BUILDING'
 """)
 def q_append_with_ids(spark, sf):
     cust = _t(spark, sf, "customer")
-    path = scratch_path(spark, "customer_ids")
+    path = _out(spark, "customer_ids", sf)
     base = cust.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     first = S.next_ids(spark.createDataFrame([], "id long, c_custkey long, c_name string"), base, "id",
                        ["c_custkey"])
-    S.append_rows(first, path)
+    first.write.mode("overwrite").parquet(path)
     rest = cust.filter(F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_name")
     S.append_with_ids(spark, path, rest, "id", ["c_custkey"])
     return spark.read.parquet(path)
@@ -717,6 +726,6 @@ def q_append_with_ids(spark, sf):
 @register("scan_csv_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_scan_csv_roundtrip(spark, sf):
     docs = _t(spark, sf, "documents")
-    path = scratch_path(spark, "documents_csv")
-    S.write_csv(docs, path)
+    path = _out(spark, "documents_csv", sf)
+    S.write_csv(docs, path, mode="overwrite")
     return S.read_csv(spark, path, docs.schema)
