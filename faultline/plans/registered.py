@@ -36,6 +36,7 @@ def _out(spark: SparkSession, name: str, sf: str) -> str:
     tag = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:10]
     return stable_path(spark, f"{name}-{tag}")
 
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
