@@ -106,3 +106,29 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     small = broadcast_max_rows is not None and total <= broadcast_max_rows
     return (numbered.join(F.broadcast(firsts) if small else firsts, on=cond, how="inner")
                     .select(*cols, out))
+
+
+def sequence_ids(df: DataFrame, out: str = "id") -> DataFrame:
+    """Number rows 1..n in the order they are read (``zipWithIndex``).
+
+    A monotonically increasing id encodes (partition, position); one count
+    per partition - summed on the driver into offsets, one number per
+    partition - turns it into a contiguous sequence.  No shuffle and no
+    materialisation of the rows.  The input must be read deterministically
+    (a file scan followed by row-wise operations), since the counts and the
+    ids come from two evaluations of it.
+    """
+    spark = df.sparkSession
+    cols = df.columns
+    seq = df.withColumn(_MID, F.monotonically_increasing_id())
+    pid = F.shiftright(F.col(_MID), _POS_BITS)
+    sizes = sorted((r[0], r[1]) for r in seq.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1))).collect())
+    offsets, acc = [], 0
+    for p, cnt in sizes:
+        offsets.append((p, acc))
+        acc += cnt
+    offsets_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, {_OFF} long")
+    pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    return (seq.withColumn(_PID, pid)
+               .join(F.broadcast(offsets_df), on=_PID, how="inner")
+               .select((F.col(_OFF) + pos + F.lit(1)).cast("long").alias(out), *cols))

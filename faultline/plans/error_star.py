@@ -17,7 +17,7 @@ from ..operators import analysis as A
 from ..operators import feedback as FB
 from ..operators import prepare as P
 from ..operators.joins import Dim
-from ..operators.ranking import rank_rows
+from ..operators.ranking import sequence_ids
 
 Tables = Mapping[str, DataFrame]
 
@@ -35,23 +35,22 @@ def prepare_error_star(flat: DataFrame, keep_types=KEPT_TYPES) -> dict[str, Data
     type id of its rows (the subtype -> type dependency is checked by
     ``quality.functional_dependency``).
     """
-    ordered = flat.withColumn("_ingest", F.monotonically_increasing_id())
-    kept = P.filter_categories(ordered, "error_type", keep_types)
+    # Ids in file order straight after the scan and filter: no shuffle.
+    kept = sequence_ids(P.filter_categories(flat, "error_type", keep_types), "submission_id")
     kept = P.classify_by_keywords(kept, "query", out="concept")
     dims = P.build_dimensions(kept, [("error_type", "error_type_id", "sorted"),
                                      ("error_subtype", "subtype_id", "sorted"),
                                      ("emotion", "emotion_id", "sorted"),
                                      ("concept", "concept_id", "sorted"),
                                      ("intended_learning_outcome", "outcome_id", "first_seen")],
-                              order_col="_ingest")
+                              order_col="submission_id")
     error_type = dims["error_type"].select("error_type_id", F.col("error_type").alias("type_name"))
     pairs = kept.select("error_subtype", "error_type").distinct()
     subtype = (dims["error_subtype"].join(pairs, "error_subtype")
                .join(dims["error_type"], "error_type")
                .select("subtype_id", F.col("error_subtype").alias("subtype_name"), "error_type_id"))
-    numbered = rank_rows(kept, ["_ingest"], out="submission_id", method="row_number")
     fact = P.encode_fact(
-        numbered.select("submission_id", "query", "error_subtype", "emotion", "concept",
+        kept.select("submission_id", "query", "error_subtype", "emotion", "concept",
                         "intended_learning_outcome", "feedback_target"),
         [("error_subtype", dims["error_subtype"], "error_subtype", "subtype_id"),
          ("emotion", dims["emotion"], "emotion", "emotion_id"),

@@ -49,3 +49,16 @@ def test_one_hot_key_holding_a_third_of_rows(spark):
 def test_rank_rows_with_a_map_column(spark):
     df = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2}), (2, {"c": 3})], "k int, m map<string,int>")
     assert sorted(r["rank"] for r in rank_rows(df, [("k", False)]).collect()) == [1, 1, 3]
+
+
+def test_sequence_ids_follow_read_order(spark):
+    from faultline.operators.ranking import sequence_ids
+    from faultline.session import scratch_path
+
+    path = scratch_path(spark, "seq")
+    spark.range(0, 5000, 1, 7).selectExpr("id * 3 AS v").write.parquet(path)
+    df = spark.read.parquet(path).filter("v % 2 = 0")
+    got = sequence_ids(df, "n").collect()
+    assert sorted(r.n for r in got) == list(range(1, len(got) + 1))
+    in_read_order = [r.v for r in df.collect()]
+    assert [r.v for r in sorted(got, key=lambda r: r.n)] == in_read_order
