@@ -102,13 +102,16 @@ def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col:
         for pdf in batches:
             inputs = pdf[input_col]
             try:
-                out = pd.Series(fn(inputs), index=pdf.index).astype(object)
+                vals = list(fn(inputs))  # positional: the function's own index is ignored
+                if len(vals) != len(pdf):
+                    raise ValueError(f"batch function returned {len(vals)} values for {len(pdf)} rows")
+                out = pd.Series(vals, index=pdf.index, dtype=object)
                 err = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
             except Exception:  # retry per row; keep the failures visible
                 vals, errs = [], []
                 for v in inputs:
                     try:
-                        vals.append(fn(pd.Series([v])).iloc[0])
+                        vals.append(list(fn(pd.Series([v])))[0])
                         errs.append(None)
                     except Exception as e:  # noqa: BLE001 - service errors vary
                         vals.append(None)

@@ -97,3 +97,13 @@ def test_feedback_job_twice_keeps_ids_and_refreshes(spark, fact):
     ids1 = dict(rows(spark.read.parquet(v1), "subtype", "feedback_id"))
     ids2 = dict(rows(spark.read.parquet(v2), "subtype", "feedback_id"))
     assert ids1 == ids2 and sorted(ids1.values()) == [1, 2]
+
+
+def test_enrich_rows_ignores_the_returned_index(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "bb"), (3, "ccc")], "id int, prompt string").coalesce(1)
+
+    def shuffled_index(s: pd.Series) -> pd.Series:
+        return pd.Series((s.str.len()).tolist(), index=list(reversed(range(len(s)))))
+
+    got = sorted(rows(FB.enrich_rows(df, shuffled_index, "prompt", materialize=False), "id", "response"))
+    assert got == [(1, "1"), (2, "2"), (3, "3")]
