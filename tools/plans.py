@@ -29,6 +29,10 @@ What to look for: scans read only the needed columns (`ReadSchema`), dimension j
 `Exchange hashpartitioning`, `Exchange SinglePartition` only carries one-row aggregates, top-n
 (`TakeOrderedAndProject`) or the per-partition offset table of the distributed rank, and checkpointed
 inputs show as `Scan ExistingRDD`. Scalar subqueries (global statistics) run as separate small jobs and are not shown.
+
+Counts below are taken from the main query's final plan (subqueries and the helper jobs of size checks and
+checkpoints excluded). A single-partition exchange here only ever carries a one-row aggregate, a top-n or a
+per-partition offset table.
 """
 
 
@@ -66,14 +70,28 @@ def tree(df) -> str:
     return "\n".join(keep).strip()
 
 
+def counts(plan: str) -> tuple[int, int, int, int, int]:
+    final = plan.split("== Initial Plan ==")[0]
+    return (len(re.findall(r"Exchange hashpartitioning|Exchange\s*$", final, re.M)),
+            final.count("rangepartitioning"), final.count("SinglePartition"),
+            final.count("BroadcastExchange"), final.count("Scan ExistingRDD"))
+
+
 def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", partitions=8)
-    parts = [NOTES.format(sf=sf)]
+    parts, table = [NOTES.format(sf=sf)], []
     for key, fn in E.queries().items():
         df = fn(spark, sf)
         df.collect()
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        h, r, one, b, ck = counts(buf.getvalue())
+        table.append(f"| `{key}` | {h} | {r} | {one} | {b} | {ck} |")
         parts.append(f"## {key}\n\n```\n{tree(df)}\n```\n")
+    parts.insert(1, "| query | hash exchanges | range exchanges | single-partition exchanges | broadcasts "
+                    "| checkpoint scans |\n| --- | --- | --- | --- | --- | --- |\n" + "\n".join(table) + "\n")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(parts))
     spark.stop()
