@@ -70,11 +70,12 @@ def tree(df) -> str:
     return "\n".join(keep).strip()
 
 
-def counts(plan: str) -> tuple[int, int, int, int, int]:
+def counts(plan: str) -> tuple[int, int, int, int, int, int]:
     final = plan.split("== Initial Plan ==")[0]
-    return (len(re.findall(r"Exchange hashpartitioning|Exchange\s*$", final, re.M)),
-            final.count("rangepartitioning"), final.count("SinglePartition"),
-            final.count("BroadcastExchange"), final.count("Scan ExistingRDD"))
+    own = "\n".join(line for line in final.splitlines() if "ReusedExchange" not in line)
+    return (own.count("Exchange hashpartitioning"), own.count("Exchange rangepartitioning"),
+            own.count("Exchange SinglePartition"), final.count("ReusedExchange"),
+            own.count("BroadcastExchange"), final.count("Scan ExistingRDD"))
 
 
 def main(argv):
@@ -87,11 +88,12 @@ def main(argv):
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain()
-        h, r, one, b, ck = counts(buf.getvalue())
-        table.append(f"| `{key}` | {h} | {r} | {one} | {b} | {ck} |")
+        h, r, one, reused, b, ck = counts(buf.getvalue())
+        table.append(f"| `{key}` | {h} | {r} | {one} | {reused} | {b} | {ck} |")
         parts.append(f"## {key}\n\n```\n{tree(df)}\n```\n")
-    parts.insert(1, "| query | hash exchanges | range exchanges | single-partition exchanges | broadcasts "
-                    "| checkpoint scans |\n| --- | --- | --- | --- | --- | --- |\n" + "\n".join(table) + "\n")
+    parts.insert(1, "| query | hash exchanges | range exchanges | single-partition exchanges | reused exchanges "
+                    "| broadcasts | checkpoint scans |\n| --- | --- | --- | --- | --- | --- | --- |\n"
+                    + "\n".join(table) + "\n")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as f:
         f.write("\n".join(parts))
     spark.stop()
