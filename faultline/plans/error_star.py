@@ -156,3 +156,24 @@ def examples(t: Tables) -> DataFrame:
         t["Submission"], "subtype_id", "submission_id", ["query_text", "concept_id", "outcome_id"],
         dims=[Dim(t["SQLConcept"], on="concept_id", columns=["concept_name"]),
               Dim(t["LearningOutcome"], on="outcome_id", columns=["outcome_text"])])
+
+
+# SQL names users of the schema call.
+DIFFICULTY_VIEW = "v_concept_difficulty"
+TOP_SUBTYPES_FUNCTION = "GetTopErrorSubtypes"
+
+
+def register_sql(spark, t: Tables) -> list[str]:
+    """Expose the star to SQL: the six tables as temporary views, the
+    difficulty view, and the top-N procedure as a table function
+    (``SELECT * FROM GetTopErrorSubtypes(10)``).  Returns the names."""
+    names = []
+    for name, df in t.items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    concept_difficulty(t, view=DIFFICULTY_VIEW)
+    t["Submission"].join(_subtype_with_type(t), "subtype_id").select(
+        "subtype_name", F.col("type_name").alias("error_type")).createOrReplaceTempView("_submission_subtypes")
+    A.register_top_n_function(spark, TOP_SUBTYPES_FUNCTION, "_submission_subtypes",
+                              ["subtype_name", "error_type"], ["STRING", "STRING"])
+    return names + [DIFFICULTY_VIEW, TOP_SUBTYPES_FUNCTION]

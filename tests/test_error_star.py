@@ -141,3 +141,14 @@ def test_difficulty_view_and_examples(spark, star):
     assert got == want
     top = ES.top_patterns(tables, 3).collect()
     assert [r.frequency_rank for r in top] == [1, 2, 3]
+
+
+def test_sql_surface(spark, star):
+    tables, _ = star
+    names = ES.register_sql(spark, tables)
+    assert "Submission" in names and "GetTopErrorSubtypes" in names
+    via_sql = rows_of(spark.sql("SELECT * FROM GetTopErrorSubtypes(4)").toPandas())
+    via_api = rows_of(ES.top_error_subtypes(tables, 4).toPandas())
+    assert via_sql == via_api
+    assert spark.sql("SELECT COUNT(*) FROM v_concept_difficulty").first()[0] == tables["SQLConcept"].count()
+    assert spark.sql("SELECT COUNT(*) FROM Submission").first()[0] == tables["Submission"].count()
