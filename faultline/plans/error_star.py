@@ -177,3 +177,36 @@ def register_sql(spark, t: Tables) -> list[str]:
     A.register_top_n_function(spark, TOP_SUBTYPES_FUNCTION, "_submission_subtypes",
                               ["subtype_name", "error_type"], ["STRING", "STRING"])
     return names + [DIFFICULTY_VIEW, TOP_SUBTYPES_FUNCTION]
+
+
+def profile_records(flat: DataFrame, bins: int = 40) -> dict[str, DataFrame]:
+    """The exploratory profile of flat records: one DataFrame per aggregate
+    behind a chart or printout (all lazy; each reads only its columns).
+
+    ``emotion_types`` lists the emotions found, a small separate job, to fix
+    the crosstab columns; pass the records through ``checkpoint`` first when
+    the input is expensive to recompute.
+    """
+    from ..operators import quality as Q
+    from ..operators import text as TX
+
+    length = F.length(F.col("feedback_target").cast("string"))
+    with_len = flat.withColumn("feedback_length", length)
+    emotions = [r[0] for r in flat.select("emotion").distinct().orderBy("emotion").collect()]
+    return {
+        "shape": Q.profile_shape(flat),
+        "head": Q.head_rows(flat, flat.columns[0], 5),
+        "info": Q.schema_info(flat),
+        "describe": Q.profile_columns(flat),
+        "nulls": Q.null_counts(flat),
+        "error_types": A.value_counts(flat, "error_type"),
+        "top_subtypes": A.value_counts(flat, "error_subtype", n=10),
+        "emotion_shares": A.percent_of_total(flat, "emotion"),
+        "top_words": TX.top_words(flat.filter(F.col("feedback_target").isNotNull()), "feedback_target", 20),
+        "word_weights": TX.word_weights(flat, "feedback_target", 200),
+        "length_histogram": TX.histogram_equal_width(with_len, "feedback_length", bins),
+        "length_density": TX.density_curve(with_len, "feedback_length", count_bins=bins),
+        "type_by_emotion_pct": A.crosstab_row_pct(flat, "error_type", "emotion", emotions, names=emotions),
+        "length_by_type": A.group_count_mean(with_len, "error_type", "query", "feedback_length",
+                                             count_name="count", mean_name="avg_feedback_length"),
+    }

@@ -152,3 +152,21 @@ def test_sql_surface(spark, star):
     assert via_sql == via_api
     assert spark.sql("SELECT COUNT(*) FROM v_concept_difficulty").first()[0] == tables["SQLConcept"].count()
     assert spark.sql("SELECT COUNT(*) FROM Submission").first()[0] == tables["Submission"].count()
+
+
+def test_profile_records(spark, flat_rows):
+    from collections import Counter
+
+    flat = spark.createDataFrame(flat_rows, FLAT_RECORDS)
+    prof = ES.profile_records(flat)
+    assert prof["shape"].first()[:] == (len(flat_rows), 6)
+    types = Counter(r[1] for r in flat_rows)
+    assert {r[0]: r[1] for r in prof["error_types"].collect()} == dict(types)
+    assert sum(r["count"] for r in prof["length_histogram"].collect()) == len(flat_rows)
+    by_type = {r[0]: (r[1], r[2]) for r in prof["length_by_type"].collect()}
+    for t, n in types.items():
+        lens = [len(r[4]) for r in flat_rows if r[1] == t]
+        assert by_type[t][0] == n and abs(by_type[t][1] - sum(lens) / n) < 1e-9
+    pct = prof["type_by_emotion_pct"].collect()
+    assert all(abs(sum(r[1:]) - 100) < 1e-9 for r in pct)
+    assert prof["top_subtypes"].count() <= 10 and prof["nulls"].count() == 6
