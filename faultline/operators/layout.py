@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# An under-split input is small (one or a few files); this many tasks give it
+# ample parallelism without scheduling thousands of tiny ones on a big cluster.
+MAX_SPREAD = 256
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster when it has fewer partitions than
@@ -16,7 +20,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:  # micro-batches are planned per trigger; leave them as they come
         return df
-    slots = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    slots = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
     if df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots)
