@@ -48,6 +48,12 @@ def first_example_per_group(fact: DataFrame, group: str | Sequence[str], order_c
     return best
 
 
+# Up to this many top groups, their example ids are fetched with a pushed-down
+# IN filter (row-group statistics skip the rest of the fact); beyond it with
+# a broadcast semi join.
+PUSHDOWN_MAX_IDS = 10_000
+
+
 def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order_col: str,
                       template: str, fields: Mapping[str, str], example_columns: Sequence[str] = (),
                       example_dims: Sequence[Dim] = (), group_dims: Sequence[Dim] = (),
@@ -57,23 +63,37 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     """One row per top-``n`` group: sequential rank (``enumerate``), frequency,
     first example and the rendered prompt.
 
+    Plan: one scan of (group, order id) computes every group's count and
+    smallest id (partial/final aggregate); the top ``n`` groups - at most n
+    rows, the report's own limit - reach the driver; their example rows are
+    read with ``order_col IN (ids)``, a filter the parquet scan uses to skip
+    row groups, so the wide example columns are read for those rows only.
+
     Groups without an example cannot occur (every counted group has rows); a
     NULL template field makes the prompt NULL and such a row is dropped, as
     the reference skips a pattern without an example.  Rank numbers are
     assigned before that filter, so gaps stay visible.
     """
     g = _list(group)
-    counts = fact.groupBy(*g).agg(F.count(F.lit(1)).alias(frequency_name))
-    top = counts.orderBy(F.col(frequency_name).desc(), *[F.col(c) for c in g]).limit(n)
-    top = top.withColumn(rank_name, F.row_number().over(
+    spark = fact.sparkSession
+    stats = fact.groupBy(*g).agg(F.count(F.lit(1)).alias(frequency_name), F.min(order_col).alias("_first"))
+    top = stats.orderBy(F.col(frequency_name).desc(), *[F.col(c) for c in g]).limit(n)
+    if n <= PUSHDOWN_MAX_IDS:
+        top = spark.createDataFrame(top.collect(), top.schema)
+        ids = [r["_first"] for r in top.select("_first").collect()]
+        candidates = fact.filter(F.col(order_col).isin(ids))
+    else:
+        candidates = join_null_safe(fact, F.broadcast(top.select(*g)), g, how="left_semi")
+    top = top.drop("_first").withColumn(rank_name, F.row_number().over(
         Window.orderBy(F.col(frequency_name).desc(), *[F.col(c) for c in g])).cast("long"))
     if group_dims:
         top, _ = attach(top, group_dims, keep=top.columns, broadcast_max_rows=broadcast_max_rows)
-    # `top` holds at most n rows: a proven bound for the broadcast.
-    members = join_null_safe(fact, F.broadcast(top.select(*g)), g, how="left_semi")
-    examples = first_example_per_group(members, g, order_col, example_columns, example_dims,
+    # Candidates of other groups can share an id: keep the top groups' rows.
+    candidates = join_null_safe(candidates, F.broadcast(top.select(*g)), g, how="left_semi")
+    examples = first_example_per_group(candidates, g, order_col, example_columns, example_dims,
                                        broadcast_max_rows)
     examples = examples.withColumnRenamed(order_col, example_name)
+    # `top` and `examples` hold at most n rows: a proven bound for the broadcast.
     rows = join_null_safe(top, F.broadcast(examples), g)
     cols = {k: F.col(v) for k, v in fields.items()}
     rows = rows.withColumn(prompt_name, render_template(template, cols))
