@@ -79,8 +79,9 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     stats = fact.groupBy(*g).agg(F.count(F.lit(1)).alias(frequency_name), F.min(order_col).alias("_first"))
     top = stats.orderBy(F.col(frequency_name).desc(), *[F.col(c) for c in g]).limit(n)
     if n <= PUSHDOWN_MAX_IDS:
-        top = spark.createDataFrame(top.collect(), top.schema)
-        ids = [r["_first"] for r in top.select("_first").collect()]
+        top_rows = top.collect()
+        top = spark.createDataFrame(top_rows, top.schema)
+        ids = [r["_first"] for r in top_rows]
         candidates = fact.filter(F.col(order_col).isin(ids))
     else:
         candidates = join_null_safe(fact, F.broadcast(top.select(*g)), g, how="left_semi")
