@@ -20,7 +20,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:  # micro-batches are planned per trigger; leave them as they come
         return df
-    slots = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect client): leave the layout to Spark
         return df
-    return df.repartition(slots)
+    return df if parts >= slots else df.repartition(slots)

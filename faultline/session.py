@@ -60,7 +60,13 @@ def shared_dir(spark: SparkSession) -> str:
     single-machine runs) gets a private folder; on a cluster a missing
     setting is an error, since executors cannot share a machine-local folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a client without a SparkContext (Spark Connect): the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
