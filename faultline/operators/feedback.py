@@ -11,6 +11,7 @@ late, and the prompt is a JVM ``concat``.  The service call runs inside
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -101,9 +102,17 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     return rows.filter(F.col(prompt_name).isNotNull()).orderBy(rank_name)
 
 
+def per_row(fn: Callable[[str], str]) -> Callable[[pd.Series], pd.Series]:
+    """Adapt a one-prompt service call to the batch interface of :func:`enrich_rows`."""
+    def batch(prompts: pd.Series) -> pd.Series:
+        return prompts.map(fn)
+    return batch
+
+
 def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col: str,
                 output_col: str = "response", error_col: str = "error",
-                drop_failed: bool = True, materialize: bool = True) -> DataFrame:
+                drop_failed: bool = True, materialize: bool = True,
+                pause_seconds: float = 0.0) -> DataFrame:
     """Apply a caller-supplied *batch* function to ``input_col`` in the executors.
 
     ``fn`` maps a pandas Series of inputs to a Series of outputs (one client
@@ -111,6 +120,9 @@ def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col:
     retried one by one; a failing row gets ``error_col`` set and, with
     ``drop_failed``, is skipped like the reference's ``continue``.
 
+    ``pause_seconds`` waits after every call of ``fn`` in a worker (a rate
+    limit per client, like a pause between service calls).
+
     With ``materialize`` the enriched rows are checkpointed into the shared
     folder at once, so later actions (an upsert reads its input twice) never
     call the service again; only a retried task repeats its calls, so keep
@@ -119,11 +131,18 @@ def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col:
     schema = StructType(list(df.schema.fields) + [StructField(output_col, StringType(), True),
                                                   StructField(error_col, StringType(), True)])
 
+    def call(values: pd.Series) -> list:
+        try:
+            return list(fn(values))  # positional: the function's own index is ignored
+        finally:
+            if pause_seconds:
+                time.sleep(pause_seconds)
+
     def run(batches):
         for pdf in batches:
             inputs = pdf[input_col]
             try:
-                vals = list(fn(inputs))  # positional: the function's own index is ignored
+                vals = call(inputs)
                 if len(vals) != len(pdf):
                     raise ValueError(f"batch function returned {len(vals)} values for {len(pdf)} rows")
                 out = pd.Series(vals, index=pdf.index, dtype=object)
@@ -132,7 +151,7 @@ def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col:
                 vals, errs = [], []
                 for v in inputs:
                     try:
-                        vals.append(list(fn(pd.Series([v])))[0])
+                        vals.append(call(pd.Series([v]))[0])
                         errs.append(None)
                     except Exception as e:  # noqa: BLE001 - service errors vary
                         vals.append(None)
@@ -174,7 +193,7 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
                  table_path: str | None = None, model_name: str = "", example_columns: Sequence[str] = (),
                  example_dims: Sequence[Dim] = (), group_dims: Sequence[Dim] = (),
                  report_columns: Sequence[str] = (), now=None, preview_chars: int = 70,
-                 mode: str = "errorifexists") -> DataFrame:
+                 mode: str = "errorifexists", pause_seconds: float = 0.0) -> DataFrame:
     """The whole feedback run: worklist -> service -> upsert -> report.
 
     Rows of the result table: ``feedback_id``, the group key, example id,
@@ -191,7 +210,7 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
     g = _list(group)
     work = feedback_worklist(fact, g, n, order_col, template, fields, example_columns, example_dims,
                              group_dims)
-    done = enrich_rows(work, service, "prompt", output_col="generated_feedback")
+    done = enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
     rows = done.select(*g, F.col("example_id").cast("long").alias("example_id"),
                        F.lit(model_name).alias("model_name"), F.col("prompt").alias("prompt_text"),
                        strip_text("generated_feedback").alias("generated_feedback"),

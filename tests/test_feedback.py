@@ -107,3 +107,14 @@ def test_enrich_rows_ignores_the_returned_index(spark):
 
     got = sorted(rows(FB.enrich_rows(df, shuffled_index, "prompt", materialize=False), "id", "response"))
     assert got == [(1, "1"), (2, "2"), (3, "3")]
+
+
+def test_per_row_service_and_pause(spark):
+    import time as _time
+
+    df = spark.createDataFrame([(1, "a"), (2, "bb")], "id int, prompt string").coalesce(1)
+    t0 = _time.time()
+    got = sorted(rows(FB.enrich_rows(df, FB.per_row(lambda p: p.upper()), "prompt", pause_seconds=0.5,
+                                     materialize=False), "id", "response"))
+    assert got == [(1, "A"), (2, "BB")]
+    assert _time.time() - t0 >= 0.5
