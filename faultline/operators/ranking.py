@@ -1,25 +1,28 @@
 """Global ranking and numbering without a single-partition window.
 
 ``Window.orderBy(...)`` with no partition moves every row to one task.  Here
-the rows are range-partitioned on the sort key plus a per-row salt (a hash of
-the row, so a large group of equal keys spreads over many partitions
-instead of filling one), sorted within partitions and numbered by position.
-A per-partition row count - one number per partition, a bound set by the
-partition count and not by the data, summed up on the driver - gives each
-partition's offset, so
+rows are range-partitioned on the sort key, sorted within partitions and
+numbered by position; per-partition counts - one number per partition, a
+bound set by the partition count and not by the data, summed on the driver -
+give each partition's offset.  The range-sorted rows are checkpointed once
+into the session's shared folder, so counts and positions come from one
+materialisation, also when a task or an executor is retried.
+
+``rank`` needs only how many rows each sort key has.  The input is reduced
+to its distinct keys with their counts (partial/final aggregate: a key - or a
+group of identical rows - holding a third of the input is one row per task),
+the unique keys are ranked by a weighted running sum inside each range
+partition plus the partition's offset, and the ranks are joined back on the
+key (broadcast when the number of keys is proven small, else a shuffle join
+AQE can split).  The input itself is checkpointed first, so its lineage is
+evaluated once.
+
+``row_number`` numbers the rows: the range key is the sort key plus a hash of
+the row, so a large tie group spreads over partitions:
 
     row_number = offset(partition) + position + 1
 
-``rank`` is the smallest row number among rows with the same key: a
-partial/final ``min`` per key (a hot key collapses to one row per task),
-joined back on the key - broadcast when the row total proves the per-key
-table small, otherwise a shuffle join AQE can split when skewed.  Rows
-identical in every column share a salt and stay together; ranked inputs
-are normally aggregates, distinct by their group key.
-
-The range-sorted rows are checkpointed once into the session's shared
-folder, so counts and positions come from one materialisation, also when a
-task or an executor is retried.
+Rows in *read* order need no sort at all: :func:`sequence_ids`.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
@@ -55,13 +58,41 @@ def sort_columns(order: Sequence) -> list[Column]:
     return [F.col(n).asc_nulls_first() if a else F.col(n).desc_nulls_last() for n, a in _order(order)]
 
 
+def _offsets(spark, sizes: list[tuple[int, int]]):
+    """Running totals of per-partition sizes (one number per partition)."""
+    offsets, acc = [], 0
+    for pid, cnt in sorted(sizes):
+        offsets.append((pid, acc))
+        acc += cnt
+    return spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, {_OFF} long"), acc
+
+
+def _range_materialised(df: DataFrame, sort: list[Column], partitions: int | None) -> DataFrame:
+    """Range-partition, sort within partitions, number by position, checkpoint.
+
+    Without an explicit count the range shuffle uses the session's partition
+    count and AQE may merge neighbouring small ranges - still in order."""
+    ranged = df.repartitionByRange(partitions, *sort) if partitions else df.repartitionByRange(*sort)
+    ranged = (ranged.sortWithinPartitions(*sort)
+                    .withColumn(_MID, F.monotonically_increasing_id())
+                    .checkpoint(eager=True))
+    return ranged.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS)).withColumn(
+        _POS, F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+
+
 def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "rank",
               partitions: int | None = None,
               broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Add a global ``rank`` or ``row_number`` column (BIGINT) ordered by ``order``.
 
     ``order``: column names (ascending) or ``(name, ascending)`` pairs.
-    ``row_number`` orders ties by the salt, i.e. arbitrarily but reproducibly.
+
+    ``rank`` depends only on how many rows each sort key has: the input is
+    first reduced to its distinct keys with their counts (a partial/final
+    aggregate, so a hot key or a pile of identical rows is one row per task),
+    those unique keys are ranked by a weighted running sum, and the ranks
+    are joined back.  ``row_number`` numbers the rows themselves; ties are
+    ordered by a hash of the row, i.e. arbitrarily but reproducibly.
     """
     if method not in ("rank", "row_number"):
         raise ValueError(f"unknown method {method!r}")
@@ -69,43 +100,45 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     shared_dir(spark)
     names = [n for n, _ in _order(order)]
     cols = df.columns
+    if method == "rank":
+        return _rank_by_key_counts(df, order, names, out, partitions, broadcast_max_rows)
+
     sort = sort_columns(order) + [F.col(_SALT)]
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)] or cols[:0]
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     salt = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0).cast("long")
-    salted = df.withColumn(_SALT, salt)
-    # Without an explicit count the range shuffle uses the session's partition
-    # count and AQE may merge neighbouring small ranges - still in order.
-    ranged = salted.repartitionByRange(partitions, *sort) if partitions else salted.repartitionByRange(*sort)
-    ranged = (ranged.sortWithinPartitions(*sort)
-                    .withColumn(_MID, F.monotonically_increasing_id())
-                    .checkpoint(eager=True))
-    ranged = ranged.select(*cols, F.shiftright(F.col(_MID), _POS_BITS).alias(_PID),
-                           F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias(_POS))
+    ranged = _range_materialised(df.withColumn(_SALT, salt), sort, partitions)
+    # One count per partition: at most one number per task reaches the driver,
+    # which turns them into offsets.
+    offsets_df, _ = _offsets(spark, [(r[0], r[1]) for r in
+                                     ranged.groupBy(_PID).agg(F.count(F.lit(1))).collect()])
+    return ranged.join(F.broadcast(offsets_df), on=_PID, how="inner").select(
+        *cols, (F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("long").alias(out))
 
-    # One count per partition: at most one number per task reaches the driver, which
-    # turns them into offsets (running sums) and the total row count.
-    sizes = sorted((r[0], r[1]) for r in ranged.groupBy(_PID).agg(F.count(F.lit(1))).collect())
-    offsets, acc = [], 0
-    for pid, cnt in sizes:
-        offsets.append((pid, acc))
-        acc += cnt
-    total = acc
-    offsets_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, {_OFF} long")
-
-    numbered = ranged.join(F.broadcast(offsets_df), on=_PID, how="inner").select(
-        *cols, (F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("long").alias(_ROW))
-    if method == "row_number":
-        return numbered.withColumnRenamed(_ROW, out)
 
+def _rank_by_key_counts(df: DataFrame, order: Sequence, names: list[str], out: str,
+                        partitions: int | None, broadcast_max_rows: int | None) -> DataFrame:
+    spark = df.sparkSession
+    # Materialise the input once: the keys are counted from it and the ranks
+    # joined back to it, without evaluating its lineage twice.
+    df = df.checkpoint(eager=True)
+    keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_N))          # unique keys, no ties left
+    ranged = _range_materialised(keys, sort_columns(order), partitions)
+    # Rows of one range partition meet in one task (their partition's size),
+    # where a running sum gives the rows with a smaller key inside it.
+    before = Window.partitionBy(_PID).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.withColumn(_ROW, F.coalesce(F.sum(_N).over(before), F.lit(0)))
+    per_part = ranged.groupBy(_PID).agg(F.sum(_N), F.count(F.lit(1))).collect()
+    offsets_df, _ = _offsets(spark, [(r[0], r[1]) for r in per_part])
+    distinct_keys = sum(r[2] for r in per_part)
+    ranks = inside.join(F.broadcast(offsets_df), on=_PID, how="inner").select(
+        *[F.col(c) for c in names], (F.col(_OFF) + F.col(_ROW) + F.lit(1)).cast("long").alias(out))
+    # One row per distinct key: broadcast when that proven count is small.
+    small = broadcast_max_rows is not None and distinct_keys <= broadcast_max_rows
     keyed = [f"_rk_k{i}" for i in range(len(names))]
-    firsts = numbered.groupBy(*[F.col(c).alias(k) for c, k in zip(names, keyed)]).agg(
-        F.min(_ROW).alias(out))
+    ranks = ranks.select(*[F.col(c).alias(k) for c, k in zip(names, keyed)], out)
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(names, keyed)])
-    # One row per distinct key, so at most `total` rows: broadcast when that
-    # bound is small enough, else a shuffle join (AQE splits a skewed key).
-    small = broadcast_max_rows is not None and total <= broadcast_max_rows
-    return (numbered.join(F.broadcast(firsts) if small else firsts, on=cond, how="inner")
-                    .select(*cols, out))
+    return (df.join(F.broadcast(ranks) if small else ranks, on=cond, how="inner")
+              .select(*df.columns, out))
 
 
 def sequence_ids(df: DataFrame, out: str = "id") -> DataFrame:

@@ -62,3 +62,17 @@ def test_sequence_ids_follow_read_order(spark):
     assert sorted(r.n for r in got) == list(range(1, len(got) + 1))
     in_read_order = [r.v for r in df.collect()]
     assert [r.v for r in sorted(got, key=lambda r: r.n)] == in_read_order
+
+
+def test_rank_with_a_third_of_rows_identical(spark):
+    rows_ = [(7, "same")] * 1000 + [(i % 50, f"r{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows_, "k int, s string").repartition(6)
+    got = rank_rows(df, [("k", False)], partitions=5).collect()
+    assert len(got) == 3000
+    ranks = {}
+    for r in got:
+        ranks.setdefault(r.k, set()).add(r["rank"])
+    assert all(len(v) == 1 for v in ranks.values())
+    counts = {k: sum(1 for x in rows_ if x[0] == k) for k in ranks}
+    for k, (rk,) in ((k, tuple(v)) for k, v in ranks.items()):
+        assert rk == 1 + sum(c for kk, c in counts.items() if kk > k)
