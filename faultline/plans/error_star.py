@@ -210,3 +210,56 @@ def profile_records(flat: DataFrame, bins: int = 40) -> dict[str, DataFrame]:
         "length_by_type": A.group_count_mean(with_len, "error_type", "query", "feedback_length",
                                              count_name="count", mean_name="avg_feedback_length"),
     }
+
+
+# The feedback prompt template, with its five named fields.
+FEEDBACK_TEMPLATE = """A student practicing the SQL concept "{concept}" made an error.
+
+Error category: {error_type}
+Error pattern: {subtype}
+
+The student submitted this query:
+{query}
+
+Correct expectation (what they should learn): {outcome}
+
+Write the feedback message this student would receive."""
+
+FEEDBACK_FIELDS = {"concept": "concept_name", "error_type": "type_name", "subtype": "subtype_name",
+                   "query": "query_text", "outcome": "outcome_text"}
+
+
+def generate_feedback(t: Tables, service, out_path: str, table_path: str | None = None, top_n: int = 5,
+                      model_name: str = "", template: str = FEEDBACK_TEMPLATE, now=None,
+                      pause_seconds: float = 0.0) -> DataFrame:
+    """The feedback run over the star: the ``top_n`` subtypes, their first
+    submission with concept and outcome, the rendered prompt, the caller's
+    ``service`` (a batch function, see ``feedback.per_row`` for one-prompt
+    calls), an upsert keyed by ``subtype_id`` into a new version of the
+    result table at ``out_path`` (merged with ``table_path`` if given), and
+    the report: rank, subtype name, frequency and a 70-character preview.
+    """
+    from ..sources.schemas import SCHEMAS
+    from ..sources.tables import upsert_by_key
+    from ..functions.text import strip_text
+
+    spark = t["Submission"].sparkSession
+    work = FB.feedback_worklist(
+        t["Submission"], "subtype_id", top_n, "submission_id", template, FEEDBACK_FIELDS,
+        example_columns=["query_text", "concept_id", "outcome_id"],
+        example_dims=[Dim(t["SQLConcept"], on="concept_id", columns=["concept_name"]),
+                      Dim(t["LearningOutcome"], on="outcome_id", columns=["outcome_text"])],
+        group_dims=[Dim(_subtype_with_type(t), on="subtype_id", columns=["subtype_name", "type_name"])],
+        example_name="example_submission_id")
+    done = FB.enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
+    rows = done.select("subtype_id", "example_submission_id", F.lit(model_name).alias("model_name"),
+                       F.col("prompt").alias("prompt_text"),
+                       strip_text("generated_feedback").alias("generated_feedback"),
+                       "frequency_rank", F.col("frequency").alias("error_frequency"))
+    old = (spark.read.parquet(table_path) if table_path
+           else spark.createDataFrame([], SCHEMAS["LLMFeedback"]))
+    merged = upsert_by_key(old, rows, "subtype_id", id_col="feedback_id", touched_col="generated_at", now=now)
+    merged.write.mode("errorifexists").parquet(out_path)
+    stored = spark.read.parquet(out_path)
+    return FB.feedback_report(stored, "frequency_rank", "generated_feedback", ["subtype_name", "error_frequency"],
+                              dims=[Dim(t["ErrorSubtype"], on="subtype_id", columns=["subtype_name"])])

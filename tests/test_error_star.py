@@ -170,3 +170,35 @@ def test_profile_records(spark, flat_rows):
     pct = prof["type_by_emotion_pct"].collect()
     assert all(abs(sum(r[1:]) - 100) < 1e-9 for r in pct)
     assert prof["top_subtypes"].count() <= 10 and prof["nulls"].count() == 6
+
+
+def test_generate_feedback_twice(spark, star):
+    import datetime as dt
+
+    import pandas as pd
+
+    from faultline.session import scratch_path
+
+    tables, con = star
+
+    def service(prompts: pd.Series) -> pd.Series:
+        return "  Look at the " + prompts.str.extract(r'concept "([^"]+)"')[0] + " clause again.\n"
+
+    v1, v2 = scratch_path(spark, "fb1"), scratch_path(spark, "fb2")
+    r1 = ES.generate_feedback(tables, service, v1, top_n=3, model_name="pure", now=dt.datetime(2024, 5, 1)).collect()
+    assert [r.frequency_rank for r in r1] == [1, 2, 3]
+    assert all(r.preview.startswith("Look at the ") for r in r1)
+    top = con.execute("""SELECT s.subtype_name, COUNT(*) AS n FROM Submission f JOIN ErrorSubtype s USING (subtype_id)
+                         GROUP BY 1 ORDER BY n DESC, MIN(f.subtype_id) LIMIT 3""").fetchall()
+    assert [(r.subtype_name, r.error_frequency) for r in r1] == [(a, b) for a, b in top]
+    stored = spark.read.parquet(v1)
+    assert set(stored.columns) == {"feedback_id", "subtype_id", "example_submission_id", "model_name", "prompt_text",
+                                   "generated_feedback", "frequency_rank", "error_frequency", "generated_at"}
+    first = con.execute("SELECT subtype_id, MIN(submission_id) FROM Submission GROUP BY 1").fetchall()
+    ex = dict(first)
+    assert all(ex[r.subtype_id] == r.example_submission_id for r in stored.collect())
+    r2 = ES.generate_feedback(tables, service, v2, table_path=v1, top_n=3, model_name="pure").collect()
+    assert [tuple(r) for r in r2] == [tuple(r) for r in r1]
+    ids1 = {r.subtype_id: r.feedback_id for r in stored.collect()}
+    ids2 = {r.subtype_id: r.feedback_id for r in spark.read.parquet(v2).collect()}
+    assert ids1 == ids2
