@@ -166,10 +166,12 @@ def encode_fact(fact: DataFrame, encodings: Sequence[tuple[str, DataFrame, str,
 
 @dataclass
 class Star:
-    """Result of :func:`build_star`: the encoded fact and its dimensions."""
+    """Result of :func:`build_star`: the encoded fact, its dimensions and the
+    NULL count of every input column (lazy, one scan when read)."""
 
     fact: DataFrame
     dimensions: dict[str, DataFrame]
+    nulls: DataFrame | None = None
 
 
 def build_star(flat: DataFrame, order_col: str, dimensions: Sequence[tuple],
@@ -188,4 +190,5 @@ def build_star(flat: DataFrame, order_col: str, dimensions: Sequence[tuple],
         df = classify_by_keywords(df, text_col, rules, default, out=label_col)
     dims = build_dimensions(df, dimensions, order_col)
     encodings = [(col, dims[col], col, id_name) for col, id_name, _ in dimensions]
-    return Star(encode_fact(df, encodings), dims)
+    from .quality import null_counts
+    return Star(encode_fact(df, encodings), dims, null_counts(flat))

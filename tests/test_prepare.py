@@ -59,6 +59,7 @@ def test_build_star_end_to_end(spark):
     assert rows(star.dimensions["concept"].orderBy("concept_id")) == [(1, "GROUP BY"), (2, "INSERT"), (3, "WHERE")]
     got = rows(fact, "row_no", "error_type_id", "subtype_id", "concept_id")
     assert got == [(1, 2, 2, 3), (2, 1, 1, 1), (4, 2, 2, 2)]
+    assert sorted(rows(star.nulls)) == [("error_subtype", 0), ("error_type", 0), ("query", 0), ("row_no", 0)]
 
 
 def test_build_dimensions_one_pass_matches_single_builds(spark):
