@@ -43,6 +43,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query under ``name`` with its DuckDB oracle statement."""
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
@@ -68,6 +69,7 @@ def supplier_geo(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snowflake_dims(spark: SparkSession, sf: str, part_cols=("p_type",), geo_cols=("n_name", "r_name")):
+    """Dimensions of lineitem: part attributes and supplier geography."""
     return [Dim(_t(spark, sf, "part"), on="l_partkey", key="p_partkey", columns=list(part_cols)),
             Dim(supplier_geo(spark, sf), on="l_suppkey", key="s_suppkey", columns=list(geo_cols))]
 
@@ -611,6 +613,7 @@ w AS (SELECT t.frequency_rank, t.lang, t.frequency, e.example_id,
 
 
 def worklist(spark, sf):
+    """The three most frequent languages with their first document and prompt."""
     return FB.feedback_worklist(_t(spark, sf, "documents"), "lang", 3, "doc_id", DOC_TEMPLATE,
                                 {"frequency_rank": "frequency_rank", "frequency": "frequency",
                                  "lang": "lang", "source": "source", "text": "text"},

@@ -38,6 +38,7 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def tables(spark: SparkSession, base: str, names: Sequence[str] = TABLES) -> dict[str, DataFrame]:
+    """Read several tables of one folder, by name."""
     return {n: table(spark, base, n) for n in names}
 
 
@@ -63,6 +64,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+    """Write CSV with a header, quoting that keeps commas, quotes and line breaks."""
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
     return path
 
