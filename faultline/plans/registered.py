@@ -26,6 +26,7 @@ from ..operators import prepare as P
 from ..operators import quality as Q
 from ..operators import text as TX
 from ..operators.joins import Dim
+from ..operators.ranking import sequence_ids
 from ..session import stable_path
 from ..sources import tables as S
 
@@ -552,6 +553,16 @@ def q_prepare_star(spark, sf):
     return star.fact.select("doc_id", "lang_id", "source_id", "concept_id")
 
 
+@register("file_order_ids", """
+SELECT ROW_NUMBER() OVER (ORDER BY event_id) AS seq, event_id, event_type
+FROM events WHERE event_type IN ('error', 'purchase')
+""")
+def q_file_order_ids(spark, sf):
+    """Ids 1..n in file order for the kept rows (the events file is stored by event_id)."""
+    kept = P.filter_categories(_t(spark, sf, "events"), "event_type", ["error", "purchase"])
+    return sequence_ids(kept.select("event_id", "event_type"), "seq")
+
+
 @register("escape_literal", r"""
 SELECT doc_id, replace(replace(text, '\', '\\'), '''', '''''') AS escaped FROM documents
 """)
