@@ -286,6 +286,14 @@ def q_top_words(spark, sf):
     return TX.top_words(_t(spark, sf, "documents"), "text", 20)
 
 
+@register("word_counts", f"""
+SELECT word, COUNT(*) AS n FROM {_WORDS} WHERE word <> '' GROUP BY word
+""")
+def q_word_counts(spark, sf):
+    """Every token of every document with its count (the whole vocabulary)."""
+    return TX.word_counts(_t(spark, sf, "documents"), "text")
+
+
 def _sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values))
 
@@ -397,6 +405,15 @@ def q_fk_violations(spark, sf):
                            _t(spark, sf, "labels"), "doc_id")
 
 
+@register("orphan_keys", """
+SELECT d.doc_id, COUNT(*) AS rows FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY d.doc_id
+""")
+def q_orphan_keys(spark, sf):
+    """Document ids without a label, with the number of documents holding each."""
+    return Q.orphan_keys(_t(spark, sf, "documents"), _t(spark, sf, "labels"), "doc_id")
+
+
 @register("range_violations", """
 SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL AND quality NOT BETWEEN 1 AND 4
 """)
