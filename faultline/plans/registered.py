@@ -226,6 +226,14 @@ def q_value_counts(spark, sf):
     return A.value_counts(q_classify_by_keywords(spark, sf), "concept")
 
 
+@register("top_values", """
+SELECT source, COUNT(*) AS count FROM documents GROUP BY source ORDER BY count DESC, source LIMIT 10
+""")
+def q_top_values(spark, sf):
+    """The ten most frequent sources (``value_counts().head(10)``), ties by value."""
+    return A.value_counts(_t(spark, sf, "documents"), "source", n=10)
+
+
 @register("percent_of_total", f"""
 WITH c AS (SELECT lang, COUNT(*) AS count FROM documents GROUP BY lang),
 t AS (SELECT CAST(SUM(count) AS BIGINT) AS tot FROM c)
