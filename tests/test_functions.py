@@ -20,3 +20,10 @@ def test_render_template_copies_values_verbatim(spark):
 def test_strip_text_removes_newlines_and_tabs(spark):
     df = spark.createDataFrame([("\n\t  Feedback text. \r\n",)], "s string")
     assert rows(df.select(strip_text("s"))) == [("Feedback text.",)]
+
+
+def test_tokens_split_like_python(spark):
+    from faultline.functions.text import tokens
+    text = "a\u00a0b\u2003c\x1cd\te  f\u3000g"
+    got = spark.createDataFrame([(text,)], "t string").select(tokens("t").alias("w")).first().w
+    assert got == text.lower().split()
