@@ -18,6 +18,7 @@ from pyspark.sql.types import IntegralType
 
 from ..functions.numeric import intdiv
 from ..functions.text import tokens
+from ..session import shared_dir
 from .layout import spread
 
 # The default English stop-word list of the word-cloud step
@@ -99,15 +100,19 @@ def histogram_equal_width(df: DataFrame, value: str | Column, bins: int = 40,
     same formula in double.  All values equal -> everything in bin 0.
 
     Integral values (lengths, counts) are first grouped by value - one scan
-    of the input, and the per-value table is small - and min, max and bins
-    come from that table.  Fractional values, mostly distinct, would make
+    of the input, and the per-value table is small and checkpointed - and
+    min, max and bins come from that table.  Fractional values, mostly distinct, would make
     that table as large as the input, so they take one statistics pass and
     one binning pass instead (each a partial aggregate, no large shuffle).
     """
     vals = df.select(_col(value).alias("_x")).filter(F.col("_x").isNotNull())
     integral = isinstance(vals.schema["_x"].dataType, IntegralType)
     if integral:
-        rows = vals.groupBy(F.col("_x").cast("long").alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+        # One pass over the input; statistics and bins then read this small
+        # materialised table (one row per distinct value).
+        shared_dir(df.sparkSession)
+        rows = (vals.groupBy(F.col("_x").cast("long").alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+                    .checkpoint(eager=True))
         weight = F.sum("_m")
     else:
         rows = vals.select(F.col("_x").cast("double").alias("_x"))
@@ -146,7 +151,10 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
     fan-out, summed with a partial/final aggregate.
     """
     vals = df.select(_col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    distinct = vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_m"))
+    # One pass over the input: the statistics, the deviation and the kernel
+    # sums all read this materialised per-value table.
+    shared_dir(df.sparkSession)
+    distinct = vals.groupBy("_x").agg(F.count(F.lit(1)).alias("_m")).checkpoint(eager=True)
     stats = distinct.select(F.struct(F.sum("_m").alias("n"), F.min("_x").alias("lo"),
                                      F.max("_x").alias("hi"),
                                      (F.sum(F.col("_m") * F.col("_x")) / F.sum("_m")).alias("mean"))).scalar()
