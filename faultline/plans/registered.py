@@ -721,12 +721,16 @@ SELECT COALESCE(n.event_type, o.event_type) AS event_type,
 FROM o FULL OUTER JOIN n ON o.event_type = n.event_type
 """)
 def q_upsert_by_key(spark, sf):
+    """Counts of the first half of the events merged with the second half's:
+    both batches come from one aggregation by (type, half); the view type is
+    left out of the first and the click type out of the second, so all three
+    merge cases occur."""
     events = _t(spark, sf, "events")
     mid = events.select(F.min("event_id") + F.max("event_id")).scalar()
-    early = events.filter(F.col("event_id") * 2 < mid)
-    late = events.filter(F.col("event_id") * 2 >= mid)
-    old = A.value_counts(early.filter(F.col("event_type") != "view"), "event_type")
-    new = A.value_counts(late.filter(F.col("event_type") != "click"), "event_type")
+    counts = (events.groupBy("event_type", (F.col("event_id") * 2 >= mid).alias("_late"))
+                    .agg(F.count(F.lit(1)).alias("count")))
+    old = counts.filter(~F.col("_late") & (F.col("event_type") != "view")).drop("_late")
+    new = counts.filter(F.col("_late") & (F.col("event_type") != "click")).drop("_late")
     return S.upsert_by_key(old, new, "event_type", change_col="change")
 
 
