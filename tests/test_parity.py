@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from faultline.sources.tables import TABLES
-from tools.parity import kind, rows_of
+from tools.parity import rows_of, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,10 +30,10 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, key):
-    got = E.queries()[key](spark, SF).toPandas()
+    sdf = E.queries()[key](spark, SF)
+    got = sdf.toPandas()
     want = con.execute(E.oracle_sql()[key]).df()
     assert sorted(got.columns) == sorted(want.columns)
+    assert type_mismatches(sdf, con.sql(E.oracle_sql()[key])) == []
     assert len(got) == len(want)
-    for c in got.columns:
-        assert kind(got[c]) == kind(want[c]) or "null" in (kind(got[c]), kind(want[c])), c
     assert rows_of(got) == rows_of(want)
