@@ -15,3 +15,12 @@ def test_shared_dir_uses_the_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     d = shared_dir(spark)
     assert d and (configured is None or configured.rstrip("/").split(":")[-1] in d)
+
+
+def test_package_imports():
+    import faultline.operators as O
+    import faultline.plans.error_star as ES  # noqa: F401
+    import faultline.sources.schemas as SC  # noqa: F401
+    import faultline.streaming as ST  # noqa: F401
+    for name in ("rank_rows", "sequence_ids", "constraint_report", "feedback_job", "build_dimensions"):
+        assert name in O.__all__
