@@ -27,8 +27,9 @@ from ..operators import quality as Q
 from ..operators import text as TX
 from ..operators.joins import Dim
 from ..operators.ranking import sequence_ids
-from ..session import stable_path
+from ..session import scratch_path, stable_path
 from ..sources import tables as S
+from ..streaming import upsert_each_batch
 
 
 def _out(spark: SparkSession, name: str, sf: str) -> str:
@@ -734,6 +735,21 @@ def q_upsert_by_key(spark, sf):
     return S.upsert_by_key(old, new, "event_type", change_col="change")
 
 
+@register("stream_counts", """
+SELECT event_type, COUNT(*) AS count FROM events GROUP BY event_type
+""")
+def q_stream_counts(spark, sf):
+    """Event counts kept by a streaming refresh: the events file read as a
+    stream, each micro-batch counted and merged into a versioned table."""
+    stream = (spark.readStream.schema(_t(spark, sf, "events").schema)
+                   .option("pathGlobFilter", "events.parquet").parquet(sf))
+    table, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
+    q = upsert_each_batch(stream, lambda b: A.value_counts(b, "event_type"), "event_type", table, ckpt,
+                          trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{table}/v{q.lastProgress['batchId']:012d}")
+
+
 _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
