@@ -103,6 +103,14 @@ def q_frequency_by_keys(spark, sf):
                                dims=snowflake_dims(spark, sf))
 
 
+@register("frequency_by_keys_eager", ORACLE_SQL["frequency_by_keys"])
+def q_frequency_by_keys_eager(spark, sf):
+    """The same frequencies on the path large dimensions take: the fact is
+    pre-aggregated by its foreign keys, then joined with shuffles."""
+    return A.frequency_by_keys(_t(spark, sf, "lineitem"), ["p_type", "n_name", "r_name"],
+                               dims=snowflake_dims(spark, sf), broadcast_max_rows=0)
+
+
 @register("ratio_total_to_distinct", f"""
 SELECT p.p_type, COUNT(*) AS total, COUNT(DISTINCT p.p_brand) AS distinct_count,
        ((2 * 100 * COUNT(*) + COUNT(DISTINCT p.p_brand)) // (2 * COUNT(DISTINCT p.p_brand))) / 100 AS ratio
