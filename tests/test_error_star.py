@@ -202,3 +202,21 @@ def test_generate_feedback_twice(spark, star):
     ids1 = {r.subtype_id: r.feedback_id for r in stored.collect()}
     ids2 = {r.subtype_id: r.feedback_id for r in spark.read.parquet(v2).collect()}
     assert ids1 == ids2
+
+
+def test_csv_to_star_end_to_end(spark, flat_rows):
+    from faultline.session import scratch_path
+    from faultline.sources.tables import read_csv, write_csv
+
+    rows_ = [(q + "\n-- note, \"quoted\"", t, s, e, f, o) for q, t, s, e, f, o in flat_rows[:120]]
+    path = scratch_path(spark, "flat_csv")
+    write_csv(spark.createDataFrame(rows_, FLAT_RECORDS).coalesce(1), path)
+    tables = ES.prepare_error_star(read_csv(spark, path, FLAT_RECORDS))
+    kept = [r for r in rows_ if r[1] in ES.KEPT_TYPES]
+    sub = sorted(tables["Submission"].collect())
+    assert [s.submission_id for s in sub] == list(range(1, len(kept) + 1))
+    assert [s.query_text for s in sub] == [r[0] for r in kept]
+    concepts = {r.concept_id: r.concept_name for r in tables["SQLConcept"].collect()}
+    assert [concepts[s.concept_id] for s in sub] == [ladder(r[0]) for r in kept]
+    freq = ES.frequency_by_concept(tables).collect()
+    assert sum(r.frequency for r in freq) == len(kept)
