@@ -30,6 +30,18 @@ What to look for: scans read only the needed columns (`ReadSchema`), dimension j
 (`TakeOrderedAndProject`) or the per-partition offset table of the distributed rank, and checkpointed
 inputs show as `Scan ExistingRDD`. Scalar subqueries (global statistics) run as separate small jobs and are not shown.
 
+What each family moves at 100 TB:
+
+| queries | data-proportional work | shuffled | bounded (proof) |
+| --- | --- | --- | --- |
+| frequency, ratio, dominance, difficulty, shares, split | one scan of the fact's key columns | partial aggregates: one row per group per task (eager path: per foreign-key combination) | broadcast dimensions (exact count <= 2M rows), rank offsets (one per partition) |
+| top-N, worklist, head | one scan of the grouping columns | partial counts | n rows per task (`TakeOrderedAndProject`), n ids to the driver (the report's limit) |
+| word counts, top words, weights | one scan of the text | per-task vocabularies | top n |
+| histogram, density | one scan of the text | one row per distinct value (checkpointed) | bins / 200 grid points per distinct value |
+| key and reference checks | one scan per checked key | key columns (uniqueness needs them), distinct foreign keys | dimension counts |
+| dimensions, encoding, ids | one scan of the member columns / the fact | distinct members; fact only when a dimension is too large to broadcast | per-partition offsets; file-order ids shuffle nothing |
+| upsert, append, CSV | the tables written | merge by unique key (no skew possible) | — |
+
 Counts below are taken from the main query's final plan (subqueries and the helper jobs of size checks and
 checkpoints excluded). A single-partition exchange here only ever carries a one-row aggregate, a top-n or a
 per-partition offset table.
