@@ -15,7 +15,8 @@ the unique keys are ranked by a weighted running sum inside each range
 partition plus the partition's offset, and the ranks are joined back on the
 key (broadcast when the number of keys is proven small, else a shuffle join
 AQE can split).  The input itself is checkpointed first, so its lineage is
-evaluated once.
+evaluated once; when its row count proves it small (``SINGLE_TASK_MAX_ROWS``)
+an ordinary window ranks it in one task instead.
 
 ``row_number`` numbers the rows: the range key is the sort key plus a hash of
 the row, so a large tie group spreads over partitions:
@@ -80,15 +81,25 @@ def _range_materialised(df: DataFrame, sort: list[Column], partitions: int | Non
         _POS, F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
 
 
+# Up to this many rows (counted on the materialised input) one task ranks
+# them with an ordinary window; beyond it the work is range-partitioned.
+SINGLE_TASK_MAX_ROWS = 100_000
+
+
 def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "rank",
               partitions: int | None = None,
-              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+              single_task_max_rows: int | None = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Add a global ``rank`` or ``row_number`` column (BIGINT) ordered by ``order``.
 
     ``order``: column names (ascending) or ``(name, ascending)`` pairs.
 
+    The input is checkpointed first (its lineage is evaluated once) and
+    counted; when the count proves it holds at most ``single_task_max_rows``
+    rows, one window ranks it in one task.  Otherwise:
+
     ``rank`` depends only on how many rows each sort key has: the input is
-    first reduced to its distinct keys with their counts (a partial/final
+    reduced to its distinct keys with their counts (a partial/final
     aggregate, so a hot key or a pile of identical rows is one row per task),
     those unique keys are ranked by a weighted running sum, and the ranks
     are joined back.  ``row_number`` numbers the rows themselves; ties are
@@ -100,13 +111,18 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
     shared_dir(spark)
     names = [n for n, _ in _order(order)]
     cols = df.columns
+    base = df.checkpoint(eager=True)
+    if single_task_max_rows is not None and base.count() <= single_task_max_rows:
+        fn = F.rank() if method == "rank" else F.row_number()
+        # Bounded by the count just taken, like a checked broadcast.
+        return base.withColumn(out, fn.over(Window.orderBy(*sort_columns(order))).cast("long"))
     if method == "rank":
-        return _rank_by_key_counts(df, order, names, out, partitions, broadcast_max_rows)
+        return _rank_by_key_counts(base, order, names, out, partitions, broadcast_max_rows)
 
     sort = sort_columns(order) + [F.col(_SALT)]
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    hashable = [f.name for f in base.schema.fields if not isinstance(f.dataType, MapType)]
     salt = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0).cast("long")
-    ranged = _range_materialised(df.withColumn(_SALT, salt), sort, partitions)
+    ranged = _range_materialised(base.withColumn(_SALT, salt), sort, partitions)
     # One count per partition: at most one number per task reaches the driver,
     # which turns them into offsets.
     offsets_df, _ = _offsets(spark, [(r[0], r[1]) for r in
@@ -117,10 +133,8 @@ def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "
 
 def _rank_by_key_counts(df: DataFrame, order: Sequence, names: list[str], out: str,
                         partitions: int | None, broadcast_max_rows: int | None) -> DataFrame:
+    """``rank`` of a materialised input through its distinct keys (see rank_rows)."""
     spark = df.sparkSession
-    # Materialise the input once: the keys are counted from it and the ranks
-    # joined back to it, without evaluating its lineage twice.
-    df = df.checkpoint(eager=True)
     keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_N))          # unique keys, no ties left
     ranged = _range_materialised(keys, sort_columns(order), partitions)
     # Rows of one range partition meet in one task (their partition's size),

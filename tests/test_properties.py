@@ -17,11 +17,12 @@ SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=[Healt
 @SETTINGS
 @given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3)), min_size=1, max_size=60),
        other=st.lists(st.integers(0, 2), min_size=60, max_size=60),
-       desc=st.booleans(), parts=st.integers(1, 6))
-def test_rank_rows_equals_pandas_min_rank(spark, values, other, desc, parts):
+       desc=st.booleans(), parts=st.integers(1, 6), single=st.sampled_from([None, 0]))
+def test_rank_rows_equals_pandas_min_rank(spark, values, other, desc, parts, single):
     rows = [(i, v, other[i]) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "id int, a int, b int")
-    got = {r.id: r["rank"] for r in rank_rows(df, [("a", not desc), ("b", True)], partitions=parts).collect()}
+    kw = {} if single is None else {"single_task_max_rows": single}
+    got = {r.id: r["rank"] for r in rank_rows(df, [("a", not desc), ("b", True)], partitions=parts, **kw).collect()}
     pdf = pd.DataFrame(rows, columns=["id", "a", "b"])
     # SQL order: ASC NULLS FIRST / DESC NULLS LAST -> a sort key where NULL sorts first ascending
     key_a = pdf["a"].map(lambda v: (-1e9 if v is None or pd.isna(v) else v))

@@ -3,8 +3,14 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
 from faultline.operators.ranking import rank_rows
 
+# Both ways of ranking: one window behind the row-count bound, and the
+# distributed one (forced with a bound of 0).
+PATHS = pytest.mark.parametrize("single", [None, 0], ids=["default", "distributed"])
+
 
 def _data(spark, n=3000, seed=7):
     rnd = random.Random(seed)
@@ -12,43 +18,54 @@ def _data(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "id long, a int, b int")
 
 
-def test_rank_matches_window_rank_with_ties_and_nulls(spark):
+@PATHS
+def test_rank_matches_window_rank_with_ties_and_nulls(spark, single):
     df = _data(spark)
     order = [("a", False), ("b", True)]
-    got = rank_rows(df, order, out="r", partitions=5)
+    got = rank_rows(df, order, out="r", partitions=5, **({} if single is None else {"single_task_max_rows": single}))
     ref = df.withColumn("ref", F.rank().over(Window.orderBy(F.col("a").desc_nulls_last(), F.col("b"))))
     joined = got.join(ref, "id")
     assert joined.filter(F.col("r") != F.col("ref")).count() == 0
     assert got.count() == df.count()
 
 
-def test_row_number_is_a_permutation_in_order(spark):
+@PATHS
+def test_row_number_is_a_permutation_in_order(spark, single):
     df = _data(spark, 2000, seed=3)
-    got = rank_rows(df, ["b", "id"], out="rn", method="row_number", partitions=7)
+    kw = {} if single is None else {"single_task_max_rows": single}
+    got = rank_rows(df, ["b", "id"], out="rn", method="row_number", partitions=7, **kw)
     res = sorted((r.rn, r.b, r.id) for r in got.collect())
     assert [r[0] for r in res] == list(range(1, 2001))
     keys = [(r[1], r[2]) for r in res]
     assert keys == sorted(keys)
 
 
-def test_rank_on_empty_and_single_row(spark):
+@PATHS
+def test_rank_on_empty_and_single_row(spark, single):
+    kw = {} if single is None else {"single_task_max_rows": single}
     empty = spark.createDataFrame([], "k int")
-    assert rank_rows(empty, ["k"]).count() == 0
+    assert rank_rows(empty, ["k"], **kw).count() == 0
     one = spark.createDataFrame([(5,)], "k int")
-    assert [r["rank"] for r in rank_rows(one, ["k"]).collect()] == [1]
+    assert [r["rank"] for r in rank_rows(one, ["k"], **kw).collect()] == [1]
 
 
-def test_one_hot_key_holding_a_third_of_rows(spark):
+@PATHS
+def test_one_hot_key_holding_a_third_of_rows(spark, single):
     rows = [(i, 0 if i % 3 == 0 else i) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, k long")
-    got = {r.id: r["rank"] for r in rank_rows(df, ["k"], partitions=6).collect()}
+    kw = {} if single is None else {"single_task_max_rows": single}
+    got = {r.id: r["rank"] for r in rank_rows(df, ["k"], partitions=6, **kw).collect()}
     assert got[0] == 1 and got[3] == 1
     assert got[1] == 1001  # 1000 rows share k = 0
 
 
-def test_rank_rows_with_a_map_column(spark):
+@PATHS
+def test_rank_rows_with_a_map_column(spark, single):
     df = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2}), (2, {"c": 3})], "k int, m map<string,int>")
-    assert sorted(r["rank"] for r in rank_rows(df, [("k", False)]).collect()) == [1, 1, 3]
+    kw = {} if single is None else {"single_task_max_rows": single}
+    assert sorted(r["rank"] for r in rank_rows(df, [("k", False)], **kw).collect()) == [1, 1, 3]
+    got = sorted(r["rn"] for r in rank_rows(df, [("k", False)], out="rn", method="row_number", **kw).collect())
+    assert got == [1, 2, 3]
 
 
 def test_sequence_ids_follow_read_order(spark):
@@ -64,10 +81,12 @@ def test_sequence_ids_follow_read_order(spark):
     assert [r.v for r in sorted(got, key=lambda r: r.n)] == in_read_order
 
 
-def test_rank_with_a_third_of_rows_identical(spark):
+@PATHS
+def test_rank_with_a_third_of_rows_identical(spark, single):
     rows_ = [(7, "same")] * 1000 + [(i % 50, f"r{i}") for i in range(2000)]
     df = spark.createDataFrame(rows_, "k int, s string").repartition(6)
-    got = rank_rows(df, [("k", False)], partitions=5).collect()
+    kw = {} if single is None else {"single_task_max_rows": single}
+    got = rank_rows(df, [("k", False)], partitions=5, **kw).collect()
     assert len(got) == 3000
     ranks = {}
     for r in got:

@@ -32,7 +32,8 @@ def run(fail):
     df = spark.read.parquet(src).select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity").repartition(4, "l_orderkey")
     if fail:
         df = df.mapInPandas(flaky, df.schema)
-    ranked = {{tuple(r[:4]): r[4] for r in rank_rows(df, [("l_quantity", False)], out="rk").collect()}}
+    ranked = {{tuple(r[:4]): r[4] for r in rank_rows(df, [("l_quantity", False)], out="rk",
+                                                      single_task_max_rows=0).collect()}}
     part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
     freq = sorted(tuple(r) for r in frequency_by_keys(
         df, ["p_type"], [Dim(part, on="l_partkey", key="p_partkey", columns=["p_type"])],
