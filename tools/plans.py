@@ -27,7 +27,8 @@ Final physical plans (after adaptive re-planning) of the registered queries on `
 What to look for: scans read only the needed columns (`ReadSchema`), dimension joins are
 `BroadcastHashJoin` inside the scan stage, aggregates appear as partial + final `HashAggregate` around one
 `Exchange hashpartitioning`, `Exchange SinglePartition` only carries one-row aggregates, top-n
-(`TakeOrderedAndProject`) or the per-partition offset table of the distributed rank, and checkpointed
+(`TakeOrderedAndProject`), the per-partition offset table of the distributed rank, or a rank input whose
+checkpointed row count proved it small (at most 100,000 rows), and checkpointed
 inputs show as `Scan ExistingRDD`. Scalar subqueries (global statistics) run as separate small jobs and are not shown.
 
 What each family moves at 100 TB:
@@ -43,8 +44,8 @@ What each family moves at 100 TB:
 | upsert, append, CSV | the tables written | merge by unique key (no skew possible) | — |
 
 Counts below are taken from the main query's final plan (subqueries and the helper jobs of size checks and
-checkpoints excluded). A single-partition exchange here only ever carries a one-row aggregate, a top-n or a
-per-partition offset table.
+checkpoints excluded). A single-partition exchange here only ever carries a one-row aggregate, a top-n, a
+per-partition offset table or a rank input of proven small size.
 """
 
 
