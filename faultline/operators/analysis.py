@@ -6,8 +6,8 @@ aggregation below large dimensions); counts are partial-then-final
 aggregations, so a key holding a third of the rows collapses to one row per
 task before any shuffle.  Shares of a group total use an aggregate joined
 back on the group key rather than a window, so no group's members must meet
-in one window buffer; global ranks use :func:`rank_rows` instead of a
-single-partition window.
+in one window buffer; global ranks use :func:`rank_rows`, which takes a
+single-partition window only when a row count proves the input small.
 """
 
 from __future__ import annotations
