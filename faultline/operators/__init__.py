@@ -9,7 +9,7 @@ from .joins import Dim, attach, checked_broadcast, fits, fits_each, join_null_sa
 from .layout import spread
 from .prepare import (build_dimension, build_dimensions, build_star, classify_by_keywords,
                       encode_fact, filter_categories)
-from .quality import (Constraint, cascade_delete, cascade_rekey, constraint_report, fk_violations,
+from .quality import (Constraint, cascade_delete, cascade_rekey, constraint_report, enforce, fk_violations,
                       functional_dependency, head_rows, length_violations, null_counts,
                       null_violations, orphan_keys, profile_columns, profile_shape, range_violations,
                       restrict_delete_blocked, schema_info, unique_violations)

@@ -258,3 +258,16 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Con
     if not parts:
         raise ValueError("no constraint applies to the given tables")
     return reduce(DataFrame.unionByName, parts)
+
+
+def enforce(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint]) -> None:
+    """Raise ``ValueError`` when any constraint is violated (what a database
+    does on insert); call it before appending or publishing rows.
+
+    Runs :func:`constraint_report` once; one row per constraint reaches the
+    driver.
+    """
+    broken = [r for r in constraint_report(tables, constraints).collect() if r["violations"]]
+    if broken:
+        lines = [f"{r['table_name']}.{r['kind']}({r['columns']}): {r['violations']}" for r in broken]
+        raise ValueError("constraint violations: " + "; ".join(lines))

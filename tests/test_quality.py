@@ -84,3 +84,17 @@ def test_orphan_keys_count_child_rows(spark):
     child = spark.createDataFrame([(1, 10), (2, 99), (3, 99), (4, None)], "id int, p int")
     parent = spark.createDataFrame([(10,)], "pid int")
     assert rows(Q.orphan_keys(child, parent, "p", "pid")) == [(99, 2)]
+
+
+def test_enforce_before_append(spark):
+    import pytest
+
+    from faultline.sources.schemas import CONSTRAINTS, SCHEMAS
+
+    feedback = spark.createDataFrame([], SCHEMAS["LLMFeedback"])
+    ok = spark.createDataFrame([(1, 1, "r", "tone", 4)], SCHEMAS["FeedbackEvaluation"])
+    bad = spark.createDataFrame([(1, 1, "r", "tone", 5)], SCHEMAS["FeedbackEvaluation"])
+    row_level = [c for c in CONSTRAINTS if c.table == "FeedbackEvaluation" and c.kind != "foreign_key"]
+    Q.enforce({"FeedbackEvaluation": ok, "LLMFeedback": feedback}, row_level)
+    with pytest.raises(ValueError, match="between"):
+        Q.enforce({"FeedbackEvaluation": bad, "LLMFeedback": feedback}, row_level)
