@@ -176,5 +176,8 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
         density = density * n * (hi - lo) / F.lit(count_bins)
     if decimals is not None:
         density = F.round(density, decimals)
-    return (sums.select(F.col("point").cast("long").alias("point"), gx.alias("x"), density.alias("density"))
+    # A zero or undefined bandwidth (one value, or all values equal) has no
+    # density curve: no rows, as the plotting step skips a singular one.
+    return (sums.filter(bw > 0)
+                .select(F.col("point").cast("long").alias("point"), gx.alias("x"), density.alias("density"))
                 .orderBy("point"))

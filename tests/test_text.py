@@ -56,3 +56,10 @@ def test_density_curve_matches_numpy_style_kde(spark):
         want = sum(math.exp(-0.5 * ((gx - v) / bw) ** 2) for v in vals) / (n * bw * math.sqrt(2 * math.pi))
         assert abs(x - gx) < 1e-12 and abs(d - want) < 1e-12
     assert got[-1][1] == hi
+
+
+def test_density_of_equal_values_is_empty(spark):
+    df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
+    assert T.density_curve(df, "x", points=5).count() == 0
+    one = spark.createDataFrame([(1.0,)], "x double")
+    assert T.density_curve(one, "x", points=5).count() == 0
