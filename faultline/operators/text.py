@@ -161,7 +161,7 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
     n, lo, hi = stats["n"], stats["lo"], stats["hi"]
     if bandwidth is None:
         sq = distinct.select(F.sum(F.col("_m") * F.pow(F.col("_x") - stats["mean"], 2))).scalar()
-        sd = F.sqrt(sq / (n - F.lit(1)))
+        sd = F.sqrt(F.try_divide(sq, n - F.lit(1)))  # one value: NULL, no curve
         bw = sd * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(float(adjust))
     else:
         bw = F.lit(float(bandwidth))
