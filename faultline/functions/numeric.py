@@ -31,13 +31,14 @@ def intdiv(a, b) -> Column:
 def round_ratio(num, den, decimals: int = 2, scale: int = 1) -> Column:
     """``round(scale * num / den, decimals)`` half away from zero, exact.
 
-    ``num`` and ``den`` must be non-negative integer columns, ``den`` > 0.
-    The result is a DOUBLE.
+    ``num`` and ``den`` must be non-negative integer columns.  The result is
+    a DOUBLE; a zero denominator gives NULL (as SQL division by zero does in
+    the reference's database) instead of an error.
     """
     num, den = _col(num).cast("long"), _col(den).cast("long")
     p = 10 ** decimals
     q = intdiv(F.lit(2 * p * scale) * num + den, F.lit(2) * den)
-    return (q / F.lit(p)).cast("double")
+    return F.when(den == 0, F.lit(None).cast("double")).otherwise((q / F.lit(p)).cast("double"))
 
 
 def exact_percent(count, total, decimals: int = 1) -> Column:

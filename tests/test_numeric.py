@@ -37,3 +37,9 @@ def test_share_threshold_is_strict_and_unrounded(spark):
     assert got == [False, False, True, False]
     frac = [r[0] for r in df.select(share_exceeds("c", "t", 33.3)).collect()]
     assert frac == [True, True, True, True]
+
+
+def test_zero_denominator_gives_null(spark):
+    df = spark.createDataFrame([(0, 0), (3, 0)], "c long, t long")
+    assert [tuple(r) for r in df.select(exact_percent("c", "t"), round_ratio("c", "t")).collect()] == [
+        (None, None), (None, None)]
