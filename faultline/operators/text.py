@@ -150,6 +150,8 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
     its weighted kernel at every grid point - a fixed ``points``-wide
     fan-out, summed with a partial/final aggregate.
     """
+    if points < 2:
+        raise ValueError("a density curve needs at least two grid points")
     vals = df.select(_col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     # One pass over the input: the statistics, the deviation and the kernel
     # sums all read this materialised per-value table.
@@ -168,10 +170,10 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
     step = (hi - lo) / F.lit(points - 1)
     grid = distinct.select("_x", "_m", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     gx = F.when(F.col("point") == points - 1, hi).otherwise(F.col("point") * step + lo)
-    z = (gx - F.col("_x")) / bw
+    z = F.try_divide(gx - F.col("_x"), bw)  # bw = 0: NULL, and the rows are dropped below
     contrib = F.col("_m") * F.exp(F.lit(-0.5) * z * z)
     sums = grid.groupBy("point").agg(F.sum(contrib).alias("_s"))
-    density = F.col("_s") / (n * bw * F.lit(math.sqrt(2 * math.pi)))
+    density = F.try_divide(F.col("_s"), n * bw * F.lit(math.sqrt(2 * math.pi)))
     if count_bins:
         density = density * n * (hi - lo) / F.lit(count_bins)
     if decimals is not None:
