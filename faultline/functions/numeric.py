@@ -50,8 +50,10 @@ def share_exceeds(count, total, threshold) -> Column:
     """Strict test ``count * 100 / total > threshold`` without rounding.
 
     The threshold is taken as the exact fraction ``p / q`` of its decimal
-    text, and ``count * 100 * q > p * total`` is compared on longs.
+    text, and ``count * 100 * q > p * total`` is compared as integers.
     """
     frac = Fraction(Decimal(str(threshold)))
-    c, t = _col(count).cast("long"), _col(total).cast("long")
-    return c * F.lit(100 * frac.denominator) > F.lit(frac.numerator) * t
+    # Integers of scale 0 throughout: exact, and wide enough for any count.
+    big = "decimal(38,0)"
+    c, t = _col(count).cast(big), _col(total).cast(big)
+    return c * F.lit(str(100 * frac.denominator)).cast(big) > F.lit(str(frac.numerator)).cast(big) * t

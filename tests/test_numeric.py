@@ -43,3 +43,11 @@ def test_zero_denominator_gives_null(spark):
     df = spark.createDataFrame([(0, 0), (3, 0)], "c long, t long")
     assert [tuple(r) for r in df.select(exact_percent("c", "t"), round_ratio("c", "t")).collect()] == [
         (None, None), (None, None)]
+
+
+def test_threshold_with_many_decimals(spark):
+    df = spark.createDataFrame([(1, 3), (10**12, 3 * 10**12 + 1)], "c long, t long")
+    got = [r[0] for r in df.select(share_exceeds("c", "t", 33.333333333)).collect()]
+    assert got == [True, True]
+    got = [r[0] for r in df.select(share_exceeds("c", "t", 33.3333333333333)).collect()]
+    assert got == [True, False]
