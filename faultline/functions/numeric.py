@@ -35,9 +35,11 @@ def round_ratio(num, den, decimals: int = 2, scale: int = 1) -> Column:
     a DOUBLE; a zero denominator gives NULL (as SQL division by zero does in
     the reference's database) instead of an error.
     """
-    num, den = _col(num).cast("long"), _col(den).cast("long")
+    # Wide integers: 2 * 10**k * scale * num stays exact for any row count.
+    big = "decimal(38,0)"
+    num, den = _col(num).cast(big), _col(den).cast(big)
     p = 10 ** decimals
-    q = intdiv(F.lit(2 * p * scale) * num + den, F.lit(2) * den)
+    q = intdiv(F.lit(str(2 * p * scale)).cast(big) * num + den, F.lit(2).cast(big) * den).cast("long")
     return F.when(den == 0, F.lit(None).cast("double")).otherwise((q / F.lit(p)).cast("double"))
 
 

@@ -51,3 +51,11 @@ def test_threshold_with_many_decimals(spark):
     assert got == [True, True]
     got = [r[0] for r in df.select(share_exceeds("c", "t", 33.3333333333333)).collect()]
     assert got == [True, False]
+
+
+def test_rounding_with_huge_counts(spark):
+    df = spark.createDataFrame([(10**15 + 1, 3 * 10**15)], "c long, t long")
+    assert df.select(exact_percent("c", "t", 4)).first()[0] == 33.3333
+    assert df.select(round_ratio("t", "c", 6)).first()[0] == 3.0  # 2.999999999999997
+    big = spark.createDataFrame([(7 * 10**14, 10**15)], "c long, t long")
+    assert big.select(round_ratio("t", "c", 6)).first()[0] == 1.428571
