@@ -121,7 +121,8 @@ def histogram_equal_width(df: DataFrame, value: str | Column, bins: int = 40,
     lo, hi = stats["lo"], stats["hi"]
     width = hi - lo
     if integral:
-        raw = intdiv((F.col("_x") - lo) * F.lit(bins), width)
+        big = "decimal(38,0)"  # (x - lo) * bins stays exact for any long values
+        raw = intdiv((F.col("_x").cast(big) - lo.cast(big)) * F.lit(bins), width.cast(big)).cast("long")
     else:
         raw = F.floor((F.col("_x") - lo) * F.lit(bins) / width).cast("long")
     b = F.when(width == 0, F.lit(0).cast("long")).otherwise(F.least(raw, F.lit(bins - 1).cast("long")))
@@ -130,8 +131,11 @@ def histogram_equal_width(df: DataFrame, value: str | Column, bins: int = 40,
     axis = df.sparkSession.range(bins).select(F.col("id").alias(bin_name))
     return (axis.join(F.broadcast(counts), on=bin_name, how="left")
                 .select(F.col(bin_name),
-                        (lo + F.col(bin_name) * width / F.lit(bins)).alias("bin_lo"),
-                        (lo + (F.col(bin_name) + 1) * width / F.lit(bins)).alias("bin_hi"),
+                        # in double: the same values as exact integers below 2**53, no overflow above
+                        (lo.cast("double") + F.col(bin_name).cast("double") * width.cast("double")
+                         / F.lit(bins)).alias("bin_lo"),
+                        (lo.cast("double") + (F.col(bin_name) + 1).cast("double") * width.cast("double")
+                         / F.lit(bins)).alias("bin_hi"),
                         F.coalesce(F.col(out), F.lit(0)).cast("long").alias(out))
                 .orderBy(bin_name))
 

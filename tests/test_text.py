@@ -63,3 +63,10 @@ def test_density_of_equal_values_is_empty(spark):
     assert T.density_curve(df, "x", points=5).count() == 0
     one = spark.createDataFrame([(1.0,)], "x double")
     assert T.density_curve(one, "x", points=5).count() == 0
+
+
+def test_histogram_of_huge_integers(spark):
+    base = 9 * 10**18
+    df = spark.createDataFrame([(base,), (base + 10**17,), (base + 2 * 10**17,)], "x long")
+    got = T.histogram_equal_width(df, "x", bins=40).collect()
+    assert sum(r["count"] for r in got) == 3 and got[-1]["bin_hi"] == float(base + 2 * 10**17)
