@@ -6,13 +6,21 @@ Derives from ``lineitem`` (with Spark, under the session's shared folder) a
 10x copy in 40 files and a skewed variant where a third of the rows share
 one supplier key, then times operators on all three (median of three).
 """
-import sys, time, os
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import os
+import sys
+import time
 from functools import reduce
-from pyspark.sql import DataFrame, functions as F
-from faultline.session import get_spark, scratch_path
-from faultline.operators import analysis as A
-from faultline.plans import registered as R
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from faultline.operators import analysis as A  # noqa: E402
+from faultline.plans import registered as R  # noqa: E402
+from faultline.session import get_spark, scratch_path  # noqa: E402
+
 spark = get_spark("local[8]", partitions=8, extra={"spark.driver.memory": "16g"})
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
 out = scratch_path(spark, "scaling")
