@@ -37,3 +37,8 @@ def test_query_matches_oracle(spark, con, key):
     assert type_mismatches(sdf, con.sql(E.oracle_sql()[key])) == []
     assert len(got) == len(want)
     assert rows_of(got) == rows_of(want)
+
+
+def test_oracles_use_only_the_registered_views():
+    for key, sql in E.oracle_sql().items():
+        assert "/root" not in sql and "read_parquet" not in sql and ".parquet" not in sql, key
