@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 from pyspark.sql import DataFrame
 
+_SHUFFLE = re.compile(r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)")
+
 # An under-split input is small (one or a few files); this many tasks give it
 # ample parallelism without scheduling thousands of tiny ones on a big cluster.
 MAX_SPREAD = 256
@@ -16,10 +22,17 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A large input already arrives in many file splits and is returned as is,
     so the extra shuffle is only paid by small, under-split inputs (a single
-    file or row group), where it buys parallelism.
+    file or row group), where it buys parallelism.  An input that already
+    went through a shuffle has shuffle-sized partitions and is returned as is
+    without asking for its partition count (which would run that shuffle).
     """
     if df.isStreaming:  # micro-batches are planned per trigger; leave them as they come
         return df
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        df.explain()
+    if _SHUFFLE.search(plan.getvalue()):
+        return df
     try:
         slots = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, MAX_SPREAD)
         parts = df.rdd.getNumPartitions()

@@ -24,3 +24,12 @@ def test_package_imports():
     import faultline.streaming as ST  # noqa: F401
     for name in ("rank_rows", "sequence_ids", "constraint_report", "feedback_job", "build_dimensions"):
         assert name in O.__all__
+
+
+def test_spread_leaves_shuffled_inputs_alone_without_running_them(spark):
+    sc = spark.sparkContext
+    agg = spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count()
+    sc.setJobGroup("spread_check", "spread_check")
+    out = spread(agg)
+    assert out is agg
+    assert sc.statusTracker().getJobIdsForGroup("spread_check") == []
