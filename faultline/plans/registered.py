@@ -753,7 +753,7 @@ def q_stream_counts(spark, sf):
                    .option("pathGlobFilter", "events.parquet").parquet(sf))
     table, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
     q = upsert_each_batch(stream, lambda b: A.value_counts(b, "event_type"), "event_type", table, ckpt,
-                          trigger={"availableNow": True})
+                          trigger={"availableNow": True}, accumulate=["count"])
     q.awaitTermination()
     return spark.read.parquet(f"{table}/v{q.lastProgress['batchId']:012d}")
 

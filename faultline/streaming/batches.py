@@ -6,18 +6,20 @@ import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..sources.tables import upsert_by_key
 
 
 def upsert_each_batch(stream: DataFrame, summarize: Callable[[DataFrame], DataFrame],
                       key: str | Sequence[str], table_dir: str, checkpoint_dir: str,
-                      trigger: dict | None = None, **upsert_kwargs):
+                      trigger: dict | None = None, accumulate: Sequence[str] = (), **upsert_kwargs):
     """Start a query that merges ``summarize(batch)`` into a versioned table.
 
     Each micro-batch ``b`` reads version ``b - 1`` (if any), upserts the
     batch summary by ``key`` and writes version ``b`` as a new folder -
-    never over its input.  A replayed batch rewrites its own version from
+    never over its input.  Columns in ``accumulate`` (counts, sums) keep
+    running totals: the stored value of a key is added to the batch's.  A replayed batch rewrites its own version from
     the same input, so the table stays exactly-once with the stream's
     checkpoint.  Returns the ``StreamingQuery``.
     """
@@ -28,9 +30,16 @@ def upsert_each_batch(stream: DataFrame, summarize: Callable[[DataFrame], DataFr
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         summary = summarize(batch)
+        keys = [key] if isinstance(key, str) else list(key)
         # Batch ids of executed batches are consecutive, so version b - 1
         # exists for every b > 0; a missing one is an error, not a reset.
         old = spark.read.parquet(version(epoch - 1)) if epoch > 0 else None
+        if old is not None and accumulate:
+            # Running totals: add what earlier batches stored for the same key.
+            prev = old.select(*keys, *[F.col(c).alias(f"_prev_{c}") for c in accumulate])
+            summary = summary.join(prev, on=keys, how="left").select(
+                *[(F.coalesce(F.col(f"_prev_{c}"), F.lit(0)) + F.col(c)).alias(c) if c in accumulate
+                  else F.col(c) for c in summary.columns])
         merged = summary if old is None else upsert_by_key(old, summary, key, **upsert_kwargs)
         merged.write.mode("overwrite").parquet(version(epoch))
 

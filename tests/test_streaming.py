@@ -35,3 +35,19 @@ def test_stateless_operators_run_on_a_stream(spark):
          .trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert sorted(rows(spark.table("classified"), "id", "concept")) == [(1, "WHERE"), (2, "SUBQUERY")]
+
+
+def test_running_totals_across_batches(spark):
+    src = scratch_path(spark, "stream_src2")
+    spark.createDataFrame([("error",), ("view",), ("error",)], "event_type string").coalesce(1).write.parquet(src + "/p1")
+    spark.createDataFrame([("view",), ("click",)], "event_type string").coalesce(1).write.parquet(src + "/p2")
+    stream = spark.readStream.schema("event_type string").option("maxFilesPerTrigger", 1).parquet(src + "/*")
+    out = scratch_path(spark, "stream_totals")
+    q = upsert_each_batch(stream, lambda b: value_counts(b, "event_type"), "event_type", out,
+                          scratch_path(spark, "stream_totals_ckpt"), trigger={"availableNow": True},
+                          accumulate=["count"])
+    q.awaitTermination(120)
+    last = q.lastProgress["batchId"]
+    assert last == 1
+    got = sorted(rows(spark.read.parquet(f"{out}/v{last:012d}"), "event_type", "count"))
+    assert got == [("click", 1), ("error", 2), ("view", 2)]
