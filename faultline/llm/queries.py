@@ -11,7 +11,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe_codec import decode, encode
 from .frames import read_table
 from .token_counts import count_tokens
 
@@ -34,3 +36,17 @@ def register(name: str, sql: str | None = None):
 def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     return count_tokens(docs, BYTE_BPE).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def codec_digests(docs: DataFrame) -> DataFrame:
+    """Encoded and decoded documents as their digests."""
+    both = decode(encode(docs.select("doc_id", "text"), BYTE_BPE), BYTE_BPE)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op9_bpe_codec")
+def op9_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
+    return codec_digests(read_table(spark, sf, "documents"))

@@ -42,49 +42,47 @@ def char_classes() -> np.ndarray:
     return out
 
 
-class PairTable:
-    """(left id, right id) -> merge rank for arrays of pairs, by open addressing."""
-
-    def __init__(self, left: np.ndarray, right: np.ndarray):
-        self.bits = max(4, int(len(left) * 8).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.ranks = np.full(1 << self.bits, NONE, np.int32)
-        key = self._key(left, right)
-        slot = self._slot(key)
-        todo = np.arange(len(key))
+class HashTable:
+    """Position of 64-bit keys in the array they were built from, for arrays
+    of keys at once, by open addressing."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys) * 8).bit_length())
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.at = np.full(1 << self.bits, NONE, np.int32)
+        slot = self._slot(keys)
+        todo = np.arange(len(keys))
         while len(todo):
-            free = self.keys[slot[todo]] < 0
-            _, first = np.unique(slot[todo[free]], return_index=True)
-            placed = todo[free][first]
-            self.keys[slot[placed]] = key[placed]
-            self.ranks[slot[placed]] = placed
-            todo = todo[~np.isin(todo, placed)]
+            free = todo[self.at[slot[todo]] == NONE]
+            _, first = np.unique(slot[free], return_index=True)
+            placed = free[first]
+            self.keys[slot[placed]] = keys[placed]
+            self.at[slot[placed]] = placed
+            todo = np.setdiff1d(todo, placed, assume_unique=True)
             slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
 
-    @staticmethod
-    def _key(left, right):
-        return (np.asarray(left, np.int64) << 32) | np.asarray(right, np.int64)
-
-    def _slot(self, key):
-        return ((key.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair's merge, ``NONE`` where there is none."""
-        key = self._key(left, right)
-        slot = self._slot(key)
-        out = self.ranks[slot]
-        found = self.keys[slot]
-        out = np.where(found == key, out, NONE)
-        todo = np.flatnonzero((found != key) & (found >= 0))
+    def _slot(self, keys):
+        return ((keys * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, ``NONE`` where it is absent."""
+        slot = self._slot(keys)
+        at = self.at[slot]
+        out = np.where(self.keys[slot] == keys, at, NONE)
+        todo = np.flatnonzero((out == NONE) & (at != NONE))
         while len(todo):
             slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
-            found = self.keys[slot[todo]]
-            hit = found == key[todo]
-            out[todo[hit]] = self.ranks[slot[todo[hit]]]
-            todo = todo[~hit & (found >= 0)]
+            at = self.at[slot[todo]]
+            hit = (self.keys[slot[todo]] == keys[todo]) & (at != NONE)
+            out[todo[hit]] = at[hit]
+            todo = todo[~hit & (at != NONE)]
         return out
 
 
+def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+
+
 class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -111,7 +109,7 @@ class Vocabulary:
         self.byte_id = np.zeros(256, np.int32)
         for c, b in of_char.items():
             self.byte_id[b] = ids[c]
-        self.pairs = PairTable(self.left, self.right)
+        self.pairs = HashTable(pair_key(self.left, self.right))
         self.rank_of = np.full(size, -1, np.int32)  # rank of the merge that makes a token, -1 for bytes
         self.rank_of[self.merged[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
         ordinary = sorted(set(ids.values()))
@@ -227,7 +225,7 @@ class Vocabulary:
             a = ids[active]
             ranks = np.full((len(active), a.shape[1] - 1), NONE, np.int32)
             real = a[:, 1:] >= 0
-            ranks[real] = self.pairs.rank(a[:, :-1][real], a[:, 1:][real])
+            ranks[real] = self.pairs.find(pair_key(a[:, :-1][real], a[:, 1:][real]))
             at = ranks.argmin(axis=1)
             best = ranks[np.arange(len(active)), at]
             some = best < NONE
@@ -247,7 +245,7 @@ class Vocabulary:
         """One long word: all joins of the lowest rank, left to right, per round."""
         ids = self.byte_id[np.frombuffer(word, np.uint8)]
         while len(ids) > 1:
-            ranks = self.pairs.rank(ids[:-1], ids[1:])
+            ranks = self.pairs.find(pair_key(ids[:-1], ids[1:]))
             best = ranks.min()
             if best == NONE:
                 break
@@ -272,7 +270,7 @@ class WordCache:
     ``encode`` (words -> values); emptied when it holds ``limit`` words, so
     its memory stays bounded however many words a corpus has."""
 
-    def __init__(self, encode, limit: int = 400_000):
+    def __init__(self, encode, limit: int = 600_000):
         self.encode, self.limit, self.known = encode, limit, {}
 
     def values(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
