@@ -8,7 +8,9 @@ characters or words in Python.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,19 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_CODE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def remembered(key, make: Callable):
+    """``make()`` once per process and key.
+
+    Functions reach the workers by value, so their own globals live for one
+    task; tables that are costly to build are kept in a module of the worker's
+    interpreter instead, and serve all its tasks.
+    """
+    store = sys.modules.setdefault("_faultline_llm_memory", ModuleType("_faultline_llm_memory")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def utf8_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; NULL is the empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -72,27 +87,22 @@ class SpanHasher:
     power gives every span's polynomial hash as one difference.
     """
 
-    _up = _powers(_MULTIPLIER, 1 << 12)
-    _down = _powers(_INVERSE, 1 << 12)
-
     def __init__(self, data: np.ndarray):
         n = len(data)
-        if n >= len(SpanHasher._up):
-            size = 1 << int(n + 1).bit_length()
-            SpanHasher._up = _powers(_MULTIPLIER, size)
-            SpanHasher._down = _powers(_INVERSE, size)
+        size = 1 << max(21, int(n).bit_length())
+        up, self.down = remembered(("powers", size), lambda: (_powers(_MULTIPLIER, size), _powers(_INVERSE, size)))
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[data] * SpanHasher._up[:n], out=self.prefix[1:])
+        np.cumsum(_BYTE_CODE[data] * up[:n], out=self.prefix[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.prefix[ends] - self.prefix[starts]) * SpanHasher._down[starts])
+        return mix((self.prefix[ends] - self.prefix[starts]) * self.down[starts])
 
     def windows(self, length: int) -> np.ndarray:
         """Hash of the ``length`` bytes from every position that has as many."""
         n = len(self.prefix) - length
         if n <= 0:
             return np.zeros(0, np.uint64)
-        return mix((self.prefix[length:] - self.prefix[:n]) * SpanHasher._down[:n])
+        return mix((self.prefix[length:] - self.prefix[:n]) * self.down[:n])
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:

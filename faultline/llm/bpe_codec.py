@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrays import SpanHasher, doc_slices, ragged, utf8_column
+from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
 from .frames import add_columns
 from .vocabulary import NONE, HashTable, Vocabulary, WordCache, pair_key, vocabulary
 
@@ -170,13 +170,8 @@ class Codec:
         return pa.array(out, pa.string())
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(vocabulary(path))
-    return _CODECS[path]
+    return remembered(("codec", path), lambda: Codec(vocabulary(path)))
 
 
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids") -> DataFrame:

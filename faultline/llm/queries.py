@@ -13,9 +13,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .bpe_codec import decode, encode
 from .frames import read_table
 from .token_counts import count_tokens
+from .token_files import ids_crc32, read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,3 +52,11 @@ def codec_digests(docs: DataFrame) -> DataFrame:
 @register("op9_bpe_codec")
 def op9_bpe_codec(spark: SparkSession, sf: str) -> DataFrame:
     return codec_digests(read_table(spark, sf, "documents"))
+
+
+@register("op8_token_files")
+def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(read_table(spark, sf, "documents"), path, BYTE_BPE, end_id=2)
+    tokens = read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids")
+    return ids_crc32(tokens).drop("ids")

@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import doc_slices, utf8_column
+from .arrays import doc_slices, remembered, utf8_column
 from .frames import add_columns
 from .vocabulary import Vocabulary, WordCache, vocabulary
 
-_CACHES: dict[str, WordCache] = {}
-
 
 def _count_words(vocab: Vocabulary, words: list[bytes]) -> list[int]:
     out = [1] * len(words)
@@ -31,7 +29,7 @@ def _count_words(vocab: Vocabulary, words: list[bytes]) -> list[int]:
 
 def _counts(path: str, column: pa.Array) -> np.ndarray:
     vocab = vocabulary(path)
-    cache = _CACHES.setdefault(path, WordCache(lambda words: _count_words(vocab, words)))
+    cache = remembered(("token counts", path), lambda: WordCache(lambda words: _count_words(vocab, words)))
     data, offsets = utf8_column(column)
     out = np.zeros(len(offsets) - 1, np.int64)
     for i, j in doc_slices(offsets):

@@ -8,12 +8,11 @@ pre-tokens, and exact merging.  It is loaded once per Python worker.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import regex
 
-from .arrays import SpanHasher
+from .arrays import SpanHasher, remembered
 
 NONE = np.int32(np.iinfo(np.int32).max)
 LONG_WORD = 64   # bytes; longer words are merged one by one
@@ -29,9 +28,12 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=1)
 def char_classes() -> np.ndarray:
     """Class of every code point: letter, number, white space or other."""
+    return remembered("char classes", _char_classes)
+
+
+def _char_classes() -> np.ndarray:
     out = np.full(0x110000, OTHER, np.uint8)
     points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
     text = "".join(map(chr, points))
@@ -260,9 +262,8 @@ class Vocabulary:
         return ids
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    return remembered(("vocabulary", path), lambda: Vocabulary(path))
 
 
 class WordCache:
