@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .bpe_codec import decode, encode
 from .frames import read_table
+from .near_dedup import near_duplicates
 from .token_counts import count_tokens
 from .token_files import ids_crc32, read_token_files, write_token_files
 
@@ -60,3 +61,8 @@ def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
     write_token_files(read_table(spark, sf, "documents"), path, BYTE_BPE, end_id=2)
     tokens = read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids")
     return ids_crc32(tokens).drop("ids")
+
+
+@register("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf, "documents"), words=4, percent=80)
