@@ -17,6 +17,7 @@ from ..session import scratch_path
 from .bpe_codec import decode, encode
 from .frames import read_table
 from .near_dedup import near_duplicates
+from .repeats import remove_repeats
 from .token_counts import count_tokens
 from .token_files import ids_crc32, read_token_files, write_token_files
 
@@ -66,3 +67,10 @@ def op8_token_files(spark: SparkSession, sf: str) -> DataFrame:
 @register("op4_near_duplicates")
 def op4_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf, "documents"), words=4, percent=80)
+
+
+@register("op5_repeats")
+def op5_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    return remove_repeats(docs, min_bytes=50).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
