@@ -11,13 +11,13 @@ def id_remainder(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_class: int,
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, per_label: tuple[int, int],
                     max_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """(text, label) of at most ``per_class`` documents of each label, by a hash
-    of the id; ``allowed`` restricts the label rows.
+    """(text, label) of at most ``per_label`` documents of labels 0 and 1, by a
+    hash of the id; ``allowed`` restricts the label rows.
 
     Texts longer than ``max_bytes`` and NULL texts or labels are not trained
-    on, so the sample is at most 2 * per_class * max_bytes.  Of several labels
+    on, so the sample is at most sum(per_label) * max_bytes.  Of several labels
     of one id the largest counts; of several texts the first in order.
     """
     own = (labels.where(allowed & F.col(label).isNotNull()).groupBy(id_col)
@@ -27,9 +27,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     order = F.xxhash64(F.col(id_col))
     chosen = None
     for value in (0, 1):
-        some = usable.where(F.col("label") == value).orderBy(order, id_col).limit(per_class)
+        some = usable.where(F.col("label") == value).orderBy(order, id_col).limit(per_label[value])
         chosen = some if chosen is None else chosen.union(some)
     rows = (docs.select(id_col, F.col(text_col).alias("text")).where(F.col("text").isNotNull() & (F.octet_length("text") <= max_bytes))
-            .join(F.broadcast(chosen), id_col)  # at most 2 * per_class rows
+            .join(F.broadcast(chosen), id_col)  # at most sum(per_label) rows
             .groupBy(id_col).agg(F.min("text").alias("text"), F.max("label").alias("label")).collect())
     return [(r["text"], r["label"]) for r in sorted(rows, key=lambda r: r[id_col])]

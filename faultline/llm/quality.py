@@ -21,7 +21,7 @@ from .frames import add_columns
 
 PASSAGE_WORDS = 48
 HIDDEN, ATTENTION = 24, 12
-PER_CLASS = 2000        # documents of each label trained on, at most
+PER_LABEL = (2000, 2000)  # documents of labels 0 and 1 trained on, at most
 TRAIN_BYTES = 32_768    # of each, at most
 EPOCHS = 30
 

@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe_codec import decode, encode
+from . import quality, toxicity
+from .fingerprints import edited_fingerprints
 from .frames import read_table
+from .labelled import id_remainder, training_sample
+from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .repeats import remove_repeats
 from .token_counts import count_tokens
@@ -74,3 +78,71 @@ def op5_repeats(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     return remove_repeats(docs, min_bytes=50).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    learn = id_remainder("doc_id", 4) != 2
+    return toxicity.train(training_sample(docs, labels, "toxic", learn, toxicity.PER_LABEL, toxicity.TRAIN_BYTES))
+
+
+def with_decision(scored: DataFrame, modulus: int, held: int) -> DataFrame:
+    return scored.select(
+        "doc_id", F.coalesce(id_remainder("doc_id", modulus) == held, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op2_quality")
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = read_table(spark, sf, "documents").select("doc_id", "text"), read_table(spark, sf, "labels")
+    learn = id_remainder("doc_id", 5) != 0
+    model = quality.train(training_sample(docs, labels, "quality", learn, quality.PER_LABEL, quality.TRAIN_BYTES))
+    return with_decision(quality.score(docs, model), 5, 0)
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = read_table(spark, sf, "documents").select("doc_id", "text"), read_table(spark, sf, "labels")
+    return with_decision(toxicity.score(docs, toxicity_model(docs, labels)), 4, 2)
+
+
+@register("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf, "documents"))
+
+
+@register("op3_mixing", """
+    WITH d AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+               md5('mix-1' || coalesce(doc_id::VARCHAR, '')) AS h, md5(coalesce(text, '')) AS t
+        FROM documents),
+    s0 AS (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS i
+        FROM d GROUP BY source),
+    s1 AS (
+        SELECT *, [5, 2, 1][(i - 1) % 3 + 1]::BIGINT AS w, 2 * source_size AS cap,
+               (sum(source_size) OVER () * 150)::DOUBLE / 100.0 AS budget
+        FROM s0),
+    s2 AS (
+        SELECT *, sum(cap) OVER o - cap AS before, sum(w) OVER () - sum(w) OVER o + w AS rest
+        FROM s1 WINDOW o AS (ORDER BY cap::DOUBLE / w, i ROWS UNBOUNDED PRECEDING)),
+    s3 AS (SELECT *, (cap * rest)::DOUBLE <= w * (budget - before::DOUBLE) AS capped FROM s2),
+    s AS (
+        SELECT source, source_size, i, w, budget,
+               CASE WHEN capped THEN cap::DOUBLE
+                    ELSE w * (budget - (sum(CASE WHEN capped THEN cap ELSE 0 END) OVER ())::DOUBLE)
+                         / (sum(CASE WHEN capped THEN 0 ELSE w END) OVER ())::DOUBLE END AS target
+        FROM s3),
+    p AS (
+        SELECT d.*, s.source_size, s.i, s.w, s.budget, s.target,
+               sum(d.size) OVER (PARTITION BY s.i ORDER BY h, t ROWS UNBOUNDED PRECEDING) AS upto
+        FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+    q AS (
+        SELECT doc_id, h, t, i, size, budget, (k * source_size + upto)::DOUBLE / w AS finish
+        FROM p, (VALUES (0), (1)) v(k) WHERE size > 0),
+    r AS (SELECT *, sum(size) OVER (ORDER BY finish, i, h, t ROWS UNBOUNDED PRECEDING) AS held FROM q),
+    n AS (SELECT doc_id, h, t, i, sum(size)::BIGINT AS taken FROM r WHERE held <= budget GROUP BY ALL)
+    SELECT p.doc_id, p.size, p.source_size, p.target, coalesce(n.taken, 0)::BIGINT AS taken
+    FROM p LEFT JOIN n ON p.doc_id IS NOT DISTINCT FROM n.doc_id AND p.h = n.h AND p.t = n.t AND p.i = n.i""")
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")

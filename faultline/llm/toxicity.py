@@ -22,9 +22,10 @@ from .frames import add_columns
 SIZES = (3, 4, 5)       # bytes of the n-grams
 BUCKET_BITS = 18
 DIMENSIONS = 8
-PER_CLASS = 1500        # documents of each label trained on, at most
-TRAIN_BYTES = 16_384    # of each, at most
-EPOCHS = 6
+PER_LABEL = (8000, 2000)  # documents of labels 0 and 1 trained on, at most
+TRAIN_BYTES = 8_192     # of each, at most
+STEPS = 40_000          # documents seen in training, repeats counted: 4 passes and more, at most 40
+DECAY = 0.05            # pull of a document's own subwords towards zero, so rare ones stay small
 
 
 def subwords(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,7 +75,8 @@ class Model:
 def train(sample: list[tuple[str, int]], seed: int = 1) -> Model:
     """Joint training by stochastic gradient descent with per-value steps.
 
-    Without both labels the model is the constant share of label 1 (0.5 and no
+    Every sampled document weighs the same, so label 0 has a prior as it is
+    in the sample.  Without both labels the model is the constant share of label 1 (0.5 and no
     evidence for an empty sample).
     """
     labels = np.array([y for _, y in sample], np.int64)
@@ -92,9 +94,9 @@ def train(sample: list[tuple[str, int]], seed: int = 1) -> Model:
         data, offsets = utf8_column(pa.array([text]))
         bucket, count = np.unique(subwords(data, offsets)[0], return_counts=True)
         bags.append((bucket, (count / max(1, count.sum())).astype(np.float32)))
-    balance = len(labels) / (2 * np.bincount(labels, minlength=2))
-    for epoch in range(EPOCHS):
-        step = np.float32(0.3 * (1 - epoch / EPOCHS))
+    epochs = min(40, max(4, STEPS // len(sample)))
+    for epoch in range(epochs):
+        step = np.float32(0.3 * (1 - epoch / epochs))
         for d in rng.permutation(len(sample)):
             bucket, share = bags[d]
             if not len(bucket):
@@ -105,10 +107,9 @@ def train(sample: list[tuple[str, int]], seed: int = 1) -> Model:
             p = np.exp(logit - logit.max())
             p /= p.sum()
             p[labels[d]] -= 1
-            p *= np.float32(balance[labels[d]])
             grad_vector = soft @ p
             grad_soft = np.outer(vector, p)
-            grad_rows = share[:, None] * grad_vector[None, :]
+            grad_rows = share[:, None] * (grad_vector[None, :] + np.float32(DECAY) * rows)
             seen_e[bucket] += (grad_rows ** 2).mean(axis=1, keepdims=True)
             embed[bucket] = rows - step * grad_rows / np.sqrt(seen_e[bucket])
             seen_s += grad_soft ** 2
