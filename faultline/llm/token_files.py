@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .arrays import ragged
-from .bpe_codec import codec
-from .frames import add_columns
+from .frames import add_columns, small_batches
+from .vocabulary import text_encoder
 
 ROW_GROUP_BYTES = 16 << 20   # a reader's and a writer's unit of memory
 PAGE_BYTES = 256 << 10       # the unit a page index lets a reader skip
@@ -37,9 +37,9 @@ LAYOUT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("par
 def _encode_in_order(tokenizer: str, end_id: int, text_col: str, id_col: str):
     def run(batches):
         part, row, offset = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
+        for batch in (small for whole in batches for small in small_batches(whole)):
             n = batch.num_rows
-            lists = codec(tokenizer).encode(batch.column(batch.schema.get_field_index(text_col)))
+            lists = text_encoder(tokenizer).encode(batch.column(batch.schema.get_field_index(text_col)))
             bounds = np.asarray(lists.offsets).astype(np.int64)
             sizes = np.diff(bounds) + 1
             ids = np.insert(np.asarray(lists.values), bounds[1:], end_id)
@@ -77,14 +77,15 @@ def read_token_files(spark: SparkSession, path: str, where: Column | None = None
     each.  Selecting columns or passing ``where`` (on doc_id, say) reads only
     those columns and the pages that may match.
 
-    The starts need one number per file: its ids, summed in file order.
+    The starts need one number per file (its ids, summed in file order): two
+    integers a file, broadcast.
     """
     files = spark.read.schema(LAYOUT).parquet(path)
     sizes = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     first = sizes.select("part", F.coalesce(before, F.lit(0)).alias("first"))
     wanted = files if where is None else files.where(where)
-    return wanted.join(first, "part").withColumn("start", F.col("first") + F.col("offset")).drop("first")
+    return wanted.join(F.broadcast(first), "part").withColumn("start", F.col("first") + F.col("offset")).drop("first")
 
 
 def ids_crc32(tokens: DataFrame, ids_col: str = "ids", out: str = "ids_crc32") -> DataFrame:
@@ -93,7 +94,7 @@ def ids_crc32(tokens: DataFrame, ids_col: str = "ids", out: str = "ids_crc32") -
     def crc(batch):
         column = batch.column(batch.schema.get_field_index(ids_col))
         bounds = np.asarray(column.offsets).astype(np.int64)
-        raw = memoryview(np.asarray(column.values).astype("<u4").tobytes())
-        return [pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())],
-                         pa.int64())]
+        raw = memoryview(np.asarray(column.values)[bounds[0]:bounds[-1]].astype("<u4").tobytes())
+        at = (4 * (bounds - bounds[0])).tolist()
+        return [pa.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1], at[1:])], pa.int64())]
     return add_columns(tokens, [T.StructField(out, T.LongType())], crc)
