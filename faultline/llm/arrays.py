@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21  # documents handled together, so temporaries stay small; a longer text goes alone
+SLICE_BYTES = 1 << 20  # documents handled together, so temporaries stay small; a longer text goes alone
 
 _MULTIPLIER = 0xD1342543DE82EF95  # odd, so powers have inverses modulo 2**64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)

@@ -15,27 +15,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
+from .arrays import SpanHasher, doc_slices, remembered
 from .frames import add_columns
-from .vocabulary import NONE, HashTable, Vocabulary, WordCache, pair_key, vocabulary
+from .vocabulary import NONE, HashTable, TextEncoder, Vocabulary, pair_key, token_bytes, vocabulary
 
 TOKENS_AT_ONCE = 1 << 20  # ids decoded together
 
 
-class Codec:
+class Codec(TextEncoder):
     def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+        super().__init__(vocab)
         self.ordinary = np.array(sorted(vocab.whole.values()), np.int32)
         pieces = [vocab.token_bytes[i] for i in self.ordinary.tolist()]
         ends = np.cumsum([len(p) for p in pieces])
         starts = ends - [len(p) for p in pieces]
         self.by_bytes = HashTable(SpanHasher(np.frombuffer(b"".join(pieces), np.uint8)).spans(starts, ends))
         self.longest = max(map(len, pieces))
-        sizes = np.array([len(b) for b in vocab.token_bytes], np.int64)
-        self.bytes_flat = np.frombuffer(b"".join(vocab.token_bytes), np.uint8)
-        self.bytes_len = sizes
-        self.bytes_at = np.cumsum(sizes) - sizes
-        self.cache = WordCache(self.encode_words, limit=600_000)
+        self.bytes_len = np.array([len(b) for b in vocab.token_bytes], np.int64)
         self.merged_words = 0   # words that failed verification, for tests and tuning
 
     # -- speculate ----------------------------------------------------------
@@ -124,39 +120,18 @@ class Codec:
                 at += n
         return out
 
-    # -- documents ----------------------------------------------------------
-
-    def encode(self, column: pa.Array) -> pa.Array:
-        data, offsets = utf8_column(column)
-        flats, sizes = [], np.zeros(len(offsets) - 1, np.int64)
-        for i, j in doc_slices(offsets):
-            part = data[offsets[i]:offsets[j]]
-            starts, ends, words, special = self.vocab.pretokens(part, offsets[i:j + 1] - offsets[i])
-            if not len(starts):
-                continue
-            values, inverse = self.cache.values(part, starts, ends)
-            counts = np.array([len(v) for v in values], np.int64) // 4
-            flat = np.frombuffer(b"".join(values), np.int32)
-            begin = np.cumsum(counts) - counts
-            marked = np.flatnonzero(special >= 0)
-            if len(marked):  # added tokens: one id, whatever the word cache says of their text
-                begin = np.append(begin, np.arange(len(marked)) + len(flat))
-                flat = np.append(flat, special[marked])
-                counts = np.append(counts, np.ones(len(marked), np.int64))
-                inverse = inverse.copy()
-                inverse[marked] = np.arange(len(marked)) + len(values)
-            each = counts[inverse]
-            total = np.concatenate([[0], np.cumsum(each)])
-            pick = np.arange(total[-1]) + np.repeat(begin[inverse] - total[:-1], each)
-            flats.append(flat[pick])
-            upto = np.concatenate([[0], np.cumsum(words)])
-            sizes[i:j] = total[upto[1:]] - total[upto[:-1]]
-        return ragged(np.concatenate(flats) if flats else np.zeros(0, np.int32), sizes, pa.int32())
+
+class Decoder:
+    """Texts of id lists, from the tokens' bytes alone."""
+
+    def __init__(self, token_bytes: list[bytes]):
+        self.bytes_flat = np.frombuffer(b"".join(token_bytes), np.uint8)
+        self.bytes_len = np.array([len(b) for b in token_bytes], np.int64)
+        self.bytes_at = np.cumsum(self.bytes_len) - self.bytes_len
 
     def decode(self, column: pa.Array) -> pa.Array:
         """The text of every list of ids; bytes that are no UTF-8 become U+FFFD."""
-        column = pa.concat_arrays([column]) if column.offset else column
-        offsets = np.asarray(column.offsets).astype(np.int64)
+        offsets = np.asarray(column.offsets).astype(np.int64)  # of a slice, places in the whole batch's values
         ids = np.asarray(column.values)
         out = []
         for i, j in doc_slices(offsets, TOKENS_AT_ONCE):
@@ -174,6 +149,10 @@ def codec(path: str) -> Codec:
     return remembered(("codec", path), lambda: Codec(vocabulary(path)))
 
 
+def decoder(path: str) -> Decoder:
+    return remembered(("decoder", path), lambda: Decoder(token_bytes(path)))
+
+
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of every whole text, as the tokenizer
     file's library gives them without special tokens of its own.
@@ -190,4 +169,4 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out: str =
     """``encoded`` with the text of every id list, special tokens included.
     An empty list gives the empty text; a column named ``out`` is replaced."""
     return add_columns(encoded, [T.StructField(out, T.StringType())], lambda b: [
-        codec(tokenizer).decode(b.column(b.schema.get_field_index(ids_col)))])
+        decoder(tokenizer).decode(b.column(b.schema.get_field_index(ids_col)))])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +24,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20  # of an Arrow batch worked on at once
+
+
+def small_batches(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``limit`` bytes (a longer row goes alone)."""
+    step = max(1, batch.num_rows * limit // max(batch.nbytes, limit))
+    for i in range(0, batch.num_rows, step):
+        yield batch.slice(i, step)
+
+
 def add_columns(df: DataFrame, fields: list[T.StructField],
                 compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` with the columns ``compute`` makes of each Arrow batch; columns
@@ -33,7 +43,7 @@ def add_columns(df: DataFrame, fields: list[T.StructField],
     schema = T.StructType([df.schema[c] for c in keep] + fields)
 
     def batches(it):
-        for batch in it:
+        for batch in (small for whole in it for small in small_batches(whole)):
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep] + compute(batch)
             yield pa.RecordBatch.from_arrays(columns, names=keep + [f.name for f in fields])
 

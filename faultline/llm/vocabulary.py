@@ -10,11 +10,13 @@ from __future__ import annotations
 import json
 
 import numpy as np
+import pyarrow as pa
 import regex
 
-from .arrays import SpanHasher, remembered
+from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
 
 NONE = np.int32(np.iinfo(np.int32).max)
+CACHED_WORDS = 250_000  # distinct pre-tokens whose ids a worker remembers
 LONG_WORD = 64   # bytes; longer words are merged one by one
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
@@ -85,25 +87,42 @@ def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
 
 
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    added = spec.get("added_tokens") or []
+    if spec["model"]["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" \
+            or spec["pre_tokenizer"].get("add_prefix_space") or spec.get("normalizer"):
+        raise ValueError(f"{path}: not a plain byte-level BPE file")
+    if any(a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"] for a in added):
+        raise ValueError(f"{path}: added tokens that match by more than their text")
+    return spec
+
+
+def _token_bytes(spec: dict) -> list[bytes]:
+    ids, added = spec["model"]["vocab"], spec.get("added_tokens") or []
+    of_char = byte_alphabet()
+    out = [b""] * (1 + max([*ids.values(), *(a["id"] for a in added)]))
+    for token, i in ids.items():
+        out[i] = bytes(of_char[c] for c in token)
+    for a in added:
+        out[a["id"]] = a["content"].encode()
+    return out
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every token id of a tokenizer file."""
+    return _token_bytes(_spec(path))
+
+
 class Vocabulary:
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, added = spec["model"], spec.get("added_tokens") or []
-        if model["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" \
-                or spec["pre_tokenizer"].get("add_prefix_space") or spec.get("normalizer"):
-            raise ValueError(f"{path}: not a plain byte-level BPE file")
-        if any(a["single_word"] or a["lstrip"] or a["rstrip"] or a["normalized"] for a in added):
-            raise ValueError(f"{path}: added tokens that match by more than their text")
+        spec = _spec(path)
+        model, ids = spec["model"], spec["model"]["vocab"]
         of_char = byte_alphabet()
-        ids = model["vocab"]
-        size = 1 + max([*ids.values(), *(a["id"] for a in added)])
-        self.token_bytes: list[bytes] = [b""] * size
-        for token, i in ids.items():
-            self.token_bytes[i] = bytes(of_char[c] for c in token)
-        self.added = {a["content"].encode(): a["id"] for a in added}
-        for content, i in self.added.items():
-            self.token_bytes[i] = content
+        self.token_bytes = _token_bytes(spec)
+        self.added = {a["content"].encode(): a["id"] for a in spec.get("added_tokens") or []}
+        size = len(self.token_bytes)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.left = np.array([ids[a] for a, _ in pairs], np.int32)
         self.right = np.array([ids[b] for _, b in pairs], np.int32)
@@ -271,7 +290,7 @@ class WordCache:
     ``encode`` (words -> values); emptied when it holds ``limit`` words, so
     its memory stays bounded however many words a corpus has."""
 
-    def __init__(self, encode, limit: int = 600_000):
+    def __init__(self, encode, limit: int = 400_000):
         self.encode, self.limit, self.known = encode, limit, {}
 
     def values(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -289,3 +308,53 @@ class WordCache:
             for i, v in zip(unseen, self.encode(words)):
                 self.known[listed[i]] = v
         return [self.known[k] for k in listed], inverse
+
+
+class TextEncoder:
+    """Token ids of whole texts, each distinct pre-token encoded once while it
+    is remembered: here by the vocabulary itself or by exact merging."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.cache = WordCache(self.encode_words, limit=CACHED_WORDS)
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of every word, as the bytes of an int32 array."""
+        whole = self.vocab.whole
+        rest = [w for w in words if w not in whole]
+        counts, flat = self.vocab.merge(rest)
+        raw, ends = flat.astype(np.int32).tobytes(), np.cumsum(counts).tolist()
+        merged = iter([raw[4 * (e - n):4 * e] for e, n in zip(ends, counts.tolist())])
+        return [whole[w].to_bytes(4, "little") if w in whole else next(merged) for w in words]
+
+    def encode(self, column: pa.Array) -> pa.Array:
+        """Id list of every text of a string column; NULL has none."""
+        data, offsets = utf8_column(column)
+        flats, sizes = [], np.zeros(len(offsets) - 1, np.int64)
+        for i, j in doc_slices(offsets):
+            part = data[offsets[i]:offsets[j]]
+            starts, ends, words, special = self.vocab.pretokens(part, offsets[i:j + 1] - offsets[i])
+            if not len(starts):
+                continue
+            values, inverse = self.cache.values(part, starts, ends)
+            counts = np.array([len(v) for v in values], np.int64) // 4
+            flat = np.frombuffer(b"".join(values), np.int32)
+            begin = np.cumsum(counts) - counts
+            marked = np.flatnonzero(special >= 0)
+            if len(marked):  # added tokens: one id, whatever the word cache says of their text
+                begin = np.append(begin, np.arange(len(marked)) + len(flat))
+                flat = np.append(flat, special[marked])
+                counts = np.append(counts, np.ones(len(marked), np.int64))
+                inverse = inverse.copy()
+                inverse[marked] = np.arange(len(marked)) + len(values)
+            each = counts[inverse]
+            total = np.concatenate([[0], np.cumsum(each)])
+            pick = np.arange(total[-1]) + np.repeat(begin[inverse] - total[:-1], each)
+            flats.append(flat[pick])
+            upto = np.concatenate([[0], np.cumsum(words)])
+            sizes[i:j] = total[upto[1:]] - total[upto[:-1]]
+        return ragged(np.concatenate(flats) if flats else np.zeros(0, np.int32), sizes, pa.int32())
+
+
+def text_encoder(path: str) -> TextEncoder:
+    return remembered(("text encoder", path), lambda: TextEncoder(vocabulary(path)))
