@@ -21,6 +21,7 @@ between components is skipped, and no task holds a whole group.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import SpanHasher, ascii_words, doc_slices, lower_ascii, mix, remembered, utf8_column
+from .arrays import SpanHasher, ascii_words, doc_slices, lower_ascii, mix, utf8_column
 from .components import connected_components
 from .frames import add_columns, written
 
@@ -73,7 +74,6 @@ def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
 
 def set_key(shingles: np.ndarray) -> bytes:
     """128 bits that stand for a set."""
-    import hashlib
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
@@ -281,9 +281,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     it, and a group of NULL ids alone has component NULL.  An empty table gives
     an empty result; other columns are ignored.
     """
+    groups = _groups(docs, words, percent, miss, id_col, text_col)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all columns.
+    Rows are known by id and text together, so repeated rows stay or go alike."""
+    kept = _groups(docs, words, percent, MISS, id_col, text_col).where("kept").select("doc_id", "tie").distinct()
+    tie = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    same = F.col("_own").eqNullSafe(F.col("doc_id")) & (F.col("_tie") == F.col("tie"))
+    own = {c: f"_{i}" for i, c in enumerate(docs.columns)}  # free of clashes with the decision's columns
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()],
+                       F.col(f"`{id_col}`").cast("long").alias("_own"), tie.alias("_tie"))
+    return rows.join(kept, same, "left_semi").select(*[F.col(n).alias(c) for c, n in own.items()])
+
+
+def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` with ``tie``, a hash of each row's text."""
     limits = prune_limits(BANDS * BAND_ROWS, percent, miss, BATCH)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(add_columns(source, _DESCRIBED, _describe(words)).drop("text"), "near-signatures")
+    tied = source.withColumn("tie", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    rows = written(add_columns(tied, _DESCRIBED, _describe(words)).drop("text"), "near-signatures")
     classes = written(
         rows.where("key IS NOT NULL").groupBy("key")
         .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("sig", "bands", "n_shingles")).alias("x"))
@@ -369,8 +389,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, miss: fl
     named = named.join(classes.select("key", "doc_id"), "key")
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     component = named.select("key", "label").join(lowest, "label").select("key", "component_id")
-    return (rows.select("doc_id", "n_shingles", "key").join(component, "key", "left")
-            .select("doc_id", "n_shingles",
+    return (rows.select("doc_id", "tie", "n_shingles", "key").join(component, "key", "left")
+            .select("doc_id", "tie", "n_shingles",
                     F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))

@@ -21,6 +21,7 @@ from .frames import read_table
 from .labelled import id_remainder, training_sample
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
+from .neighbours import nearest_neighbours
 from .repeats import remove_repeats
 from .token_counts import count_tokens
 from .token_files import ids_crc32, read_token_files, write_token_files
@@ -146,3 +147,9 @@ def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_table(spark, sf, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op1_neighbours")
+def op1_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest_neighbours(read_table(spark, sf, "embeddings").select("vec_id", "embedding"),
+                              is_query=F.col("vec_id") % 20 == 0, k=20)
