@@ -8,10 +8,10 @@ pre-tokens, and exact merging.  It is loaded once per Python worker.
 from __future__ import annotations
 
 import json
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import regex
 
 from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
 
@@ -20,6 +20,17 @@ CACHED_WORDS = 250_000  # distinct pre-tokens whose ids a worker remembers
 LONG_WORD = 64   # bytes; longer words are merged one by one
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
+# The White_Space property, and the letters and numbers that Unicode 16 added.
+WHITE_SPACE = [*range(0x9, 0xE), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+NEWER = {
+    LETTER: [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+             (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+             (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0),
+             (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED),
+             (0x1E5F0, 0x1E5F0)],
+    NUMBER: [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+             (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)],
+}
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -37,12 +48,12 @@ def char_classes() -> np.ndarray:
 
 def _char_classes() -> np.ndarray:
     out = np.full(0x110000, OTHER, np.uint8)
-    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
-    text = "".join(map(chr, points))
-    at = np.array(points)
-    for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\p{White_Space}+", SPACE)):
-        for m in regex.finditer(pattern, text):
-            out[at[m.start():m.end()]] = kind
+    major = np.array([unicodedata.category(chr(c))[0] for c in range(0x110000)])
+    out[major == "L"], out[major == "N"] = LETTER, NUMBER
+    for kind, ranges in NEWER.items():
+        for first, last in ranges:
+            out[first:last + 1] = kind
+    out[WHITE_SPACE] = SPACE
     return out
 
 
