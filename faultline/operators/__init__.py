@@ -6,7 +6,6 @@ from .analysis import (conditional_split, crosstab_row_pct, difficulty_rank, dom
 from .feedback import (clean_response, enrich_rows, feedback_job, feedback_report, feedback_worklist,
                        first_example_per_group, per_row)
 from .joins import Dim, attach, checked_broadcast, fits, fits_each, join_null_safe
-from .layout import spread
 from .prepare import (build_dimension, build_dimensions, build_star, classify_by_keywords,
                       encode_fact, filter_categories)
 from .quality import (Constraint, cascade_delete, cascade_rekey, constraint_report, enforce, fk_violations,

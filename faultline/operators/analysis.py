@@ -130,12 +130,15 @@ def difficulty_rank(fact: DataFrame, key: str | Sequence[str], distinct: str,
     aggs = [w.count().alias(total_name), _distinct_count(distinct, approx_rsd).alias(diversity_name)]
     aggs += [w.count_if(F.col(category) == F.lit(v)).alias(name) for v, name in categories.items()]
     per_key = rows.groupBy(*keys).agg(*aggs)
+    order = [F.col(total_name).desc(), F.col(diversity_name).asc()]
+    if view:
+        # The view is a plan, evaluated on every read: an ordinary window over
+        # one row per key, nothing materialised.
+        live = per_key.withColumn(rank_name, F.rank().over(Window.orderBy(*order)).cast("long"))
+        live.select(*keys, total_name, diversity_name, *categories.values(), rank_name).createOrReplaceTempView(view)
     ranked = rank_rows(per_key, [(total_name, False), (diversity_name, True)], out=rank_name)
     ranked = ranked.select(*keys, total_name, diversity_name, *categories.values(), rank_name)
-    res = ranked.orderBy(rank_name, *keys)
-    if view:
-        res.createOrReplaceTempView(view)
-    return res
+    return ranked.orderBy(rank_name, *keys)
 
 
 def share_within_group(fact: DataFrame, group: str | Sequence[str], member: str | Sequence[str],
@@ -216,9 +219,11 @@ def register_top_n_function(spark, name: str, view: str, keys: Sequence[str], ke
     stored-procedure form of :func:`top_n_ranked` (``CALL proc(10)`` becomes
     ``SELECT * FROM name(10)``).
 
-    ``LIMIT`` cannot take a parameter inside a SQL function, so the cut is
-    ``ROW_NUMBER() <= top_n`` (keys as tie-break), which Spark plans as a
-    per-partition top-n; ``RANK()`` is then taken over those rows only.
+    ``LIMIT`` cannot take a parameter inside a SQL function.  The rank of a
+    group depends on how many groups have a higher frequency, so the
+    frequencies are counted and only those - a row per distinct frequency - are
+    accumulated; the groups of the last frequency that fits in part are cut in
+    key order.
     """
     ks = ", ".join(_ident(k) for k in keys)
     cols = ", ".join(f"{_ident(k)} {t}" for k, t in zip(keys, key_types))
@@ -226,52 +231,67 @@ def register_top_n_function(spark, name: str, view: str, keys: Sequence[str], ke
         CREATE OR REPLACE TEMPORARY FUNCTION {_ident(name)}(top_n INT)
         RETURNS TABLE ({cols}, {_ident(out)} BIGINT, {_ident(rank_name)} BIGINT)
         RETURN
-        SELECT {ks}, {_ident(out)},
-               CAST(RANK() OVER (ORDER BY {_ident(out)} DESC) AS BIGINT) AS {_ident(rank_name)}
-        FROM (SELECT {ks}, COUNT(*) AS {_ident(out)},
-                     ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {ks}) AS _rn
-              FROM {_ident(view)} GROUP BY {ks})
-        WHERE _rn <= top_n
+        WITH c AS (SELECT {ks}, COUNT(*) AS _f FROM {_ident(view)} GROUP BY {ks}),
+        f AS (SELECT _f AS _g, COUNT(*) AS _k FROM c GROUP BY _f),
+        r AS (SELECT _g, _k, SUM(_k) OVER (ORDER BY _g DESC ROWS UNBOUNDED PRECEDING) - _k AS _before FROM f),
+        w AS (SELECT {ks}, _f, _before, _k FROM c JOIN r ON _f = _g WHERE _before < top_n),
+        t AS (SELECT {ks}, _f, _before FROM w WHERE _before + _k <= top_n
+              UNION ALL
+              SELECT {ks}, _f, _before FROM
+                  (SELECT *, ROW_NUMBER() OVER (PARTITION BY _f ORDER BY {ks}) AS _rn FROM w WHERE _before + _k > top_n)
+              WHERE _rn <= top_n - _before)
+        SELECT {ks}, _f, CAST(_before + 1 AS BIGINT) FROM t
     """)
     return name
 
 
 def value_counts(df: DataFrame, col: str | Sequence[str], out: str = "count",
-                 n: int | None = None) -> DataFrame:
+                 n: int | None = None, dropna: bool = True) -> DataFrame:
     """``Series.value_counts()``: rows per value, descending (ties by value);
-    ``n`` keeps the first n (``.head(n)``)."""
+    ``n`` keeps the first n (``.head(n)``).  NULL is no value, unless
+    ``dropna=False``."""
     cols = _list(col)
-    res = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
+    rows = df.dropna(subset=cols) if dropna else df
+    res = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
     res = res.orderBy(F.col(out).desc(), *[F.col(c) for c in cols])
     return res.limit(n) if n is not None else res
 
 
 def percent_of_total(df: DataFrame, col: str | Sequence[str], decimals: int = 1,
-                     out: str = "count", pct_name: str = "pct") -> DataFrame:
-    """Rows per value and their percentage of all rows (pie-chart labels).
+                     out: str = "count", pct_name: str = "pct", dropna: bool = True) -> DataFrame:
+    """Rows per value and their percentage of all rows with a value (pie-chart
+    labels); ``dropna=False`` makes NULL a value.
 
     The grand total is a scalar subquery over the per-value counts - one
     partial/final aggregate, no cross join and no global window.
     """
-    counts = value_counts(df, col, out=out)
+    counts = value_counts(df, col, out=out, dropna=dropna)
     total = counts.select(F.sum(out)).scalar()
     return counts.withColumn(pct_name, exact_percent(F.col(out), total, decimals))
 
 
 def crosstab_row_pct(df: DataFrame, row: str, col: str, values: Sequence, names: Sequence[str] | None = None,
-                     decimals: int | None = None) -> DataFrame:
+                     decimals: int | None = None, other: str | None = None) -> DataFrame:
     """``pd.crosstab(row, col, normalize="index") * 100``.
 
     ``values`` fixes the pivot columns (no extra job to discover them; a
     missing cell is 0).  ``names`` renames them.  Unrounded shares are
     ``count / row_total * 100`` in double, as pandas computes them;
-    ``decimals`` switches to exact rounding.  Rows whose ``col`` is not in
-    ``values`` still count in the row total.
+    ``decimals`` switches to exact rounding.  Rows with a NULL on either side
+    count nowhere.  Other values share the column ``other``; without it they
+    fail the job, so every row's shares make 100.
     """
     names = list(names) if names is not None else [f"{col}_{v}" for v in values]
-    per = (df.groupBy(row)
-             .agg(F.count(F.lit(1)).alias("_row_total"),
-                  *[F.count_if(F.col(col) == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(values)]))
+    is_listed = F.col(col).isin(list(values))
+    rows = df.dropna(subset=[row, col])
+    if other is None:
+        rows = rows.filter(F.when(is_listed, F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("value not listed: "), F.col(col).cast("string"))).cast("boolean")))
+    cells = [F.count_if(F.col(col) == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(values)]
+    if other is not None:
+        cells.append(F.count_if(~is_listed).alias(f"_c{len(names)}"))
+        names = names + [other]
+    per = rows.groupBy(row).agg(F.count(F.lit(1)).alias("_row_total"), *cells)
     if decimals is None:
         shares = [(F.col(f"_c{i}") / F.col("_row_total") * F.lit(100.0)).alias(nm)
                   for i, nm in enumerate(names)]
@@ -281,11 +301,13 @@ def crosstab_row_pct(df: DataFrame, row: str, col: str, values: Sequence, names:
 
 
 def group_count_mean(df: DataFrame, key: str | Sequence[str], count_of: str, mean_of: Column | str,
-                     count_name: str = "count", mean_name: str = "mean") -> DataFrame:
+                     count_name: str = "count", mean_name: str = "mean", dropna: bool = True) -> DataFrame:
     """``df.groupby(key).agg({count_of: "count", mean_of: "mean"})``: non-null
-    count of one column and mean of another (or of an expression)."""
+    count of one column and mean of another (or of an expression).  NULL keys
+    are no group, unless ``dropna=False``."""
     keys = _list(key)
     mean_col = F.col(mean_of) if isinstance(mean_of, str) else mean_of
-    return (df.groupBy(*keys)
+    rows = df.dropna(subset=keys) if dropna else df
+    return (rows.groupBy(*keys)
               .agg(F.count(count_of).alias(count_name), F.avg(mean_col).alias(mean_name))
               .orderBy(*keys))

@@ -10,7 +10,6 @@ late, and the prompt is a JVM ``concat``.  The service call runs inside
 
 from __future__ import annotations
 
-import os
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -49,12 +48,6 @@ def first_example_per_group(fact: DataFrame, group: str | Sequence[str], order_c
     return best
 
 
-# Up to this many top groups, their example ids are fetched with a pushed-down
-# IN filter (row-group statistics skip the rest of the fact); beyond it with
-# a broadcast semi join.
-PUSHDOWN_MAX_IDS = 10_000
-
-
 def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order_col: str,
                       template: str, fields: Mapping[str, str], example_columns: Sequence[str] = (),
                       example_dims: Sequence[Dim] = (), group_dims: Sequence[Dim] = (),
@@ -65,10 +58,9 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     first example and the rendered prompt.
 
     Plan: one scan of (group, order id) computes every group's count and
-    smallest id (partial/final aggregate); the top ``n`` groups - at most n
-    rows, the report's own limit - reach the driver; their example rows are
-    read with ``order_col IN (ids)``, a filter the parquet scan uses to skip
-    row groups, so the wide example columns are read for those rows only.
+    smallest id (partial/final aggregate); the top ``n`` groups are joined with
+    the fact on (group, id), so the wide example columns travel for those rows
+    only.  Nothing is collected; Spark and AQE choose the joins from sizes.
 
     Groups without an example cannot occur (every counted group has rows); a
     NULL template field makes the prompt NULL and such a row is dropped, as
@@ -76,91 +68,101 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     assigned before that filter, so gaps stay visible.
     """
     g = _list(group)
-    spark = fact.sparkSession
     stats = fact.groupBy(*g).agg(F.count(F.lit(1)).alias(frequency_name), F.min(order_col).alias("_first"))
     top = stats.orderBy(F.col(frequency_name).desc(), *[F.col(c) for c in g]).limit(n)
-    if n <= PUSHDOWN_MAX_IDS:
-        top_rows = top.collect()
-        top = spark.createDataFrame(top_rows, top.schema)
-        ids = [r["_first"] for r in top_rows]
-        candidates = fact.filter(F.col(order_col).isin(ids))
-    else:
-        candidates = join_null_safe(fact, F.broadcast(top.select(*g)), g, how="left_semi")
+    shared_dir(fact.sparkSession)
+    top = top.checkpoint(eager=True)  # at most n rows, computed once for both of its uses
+    first = top.select(*g, F.col("_first").alias(order_col))
+    candidates = join_null_safe(fact, first, [*g, order_col], how="left_semi")
     top = top.drop("_first").withColumn(rank_name, F.row_number().over(
         Window.orderBy(F.col(frequency_name).desc(), *[F.col(c) for c in g])).cast("long"))
     if group_dims:
         top, _ = attach(top, group_dims, keep=top.columns, broadcast_max_rows=broadcast_max_rows)
-    # Candidates of other groups can share an id: keep the top groups' rows.
-    candidates = join_null_safe(candidates, F.broadcast(top.select(*g)), g, how="left_semi")
     examples = first_example_per_group(candidates, g, order_col, example_columns, example_dims,
                                        broadcast_max_rows)
     examples = examples.withColumnRenamed(order_col, example_name)
-    # `top` and `examples` hold at most n rows: a proven bound for the broadcast.
-    rows = join_null_safe(top, F.broadcast(examples), g)
+    rows = join_null_safe(top, examples, g)
     cols = {k: F.col(v) for k, v in fields.items()}
     rows = rows.withColumn(prompt_name, render_template(template, cols))
     return rows.filter(F.col(prompt_name).isNotNull()).orderBy(rank_name)
 
 
-def per_row(fn: Callable[[str], str]) -> Callable[[pd.Series], pd.Series]:
+class per_row:  # noqa: N801 - used like a function
     """Adapt a one-prompt service call to the batch interface of :func:`enrich_rows`."""
-    def batch(prompts: pd.Series) -> pd.Series:
-        return prompts.map(fn)
-    return batch
+
+    def __init__(self, fn: Callable[[str], str]):
+        self.fn = fn
+
+    def __call__(self, prompts: pd.Series) -> pd.Series:
+        return prompts.map(self.fn)
 
 
 def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col: str,
                 output_col: str = "response", error_col: str = "error",
                 drop_failed: bool = True, materialize: bool = True,
-                pause_seconds: float = 0.0) -> DataFrame:
+                pause_seconds: float = 0.0, tasks: int | None = None) -> DataFrame:
     """Apply a caller-supplied *batch* function to ``input_col`` in the executors.
 
     ``fn`` maps a pandas Series of inputs to a Series of outputs (one client
-    per Python worker, batches of Arrow rows).  If a batch fails, its rows are
-    retried one by one; a failing row gets ``error_col`` set and, with
-    ``drop_failed``, is skipped like the reference's ``continue``.
-
-    ``pause_seconds`` waits after every call of ``fn`` in a worker (a rate
-    limit per client, like a pause between service calls).
-
-    With ``materialize`` the enriched rows are checkpointed into the shared
-    folder at once, so later actions (an upsert reads its input twice) never
-    call the service again; only a retried task repeats its calls, so keep
-    ``fn`` idempotent.
+    per Python worker, batches of Arrow rows).  A value that is an exception
+    is that row's failure.  A batch function that raises says nothing about
+    its rows, so they are called one by one; a one-prompt function
+    (:class:`per_row`) is called once a row and no success is repeated.  A
+    failing row gets ``error_col`` set and, with ``drop_failed``, is skipped
+    like the reference's ``continue``.
+
+    ``pause_seconds`` waits after every call of the service in a worker (a
+    rate limit per client): after each prompt for a one-prompt function.
+
+    The rows are dealt over ``tasks`` tasks (default: the shuffle partitions),
+    since a sorted and limited worklist arrives in one; the order of the
+    result is not that of ``df``.  With ``materialize`` the enriched rows are
+    checkpointed into the shared folder at once, so later actions (an upsert
+    reads its input twice) never call the service again; only a retried task
+    repeats its calls, so keep ``fn`` idempotent.
     """
     schema = StructType(list(df.schema.fields) + [StructField(output_col, StringType(), True),
                                                   StructField(error_col, StringType(), True)])
 
-    def call(values: pd.Series) -> list:
+    def call(service, value):
         try:
-            return list(fn(values))  # positional: the function's own index is ignored
+            return service(value)
         finally:
             if pause_seconds:
                 time.sleep(pause_seconds)
 
+    def one(service, value):
+        try:
+            return call(service, value)
+        except Exception as e:  # noqa: BLE001 - service errors vary
+            return e
+
+    def first(values):
+        return list(fn(pd.Series([values])))[0]
+
+    single = isinstance(fn, per_row)
+
+    def outcomes(inputs: pd.Series) -> list:
+        if single:
+            return [one(fn.fn, v) for v in inputs]
+        try:
+            values = list(call(fn, inputs))  # positional: the function's own index is ignored
+            if len(values) != len(inputs):
+                raise ValueError(f"batch function returned {len(values)} values for {len(inputs)} rows")
+            return values
+        except Exception:  # noqa: BLE001 - the batch as a whole failed
+            return [one(first, v) for v in inputs]
+
     def run(batches):
         for pdf in batches:
-            inputs = pdf[input_col]
-            try:
-                vals = call(inputs)
-                if len(vals) != len(pdf):
-                    raise ValueError(f"batch function returned {len(vals)} values for {len(pdf)} rows")
-                out = pd.Series(vals, index=pdf.index, dtype=object)
-                err = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            except Exception:  # retry per row; keep the failures visible
-                vals, errs = [], []
-                for v in inputs:
-                    try:
-                        vals.append(call(pd.Series([v]))[0])
-                        errs.append(None)
-                    except Exception as e:  # noqa: BLE001 - service errors vary
-                        vals.append(None)
-                        errs.append(f"{type(e).__name__}: {e}")
-                out = pd.Series(vals, index=pdf.index, dtype=object)
-                err = pd.Series(errs, index=pdf.index, dtype=object)
-            yield pdf.assign(**{output_col: out.where(out.isna(), out.astype(str)), error_col: err})
-
-    res = df.mapInPandas(run, schema)
+            values = outcomes(pdf[input_col])
+            errors = [f"{type(v).__name__}: {v}" if isinstance(v, Exception) else None for v in values]
+            out = pd.Series([None if e else v for v, e in zip(values, errors)], index=pdf.index, dtype=object)
+            yield pdf.assign(**{output_col: out.where(out.isna(), out.astype(str)),
+                                error_col: pd.Series(errors, index=pdf.index, dtype=object)})
+
+    spread = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    res = df.repartition(spread).mapInPandas(run, schema)
     if materialize:
         shared_dir(df.sparkSession)
         res = res.checkpoint(eager=True)
@@ -221,7 +223,7 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
     else:
         schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields])
         old = spark.createDataFrame([], f"feedback_id long, {schema}, generated_at timestamp_ntz")
-    if table_path and os.path.normpath(table_path) == os.path.normpath(out_path):
+    if table_path and table_path.rstrip("/") == out_path.rstrip("/"):
         raise ValueError("write the new version to a new path, not over its input")
     merged = upsert_by_key(old, rows, g, id_col="feedback_id", touched_col="generated_at", now=now)
     merged.write.mode(mode).parquet(out_path)

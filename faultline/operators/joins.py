@@ -23,11 +23,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-# Upper bound on rows of a side we broadcast without Spark's own size check.
-# 2M rows of a key plus a few short attributes stay well below the default
-# 8 GB broadcast limit and typical executor memory.
+# Upper bounds of a side we broadcast without Spark's own size check: rows, and
+# the bytes of its values.  Far below Spark's 8 GB limit and executor memory.
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 WEIGHT = "_w"
 
@@ -37,31 +38,46 @@ def _names(x) -> tuple[str, ...]:
 
 
 def fits(df: DataFrame, max_rows: int | None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
+    """True when ``df`` has at most ``max_rows`` rows and BROADCAST_MAX_BYTES."""
     return fits_each([df], max_rows)[0]
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: text and binary by length, others 16 each."""
+    size = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) + F.lit(16)
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            size = size + F.octet_length(F.coalesce(F.to_json(F.struct(F.col(f.name))), F.lit("")))
+        else:
+            size = size + F.lit(16)
+    return size.cast("long")
+
+
 def fits_each(dfs: Sequence[DataFrame], max_rows: int | None) -> list[bool]:
-    """Exact row counts of several (dimension) DataFrames in one job.
+    """Whether several (dimension) DataFrames are small, in one job: exact row
+    counts and value bytes.
 
-    A partial/final count: each task sends one row per input to the final
-    aggregate, so no rows move (``limit(n).count()`` would ship up to n rows
-    from every task to one partition).  Parquet inputs are counted from
-    file footers; derived dimensions are evaluated once.  Dimensions are
-    small next to the fact, so this pass is cheap relative to the query.
+    A partial/final aggregate: each task sends one row per input to the final
+    one, so no rows move (``limit(n).count()`` would ship up to n rows from
+    every task to one partition).  Dimensions are small next to the fact, so
+    this pass is cheap relative to the query.
     """
     if not dfs:
         return []
     if max_rows is None or max_rows < 0:
         return [False] * len(dfs)
-    parts = [d.select(F.lit(i).alias("_i")) for i, d in enumerate(dfs)]
-    counts = dict(reduce(DataFrame.unionAll, parts).groupBy("_i").count().collect())
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+    parts = [d.select(F.lit(i).alias("_i"), _row_bytes(d).alias("_b")) for i, d in enumerate(dfs)]
+    found = {r["_i"]: r for r in reduce(DataFrame.unionAll, parts).groupBy("_i")
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("_b").alias("b")).collect()}
+    return [i not in found or (found[i]["n"] <= max_rows and found[i]["b"] <= BROADCAST_MAX_BYTES)
+            for i in range(len(dfs))]
 
 
 def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise leave the
-    choice to Spark's size estimate and AQE."""
+    """Broadcast hint only behind a proven bound of rows and bytes; otherwise
+    leave the choice to Spark's size estimate and AQE."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
+from ..session import shared_dir
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, fits_each
-from .layout import spread
 from .quality import null_counts
 from .ranking import rank_rows
 
@@ -75,8 +75,8 @@ def classify_by_keywords(df: DataFrame, text_col: str, rules: Sequence[tuple] =
     row rather than once per rule.
     """
     if not upper:
-        return spread(df).withColumn(out, keyword_label(F.col(text_col), rules, default, False))
-    folded = spread(df).withColumn("_upper_text", F.upper(F.col(text_col)))
+        return df.withColumn(out, keyword_label(F.col(text_col), rules, default, False))
+    folded = df.withColumn("_upper_text", F.upper(F.col(text_col)))
     return (folded.withColumn(out, keyword_label(F.col("_upper_text"), rules, default, upper=False))
                   .drop("_upper_text"))
 
@@ -181,6 +181,7 @@ def build_star(flat: DataFrame, order_col: str, dimensions: Sequence[tuple],
                default: str | None = CONCEPT_DEFAULT, label_col: str = "concept") -> Star:
     """Prepare flat records: filter, classify, build dimensions, encode.
 
+    The text is read once, for the label; the encoded fact does not hold it.
     ``dimensions``: ``(column, id_name, mode)`` with mode ``sorted`` or
     ``first_seen``.  The label column from classification may be listed too.
     """
@@ -189,6 +190,9 @@ def build_star(flat: DataFrame, order_col: str, dimensions: Sequence[tuple],
         df = filter_categories(df, category_col, keep)
     if text_col:
         df = classify_by_keywords(df, text_col, rules, default, out=label_col)
+        # Dimensions and fact read the narrow labelled rows, not the texts again.
+        shared_dir(df.sparkSession)
+        df = df.drop(text_col).checkpoint(eager=True)
     dims = build_dimensions(df, dimensions, order_col)
     encodings = [(col, dims[col], col, id_name) for col, id_name, _ in dimensions]
     return Star(encode_fact(df, encodings), dims, null_counts(flat))

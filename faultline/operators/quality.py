@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -92,9 +92,12 @@ def length_violations(df: DataFrame, col: str, max_len: int, out: str = "length"
 
 def restrict_delete_blocked(parent: DataFrame, child: DataFrame, parent_key: str | Sequence[str],
                             child_key: str | Sequence[str] | None = None) -> DataFrame:
-    """Parent rows that ``ON DELETE RESTRICT`` protects: they have children."""
+    """Parent rows that ``ON DELETE RESTRICT`` protects: they have children.
+
+    The child is first reduced to its distinct keys (a hot key is one row per
+    task)."""
     pk, ck = _list(parent_key), _list(child_key or parent_key)
-    refs = child.select(*[F.col(c).alias(p) for c, p in zip(ck, pk)])
+    refs = child.select(*[F.col(c).alias(p) for c, p in zip(ck, pk)]).distinct()
     return parent.join(refs, on=pk, how="left_semi")
 
 
@@ -110,10 +113,14 @@ def cascade_rekey(child: DataFrame, mapping: DataFrame, child_key: str,
                   old: str = "old_key", new: str = "new_key") -> DataFrame:
     """Apply ``ON UPDATE CASCADE``: children take the parent's new key.
 
-    ``mapping`` holds (old, new) pairs; unmapped children keep their key.
+    ``mapping`` holds (old, new) pairs, one per old key (more are rejected when
+    the job runs); unmapped children keep their key.
     Left join on the old key, so no child row is lost.
     """
-    m = mapping.select(F.col(old).alias(child_key), F.col(new).alias("_new_key"))
+    # A row per old key; a key mapped twice would multiply its children.
+    m = (mapping.groupBy(F.col(old).alias(child_key)).agg(F.any_value(new).alias("_n"), F.count(F.lit(1)).alias("_c"))
+         .select(child_key, F.when(F.col("_c") > 1, F.raise_error(F.lit("old key mapped more than once")))
+                 .otherwise(F.col("_n")).alias("_new_key")))
     cols = [F.coalesce(F.col("_new_key"), F.col(child_key)).alias(child_key) if c == child_key
             else F.col(c) for c in child.columns]
     return child.join(m, on=child_key, how="left").select(*cols)
@@ -132,18 +139,19 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 
     Values are compared as strings.  One scan: the columns are unpivoted to
     (column, value), counted per value (partial/final aggregate), then folded
-    per column; ``top`` ties go to the smallest value.
+    per column; ``top`` ties go to the smallest value.  NULLs count in nothing;
+    a column of NULLs alone has count and unique 0 and no top.
     """
     cols = list(cols or df.columns)
-    long = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-              .unpivot([], cols, "column", "value")
-              .filter(F.col("value").isNotNull()))
-    per_value = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    per_value = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
+                   .unpivot([], cols, "column", "value")
+                   .groupBy("column", "value").agg(F.count("value").alias("_n")))  # one row for all NULLs, counting 0
+    some = F.col("value").isNotNull()
     return (per_value.groupBy("column")
                      .agg(F.sum("_n").cast("long").alias("count"),
-                          F.count(F.lit(1)).alias("unique"),
-                          F.min_by("value", F.struct(-F.col("_n"), F.col("value"))).alias("top"),
-                          F.max("_n").alias("freq"))
+                          F.count("value").alias("unique"),
+                          F.min_by("value", F.when(some, F.struct(-F.col("_n"), F.col("value")))).alias("top"),
+                          F.max(F.when(some, F.col("_n"))).alias("freq"))
                      .orderBy("column"))
 
 
@@ -224,40 +232,55 @@ def _row_violation(c: Constraint):
 def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
     """One row per constraint: table, kind, columns, violation count.
 
-    Row-level checks (not null, range, length) of one table share a single
-    scan with one conditional count each; key checks are partial/final
-    aggregates and references anti joins, each reduced to one count.  All
-    counts are combined with ``unionByName`` into one lazily planned query
-    (no driver loop over data).  Constraints on tables missing from
-    ``tables`` are skipped.
+    Every table is scanned once: a row gives an entry (constraint, key) for
+    each key it has or refers to, and one without a key for each check it
+    breaks.  One partial/final aggregate counts the child and parent entries
+    of every key (a hot key is one row per task), a second one the violations
+    of every constraint: rows breaking a check, keys that repeat, child rows
+    whose key has no parent.  A constraint on a table that is not given is an
+    error: it would pass unchecked.
     """
-    def label(c: Constraint):
-        return [F.lit(c.table).alias("table_name"), F.lit(c.kind).alias("kind"),
-                F.lit(",".join(c.columns)).alias("columns")]
-
-    usable = [c for c in constraints
-              if c.table in tables and not (c.kind == "foreign_key" and c.arg[0] not in tables)]
-    parts = []
-    by_table: dict[str, list[Constraint]] = {}
-    for c in usable:
+    constraints = list(constraints)
+    if not constraints:
+        raise ValueError("no constraint given")
+    needed = {c.table for c in constraints} | {c.arg[0] for c in constraints if c.kind == "foreign_key"}
+    if missing := sorted(needed - set(tables)):
+        raise ValueError("constraints on tables that are not given: " + ", ".join(missing))
+
+    def key(cols) -> Column:
+        return F.array(*[F.col(x).cast("string") for x in cols])
+
+    def entry(i: int, when: Column, value: Column, child: int, parent: int) -> Column:
+        return F.when(when, F.struct(F.lit(i).alias("id"), value.alias("key"), F.lit(child).alias("child"),
+                                     F.lit(parent).alias("parent")))
+
+    entries: dict[str, list[Column]] = {}
+    no_key = F.array().cast("array<string>")
+    for i, c in enumerate(constraints):
+        filled = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c.columns])
+        mine = entries.setdefault(c.table, [])
         if c.kind in _ROW_LEVEL:
-            by_table.setdefault(c.table, []).append(c)
-    for table, cs in by_table.items():
-        counts = tables[table].agg(*[F.count_if(_row_violation(c)).alias(f"_v{i}") for i, c in enumerate(cs)])
-        for i, c in enumerate(cs):
-            parts.append(counts.select(*label(c), F.col(f"_v{i}").alias("violations")))
-    for c in usable:
-        if c.kind == "foreign_key":
+            mine.append(entry(i, F.coalesce(_row_violation(c), F.lit(False)), no_key, 1, 0))
+        elif c.kind == "foreign_key":
             parent, pcols = c.arg
-            orphans = orphan_keys(tables[c.table], tables[parent], list(c.columns), list(pcols), out="_n")
-            parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("violations"))
-                         .select(*label(c), F.col("violations")))
-        elif c.kind not in _ROW_LEVEL:
-            parts.append(violations(tables, c).agg(F.count(F.lit(1)).alias("violations")).select(
-                *label(c), F.col("violations")))
-    if not parts:
-        raise ValueError("no constraint applies to the given tables")
-    return reduce(DataFrame.unionByName, parts)
+            mine.append(entry(i, filled, key(c.columns), 1, 0))
+            entries.setdefault(parent, []).append(entry(i, F.lit(True), key(pcols), 0, 1))
+        else:  # NULLs never collide in a UNIQUE key
+            mine.append(entry(i, filled if c.kind == "unique" else F.lit(True), key(c.columns), 1, 0))
+    rows = reduce(DataFrame.unionAll, [
+        tables[t].select(F.explode(F.array_compact(F.array(*es))).alias("e")).select("e.*")
+        for t, es in entries.items()])
+    per_key = rows.groupBy("id", "key").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    kind = F.element_at(F.array(*[F.lit(c.kind) for c in constraints]), F.col("id") + 1)
+    broken = (F.when(kind.isin(*_ROW_LEVEL), F.col("child"))
+              .when(kind == "foreign_key", F.when(F.col("parent") == 0, F.col("child")).otherwise(0))
+              .otherwise((F.col("child") > 1).cast("long")))
+    counts = per_key.groupBy("id").agg(F.sum(broken).alias("violations"))
+    listed = tables[constraints[0].table].sparkSession.createDataFrame(
+        [(i, c.table, c.kind, ",".join(c.columns)) for i, c in enumerate(constraints)],
+        "id int, table_name string, kind string, columns string")
+    return (listed.join(counts, "id", "left")
+            .select("table_name", "kind", "columns", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))
 
 
 def enforce(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint]) -> None:

@@ -2,10 +2,10 @@
 
 ``Window.orderBy(...)`` with no partition moves every row to one task.  Here
 rows are range-partitioned on the sort key, sorted within partitions and
-numbered by position; per-partition counts - one number per partition, a
-bound set by the partition count and not by the data, summed on the driver -
-give each partition's offset.  The range-sorted rows are checkpointed once
-into the session's shared folder, so counts and positions come from one
+numbered by position; each partition's offset is the running total of the
+partitions before it - one number per partition, a bound set by the partition
+count and not by the data.  The range-sorted rows are checkpointed once into
+the session's shared folder, so counts and positions come from one
 materialisation, also when a task or an executor is retried.
 
 ``rank`` needs only how many rows each sort key has.  The input is reduced
@@ -13,17 +13,16 @@ to its distinct keys with their counts (partial/final aggregate: a key - or a
 group of identical rows - holding a third of the input is one row per task),
 the unique keys are ranked by a weighted running sum inside each range
 partition plus the partition's offset, and the ranks are joined back on the
-key (broadcast when the number of keys is proven small, else a shuffle join
-AQE can split).  The input itself is checkpointed first, so its lineage is
-evaluated once; when its row count proves it small (``SINGLE_TASK_MAX_ROWS``)
-an ordinary window ranks it in one task instead.
+key (broadcast when the keys are proven small, else a shuffle join AQE can
+split).  The input itself is checkpointed first, so its lineage is evaluated
+once.
 
-``row_number`` numbers the rows: the range key is the sort key plus a hash of
-the row, so a large tie group spreads over partitions:
+``row_number`` numbers the rows: the range key is the sort key, a hash of the
+row, the row's values, and - between identical rows - where the checkpoint
+holds them, so large tie groups and piles of identical rows spread over
+partitions and the numbers do not depend on the input's layout.
 
-    row_number = offset(partition) + position + 1
-
-Rows in *read* order need no sort at all: :func:`sequence_ids`.
+There is one path for every size.  Rows in *read* order: :func:`sequence_ids`.
 """
 
 from __future__ import annotations
@@ -31,15 +30,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from ..session import shared_dir
-from .joins import DEFAULT_BROADCAST_MAX_ROWS
+from .joins import DEFAULT_BROADCAST_MAX_ROWS, fits
 
 _SALT, _MID, _PID, _POS, _N, _OFF, _ROW = ("_rk_salt", "_rk_mid", "_rk_pid", "_rk_pos", "_rk_n",
                                            "_rk_off", "_rk_row")
+_FILE, _BLOCK = "_rk_file", "_rk_block"
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | position
 
 
@@ -59,13 +60,11 @@ def sort_columns(order: Sequence) -> list[Column]:
     return [F.col(n).asc_nulls_first() if a else F.col(n).desc_nulls_last() for n, a in _order(order)]
 
 
-def _offsets(spark, sizes: list[tuple[int, int]]):
-    """Running totals of per-partition sizes (one number per partition)."""
-    offsets, acc = [], 0
-    for pid, cnt in sorted(sizes):
-        offsets.append((pid, acc))
-        acc += cnt
-    return spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, {_OFF} long"), acc
+def _offsets(ranged: DataFrame, weight: Column) -> DataFrame:
+    """Running total of the partitions before each: a row per partition."""
+    sizes = ranged.groupBy(_PID).agg(weight.alias(_OFF))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(_PID, F.coalesce(F.sum(_OFF).over(before), F.lit(0)).alias(_OFF))
 
 
 def _range_materialised(df: DataFrame, sort: list[Column], partitions: int | None) -> DataFrame:
@@ -81,101 +80,71 @@ def _range_materialised(df: DataFrame, sort: list[Column], partitions: int | Non
         _POS, F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
 
 
-# Up to this many rows (counted on the materialised input) one task ranks
-# them with an ordinary window; beyond it the work is range-partitioned.
-SINGLE_TASK_MAX_ROWS = 100_000
-
-
 def rank_rows(df: DataFrame, order: Sequence, out: str = "rank", method: str = "rank",
               partitions: int | None = None,
-              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-              single_task_max_rows: int | None = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+              broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Add a global ``rank`` or ``row_number`` column (BIGINT) ordered by ``order``.
 
-    ``order``: column names (ascending) or ``(name, ascending)`` pairs.
-
-    The input is checkpointed first (its lineage is evaluated once) and
-    counted; when the count proves it holds at most ``single_task_max_rows``
-    rows, one window ranks it in one task.  Otherwise:
-
-    ``rank`` depends only on how many rows each sort key has: the input is
-    reduced to its distinct keys with their counts (a partial/final
-    aggregate, so a hot key or a pile of identical rows is one row per task),
-    those unique keys are ranked by a weighted running sum, and the ranks
-    are joined back.  ``row_number`` numbers the rows themselves; ties are
-    ordered by a hash of the row, i.e. arbitrarily but reproducibly.
+    ``order``: column names (ascending) or ``(name, ascending)`` pairs.  Rows
+    tied on ``order`` are numbered by a hash of the row and then by their
+    values: the same numbers whatever the input's order and partitioning.
     """
     if method not in ("rank", "row_number"):
         raise ValueError(f"unknown method {method!r}")
-    spark = df.sparkSession
-    shared_dir(spark)
+    shared_dir(df.sparkSession)
     names = [n for n, _ in _order(order)]
     cols = df.columns
     base = df.checkpoint(eager=True)
-    if single_task_max_rows is not None and base.count() <= single_task_max_rows:
-        fn = F.rank() if method == "rank" else F.row_number()
-        # Bounded by the count just taken, like a checked broadcast.
-        return base.withColumn(out, fn.over(Window.orderBy(*sort_columns(order))).cast("long"))
     if method == "rank":
         return _rank_by_key_counts(base, order, names, out, partitions, broadcast_max_rows)
 
-    sort = sort_columns(order) + [F.col(_SALT)]
     hashable = [f.name for f in base.schema.fields if not isinstance(f.dataType, MapType)]
     salt = F.xxhash64(*[F.col(c) for c in hashable]) if hashable else F.lit(0).cast("long")
-    ranged = _range_materialised(base.withColumn(_SALT, salt), sort, partitions)
-    # One count per partition: at most one number per task reaches the driver,
-    # which turns them into offsets.
-    offsets_df, _ = _offsets(spark, [(r[0], r[1]) for r in
-                                     ranged.groupBy(_PID).agg(F.count(F.lit(1))).collect()])
-    return ranged.join(F.broadcast(offsets_df), on=_PID, how="inner").select(
+    placed = base.withColumn(_SALT, salt).withColumn(_ROW, F.monotonically_increasing_id())
+    ties = [F.col(c) for c in hashable if c not in names]
+    sort = [*sort_columns(order), F.col(_SALT), *ties, F.col(_ROW)]
+    ranged = _range_materialised(placed, sort, partitions)
+    offsets = _offsets(ranged, F.count(F.lit(1)))  # a row per partition
+    return ranged.join(F.broadcast(offsets), on=_PID, how="inner").select(
         *cols, (F.col(_OFF) + F.col(_POS) + F.lit(1)).cast("long").alias(out))
 
 
 def _rank_by_key_counts(df: DataFrame, order: Sequence, names: list[str], out: str,
                         partitions: int | None, broadcast_max_rows: int | None) -> DataFrame:
     """``rank`` of a materialised input through its distinct keys (see rank_rows)."""
-    spark = df.sparkSession
     keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias(_N))          # unique keys, no ties left
     ranged = _range_materialised(keys, sort_columns(order), partitions)
     # Rows of one range partition meet in one task (their partition's size),
     # where a running sum gives the rows with a smaller key inside it.
     before = Window.partitionBy(_PID).orderBy(_POS).rowsBetween(Window.unboundedPreceding, -1)
     inside = ranged.withColumn(_ROW, F.coalesce(F.sum(_N).over(before), F.lit(0)))
-    per_part = ranged.groupBy(_PID).agg(F.sum(_N), F.count(F.lit(1))).collect()
-    offsets_df, _ = _offsets(spark, [(r[0], r[1]) for r in per_part])
-    distinct_keys = sum(r[2] for r in per_part)
-    ranks = inside.join(F.broadcast(offsets_df), on=_PID, how="inner").select(
+    ranks = inside.join(F.broadcast(_offsets(ranged, F.sum(_N))), on=_PID, how="inner").select(
         *[F.col(c) for c in names], (F.col(_OFF) + F.col(_ROW) + F.lit(1)).cast("long").alias(out))
-    # One row per distinct key: broadcast when that proven count is small.
-    small = broadcast_max_rows is not None and distinct_keys <= broadcast_max_rows
     keyed = [f"_rk_k{i}" for i in range(len(names))]
+    # One row per distinct key: broadcast when those are proven small.
+    small = fits(ranged.select(*names), broadcast_max_rows)
     ranks = ranks.select(*[F.col(c).alias(k) for c, k in zip(names, keyed)], out)
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(names, keyed)])
     return (df.join(F.broadcast(ranks) if small else ranks, on=cond, how="inner")
               .select(*df.columns, out))
 
 
-def sequence_ids(df: DataFrame, out: str = "id") -> DataFrame:
-    """Number rows 1..n in the order they are read (``zipWithIndex``).
+def sequence_ids(df: DataFrame, out: str = "id", order: Sequence | None = None) -> DataFrame:
+    """Number rows 1..n in ingest order.
 
-    A monotonically increasing id encodes (partition, position); one count
-    per partition - summed on the driver into offsets, one number per
-    partition - turns it into a contiguous sequence.  No shuffle and no
-    materialisation of the rows.  The input must be read deterministically
-    (a file scan followed by row-wise operations), since the counts and the
-    ids come from two evaluations of it.
+    ``order`` names the ingest column(s).  Without it the rows of a file scan
+    (and row-wise operations on it) are numbered by file name, then by their
+    position in the file: Spark packs files into tasks by size, so the read
+    order itself is no order.  A DataFrame that no file stands behind is
+    numbered in the order of its partitions.
     """
-    spark = df.sparkSession
     cols = df.columns
-    seq = df.withColumn(_MID, F.monotonically_increasing_id())
-    pid = F.shiftright(F.col(_MID), _POS_BITS)
-    sizes = sorted((r[0], r[1]) for r in seq.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1))).collect())
-    offsets, acc = [], 0
-    for p, cnt in sizes:
-        offsets.append((p, acc))
-        acc += cnt
-    offsets_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} long, {_OFF} long")
-    pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    return (seq.withColumn(_PID, pid)
-               .join(F.broadcast(offsets_df), on=_PID, how="inner")
-               .select((F.col(_OFF) + pos + F.lit(1)).cast("long").alias(out), *cols))
+    if order is not None:
+        return rank_rows(df, order, out=out, method="row_number").select(out, *cols)
+    position = F.monotonically_increasing_id().alias(_MID)  # ascending inside a block of a file
+    try:
+        seq = df.select(*cols, F.col("_metadata.file_path").alias(_FILE),
+                        F.col("_metadata.file_block_start").alias(_BLOCK), position)
+    except AnalysisException:  # no file behind it
+        seq = df.select(*cols, F.lit("").alias(_FILE), F.lit(0).cast("long").alias(_BLOCK), position)
+    return rank_rows(seq, [_FILE, _BLOCK, _MID], out=out, method="row_number").select(out, *cols)

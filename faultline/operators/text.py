@@ -19,10 +19,9 @@ from pyspark.sql.types import IntegralType
 from ..functions.numeric import intdiv
 from ..functions.text import tokens
 from ..session import shared_dir
-from .layout import spread
 
-# The default English stop-word list of the word-cloud step
-# (lower case, apostrophes kept).
+# The English stop-word list of the public Python package
+# "wordcloud" (MIT licence), lower case, apostrophes kept.
 STOPWORDS = frozenset("""
 a about above after again against all also am an and any are aren't as at
 be because been before being below between both but by
@@ -63,7 +62,7 @@ def word_counts(df: DataFrame, text: str | Column, word: str = "word", out: str
     NULL texts are skipped (``dropna``); ``stopwords`` are filtered with an
     IN-set predicate before the shuffle.
     """
-    texts = spread(df.select(_col(text).alias("_text")))
+    texts = df.select(_col(text).alias("_text"))
     words = texts.select(F.explode(tokens("_text")).alias(word))
     if stopwords is not None:
         words = words.filter(~F.col(word).isin(sorted(set(stopwords))))
@@ -77,12 +76,36 @@ def top_words(df: DataFrame, text: str | Column, n: int = 20, word: str = "word"
     return counts.orderBy(F.col(out).desc(), F.col(word)).limit(n)
 
 
+def cloud_words(df: DataFrame, text: str | Column, stopwords: Iterable[str] = STOPWORDS,
+                word: str = "word", out: str = "n") -> DataFrame:
+    """Word-cloud words and their counts.
+
+    Words are runs of two or more word characters and inner apostrophes,
+    lower-cased, so punctuation goes before stop words are looked up; a
+    possessive ``'s`` is dropped; numbers and stop words are left out.  A word
+    that ends in a single ``s`` counts for the word without it where that
+    occurs too.  NULL texts are skipped.
+    """
+    found = F.explode(F.regexp_extract_all(F.lower(_col(text)), F.lit(r"[\p{L}\p{N}\p{M}_][\p{L}\p{N}\p{M}_']+"), 0)).alias("_w")
+    bare = F.regexp_replace(F.col("_w"), r"'s$", "")
+    words = (df.select(found).select(bare.alias(word))
+             .filter(~F.col(word).rlike(r"^\p{Nd}+$") & ~F.col(word).isin(sorted(set(stopwords))) & (F.col(word) != "")))
+    counts = words.groupBy(word).agg(F.count(F.lit(1)).alias("_n"))
+    # A plural and its singular meet under the singular; without one the word keeps its s.
+    plural = F.col(word).endswith("s") & ~F.col(word).endswith("ss") & (F.length(word) > 2)
+    stem = F.when(plural, F.expr(f"left(`{word}`, length(`{word}`) - 1)")).otherwise(F.col(word))
+    met = (counts.withColumn("_stem", stem).withColumn("_plural", plural.cast("int"))
+           .groupBy("_stem").agg(F.sum("_n").alias(out), F.max(F.when(F.col("_plural") == 0, F.col(word))).alias("_single"),
+                                 F.max(word).alias("_any")))
+    return met.select(F.coalesce("_single", "_any").alias(word), F.col(out).cast("long").alias(out))
+
+
 def word_weights(df: DataFrame, text: str | Column, n: int = 200,
                  stopwords: Iterable[str] = STOPWORDS, word: str = "word", out: str = "n",
                  weight: str = "weight") -> DataFrame:
-    """Word-cloud input: the ``n`` most frequent non-stop-words and their
+    """Word-cloud input: the ``n`` most frequent :func:`cloud_words` and their
     weight relative to the most frequent one (largest = 1.0)."""
-    counts = word_counts(df, text, word, out, stopwords=stopwords)
+    counts = cloud_words(df, text, stopwords, word, out)
     top = counts.orderBy(F.col(out).desc(), F.col(word)).limit(n)
     # The largest count of all words is the first of the top n: a window
     # over those at most n rows, no second pass over the texts.

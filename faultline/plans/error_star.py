@@ -25,19 +25,20 @@ Tables = Mapping[str, DataFrame]
 KEPT_TYPES = ("syntax", "schema")
 
 
-def prepare_error_star(flat: DataFrame, keep_types=KEPT_TYPES) -> dict[str, DataFrame]:
+def prepare_error_star(flat: DataFrame, keep_types=KEPT_TYPES, order=None) -> dict[str, DataFrame]:
     """Flat records (``query, error_type, error_subtype, emotion,
     feedback_target, intended_learning_outcome``) -> the six tables.
 
-    Rows are numbered in file order (``submission_id`` 1..n); concepts come
+    Rows are numbered in ingest order (``submission_id`` 1..n): by the column(s)
+    ``order``, else by file name and position in the file; concepts come
     from the keyword ladder; type, subtype, emotion and concept ids follow the
     sorted names, outcome ids the first appearance.  Each subtype takes the
     type id of its rows (the subtype -> type dependency is checked by
     ``quality.functional_dependency``).
     """
-    # Ids in file order straight after the scan and filter: no shuffle.
-    kept = sequence_ids(P.filter_categories(flat, "error_type", keep_types), "submission_id")
-    kept = P.classify_by_keywords(kept, "query", out="concept")
+    # Classified before the rows are numbered (and materialised): each text is searched once.
+    kept = P.classify_by_keywords(P.filter_categories(flat, "error_type", keep_types), "query", out="concept")
+    kept = sequence_ids(kept, "submission_id", order)
     dims = P.build_dimensions(kept, [("error_type", "error_type_id", "sorted"),
                                      ("error_subtype", "subtype_id", "sorted"),
                                      ("emotion", "emotion_id", "sorted"),
@@ -192,7 +193,7 @@ def profile_records(flat: DataFrame, bins: int = 40) -> dict[str, DataFrame]:
 
     length = F.length(F.col("feedback_target").cast("string"))
     with_len = flat.withColumn("feedback_length", length)
-    emotions = [r[0] for r in flat.select("emotion").distinct().orderBy("emotion").collect()]
+    emotions = [r[0] for r in flat.select("emotion").dropna().distinct().orderBy("emotion").collect()]
     return {
         "shape": Q.profile_shape(flat),
         "head": Q.head_rows(flat, flat.columns[0], 5),

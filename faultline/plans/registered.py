@@ -10,14 +10,13 @@ statement with the same column names for each.
 
 from __future__ import annotations
 
-import hashlib
-import os
 from collections.abc import Callable
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, LongType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from ..functions.text import escape_literal, left, preview, render_template
 from ..operators import analysis as A
@@ -27,16 +26,8 @@ from ..operators import quality as Q
 from ..operators import text as TX
 from ..operators.joins import Dim
 from ..operators.ranking import sequence_ids
-from ..session import scratch_path, stable_path
+from ..session import scratch_path
 from ..sources import tables as S
-from ..streaming import upsert_each_batch
-
-
-def _out(spark: SparkSession, name: str, sf: str) -> str:
-    """Output folder of a writing query: one per query and input folder,
-    rewritten on every run."""
-    tag = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:10]
-    return stable_path(spark, f"{name}-{tag}")
 
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,7 +219,7 @@ def q_classify_by_keywords(spark, sf):
 
 
 @register("value_counts", f"""
-SELECT concept, COUNT(*) AS count FROM (SELECT {_DOC_CASE} AS concept FROM documents)
+SELECT concept, COUNT(*) AS count FROM (SELECT {_DOC_CASE} AS concept FROM documents) WHERE concept IS NOT NULL
 GROUP BY concept ORDER BY count DESC, concept
 """)
 def q_value_counts(spark, sf):
@@ -236,7 +227,8 @@ def q_value_counts(spark, sf):
 
 
 @register("top_values", """
-SELECT source, COUNT(*) AS count FROM documents GROUP BY source ORDER BY count DESC, source LIMIT 10
+SELECT source, COUNT(*) AS count FROM documents WHERE source IS NOT NULL GROUP BY source
+ORDER BY count DESC, source LIMIT 10
 """)
 def q_top_values(spark, sf):
     """The ten most frequent sources (``value_counts().head(10)``), ties by value."""
@@ -244,7 +236,7 @@ def q_top_values(spark, sf):
 
 
 @register("percent_of_total", f"""
-WITH c AS (SELECT lang, COUNT(*) AS count FROM documents GROUP BY lang),
+WITH c AS (SELECT lang, COUNT(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY lang),
 t AS (SELECT CAST(SUM(count) AS BIGINT) AS tot FROM c)
 SELECT c.lang, c.count, {_pct_sql('c.count', 't.tot')} AS pct FROM c, t
 ORDER BY c.count DESC, c.lang
@@ -275,6 +267,7 @@ SELECT d.lang,
        CAST(COUNT_IF(l.quality = 0) AS DOUBLE) / COUNT(*) * CAST(100.0 AS DOUBLE) AS q0,
        CAST(COUNT_IF(l.quality = 1) AS DOUBLE) / COUNT(*) * CAST(100.0 AS DOUBLE) AS q1
 FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+WHERE d.lang IS NOT NULL AND l.quality IS NOT NULL
 GROUP BY d.lang ORDER BY d.lang
 """)
 def q_crosstab_row_pct(spark, sf):
@@ -284,7 +277,8 @@ def q_crosstab_row_pct(spark, sf):
 
 
 @register("group_count_mean", """
-SELECT lang, COUNT(text) AS count, AVG(length(text)) AS mean FROM documents GROUP BY lang ORDER BY lang
+SELECT lang, COUNT(text) AS count, AVG(length(text)) AS mean FROM documents WHERE lang IS NOT NULL
+GROUP BY lang ORDER BY lang
 """)
 def q_group_count_mean(spark, sf):
     return A.group_count_mean(_t(spark, sf, "documents"), "lang", "text", F.length("text"))
@@ -315,9 +309,14 @@ def _sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values))
 
 
-@register("word_weights", f"""
-WITH c AS (SELECT word, COUNT(*) AS n FROM {_WORDS}
-           WHERE word <> '' AND word NOT IN ({_sql_list(TX.STOPWORDS)}) GROUP BY word)
+@register("word_weights", rf"""
+WITH w AS (SELECT regexp_replace(unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}\p{{M}}_][\p{{L}}\p{{N}}\p{{M}}_'']+')),
+                                 '''s$', '') AS word FROM documents),
+a AS (SELECT word, COUNT(*) AS n FROM w WHERE word <> '' AND NOT regexp_full_match(word, '\p{{Nd}}+')
+        AND word NOT IN ({_sql_list(TX.STOPWORDS)}) GROUP BY word),
+p AS (SELECT a.word, a.n, s.word AS single FROM a LEFT JOIN a s
+      ON a.word LIKE '%s' AND a.word NOT LIKE '%ss' AND length(a.word) > 2 AND s.word = left(a.word, -1)),
+c AS (SELECT COALESCE(single, word) AS word, CAST(SUM(n) AS BIGINT) AS n FROM p GROUP BY ALL)
 SELECT word, n, n / (SELECT MAX(n) FROM c) AS weight FROM c ORDER BY n DESC, word LIMIT 200
 """)
 def q_word_weights(spark, sf):
@@ -592,7 +591,7 @@ SELECT ROW_NUMBER() OVER (ORDER BY event_id) AS seq, event_id, event_type
 FROM events WHERE event_type IN ('error', 'purchase')
 """)
 def q_file_order_ids(spark, sf):
-    """Ids 1..n in file order for the kept rows (the events file is stored by event_id)."""
+    """Ids 1..n by file and position for the kept rows (the events are stored by event_id)."""
     kept = P.filter_categories(_t(spark, sf, "events"), "event_type", ["error", "purchase"])
     return sequence_ids(kept.select("event_id", "event_type"), "seq")
 
@@ -713,49 +712,50 @@ def q_feedback_job(spark, sf):
     fields = {"frequency_rank": "frequency_rank", "frequency": "frequency", "lang": "lang",
               "source": "source", "text": "text"}
     return FB.feedback_job(_t(spark, sf, "documents"), "lang", 3, "doc_id", DOC_TEMPLATE, fields,
-                           review_service, out_path=_out(spark, "feedback_v1", sf),
-                           model_name="review-service", example_columns=["source", "text"], mode="overwrite")
+                           review_service, out_path=scratch_path(spark, "feedback_v1"),
+                           model_name="review-service", example_columns=["source", "text"])
 
 
 # ------------------------------------------------------------------- sources
 
 @register("upsert_by_key", """
 WITH m AS (SELECT MIN(event_id) + MAX(event_id) AS s FROM events),
-o AS (SELECT event_type, COUNT(*) AS count FROM events, m WHERE event_id * 2 < m.s AND event_type <> 'view' GROUP BY event_type),
-n AS (SELECT event_type, COUNT(*) AS count FROM events, m WHERE event_id * 2 >= m.s AND event_type <> 'click' GROUP BY event_type)
-SELECT COALESCE(n.event_type, o.event_type) AS event_type,
-       CASE WHEN n.event_type IS NOT NULL THEN n.count ELSE o.count END AS count,
-       CASE WHEN n.event_type IS NOT NULL AND o.event_type IS NOT NULL THEN 'update'
-            WHEN n.event_type IS NOT NULL THEN 'insert' ELSE 'keep' END AS change
-FROM o FULL OUTER JOIN n ON o.event_type = n.event_type
+o AS (SELECT user_id, COUNT(*) AS count FROM events, m WHERE event_id * 2 < m.s GROUP BY user_id),
+n AS (SELECT user_id, COUNT(*) AS count FROM events, m WHERE event_id * 2 >= m.s GROUP BY user_id)
+SELECT CASE WHEN n.count IS NOT NULL THEN n.user_id ELSE o.user_id END AS user_id,
+       COALESCE(n.count, o.count) AS count,
+       CASE WHEN n.count IS NOT NULL AND o.count IS NOT NULL THEN 'update'
+            WHEN n.count IS NOT NULL THEN 'insert' ELSE 'keep' END AS change
+FROM o FULL OUTER JOIN n ON o.user_id IS NOT DISTINCT FROM n.user_id
 """)
 def q_upsert_by_key(spark, sf):
-    """Counts of the first half of the events merged with the second half's:
-    both batches come from one aggregation by (type, half); the view type is
-    left out of the first and the click type out of the second, so all three
-    merge cases occur."""
+    """Events per user in the first half merged with the second half's: users
+    of both halves are updated, of the second inserted, of the first kept."""
     events = _t(spark, sf, "events")
     mid = events.select(F.min("event_id") + F.max("event_id")).scalar()
-    counts = (events.groupBy("event_type", (F.col("event_id") * 2 >= mid).alias("_late"))
+    counts = (events.groupBy("user_id", (F.col("event_id") * 2 >= mid).alias("_late"))
                     .agg(F.count(F.lit(1)).alias("count")))
-    old = counts.filter(~F.col("_late") & (F.col("event_type") != "view")).drop("_late")
-    new = counts.filter(F.col("_late") & (F.col("event_type") != "click")).drop("_late")
-    return S.upsert_by_key(old, new, "event_type", change_col="change")
+    old = counts.filter(~F.col("_late")).drop("_late")
+    new = counts.filter(F.col("_late")).drop("_late")
+    return S.upsert_by_key(old, new, "user_id", change_col="change")
 
 
 @register("stream_counts", """
 SELECT event_type, COUNT(*) AS count FROM events GROUP BY event_type
 """)
 def q_stream_counts(spark, sf):
-    """Event counts kept by a streaming refresh: the events file read as a
-    stream, each micro-batch counted and merged into a versioned table."""
-    stream = (spark.readStream.schema(_t(spark, sf, "events").schema)
-                   .option("pathGlobFilter", "events.parquet").parquet(sf))
-    table, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
-    q = upsert_each_batch(stream, lambda b: A.value_counts(b, "event_type"), "event_type", table, ckpt,
-                          trigger={"availableNow": True}, accumulate=["count"])
-    q.awaitTermination()
-    return spark.read.parquet(f"{table}/v{q.lastProgress['batchId']:012d}")
+    """Event counts as a streaming aggregation: the events read as a file
+    stream, Spark's own state per type, the final totals written once."""
+    base = sf.rstrip("/")
+    stream = (spark.readStream.schema(_t(spark, sf, "events").schema).option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", "*.parquet").parquet(f"{base}/events.parquet*"))
+    out, ckpt = scratch_path(spark, "stream_counts"), scratch_path(spark, "stream_counts_ckpt")
+    counts = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"))
+    query = (counts.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+             .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema("event_type string, count long").parquet(out)
 
 
 _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -764,8 +764,8 @@ _ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
 @register("append_rows", f"SELECT {_ORDER_COLS} FROM orders")
 def q_append_rows(spark, sf):
     orders = _t(spark, sf, "orders")
-    path = _out(spark, "orders_appended", sf)
-    orders.filter(F.col("o_orderstatus") == "F").write.mode("overwrite").parquet(path)
+    path = scratch_path(spark, "orders_appended")
+    orders.filter(F.col("o_orderstatus") == "F").write.parquet(path)
     S.append_rows(orders.filter((F.col("o_orderstatus") != "F") | F.col("o_orderstatus").isNull()), path)
     return spark.read.parquet(path)
 
@@ -777,16 +777,16 @@ mx AS (SELECT COALESCE(MAX(id), 0) AS m FROM b)
 SELECT id, c_custkey, c_name FROM b
 UNION ALL
 SELECT mx.m + ROW_NUMBER() OVER (ORDER BY c.c_custkey) AS id, c.c_custkey, c.c_name
-FROM customer c, mx WHERE c.c_mktsegment <> 'BUILDING'
+FROM customer c, mx WHERE c.c_mktsegment IS DISTINCT FROM 'BUILDING'
 """)
 def q_append_with_ids(spark, sf):
     cust = _t(spark, sf, "customer")
-    path = _out(spark, "customer_ids", sf)
+    path = scratch_path(spark, "customer_ids")
     base = cust.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
     first = S.next_ids(spark.createDataFrame([], "id long, c_custkey long, c_name string"), base, "id",
                        ["c_custkey"])
-    first.write.mode("overwrite").parquet(path)
-    rest = cust.filter(F.col("c_mktsegment") != "BUILDING").select("c_custkey", "c_name")
+    first.write.parquet(path)
+    rest = cust.filter(~F.col("c_mktsegment").eqNullSafe(F.lit("BUILDING"))).select("c_custkey", "c_name")
     S.append_with_ids(spark, path, rest, "id", ["c_custkey"])
     return spark.read.parquet(path)
 
@@ -794,6 +794,74 @@ def q_append_with_ids(spark, sf):
 @register("scan_csv_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_scan_csv_roundtrip(spark, sf):
     docs = _t(spark, sf, "documents")
-    path = _out(spark, "documents_csv", sf)
-    S.write_csv(docs, path, mode="overwrite")
+    path = scratch_path(spark, "documents_csv")
+    S.write_csv(docs, path)
     return S.read_csv(spark, path, docs.schema)
+
+
+# ------------------------------------------------- names joined to results
+
+@register("dominant_part_names", """
+WITH c AS (SELECT l_suppkey, l_partkey, COUNT(*) AS cnt FROM lineitem GROUP BY l_suppkey, l_partkey),
+r AS (SELECT *, CAST(SUM(cnt) OVER (PARTITION BY l_suppkey) AS BIGINT) AS total,
+             RANK() OVER (PARTITION BY l_suppkey ORDER BY cnt DESC) AS rnk FROM c)
+SELECT s.s_name, p.p_name, r.cnt AS dominant_count, r.total
+FROM r JOIN supplier s ON r.l_suppkey = s.s_suppkey JOIN part p ON r.l_partkey = p.p_partkey WHERE r.rnk = 1
+""")
+def q_dominant_part_names(spark, sf):
+    """Each supplier's most frequent part(s): ranked on ids, names joined to the top rows only."""
+    top = A.dominant_member(_t(spark, sf, "lineitem"), "l_suppkey", "l_partkey", threshold=40, sort=False)
+    names = _t(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    parts = _t(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return top.join(names, "l_suppkey").join(parts, "l_partkey").select("s_name", "p_name", "dominant_count", "total")
+
+
+@register("example_with_names", """
+WITH e AS (SELECT o_orderpriority, MIN(o_orderkey) AS o_orderkey FROM orders GROUP BY o_orderpriority)
+SELECT e.o_orderpriority, e.o_orderkey, o.o_totalprice, c.c_name
+FROM e JOIN orders o ON o.o_orderkey = e.o_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
+""")
+def q_example_with_names(spark, sf):
+    """The first order of every priority, its customer looked up afterwards."""
+    customer = Dim(_t(spark, sf, "customer"), on="o_custkey", key="c_custkey", columns=["c_name"])
+    return FB.first_example_per_group(_t(spark, sf, "orders"), "o_orderpriority", "o_orderkey",
+                                      ["o_totalprice", "o_custkey"], dims=[customer]).select(
+        "o_orderpriority", "o_orderkey", "o_totalprice", "c_name")
+
+
+_STORED_AT = "2024-01-02 03:04:05"
+
+
+@register("stored_report_with_names", f"""
+WITH c AS (SELECT c_nationkey, COUNT(*) AS frequency FROM customer GROUP BY c_nationkey),
+t AS (SELECT *, ROW_NUMBER() OVER (ORDER BY frequency DESC, c_nationkey) AS frequency_rank FROM c),
+e AS (SELECT c_nationkey, MIN(c_custkey) AS example_id FROM customer GROUP BY c_nationkey),
+w AS (SELECT t.*, x.c_name FROM t JOIN e ON t.c_nationkey = e.c_nationkey JOIN customer x ON x.c_custkey = e.example_id
+      WHERE t.frequency_rank <= 10 AND t.c_nationkey % 2 = 0)
+SELECT w.frequency_rank, n.n_name, w.frequency AS error_frequency, left('about ' || w.c_name, 12) AS preview,
+       TIMESTAMP '{_STORED_AT}' AS generated_at
+FROM w JOIN nation n ON n.n_nationkey = w.c_nationkey
+""")
+def q_stored_report_with_names(spark, sf):
+    """The ten most frequent nations; a nation without an example name (odd
+    keys) is skipped and leaves a gap in the ranks; results are stored with a
+    given time and reported with the nation's name."""
+    named = F.when(F.col("c_nationkey") % 2 == 0, F.col("c_name"))
+    customers = _t(spark, sf, "customer").select("c_nationkey", "c_custkey", named.alias("c_name"))
+    work = FB.feedback_worklist(customers, "c_nationkey", 10, "c_custkey", "about {name}", {"name": "c_name"},
+                                example_columns=["c_name"])
+    done = FB.enrich_rows(work, pass_through, "prompt")
+    rows = done.select("c_nationkey", F.col("response").alias("generated_feedback"), "frequency_rank",
+                       F.col("frequency").alias("error_frequency"))
+    old = spark.createDataFrame([], StructType([*rows.schema.fields, StructField("generated_at", TimestampNTZType())]))
+    now = datetime.fromisoformat(_STORED_AT)
+    stored = S.upsert_by_key(old, rows, "c_nationkey", touched_col="generated_at", now=now)
+    nation = Dim(_t(spark, sf, "nation"), on="c_nationkey", key="n_nationkey", columns=["n_name"])
+    return FB.feedback_report(stored, "frequency_rank", "generated_feedback", ["n_name", "error_frequency", "generated_at"],
+                              dims=[nation], preview_chars=12).select(
+        "frequency_rank", "n_name", "error_frequency", "preview", "generated_at")
+
+
+def pass_through(prompts: pd.Series) -> pd.Series:
+    """A service that returns its prompts."""
+    return prompts

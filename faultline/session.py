@@ -9,7 +9,6 @@ is a private folder created and registered.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -83,11 +82,4 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for a written table."""
-    return os.path.join(shared_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
-
-
-def stable_path(spark: SparkSession, name: str) -> str:
-    """A fixed path under the shared folder; a job that rewrites it in
-    overwrite mode keeps one copy however often it runs."""
-    base = shared_dir(spark).rstrip("/").rsplit("/", 1)[0]  # the configured folder, not its per-context child
-    return f"{base}/faultline-tables/{name}"
+    return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"

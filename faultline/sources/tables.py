@@ -7,13 +7,14 @@ path, so a failed job leaves the previous version intact.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from ..operators.joins import checked_broadcast, join_null_safe
 from ..operators.ranking import rank_rows
 from ..session import shared_dir
 
@@ -21,20 +22,10 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Schemas of table folders already read in this process, like a catalog's:
-# a later read passes the schema and skips the footer-reading job.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Read table ``name`` stored as ``{base}/{name}.parquet``."""
-    path = os.path.abspath(os.path.join(base, f"{name}.parquet"))
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    """Read table ``name`` stored as ``{base}/{name}.parquet``; ``base`` is any
+    path or URI Spark can read."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, base: str, names: Sequence[str] = TABLES) -> dict[str, DataFrame]:
@@ -46,6 +37,9 @@ def tables(spark: SparkSession, base: str, names: Sequence[str] = TABLES) -> dic
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
+# A field may hold line breaks, so a CSV file cannot be split: one task reads
+# it whole.  Files are kept to this many records to keep tasks small.
+CSV_RECORDS_PER_FILE = 100_000
 
 # The reader turns a quoted empty field into this marker (an unquoted empty
 # field is NULL); string columns then map it back to ''.  Without it both
@@ -54,18 +48,21 @@ _EMPTY_MARK = "\u0000empty\u0000"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header row; NULL and '' stay distinct.  Pass ``schema`` in
-    production: inference scans the data twice and guesses types."""
-    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", _EMPTY_MARK)
+    """CSV with a header row; NULL and '' stay distinct, and a field that does
+    not fit its type fails the read (no silent NULL).  Pass ``schema`` in
+    production: inference scans the data twice and guesses types.  Each file
+    is read by one task, see ``CSV_RECORDS_PER_FILE``."""
+    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", _EMPTY_MARK).option("mode", "FAILFAST")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", "true")
     df = reader.csv(path)
     return df.select(*[F.when(F.col(f.name) == _EMPTY_MARK, F.lit("")).otherwise(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, StringType) else F.col(f.name) for f in df.schema.fields])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",
+              records_per_file: int = CSV_RECORDS_PER_FILE) -> str:
     """Write CSV with a header, quoting that keeps commas, quotes and line breaks."""
-    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    (df.write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", records_per_file).csv(path))
     return path
 
 
@@ -113,13 +110,15 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str],
       in key order;
     * key only in ``old``: kept unchanged (``prune=True`` drops it).
 
-    Several ``new`` rows with one key: the one with the largest ``order_col``
-    wins (the reference's last write); without ``order_col`` such input is
-    rejected when the merge runs.  Full outer join on the key - both sides
-    are unique per key, so no key can be skewed.
+    NULL keys are one key, as in GROUP BY.  Several ``new`` rows with one key:
+    the one with the largest ``order_col`` wins (the reference's last write);
+    without ``order_col`` such input is rejected when the merge runs.
+
+    ``new`` is reduced to a row per key and materialised; the old rows are
+    filtered and joined by it, without a shuffle of the old table when the
+    new rows are proven small.  Only inserted rows are numbered.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    cols = [c for c in old.columns]
     # One partial/final aggregate per key: keep the last write, or reject
     # duplicates when no order is given.
     rec = F.struct(*[F.col(c) for c in new.columns])
@@ -131,49 +130,44 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str],
                   .select(F.when(F.col("_c") > 1, F.raise_error(F.lit("duplicate key in upsert input")))
                            .otherwise(F.col("_r")).alias("_r"))
                   .select("_r.*"))
-    now_col = F.current_timestamp() if now is None else F.lit(now)
-    o = old.select(*[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_in_old"))
-    n = new.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns], F.lit(True).alias("_in_new"))
-    cond = None
-    for k in keys:
-        c = F.col(f"_o_{k}") == F.col(f"_n_{k}")
-        cond = c if cond is None else cond & c
-    merged = o.join(n, on=cond, how="full_outer")
-    in_new, in_old = F.col("_in_new").isNotNull(), F.col("_in_old").isNotNull()
-    out = []
-    for c in cols:
-        if c == id_col:
-            out.append(F.col(f"_o_{c}").alias(c))
-        elif c == touched_col:
-            out.append(F.when(in_new, now_col.cast(old.schema[c].dataType))
-                        .otherwise(F.col(f"_o_{c}")).alias(c))
-        elif c in new.columns:
-            out.append(F.when(in_new, F.col(f"_n_{c}")).otherwise(F.col(f"_o_{c}")).alias(c))
+    shared_dir(old.sparkSession)
+    new = new.checkpoint(eager=True)
+    stamp = (F.current_timestamp() if now is None else F.lit(now)).cast(
+        old.schema[touched_col].dataType) if touched_col else None
+
+    def changed(frame: DataFrame, what: str) -> DataFrame:
+        return frame.withColumn(change_col, F.lit(what)) if change_col else frame
+
+    small = checked_broadcast(new)
+    theirs = small.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys])
+    values = []
+    for c in old.columns:
+        if c == touched_col:
+            values.append(stamp.alias(c))
         else:
-            out.append(F.col(f"_o_{c}").alias(c))
-    if change_col:
-        out.append(F.when(in_new & in_old, F.lit("update")).when(in_new, F.lit("insert"))
-                    .otherwise(F.lit("keep")).alias(change_col))
-    res = merged.select(*out, in_old.alias("_was_old"), in_new.alias("_is_new"))
-    if prune:
-        res = res.filter(F.col("_is_new"))
+            values.append(F.col(f"_n_{c}" if c in new.columns and c != id_col else c).alias(c))
+    parts = [changed(old.join(theirs, on=same, how="inner").select(*values), "update")]
+    if not prune:
+        parts.append(changed(old.join(theirs.select(*[f"_n_{k}" for k in keys]), on=same, how="left_anti"), "keep"))
+    known = old.select(*[F.col(k).alias(f"_n_{k}") for k in keys])
+    known = join_null_safe(known.select(*[F.col(f"_n_{k}").alias(k) for k in keys]), small.select(*keys), keys,
+                           how="left_semi").distinct()  # the new keys that are in the old table
+    fresh = join_null_safe(new, known, keys, how="left_anti")
+    fresh = fresh.select(*[stamp.alias(c) if c == touched_col else
+                           (F.col(c) if c in new.columns and c != id_col else F.lit(None).cast(old.schema[c].dataType).alias(c))
+                           for c in old.columns])
     if id_col:
-        # Kept and fresh rows both come from the merge: materialise it once
-        # instead of joining old and new twice.
-        shared_dir(res.sparkSession)
-        res = res.checkpoint(eager=True)
-        kept = res.filter(F.col("_was_old"))
-        fresh = res.filter(~F.col("_was_old")).drop(id_col)
-        fresh = next_ids(old, fresh, id_col, keys).select(*kept.columns)
-        res = kept.unionByName(fresh)
-    return res.drop("_was_old", "_is_new")
+        fresh = next_ids(old, fresh.drop(id_col), id_col, keys).select(*old.columns)
+    parts.append(changed(fresh, "insert"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_upsert(spark: SparkSession, old_path: str, new: DataFrame, key: str | Sequence[str],
                  out_path: str, fmt: str = "parquet", **kwargs) -> DataFrame:
     """Merge ``new`` into the table at ``old_path``, writing the result to
     ``out_path`` (never over the input); returns the new version read back."""
-    if os.path.normpath(old_path) == os.path.normpath(out_path):
+    if old_path.rstrip("/") == out_path.rstrip("/"):
         raise ValueError("write the merged table to a new path, not over its input")
     old = spark.read.format(fmt).load(old_path)
     upsert_by_key(old, new, key, **kwargs).write.mode("errorifexists").format(fmt).save(out_path)

@@ -134,9 +134,45 @@ def test_value_counts_and_percent_of_total(spark):
 
 
 def test_crosstab_fills_missing_cells_with_zero(spark):
-    df = spark.createDataFrame([("a", 0), ("a", 1), ("a", 1), ("b", 0), ("b", 7)], "r string, c int")
+    df = spark.createDataFrame([("a", 0), ("a", 1), ("a", 1), ("b", 0), ("b", None), (None, 1)], "r string, c int")
     got = rows(A.crosstab_row_pct(df, "r", "c", [0, 1], names=["c0", "c1"]))
-    assert got == [("a", 1 / 3 * 100, 2 / 3 * 100), ("b", 50.0, 0.0)]
+    assert got == [("a", 1 / 3 * 100, 2 / 3 * 100), ("b", 100.0, 0.0)]
+
+
+def test_crosstab_accounts_for_values_not_listed(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 7), ("a", 9), ("a", 0)], "r string, c int")
+    assert rows(A.crosstab_row_pct(df, "r", "c", [0], names=["c0"], other="rest")) == [("a", 50.0, 50.0)]
+    with pytest.raises(Exception, match="value not listed"):
+        A.crosstab_row_pct(df, "r", "c", [0], names=["c0"]).collect()
+
+
+def test_null_is_no_value_unless_asked_for(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0), (None, 9.0)], "k string, x double")
+    assert rows(A.value_counts(df, "k")) == [("a", 2)]
+    assert rows(A.value_counts(df, "k", dropna=False)) == [(None, 3), ("a", 2)]
+    assert rows(A.percent_of_total(df, "k")) == [("a", 2, 100.0)]
+    assert rows(A.group_count_mean(df, "k", "x", "x")) == [("a", 2, 2.0)]
+    assert rows(A.group_count_mean(df, "k", "x", "x", dropna=False)) == [(None, 3, 7.0), ("a", 2, 2.0)]
+
+
+def test_difficulty_view_is_live(spark):
+    from faultline.session import scratch_path
+    path = scratch_path(spark, "live")
+    spark.createDataFrame([("a", 1, "x"), ("b", 1, "x")], "k string, m int, c string").write.parquet(path)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW live_fact AS SELECT * FROM parquet.`{path}`")
+    A.difficulty_rank(spark.table("live_fact"), "k", "m", "c", {"x": "xs"}, view="live_rank")
+    assert spark.table("live_rank").orderBy("difficulty_rank", "k").first()["k"] == "a"
+    plan = spark.table("live_rank")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ExistingRDD" not in plan and "LogicalRDD" not in plan
+
+
+def test_top_n_function_does_not_gather_all_groups(spark):
+    df = spark.range(9000).selectExpr("id % 6000 AS k")
+    df.createOrReplaceTempView("many_groups")
+    A.register_top_n_function(spark, "top_many", "many_groups", ["k"], ["BIGINT"])
+    got = spark.sql("SELECT * FROM top_many(5000) ORDER BY frequency DESC, k")
+    want = [(i, 2, 1) for i in range(3000)] + [(i, 1, 3001) for i in range(3000, 5000)]
+    assert [tuple(r) for r in got.collect()] == want
 
 
 def test_group_count_mean_counts_non_null(spark):

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import datetime as dt
 
 import pandas as pd
@@ -118,3 +119,33 @@ def test_per_row_service_and_pause(spark):
                                      materialize=False), "id", "response"))
     assert got == [(1, "A"), (2, "BB")]
     assert _time.time() - t0 >= 0.5
+
+
+def test_many_prompts_use_many_tasks_and_paused_calls_take_their_time(spark):
+    import time
+    df = spark.range(60).selectExpr("CAST(id AS string) AS p").orderBy("p").limit(60)
+    t0 = time.time()
+    done = FB.enrich_rows(df, FB.per_row(lambda p: "r" + p), "p", pause_seconds=0.1, tasks=3)
+    assert {r.p: r.response for r in done.collect()} == {str(i): f"r{i}" for i in range(60)}
+    assert time.time() - t0 >= 60 * 0.1 / 3 * 0.9
+    parts = FB.enrich_rows(df, FB.per_row(lambda p: p), "p", tasks=3, materialize=False)
+    assert parts.select(F.spark_partition_id()).distinct().count() == 3
+
+
+def test_a_failing_prompt_repeats_no_other_call(spark, tmp_path):
+    def service(p):
+        (tmp_path / f"{p}-{len(list(tmp_path.glob(p + '-*')))}").touch()
+        if p == "3":
+            raise RuntimeError("no")
+        return p
+    df = spark.range(8).selectExpr("CAST(id AS string) AS p")
+    got = FB.enrich_rows(df, FB.per_row(service), "p", drop_failed=False, tasks=2)
+    assert {r.p for r in got.collect() if r.error} == {"3"}
+    assert len(list(tmp_path.iterdir())) == 8
+
+
+def test_a_batch_function_may_report_failures_by_row(spark):
+    def service(prompts):
+        return [ValueError("odd") if int(p) % 2 else p for p in prompts]
+    got = FB.enrich_rows(spark.range(6).selectExpr("CAST(id AS string) AS p"), service, "p", drop_failed=False)
+    assert {r.p for r in got.collect() if r.error == "ValueError: odd"} == {"1", "3", "5"}

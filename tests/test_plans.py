@@ -47,9 +47,8 @@ def test_category_filter_reaches_the_scan(plans):
 
 def test_top_n_is_a_bounded_top_k(plans):
     assert "TakeOrderedAndProject" in plans["top_n_ranked"]
-    assert "TakeOrderedAndProject" in plans["top_n_function"]
 
 
-def test_worklist_fetches_examples_by_pushed_ids(plans):
+def test_worklist_joins_examples_by_group_and_id(plans):
     p = plans["feedback_worklist"]
-    assert "PushedFilters: [In(doc_id," in p
+    assert "LeftSemi" in p and "CartesianProduct" not in p

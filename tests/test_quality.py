@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from faultline.operators import quality as Q
@@ -98,3 +99,35 @@ def test_enforce_before_append(spark):
     Q.enforce({"FeedbackEvaluation": ok, "LLMFeedback": feedback}, row_level)
     with pytest.raises(ValueError, match="between"):
         Q.enforce({"FeedbackEvaluation": bad, "LLMFeedback": feedback}, row_level)
+
+
+def test_constraints_on_missing_tables_are_an_error(spark):
+    with pytest.raises(ValueError, match="not given: nowhere"):
+        Q.constraint_report({"t": spark.range(1)}, [Q.Constraint("t", "foreign_key", ("id",), ("nowhere", ("id",)))])
+
+
+def test_constraint_report_scans_each_table_once(spark, tmp_path):
+    spark.createDataFrame([(1, None, "abc"), (1, 2, "abcdef"), (2, 9, "x")], "id int, ref int, s string").write.parquet(f"{tmp_path}/c")
+    spark.createDataFrame([(2,), (3,)], "id int").write.parquet(f"{tmp_path}/p")
+    c, p = spark.read.parquet(f"{tmp_path}/c"), spark.read.parquet(f"{tmp_path}/p")
+    checks = [Q.Constraint("c", "primary_key", ("id",)), Q.Constraint("c", "foreign_key", ("ref",), ("p", ("id",))),
+              Q.Constraint("c", "not_null", ("ref",)), Q.Constraint("c", "max_length", ("s",), 5),
+              Q.Constraint("p", "primary_key", ("id",)), Q.Constraint("c", "between", ("ref",), (1, 9))]
+    report = Q.constraint_report({"c": c, "p": p}, checks)
+    assert {(r["table_name"], r["kind"], r["columns"]): r["violations"] for r in report.collect()} == {
+        ("c", "primary_key", "id"): 1, ("c", "foreign_key", "ref"): 1, ("c", "not_null", "ref"): 1,
+        ("c", "max_length", "s"): 1, ("p", "primary_key", "id"): 0, ("c", "between", "ref"): 0}
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+
+
+def test_profile_of_a_column_of_nulls(spark):
+    df = spark.createDataFrame([(1, None), (1, None)], "a int, b string")
+    assert [tuple(r) for r in Q.profile_columns(df).collect()] == [("a", 2, 1, "1", 2), ("b", 0, 0, None, None)]
+
+
+def test_rekey_rejects_a_key_mapped_twice(spark):
+    child = spark.createDataFrame([(1,), (2,)], "k int")
+    mapping = spark.createDataFrame([(1, 10), (1, 11)], "old_key int, new_key int")
+    with pytest.raises(Exception, match="mapped more than once"):
+        Q.cascade_rekey(child, mapping, "k").collect()

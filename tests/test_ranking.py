@@ -3,14 +3,8 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-import pytest
-
 from faultline.operators.ranking import rank_rows
 
-# Both ways of ranking: one window behind the row-count bound, and the
-# distributed one (forced with a bound of 0).
-PATHS = pytest.mark.parametrize("single", [None, 0], ids=["default", "distributed"])
-
 
 def _data(spark, n=3000, seed=7):
     rnd = random.Random(seed)
@@ -18,75 +12,83 @@ def _data(spark, n=3000, seed=7):
     return spark.createDataFrame(rows, "id long, a int, b int")
 
 
-@PATHS
-def test_rank_matches_window_rank_with_ties_and_nulls(spark, single):
+def test_rank_matches_window_rank_with_ties_and_nulls(spark):
     df = _data(spark)
     order = [("a", False), ("b", True)]
-    got = rank_rows(df, order, out="r", partitions=5, **({} if single is None else {"single_task_max_rows": single}))
+    got = rank_rows(df, order, out="r", partitions=5)
     ref = df.withColumn("ref", F.rank().over(Window.orderBy(F.col("a").desc_nulls_last(), F.col("b"))))
     joined = got.join(ref, "id")
     assert joined.filter(F.col("r") != F.col("ref")).count() == 0
     assert got.count() == df.count()
 
 
-@PATHS
-def test_row_number_is_a_permutation_in_order(spark, single):
+def test_row_number_is_a_permutation_in_order(spark):
     df = _data(spark, 2000, seed=3)
-    kw = {} if single is None else {"single_task_max_rows": single}
-    got = rank_rows(df, ["b", "id"], out="rn", method="row_number", partitions=7, **kw)
+    got = rank_rows(df, ["b", "id"], out="rn", method="row_number", partitions=7)
     res = sorted((r.rn, r.b, r.id) for r in got.collect())
     assert [r[0] for r in res] == list(range(1, 2001))
     keys = [(r[1], r[2]) for r in res]
     assert keys == sorted(keys)
 
 
-@PATHS
-def test_rank_on_empty_and_single_row(spark, single):
-    kw = {} if single is None else {"single_task_max_rows": single}
+def test_rank_on_empty_and_single_row(spark):
     empty = spark.createDataFrame([], "k int")
-    assert rank_rows(empty, ["k"], **kw).count() == 0
+    assert rank_rows(empty, ["k"]).count() == 0
     one = spark.createDataFrame([(5,)], "k int")
-    assert [r["rank"] for r in rank_rows(one, ["k"], **kw).collect()] == [1]
+    assert [r["rank"] for r in rank_rows(one, ["k"]).collect()] == [1]
 
 
-@PATHS
-def test_one_hot_key_holding_a_third_of_rows(spark, single):
+def test_one_hot_key_holding_a_third_of_rows(spark):
     rows = [(i, 0 if i % 3 == 0 else i) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, k long")
-    kw = {} if single is None else {"single_task_max_rows": single}
-    got = {r.id: r["rank"] for r in rank_rows(df, ["k"], partitions=6, **kw).collect()}
+    got = {r.id: r["rank"] for r in rank_rows(df, ["k"], partitions=6).collect()}
     assert got[0] == 1 and got[3] == 1
     assert got[1] == 1001  # 1000 rows share k = 0
 
 
-@PATHS
-def test_rank_rows_with_a_map_column(spark, single):
+def test_rank_rows_with_a_map_column(spark):
     df = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2}), (2, {"c": 3})], "k int, m map<string,int>")
-    kw = {} if single is None else {"single_task_max_rows": single}
-    assert sorted(r["rank"] for r in rank_rows(df, [("k", False)], **kw).collect()) == [1, 1, 3]
-    got = sorted(r["rn"] for r in rank_rows(df, [("k", False)], out="rn", method="row_number", **kw).collect())
+    assert sorted(r["rank"] for r in rank_rows(df, [("k", False)]).collect()) == [1, 1, 3]
+    got = sorted(r["rn"] for r in rank_rows(df, [("k", False)], out="rn", method="row_number").collect())
     assert got == [1, 2, 3]
 
 
-def test_sequence_ids_follow_read_order(spark):
+def test_sequence_ids_follow_files_and_positions(spark):
+    """Files of unequal size, the smallest first: Spark packs them by size, ids follow their names."""
     from faultline.operators.ranking import sequence_ids
     from faultline.session import scratch_path
 
-    path = scratch_path(spark, "seq")
-    spark.range(0, 5000, 1, 7).selectExpr("id * 3 AS v").write.parquet(path)
-    df = spark.read.parquet(path).filter("v % 2 = 0")
-    got = sequence_ids(df, "n").collect()
-    assert sorted(r.n for r in got) == list(range(1, len(got) + 1))
-    in_read_order = [r.v for r in df.collect()]
-    assert [r.v for r in sorted(got, key=lambda r: r.n)] == in_read_order
+    path, start = scratch_path(spark, "seq"), 0
+    for i, n in enumerate((3, 4000, 10, 900)):
+        spark.range(start, start + n, 1, 1).write.parquet(f"{path}/part={i}")
+        start += n
+    df = spark.read.parquet(path).select(F.col("id").alias("v")).filter("v % 2 = 0")
+    got = [(r.n, r.v) for r in sequence_ids(df, "n").collect()]
+    assert sorted(got) == [(k + 1, 2 * k) for k in range(len(got))] and len(got) == (start + 1) // 2
+    backwards = sequence_ids(df, "n", order=[("v", False)])
+    assert sorted((r.n, r.v) for r in backwards.collect())[0] == (1, start - 1 - (start - 1) % 2)
+    assert [r.n for r in sequence_ids(spark.range(3), "n").orderBy("id").collect()] == [1, 2, 3]
+
+
+def test_row_numbers_do_not_depend_on_the_layout(spark):
+    rows_ = [(i % 3, f"r{i}") for i in range(200)]
+    a = spark.createDataFrame(rows_, "k int, s string").repartition(1)
+    b = spark.createDataFrame(rows_[::-1], "k int, s string").repartition(7, "s")
+    numbered = [sorted((r.n, r.s) for r in rank_rows(x, ["k"], out="n", method="row_number").collect()) for x in (a, b)]
+    assert numbered[0] == numbered[1]
+
+
+def test_identical_rows_spread_over_partitions(spark):
+    df = spark.createDataFrame([(1, "same")] * 6000 + [(2, f"r{i}") for i in range(2000)], "k int, s string").repartition(4)
+    got = rank_rows(df, ["k"], out="n", method="row_number", partitions=8)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sorted(r.n for r in got.collect()) == list(range(1, 8001)) and max(sizes) < 3000
 
 
-@PATHS
-def test_rank_with_a_third_of_rows_identical(spark, single):
+def test_rank_with_a_third_of_rows_identical(spark):
     rows_ = [(7, "same")] * 1000 + [(i % 50, f"r{i}") for i in range(2000)]
     df = spark.createDataFrame(rows_, "k int, s string").repartition(6)
-    kw = {} if single is None else {"single_task_max_rows": single}
-    got = rank_rows(df, [("k", False)], partitions=5, **kw).collect()
+    got = rank_rows(df, [("k", False)], partitions=5).collect()
     assert len(got) == 3000
     ranks = {}
     for r in got:

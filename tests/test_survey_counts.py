@@ -14,7 +14,7 @@ EXPECTED = {
     "word_weights": 200, "dimension_sorted": 20, "dimension_first_seen": 20, "encode_fact": 1000,
     "unique_violations": 11785, "fk_violations": 601, "range_violations": 58, "length_violations": 108,
     "restrict_delete_blocked": 25, "cascade_delete": 353, "cascade_rekey": 1500, "functional_dependency": 25,
-    "upsert_by_key": 5, "preview_left": 1000, "escape_literal": 1000, "render_prompt": 536,
+    "upsert_by_key": 150, "preview_left": 1000, "escape_literal": 1000, "render_prompt": 536,
     "feedback_worklist": 3,
 }
 

@@ -70,3 +70,9 @@ def test_histogram_of_huge_integers(spark):
     df = spark.createDataFrame([(base,), (base + 10**17,), (base + 2 * 10**17,)], "x long")
     got = T.histogram_equal_width(df, "x", bins=40).collect()
     assert sum(r["count"] for r in got) == 3 and got[-1]["bin_hi"] == float(base + 2 * 10**17)
+
+
+def test_cloud_words_drop_punctuation_possessives_and_plurals(spark):
+    df = spark.createDataFrame([("The clauses, the clause. A clause! Class 42 query's queries a b2",), (None,)], "t string")
+    got = {r.word: r.n for r in T.cloud_words(df, "t").collect()}
+    assert got == {"clause": 3, "class": 1, "query": 1, "queries": 1, "b2": 1}
