@@ -155,7 +155,8 @@ def edited_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_co
     words = written(lexicon(source, band), "imatch-lexicon")
     ranged = source.withColumn("range", _ranges(source))
     order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
-    lowest = ranged.groupBy("range").agg(F.min("doc_id").alias("doc_id"))
+    some_null = F.count_if(F.col("doc_id").isNull()) > 0
+    lowest = ranged.groupBy("range").agg(F.when(~some_null, F.min("doc_id")).alias("doc_id"))
     first = (ranged.join(F.broadcast(lowest.withColumnRenamed("doc_id", "low")), "range")  # a row a range
              .where(F.col("doc_id").eqNullSafe(F.col("low"))).groupBy("range").agg(F.min("text").alias("text")))
     heads = written(_next_head(first, "text"), "imatch-heads")

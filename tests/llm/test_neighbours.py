@@ -1,0 +1,87 @@
+"""Neighbour search against exact search."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from faultline.llm import neighbours as N
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v]) for i, v in rows],
+                                 "vec_id long, embedding array<float>")
+
+
+def exact(rows, query_ids, k):
+    out = {}
+    for q, v in rows:
+        if q in query_ids:
+            scored = sorted((-float(np.dot(np.float32(v).astype(float), np.float32(u).astype(float))), i)
+                            for i, u in rows if i != q)
+            out[q] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def by_query(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: r["rank"]):
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def clustered(n, seed=0, spread=1.0):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((12, 24))
+    return [(i, centres[rng.integers(12)] + spread * rng.standard_normal(24)) for i in range(n)]
+
+
+def test_small_tables_are_searched_exactly(spark):
+    rows = clustered(300)
+    got = by_query(N.nearest_neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=7))
+    want = exact(rows, set(range(0, 300, 20)), 7)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    for q in want:
+        assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]], abs=1e-9)
+
+
+def test_recall_of_the_index(spark, monkeypatch):
+    monkeypatch.setattr(N, "VECTORS_A_BLOCK", 2000)
+    monkeypatch.setattr(N, "QUERIES_A_BLOCK", 100)
+    monkeypatch.setattr(N, "VERIFY_LEAST", 50)
+    rng = np.random.default_rng(3)
+    rows = [(i, v * rng.uniform(0.5, 2)) for i, v in clustered(6000, 3)]  # norms differ
+    got = by_query(N.nearest_neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=20))
+    want = exact(rows, set(range(0, 6000, 20)), 20)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 20 * len(want)
+    assert all(len(v) == 20 for v in got.values()) and set(got) == set(want)
+
+
+def test_windows_verify_less_than_all():
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((4000, 16))
+    index = N.Index(vectors, float(np.linalg.norm(vectors, axis=1).max()))
+    found = index.candidates(vectors[0], 300)
+    assert 300 <= len(found) < 2000
+
+
+def test_vectors_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1, 0]), (1, [2, 1]), (2, [0, 0]), (3, None), (4, [nan, 1]), (5, [1, inf]), (6, [None, 1]), (7, [-1, 0]),
+            (None, [5, 5]), (20, [0, 3]), (40, [nan, 1])]
+    got = by_query(N.nearest_neighbours(table(spark, rows), F.col("vec_id") % 20 == 0))
+    assert got == {0: [(1, 2.0), (20, 0.0), (7, -1.0)], 20: [(1, 3.0), (0, 0.0), (7, 0.0)]}
+
+
+def test_ties_go_to_the_smaller_id_and_rows_may_repeat(spark):
+    rows = [(0, [1, 1])] + [(i, [2, 2]) for i in range(30, 0, -1)] + [(0, [1, 1])]
+    got = by_query(N.nearest_neighbours(table(spark, rows), F.col("vec_id") == 0, k=5))
+    assert got == {0: [(i, 4.0) for i in range(1, 6)]}
+
+
+def test_empty_tables_and_no_queries(spark):
+    assert N.nearest_neighbours(table(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+    assert N.nearest_neighbours(table(spark, [(1, [1, 2])]), F.col("vec_id") % 20 == 0).count() == 0
+    alone = table(spark, [(20, [1, 2])]).withColumn("block", F.lit(1)).withColumn("ask", F.lit(2))
+    assert N.nearest_neighbours(alone, F.col("vec_id") % 20 == 0).count() == 0
