@@ -208,7 +208,7 @@ def _verify_block(words: int, percent: int):
         keys, labels = table.column("key").to_pylist(), table.column("label").to_pylist()
         side = np.array(table.column("side").to_pylist())
         sets = shingle_sets(table.column("text").combine_chunks(), words)
-        # a row whose text is not its class's (ids that repeat) takes no part
+        # a text must have its class's set
         own = [i for i, s in enumerate(sets) if len(s) and set_key(s) == keys[i]]
         out_a, out_b = [], []
         if len(own) > 1:
@@ -306,8 +306,9 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
     rows = written(add_columns(tied, _DESCRIBED, _describe(words)).drop("text"), "near-signatures")
     classes = written(
         rows.where("key IS NOT NULL").groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("sig", "bands", "n_shingles")).alias("x"))
-        .select("key", "doc_id", "x.*"), "near-classes")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie")).alias("of"),
+             F.min(F.struct("sig", "bands", "n_shingles")).alias("x"))
+        .select("key", "of.doc_id", "of.tie", "x.*"), "near-classes")
 
     # buckets of more than one class, each with a pivot
     banded = classes.select("key", F.posexplode("bands").alias("band", "bucket"))
@@ -328,10 +329,14 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
 
     survivors = written(compared.select("key", "pivot", "sig", "pivot_sig")
                         .mapInArrow(prune, "key binary, pivot binary"), "near-survivors")
-    texts = classes.select("key", "doc_id").join(source.where("doc_id IS NOT NULL"), "doc_id").select("key", "text")
 
-    involved = survivors.select("key").union(survivors.select("pivot")).distinct()
-    needed = written(texts.join(involved, "key", "left_semi"), "near-texts")
+    def texts(keys: DataFrame) -> DataFrame:
+        """A text of each class: of its smallest id, known by id and text hash."""
+        of = classes.select("key", F.col("doc_id").alias("of_id"), "tie").join(keys.distinct(), "key", "left_semi")
+        mine = (of["tie"] == tied["tie"]) & of["of_id"].eqNullSafe(tied["doc_id"])
+        return of.join(tied, mine).select("key", "text").dropDuplicates(["key"])
+
+    needed = written(texts(survivors.select("key").union(survivors.select("pivot"))), "near-texts")
 
     def verify(batches):
         for batch in batches:
@@ -378,8 +383,7 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
     shortlist = written(
         blocks.join(sigs, "key").groupBy("block").applyInArrow(_shortlist_block(limits), _SHORTLIST),
         "near-shortlist")
-    more_texts = texts.join(shortlist.select("key").distinct(), "key", "left_semi")
-    more = (shortlist.join(more_texts, "key").groupBy("block")
+    more = (shortlist.join(texts(shortlist.select("key")), "key").groupBy("block")
             .applyInArrow(_verify_block(words, percent), _EDGE))
     joined = connected_components(written(links.union(more).distinct(), "near-all-links"))
 

@@ -71,7 +71,8 @@ def test_groups_match_brute_force(spark):
 
 def test_odd_ids_and_repeated_rows(spark):
     a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
-    rows = [(None, a), (4, a), (4, b), (2, b), (None, c), (None, c), (9, None), (9, ""), (4, a)]
+    rows = [(None, a), (4, a), (4, b), (2, b), (None, c), (None, c), (9, None), (9, ""), (4, a),
+            (None, c + " more"), (None, prose(4, 60)), (12, prose(4, 60) + " end")]
     got = got_rows(N.near_duplicates(docs(spark, [t for _, t in rows], ids=[i for i, _ in rows])))
     assert got == sorted(brute_force(rows, 5, 80), key=str)
 
