@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from faultline.session import get_spark  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from faultline.plans.registered import QUERIES  # noqa: E402
 
 NOTES = """# PLANS
 
@@ -27,8 +27,7 @@ Final physical plans (after adaptive re-planning) of the registered queries on `
 What to look for: scans read only the needed columns (`ReadSchema`), dimension joins are
 `BroadcastHashJoin` inside the scan stage, aggregates appear as partial + final `HashAggregate` around one
 `Exchange hashpartitioning`, `Exchange SinglePartition` only carries one-row aggregates, top-n
-(`TakeOrderedAndProject`), the per-partition offset table of the distributed rank, or a rank input whose
-checkpointed row count proved it small (at most 100,000 rows), and checkpointed
+(`TakeOrderedAndProject`), or the per-partition offset table of the distributed rank, and checkpointed
 inputs show as `Scan ExistingRDD`. Scalar subqueries (global statistics) run as separate small jobs and are not shown.
 
 What each family moves at 100 TB:
@@ -95,7 +94,7 @@ def main(argv):
     sf = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", partitions=8)
     parts, table = [NOTES.format(sf=sf)], []
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         buf = io.StringIO()
