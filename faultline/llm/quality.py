@@ -78,6 +78,7 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     out[:, at + len(LAGS) + 1] = np.sqrt(np.maximum(0, np.bincount(passage, size ** 2, minlength=len(doc)) / some - mean ** 2)) / 10
     out[:, at + len(LAGS) + 2] = held / PASSAGE_WORDS
     out[:, at + len(LAGS) + 3] = np.log1p(words[doc]) / 10
+    out[base[words == 0]] = 0
     return out, count
 
 
@@ -131,7 +132,8 @@ def train(sample: list[tuple[str, int]], seed: int = 3) -> Model:
         w["out_b"] = np.float32(np.log(share / (1 - share)))
         return model
     data, offsets = utf8_column(pa.array([t for t, _ in sample], pa.string()))
-    x, count = passages(data, offsets)
+    parts = [passages(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in doc_slices(offsets)]
+    x, count = (np.concatenate(p) for p in zip(*parts))
     w["mean"], w["scale"] = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
     first = np.cumsum(count) - count
     learned = [k for k in w if k not in ("mean", "scale")]
