@@ -103,7 +103,8 @@ def mix_sources(docs: DataFrame, share_percent: int = 150, cap: int = 2, weights
     position = ["_finish", "_rank", "_shuffle", "_tie"]
     passes = F.explode(F.array(*[finish(k) for k in range(cap)])).alias("_finish")
     queue = (placed(narrow.where("size > 0")).select(passes, "_rank", "_shuffle", "_tie", "size", "_budget")
-             .repartitionByRange(*position).withColumn("_range", F.spark_partition_id()))
+             .repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *position)
+             .withColumn("_range", F.spark_partition_id()))
     queue = written(queue, "mix-queue")
     ranges = queue.groupBy("_range").agg(F.sum("size").alias("_size"), F.max("_budget").alias("_budget"))
     held = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
