@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import toxicity
-from faultline.llm.bpe_codec import decode, encode
+from faultline.llm.bpe_codec import round_trip
 from faultline.llm.frames import read_table, written
 from faultline.llm.mixing import mixed_documents
 from faultline.llm.near_dedup import one_of_each
@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digest of what they decode to."""
-    both = decode(encode(docs.select("doc_id", "lang", "source", "text"), BYTE_BPE), BYTE_BPE)
+    both = round_trip(docs.select("doc_id", "lang", "source", "text"), BYTE_BPE)
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

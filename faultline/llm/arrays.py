@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # documents handled together, so temporaries stay small; a longer text goes alone
+SLICE_BYTES = 1 << 19  # documents handled together, so temporaries stay small; a longer text goes alone
 
 _MULTIPLIER = 0xD1342543DE82EF95  # odd, so powers have inverses modulo 2**64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -89,8 +89,11 @@ class SpanHasher:
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        size = 1 << max(21, int(n).bit_length())
-        up, self.down = remembered(("powers", size), lambda: (_powers(_MULTIPLIER, size), _powers(_INVERSE, size)))
+        size = 1 << max(20, int(n).bit_length())
+        def make():
+            return _powers(_MULTIPLIER, size), _powers(_INVERSE, size)
+        # the powers for one very long text are not kept
+        up, self.down = remembered(("powers", size), make) if size <= 4 * SLICE_BYTES else make()
         self.prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_CODE[data] * up[:n], out=self.prefix[1:])
 

@@ -165,6 +165,16 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out: str = "
         codec(tokenizer).encode(b.column(b.schema.get_field_index(text_col)))])
 
 
+def round_trip(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``: :func:`encode` and :func:`decode`
+    in one pass, so one Python worker a task does both."""
+    def both(batch):
+        ids = codec(tokenizer).encode(batch.column(batch.schema.get_field_index(text_col)))
+        return [ids, decoder(tokenizer).decode(ids)]
+    return add_columns(docs, [T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+                              T.StructField("decoded", T.StringType())], both)
+
+
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with the text of every id list, special tokens included.
     An empty list gives the empty text; a column named ``out`` is replaced."""

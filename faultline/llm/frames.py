@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,7 +26,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BATCH_BYTES = 8 << 20  # of an Arrow batch worked on at once
+BATCH_BYTES = 4 << 20  # of an Arrow batch worked on at once
 
 
 def small_batches(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -34,6 +36,13 @@ def small_batches(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[p
         yield batch.slice(i, step)
 
 
+def release_memory() -> None:
+    """Give freed memory back: idle Python workers share their executor's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it keeps what it has
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def add_columns(df: DataFrame, fields: list[T.StructField],
                 compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` with the columns ``compute`` makes of each Arrow batch; columns
@@ -46,5 +55,7 @@ def add_columns(df: DataFrame, fields: list[T.StructField],
         for batch in (small for whole in it for small in small_batches(whole)):
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep] + compute(batch)
             yield pa.RecordBatch.from_arrays(columns, names=keep + [f.name for f in fields])
+            del columns
+            release_memory()
 
     return df.mapInArrow(batches, schema)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .bpe_codec import decode, encode
+from .bpe_codec import round_trip
 from . import quality, toxicity
 from .fingerprints import edited_fingerprints
 from .frames import read_table
@@ -49,7 +49,7 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def codec_digests(docs: DataFrame) -> DataFrame:
     """Encoded and decoded documents as their digests."""
-    both = decode(encode(docs.select("doc_id", "text"), BYTE_BPE), BYTE_BPE)
+    both = round_trip(docs.select("doc_id", "text"), BYTE_BPE)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),

@@ -428,11 +428,12 @@ def merge_spans(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.n
     return starts[fresh], stops[last]
 
 
-_CUT = [T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
-        T.StructField("kept", T.BinaryType())]
+def _cut_fields(as_text: bool) -> list[T.StructField]:
+    return [T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
+            T.StructField("kept", T.StringType() if as_text else T.BinaryType())]
 
 
-def _apply(length: int):
+def _apply(length: int, as_text: bool):
     def run(batch):
         column = {n: batch.column(batch.schema.get_field_index(n)) for n in ("raw", "copy", "spans")}
         raws, copies = column["raw"].to_pylist(), column["copy"].to_pylist()
@@ -451,13 +452,16 @@ def _apply(length: int):
             runs.append(len(a))
             cuts = zip([0, *b.tolist()], [*a.tolist(), len(raw)])
             kept.append(b"".join(raw[x:y] for x, y in cuts))
-        return [pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())]
+        rest = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+        return [pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), rest]
     return run
 
 
-def remove_repeats(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id", text_col: str = "text",
+                   as_text: bool = False) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans (maximal removed runs) and
-    kept (the remaining bytes).
+    kept (the remaining bytes, or with ``as_text`` their text: a character
+    that loses some of its bytes goes as a whole).
 
     Removed is every byte covered by a string of ``min_bytes`` bytes that also
     starts in a document with a smaller id, judged on the texts as given;
@@ -501,7 +505,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id",
                 .join(one_each.withColumn("mark", mark), ["doc", "mark"], "right")
                 .select("key", F.col("doc").alias("first_doc"), "spans"))
     joined = base.join(per_text, "key", "left").withColumn("copy", F.col("doc") > F.col("first_doc"))
-    cut = add_columns(joined.select(*own.values(), "raw", "copy", "spans"), _CUT, _apply(min_bytes))
+    cut = add_columns(joined.select(*own.values(), "raw", "copy", "spans"), _cut_fields(as_text), _apply(min_bytes, as_text))
     return cut.select(*[F.col(n).alias(c) for c, n in own.items()],
                       F.octet_length("raw").cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
 
@@ -509,7 +513,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id",
 def remove_repeated_text(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the repeats cut out of their texts; a character that loses
     some of its bytes goes as a whole.  NULL texts become empty."""
-    return (add_columns(remove_repeats(docs, min_bytes, id_col, text_col), [T.StructField(text_col, T.StringType())],
-                        lambda b: [pa.array([x.decode("utf-8", "ignore") for x in
-                                             b.column(b.schema.get_field_index("kept")).to_pylist()], pa.string())])
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    own = {c: f"_c{i}" for i, c in enumerate(docs.columns)}  # free of clashes with the new columns
+    cut = remove_repeats(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()]), min_bytes, own[id_col],
+                         own[text_col], as_text=True)
+    return cut.select(*[F.col("kept" if c == text_col else n).alias(c) for c, n in own.items()])

@@ -21,9 +21,10 @@ from .frames import add_columns
 
 SIZES = (3, 4, 5)       # bytes of the n-grams
 BUCKET_BITS = 18
+SLICE_BYTES = 1 << 18   # of text scored together
 DIMENSIONS = 8
 PER_LABEL = (8000, 2000)  # documents of labels 0 and 1 trained on, at most
-TRAIN_BYTES = 8_192     # of each, at most
+TRAIN_BYTES = 4_096     # of each, at most
 STEPS = 40_000          # documents seen in training, repeats counted: 4 passes and more, at most 40
 DECAY = 0.05            # pull of a document's own subwords towards zero, so rare ones stay small
 
@@ -62,7 +63,7 @@ class Model:
     def logits(self, column: pa.Array) -> np.ndarray:
         data, offsets = utf8_column(column)
         out = np.full(len(offsets) - 1, self.bias)
-        for i, j in doc_slices(offsets):
+        for i, j in doc_slices(offsets, SLICE_BYTES):
             bucket, owner = subwords(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             total = np.bincount(owner, self.weight[bucket], minlength=j - i)
             out[i:j] += total / np.maximum(1, np.bincount(owner, minlength=j - i))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
 
 NONE = np.int32(np.iinfo(np.int32).max)
-CACHED_WORDS = 250_000  # distinct pre-tokens whose ids a worker remembers
+CACHED_WORDS = 150_000  # distinct pre-tokens whose ids a worker remembers
 LONG_WORD = 64   # bytes; longer words are merged one by one
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
