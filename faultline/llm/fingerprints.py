@@ -1,15 +1,14 @@
 """I-Match document fingerprints over randomised lexicons (operator 7).
 
 The lexicon holds the terms whose inverse document frequency lies in a chosen
-band.  Several random subsets of it each give one hash: of the sorted distinct
-terms of the document that are in the subset.  Two fingerprints are as alike as
-the share of subsets, among those that hold a term of either, with equal
-hashes.
+band.  Several random subsets of it each give one hash: of the distinct terms
+of the document that are in the subset.  Two fingerprints are as alike as the share of
+subsets, among those that hold a term of either, with equal hashes.  A text the
+band leaves too few terms of is compared by all its own terms, each in its
+certain subset.
 
 DataFrame operations only.  Document frequencies are counted over the whole
-corpus; the band's lower edge is a share of the documents, so the lexicon has
-at most (mean distinct terms) / share terms whatever the corpus, and may be
-broadcast.
+corpus.
 """
 
 from __future__ import annotations
@@ -22,10 +21,11 @@ from .frames import written
 
 BAND = (0.005, 0.2)    # share of the documents that hold a lexicon term
 SUBSETS = 32
-ONE_IN = 128           # a term is in each subset with this chance
+ONE_IN = 128           # a power of two: a lexicon term is in each subset with this chance
+FEW_TERMS = 20         # a text with fewer lexicon terms is compared by all its terms,
+FEW_SHARE = 0.25       # and one with a smaller share of its terms in the lexicon
 ROWS_A_RANGE = 400     # documents of a range of ids that are ordered together
 MOST_RANGES = 1 << 16
-ABSENT = 0             # stands for "no term"
 
 
 def terms(text: Column) -> Column:
@@ -34,8 +34,25 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "text") -> DataFrame:
-    """(term, subset) of every term in the band, for each subset it is in.
+def _certain(term: Column) -> Column:
+    """The subset of all its own terms that a term is in."""
+    return F.pmod(F.xxhash64(term, F.lit(-1)), F.lit(SUBSETS)).cast("int")
+
+
+def _subsets(term: Column) -> Column:
+    """Bit k is set if a lexicon term is in subset k: one in ONE_IN times."""
+    some = F.lit((1 << SUBSETS) - 1).cast("long")
+    for i in range(ONE_IN.bit_length() - 1):  # a bit set in all of n words is one in 2 ** n
+        some = some.bitwiseAND(F.xxhash64(term, F.lit(i)))
+    return some
+
+
+def _inside(subsets: Column, k: int) -> Column:
+    return subsets.bitwiseAND(F.lit(1 << k).cast("long")) != 0
+
+
+def lexicon_terms(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "text") -> DataFrame:
+    """Every term in the band, once.
 
     The share's lower edge bounds the terms: their document counts add up to
     the corpus's distinct (document, term) pairs.
@@ -43,14 +60,14 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "
     total = docs.count()
     counted = docs.select(F.explode(terms(F.coalesce(F.col(text_col), F.lit("")))).alias("term")).groupBy("term").count()
     inside = counted.where((F.col("count") >= max(2, band[0] * total)) & (F.col("count") <= max(2, band[1] * total)))
-    subset = F.explode(F.filter(F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
-                                lambda k: F.pmod(F.xxhash64("term", k), F.lit(ONE_IN)) == 0)).alias("subset")
-    return inside.select("term", subset)
+    return inside.select("term")
 
 
-def _whole(listed: Column) -> Column:
-    """A hash of all distinct terms, for texts without a lexicon term."""
-    return F.xxhash64(F.array_sort(listed))
+def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "text") -> DataFrame:
+    """(term, subset) of every term in the band, for each subset it is in."""
+    listed = F.array_compact(F.array(*[F.when(_inside(F.col("subsets"), k), F.lit(k)) for k in range(SUBSETS)]))
+    return (lexicon_terms(docs, band, text_col).withColumn("subsets", _subsets(F.col("term")))
+            .select("term", F.explode(listed).alias("subset")))
 
 
 def _ranges(docs: DataFrame) -> Column:
@@ -91,51 +108,55 @@ def _next_head(heads: DataFrame, value: str) -> DataFrame:
     return heads.select("range", F.coalesce(F.lead(value).over(by), first).alias("head"))
 
 
-def likeness(a: Column, b: Column, whole_a: Column, whole_b: Column) -> Column:
-    """Share of equal subset hashes among subsets that hold a term of either;
-    without any, whether all terms are the same."""
-    pairs = F.arrays_zip(a.alias("a"), b.alias("b"))
+def likeness(a: Column, b: Column) -> Column:
+    """Share of equal subset hashes among subsets that hold a term of either:
+    of the lexicon's terms, or of all terms if the lexicon has too few of a
+    text's.  Texts without any term are alike."""
+    few = a["few"] | b["few"]
+    pairs = F.arrays_zip(F.when(few, a["own"]).otherwise(a["hashes"]).alias("a"),
+                         F.when(few, b["own"]).otherwise(b["hashes"]).alias("b"))
     some = F.size(F.filter(pairs, lambda p: p["a"].isNotNull() | p["b"].isNotNull()))
     same = F.size(F.filter(pairs, lambda p: p["a"] == p["b"]))
-    return F.when(some > 0, same / some).otherwise((whole_a == whole_b).cast("double"))
+    return F.when(some > 0, same / some).otherwise(F.lit(1.0))
 
 
-def text_of(hashes: Column, whole: Column) -> Column:
-    """A fingerprint as a string: 8 hex digits a subset, none for an empty one."""
-    digits = F.transform(hashes, lambda h: F.coalesce(F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"), F.lit("")))
-    empty = F.size(F.filter(hashes, lambda h: h.isNotNull())) == 0
-    return F.when(empty, F.concat(F.lit("all:"), F.lower(F.hex(whole)))).otherwise(F.array_join(digits, "-"))
+def text_of(mark: Column) -> Column:
+    """A fingerprint as a string: 8 hex digits a subset, none for an empty one;
+    "all:" before it if it is of all terms."""
+    def digits(hashes: Column) -> Column:
+        return F.array_join(F.transform(hashes, lambda h: F.coalesce(
+            F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"), F.lit(""))), "-")
+    return F.when(mark["few"], F.concat(F.lit("all:"), digits(mark["own"]))).otherwise(digits(mark["hashes"]))
 
 
 def fingerprints(docs: DataFrame, keys: list[str], texts: list[str], lexicon_rows: DataFrame) -> DataFrame:
-    """``docs`` reduced to ``keys`` plus, for every text column t, t_hashes (an
-    array of SUBSETS hashes, NULL where the subset holds no term) and t_whole.
+    """``docs`` reduced to ``keys`` plus, for every text column t: t_hashes and
+    t_own, arrays of SUBSETS hashes of the lexicon's terms and of all terms
+    (NULL where the subset holds none of them), and t_few, whether the lexicon has
+    too few of the text's terms.
 
     ``keys`` identify the rows.  Grouping keeps the rows' partitioning when it
-    is by some of the keys.
+    is by some of the keys.  ``lexicon_rows`` have a column term.
     """
-    listed = {t: terms(F.coalesce(F.col(t), F.lit(""))) for t in texts}
-    base = docs.select(*keys, *[e.alias(f"{t}_terms") for t, e in listed.items()])
-    base = base.withColumns({f"{t}_whole": _whole(F.col(f"{t}_terms")) for t in texts})
-    wholes = [f"{t}_whole" for t in texts]
-    # the absent term keeps rows without any lexicon term
-    def marked(i: int) -> Column:
-        return F.transform(F.col(f"{texts[i]}_terms"), lambda x: F.struct(F.lit(i).alias("which"), x.alias("term")))
-    entries = F.concat(F.array(F.struct(F.lit(-1).alias("which"), F.lit(ABSENT).cast("long").alias("term"))),
-                       *[marked(i) for i in range(len(texts))])
-    known = lexicon_rows.union(docs.sparkSession.range(1).select(F.lit(ABSENT).cast("long"), F.lit(-1)))
-    hits = (base.select(*keys, *wholes, F.explode(entries).alias("e")).select(*keys, *wholes, "e.which", "e.term")
-            .join(F.broadcast(known), "term"))
-    grouped = hits.groupBy(*keys, *wholes).agg(F.array_sort(F.collect_set(F.struct("which", "subset", "term"))).alias("hits"))
-
-    def hashes(which: int) -> Column:
-        mine = F.filter("hits", lambda x: x["which"] == which)
-        return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda k: _subset_hash(mine, k))
-
-    def _subset_hash(mine: Column, k: Column) -> Column:
-        own = F.transform(F.filter(mine, lambda x: x["subset"] == k), lambda x: x["term"])
-        return F.when(F.size(own) > 0, F.xxhash64(own))
-    return grouped.select(*keys, *wholes, *[hashes(i).alias(f"{t}_hashes") for i, t in enumerate(texts)])
+    def marked(i: int) -> Column:  # the NULL term keeps texts without any
+        one = F.array(F.struct(F.lit(i).alias("which"), F.lit(None).cast("long").alias("term")))
+        return F.concat(one, F.transform(terms(F.coalesce(F.col(texts[i]), F.lit(""))),
+                                         lambda x: F.struct(F.lit(i).alias("which"), x.alias("term"))))
+    entries = F.concat(*[marked(i) for i in range(len(texts))])
+    known = lexicon_rows.select("term").distinct().withColumn("subsets", _subsets(F.col("term")))
+    each = (docs.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.which", "e.term")
+            .withColumn("certain", _certain(F.col("term")))
+            .join(F.broadcast(known), "term", "left"))
+    # distinct terms, so the exclusive or of their hashes stands for the set, in any order
+    own = [F.bit_xor(F.when(F.col("certain") == k, F.col("term"))).alias(f"own{k}") for k in range(SUBSETS)]
+    hashes = [F.bit_xor(F.when(_inside(F.col("subsets"), k), F.col("term"))).alias(f"hash{k}") for k in range(SUBSETS)]
+    grouped = each.groupBy(*keys, "which").agg(F.count("term").alias("n"), F.count("subsets").alias("n_known"), *own, *hashes)
+    few = (F.col("n_known") < FEW_TERMS) | (F.col("n_known") < FEW_SHARE * F.col("n"))
+    mark = F.struct(F.array(*[f"hash{k}" for k in range(SUBSETS)]).alias("hashes"),
+                    F.array(*[f"own{k}" for k in range(SUBSETS)]).alias("own"), few.alias("few"))
+    wide = (grouped.select(*keys, "which", mark.alias("mark")).groupBy(*keys)
+            .agg(*[F.first(F.when(F.col("which") == i, F.col("mark")), ignorenulls=True).alias(t) for i, t in enumerate(texts)]))
+    return wide.select(*keys, *[F.col(t)[part].alias(f"{t}_{part}") for t in texts for part in ("hashes", "own", "few")])
 
 
 def edited_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_col: str = "doc_id",
@@ -147,12 +168,12 @@ def edited_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_co
     replaced by the first as many of the next document in ascending id order;
     the last document's next is the first.  NULL text counts as empty; NULL ids
     come first; rows of one id are ordered by text.  Equal texts have equal
-    fingerprints; texts without a lexicon term are compared by all their terms
-    (two empty texts are alike, 1.0).  A single document is its own next.  An
+    fingerprints; a pair is compared by all terms if the lexicon has too few of
+    either text's (two empty texts are alike, 1.0).  A single document is its own next.  An
     empty table gives an empty one; other columns are ignored.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    words = written(lexicon(source, band), "imatch-lexicon")
+    words = written(lexicon_terms(source, band), "imatch-lexicon")
     ranged = source.withColumn("range", _ranges(source))
     order = [F.col("doc_id").asc_nulls_first(), F.col("text")]
     some_null = F.count_if(F.col("doc_id").isNull()) > 0
@@ -172,15 +193,15 @@ def edited_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_co
              .withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)))
     keys = ["range", "row", "doc_id", "n_chars", "edited_sha256"]
     marked = written(fingerprints(pairs, keys, ["text", "edited"], words), "imatch-fingerprints")
-    own = F.struct(F.col("text_hashes").alias("hashes"), F.col("text_whole").alias("whole"))
-    marked = marked.withColumn("own", own)
-    heads = _next_head(marked.where("row = 1").select("range", "own"), "own")
+    def mark(text: str) -> Column:
+        return F.struct(*[F.col(f"{text}_{part}").alias(part) for part in ("hashes", "own", "few")])
+    marked = marked.withColumn("mark", mark("text")).withColumn("edited_mark", mark("edited"))
+    heads = _next_head(marked.where("row = 1").select("range", "mark"), "mark")
     by_row = Window.partitionBy("range").orderBy("row")
-    beside = (marked.withColumn("after", F.lead("own").over(by_row)).join(heads.hint("merge"), "range")
+    beside = (marked.withColumn("after", F.lead("mark").over(by_row)).join(heads.hint("merge"), "range")
               .withColumn("after", F.coalesce("after", "head")))
     return beside.select(
         "doc_id", "n_chars", "edited_sha256",
-        text_of(F.col("text_hashes"), F.col("text_whole")).alias("fingerprint"),
-        text_of(F.col("edited_hashes"), F.col("edited_whole")).alias("edited_fingerprint"),
-        likeness(F.col("text_hashes"), F.col("edited_hashes"), F.col("text_whole"), F.col("edited_whole")).alias("near_edited"),
-        likeness(F.col("text_hashes"), F.col("after.hashes"), F.col("text_whole"), F.col("after.whole")).alias("near_next"))
+        text_of(F.col("mark")).alias("fingerprint"), text_of(F.col("edited_mark")).alias("edited_fingerprint"),
+        likeness(F.col("mark"), F.col("edited_mark")).alias("near_edited"),
+        likeness(F.col("mark"), F.col("after")).alias("near_next"))

@@ -91,3 +91,23 @@ def test_odd_rows_and_empty_tables(spark):
 def test_plan_has_no_python(spark):
     plan = P.edited_fingerprints(docs(spark, ["a b", "c"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_near_copies_of_a_large_group_and_of_a_rare_language_are_alike(spark):
+    rng = random.Random(5)
+    group = [f"copy{i}" for i in range(40)]
+    near = group[:20] + ["changed"] + group[21:]
+    rare, rare_near = [f"rare{i}" for i in range(40)], [f"rare{i}" for i in range(39)] + ["other"]
+    texts = [" ".join(rng.sample([f"w{i}" for i in range(60)], 25)) for _ in range(600)]
+    texts += [" ".join(group)] * 300 + [" ".join(near), " ".join(rare), " ".join(rare_near)]
+    got = by_id(P.edited_fingerprints(docs(spark, texts)))
+    assert got[899].fingerprint == got[600].fingerprint and got[898].near_next == 1.0
+    assert 0.5 < got[899].near_next < 1.0 and 0.5 < got[901].near_next < 1.0
+    assert got[900].near_next == 0.0
+
+
+def test_short_texts_hit_several_subsets(spark):
+    texts = [f"a{i} b{i} c{i} d{i} e{i}" for i in range(200)]
+    lex = spark.createDataFrame([], "term long, subset int")
+    got = P.fingerprints(docs(spark, texts), ["doc_id"], ["text"], lex).collect()
+    assert all(sum(h is not None for h in r.text_own) >= 2 and r.text_few for r in got)
