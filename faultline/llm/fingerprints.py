@@ -1,8 +1,9 @@
 """I-Match document fingerprints over randomised lexicons (operator 7).
 
 The lexicon holds the terms whose inverse document frequency lies in a chosen
-band.  Several random subsets of it each give one hash: of the distinct terms
-of the document that are in the subset.  Two fingerprints are as alike as the share of
+band.  Every term is in one of the random subsets for certain and in each other
+with a small chance; each subset gives one hash, of the distinct terms of the
+document that are in it, so an edit to any lexicon term shows.  Two fingerprints are as alike as the share of
 subsets, among those that hold a term of either, with equal hashes.  A text the
 band leaves too few terms of is compared by all its own terms, each in its
 certain subset.
@@ -21,7 +22,7 @@ from .frames import written
 
 BAND = (0.005, 0.2)    # share of the documents that hold a lexicon term
 SUBSETS = 32
-ONE_IN = 128           # a power of two: a lexicon term is in each subset with this chance
+ONE_IN = 128           # a power of two: a term is in each subset but its certain one with this chance
 FEW_TERMS = 20         # a text with fewer lexicon terms is compared by all its terms,
 FEW_SHARE = 0.25       # and one with a smaller share of its terms in the lexicon
 ROWS_A_RANGE = 400     # documents of a range of ids that are ordered together
@@ -35,16 +36,17 @@ def terms(text: Column) -> Column:
 
 
 def _certain(term: Column) -> Column:
-    """The subset of all its own terms that a term is in."""
+    """The one subset that every term is in for certain."""
     return F.pmod(F.xxhash64(term, F.lit(-1)), F.lit(SUBSETS)).cast("int")
 
 
 def _subsets(term: Column) -> Column:
-    """Bit k is set if a lexicon term is in subset k: one in ONE_IN times."""
+    """Bit k is set if a lexicon term is in subset k: its certain one, and
+    every other one in ONE_IN times."""
     some = F.lit((1 << SUBSETS) - 1).cast("long")
     for i in range(ONE_IN.bit_length() - 1):  # a bit set in all of n words is one in 2 ** n
         some = some.bitwiseAND(F.xxhash64(term, F.lit(i)))
-    return some
+    return some.bitwiseOR(F.element_at(F.array(*[F.lit(1 << k).cast("long") for k in range(SUBSETS)]), _certain(term) + 1))
 
 
 def _inside(subsets: Column, k: int) -> Column:

@@ -93,6 +93,20 @@ def test_plan_has_no_python(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_every_lexicon_term_is_in_a_subset_and_edits_to_it_are_seen(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.sample(words, 6)) for _ in range(200)]
+    rows = P.lexicon(docs(spark, texts)).collect()
+    assert {r.term for r in rows} == {r.h for r in spark.createDataFrame([(w,) for w in words], "w string")
+                                      .select(F.xxhash64("w").alias("h")).collect()}
+    lex = P.lexicon(docs(spark, texts)).cache()
+    got = by_id(P.fingerprints(docs(spark, [" ".join(words), *[" ".join(words[:i] + words[i + 1:]) for i in range(60)]]),
+                               ["doc_id"], ["text"], lex))
+    assert len({tuple(r.text_hashes) for r in got.values()}) == 61
+    assert all(not got[i].text_few for i in got)
+
+
 def test_near_copies_of_a_large_group_and_of_a_rare_language_are_alike(spark):
     rng = random.Random(5)
     group = [f"copy{i}" for i in range(40)]
