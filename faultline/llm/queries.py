@@ -18,7 +18,7 @@ from .bpe_codec import round_trip
 from . import quality, toxicity
 from .fingerprints import edited_fingerprints
 from .frames import read_table
-from .labelled import id_remainder, training_sample
+from .labelled import bounded_sample, id_remainder, training_sample
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -83,7 +83,8 @@ def op5_repeats(spark: SparkSession, sf: str) -> DataFrame:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     learn = id_remainder("doc_id", 4) != 2
-    return toxicity.train(training_sample(docs, labels, "toxic", learn, toxicity.PER_LABEL, toxicity.TRAIN_BYTES))
+    sample = bounded_sample(docs, labels, "toxic", learn, toxicity.PER_LABEL, toxicity.TRAIN_BYTES, toxicity.LONGEST_BYTES)
+    return toxicity.train_bags(toxicity.sampled_bags(sample))
 
 
 def with_decision(scored: DataFrame, modulus: int, held: int) -> DataFrame:

@@ -3,7 +3,8 @@
 A text is the bag of its words' character n-grams (word ends marked), hashed
 into buckets; a document's vector is the mean of its buckets' embeddings, and
 a softmax over two classes reads it.  Embeddings and softmax are trained
-together in numpy on a bounded sample of labelled documents.  A word never
+together in numpy on a bounded sample of labelled documents of every length,
+whose n-grams are counted on the executors.  A word never
 seen shares n-grams, so vectors, with the words it was misspelt from.
 """
 
@@ -14,17 +15,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import SpanHasher, doc_slices, lower_ascii, utf8_column
-from .frames import add_columns
+from .frames import add_columns, release_memory, small_batches, written
 
 SIZES = (3, 4, 5)       # bytes of the n-grams
 BUCKET_BITS = 18
 SLICE_BYTES = 1 << 18   # of text scored together
 DIMENSIONS = 8
 PER_LABEL = (8000, 2000)  # documents of labels 0 and 1 trained on, at most
-TRAIN_BYTES = 4_096     # of each, at most
+TRAIN_BYTES = (16_000_000, 4_000_000)  # of the documents of labels 0 and 1 together, at most;
+LONGEST_BYTES = (1 << BUCKET_BITS) // len(SIZES)  # a longer one counts as this: it has no more distinct n-grams
 STEPS = 40_000          # documents seen in training, repeats counted: 4 passes and more, at most 40
 DECAY = 0.05            # pull of a document's own subwords towards zero, so rare ones stay small
 
@@ -73,7 +76,38 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(column), -60, 60)))
 
 
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, share of each) of a text's n-grams, at most 2 ** BUCKET_BITS of them."""
+    data, offsets = utf8_column(pa.array([text], pa.string()))
+    bucket, count = np.unique(subwords(data, offsets)[0], return_counts=True)
+    return bucket, (count / max(1, count.sum())).astype(np.float32)
+
+
+def sampled_bags(sample: DataFrame, id_col: str = "doc_id") -> list[tuple[tuple[np.ndarray, np.ndarray], int]]:
+    """(bag, label) of every row of ``sample`` (text, label), in the order of the ids."""
+    def batches(it):
+        for batch in (small for whole in it for small in small_batches(whole)):
+            bags = [bag(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("label"), pa.array([b.tobytes() for b, _ in bags], pa.binary()),
+                 pa.array([s.tobytes() for _, s in bags], pa.binary())], names=["id", "label", "bucket", "share"])
+            del bags
+            release_memory()
+
+    rows = (sample.select(F.col(id_col).cast("long").alias("id"), F.col("label").cast("int").alias("label"), "text")
+            .mapInArrow(batches, "id long, label int, bucket binary, share binary"))
+    # one partition at a time, so the driver holds the bags once
+    got = [(r["id"], r["label"], np.frombuffer(bytes(r["bucket"]), np.int32), np.frombuffer(bytes(r["share"]), np.float32))
+           for r in written(rows, "toxicity-sample").toLocalIterator()]
+    return [((bucket, share), label) for _, label, bucket, share in sorted(got, key=lambda g: g[0])]
+
+
 def train(sample: list[tuple[str, int]], seed: int = 1) -> Model:
+    """``train_bags`` on (text, label) pairs."""
+    return train_bags([(bag(text), label) for text, label in sample], seed)
+
+
+def train_bags(sample: list[tuple[tuple[np.ndarray, np.ndarray], int]], seed: int = 1) -> Model:
     """Joint training by stochastic gradient descent with per-value steps.
 
     Every sampled document weighs the same, so label 0 has a prior as it is
@@ -90,16 +124,11 @@ def train(sample: list[tuple[str, int]], seed: int = 1) -> Model:
     bias = np.zeros(2, np.float32)
     seen_e = np.full((1 << BUCKET_BITS, 1), 1e-8, np.float32)
     seen_s, seen_b = np.full((DIMENSIONS, 2), 1e-8, np.float32), np.full(2, 1e-8, np.float32)
-    bags = []
-    for text, _ in sample:
-        data, offsets = utf8_column(pa.array([text]))
-        bucket, count = np.unique(subwords(data, offsets)[0], return_counts=True)
-        bags.append((bucket, (count / max(1, count.sum())).astype(np.float32)))
     epochs = min(40, max(4, STEPS // len(sample)))
     for epoch in range(epochs):
         step = np.float32(0.3 * (1 - epoch / epochs))
         for d in rng.permutation(len(sample)):
-            bucket, share = bags[d]
+            bucket, share = sample[d][0]
             if not len(bucket):
                 continue
             rows = embed[bucket]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm import quality, toxicity
 from faultline.llm import queries as Q
-from faultline.llm.labelled import id_remainder, training_sample
+from faultline.llm.labelled import bounded_sample, id_remainder, training_sample
 from tests.llm.helpers import awkward_texts, docs, prose
 
 
@@ -131,3 +131,24 @@ def test_empty_tables_and_replaced_columns(spark):
     assert toxicity.score(docs(spark, []), model).count() == 0
     again = toxicity.score(docs(spark, ["a"]).withColumn("score", F.lit("old")), model)
     assert again.columns.count("score") == 1 and again.collect()[0].score == 0.5
+
+
+def test_toxicity_learns_from_long_documents(spark):
+    long = [(prose(i, 2500) + (" blorpish snarkode" * 150 if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(40)]
+    df = docs(spark, [t for t, _ in long])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(long)], "doc_id long, toxic int")
+    assert min(len(t) for t, _ in long) > 8192
+    model = Q.toxicity_model(df, labels)
+    low, high = model.scores(pa.array([prose(77, 3000), prose(77, 3000) + " blorpish snarkode" * 180]))
+    assert high > 0.5 > low
+
+
+def test_sample_is_bounded_by_total_bytes_and_holds_every_length(spark):
+    df = docs(spark, ["x" * (10 + 30 * (i % 4)) for i in range(80)] + [None], ids=[*range(80), 80])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(81)], "doc_id long, y int")
+    learn = id_remainder("doc_id", 4) != 2
+    got = bounded_sample(df, labels, "y", learn, (100, 8), (700, 10 ** 6), 60).collect()
+    clean = [min(60, len(r.text)) for r in got if r.label == 0]
+    assert 640 < sum(clean) <= 700 and {len(r.text) for r in got} == {10, 40, 70, 100}
+    assert sum(r.label == 1 for r in got) == 8
+    assert {r.doc_id for r in got} <= {r.doc_id for r in df.where(learn).collect()}
