@@ -16,16 +16,14 @@ from faultline.llm.bpe_codec import round_trip
 from faultline.llm.frames import read_table, written
 from faultline.llm.mixing import mixed_documents
 from faultline.llm.near_dedup import one_of_each
-from faultline.llm.queries import BYTE_BPE, toxicity_model
+from faultline.llm.queries import BYTE_BPE, DECIDE_FROM, toxicity_model
 from faultline.llm.repeats import remove_repeated_text
 
-REJECT_FROM = 0.5  # probability of being toxic from which a document goes
-
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents less likely toxic than not, by a model trained on the labelled ones."""
+    """Documents that op10_toxicity does not call toxic, by the same model and decision."""
     model = toxicity_model(docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, out="_toxic").where(F.col("_toxic") < REJECT_FROM).select(*docs.columns)
+    return toxicity.score(docs, model, out="_toxic").where(F.col("_toxic") < DECIDE_FROM).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ from .token_files import ids_crc32, read_token_files, write_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+DECIDE_FROM = 0.3  # score from which a document is of label 1
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -90,7 +91,7 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
 def with_decision(scored: DataFrame, modulus: int, held: int) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(id_remainder("doc_id", modulus) == held, F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        (F.col("score") >= DECIDE_FROM).cast("int").alias("predicted"))
 
 
 @register("op2_quality")

@@ -1,5 +1,6 @@
 """The pipeline's stages on a small corpus, each against its brute force."""
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -75,3 +76,14 @@ def test_every_operator_is_registered():
     for n in range(1, 11):
         assert sum(k.startswith(f"op{n}_") for k in keys) == 1
     assert "pipeline" in keys and set(Q.ORACLE_SQL) <= set(E.oracle_sql()) <= keys
+
+
+def test_toxicity_stage_decides_as_op10(spark, tmp_path, monkeypatch):
+    corpus(spark, str(tmp_path))
+    frame = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    middle = Q.toxicity.Model(np.zeros(1 << Q.toxicity.BUCKET_BITS), -0.4)  # scores 0.4
+    monkeypatch.setattr(Q, "toxicity_model", lambda *a: middle)
+    monkeypatch.setattr(C, "toxicity_model", lambda *a: middle)
+    called = {r.doc_id for r in Q.op10_toxicity(spark, str(tmp_path)).collect() if r.predicted}
+    kept = {r.doc_id for r in C.reject_toxic(spark, frame, str(tmp_path)).collect()}
+    assert called and not called & kept
