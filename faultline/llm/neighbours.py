@@ -1,7 +1,8 @@
 """Largest-inner-product search by collision-counting hashing (operator 1).
 
-Vectors get one more component so that all have the corpus's largest norm;
-then a larger inner product with a query is a smaller distance to it.  Each of
+Vectors get one more component so that all of a block have the block's largest
+norm; then a larger inner product with a query is a smaller distance to it.  A
+block holds vectors of about one norm, so that component stays small.  Each of
 ``PROJECTIONS`` random lines orders a block's vectors in one sorted array.  A
 query opens a window around its own place on every line; the windows widen by
 a constant factor (virtual rehashing) and a vector inside the windows of
@@ -15,6 +16,8 @@ pair of blocks are merged by query.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,6 +35,8 @@ VERIFY_SHARE = 0.12   # share of a block that is verified before a query stops,
 VERIFY_LEAST = 600    # and at least so many times the block allows
 VECTORS_A_BLOCK = 16_384  # on average; at most 65,535 by the places' type
 QUERIES_A_BLOCK = 8_192
+NORM_STEP = 1.25      # largest norm of a block over its smallest, at most,
+NORM_RANGES = 48      # but for the last of so many ranges, which holds all smaller ones
 
 _FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()),
                        T.StructField("score", T.DoubleType())])
@@ -74,7 +79,7 @@ class Index:
         n = len(self.vectors)
         if wanted >= n:
             return np.arange(n)
-        # the query at the corpus's largest norm: the order of inner products stays
+        # the query at the block's largest norm: the order of inner products stays
         middle = (query * (self.longest / np.linalg.norm(query))) @ self.lines
         half = self.half / WIDEN
         while True:
@@ -91,14 +96,14 @@ class Index:
             half *= WIDEN
 
 
-def _search(k: int, longest: float):
+def _search(k: int):
     def run(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         ids, out = [], []
         if queries.num_rows and vectors.num_rows:
             queries = queries.sort_by([("vec_id", "ascending")])
             matrix, own = _matrix(vectors.column("vector")), _matrix(queries.column("vector"))
             vec_id = vectors.column("vec_id").to_numpy()
-            index = Index(matrix, longest)
+            index = Index(matrix, float(np.linalg.norm(matrix, axis=1).max()))
             wanted = max(VERIFY_LEAST, int(VERIFY_SHARE * len(matrix)))
             for query_id, query in zip(queries.column("vec_id").to_pylist(), own):
                 at = index.candidates(query, wanted)
@@ -129,18 +134,26 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col
                                    F.col(vector_col).cast("array<double>").alias("vector"))
                     .where(F.col("vec_id").isNotNull() & usable(F.col("vector"))), "neighbours-vectors")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    about = ready.agg(F.count("*").alias("n"), F.max(norm).alias("longest"),
-                      F.count(F.when(is_query, 1)).alias("q")).first()
-    blocks = max(1, -(-about["n"] // VECTORS_A_BLOCK))
+    about = ready.agg(F.max(norm).alias("longest"), F.count(F.when(is_query, 1)).alias("q")).first()
+    steps = F.floor((F.log(F.lit(about["longest"])) - F.log(norm)) / math.log(NORM_STEP))
+    ready = ready.withColumn("range", F.coalesce(F.least(steps, F.lit(NORM_RANGES - 1)), F.lit(NORM_RANGES - 1)).cast("int"))
+    held_by = {r["range"]: r["count"] for r in ready.groupBy("range").count().collect()}  # at most NORM_RANGES rows
+    parts = [-(-held_by.get(i, 0) // VECTORS_A_BLOCK) for i in range(NORM_RANGES)]
+    starts = [sum(parts[:i]) for i in range(NORM_RANGES)]
+    blocks = max(1, sum(parts))
     asks = max(1, -(-about["q"] // QUERIES_A_BLOCK))
+
+    def of_range(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("range") + 1)
     ids = F.xxhash64("vec_id")
-    asked = (ready.where(is_query).distinct()
+    asked = (ready.where(is_query).drop("range").distinct()
              .select("*", F.pmod(ids, F.lit(asks)).alias("ask"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
     # the block's hash takes the vector in, so equal ids with many vectors spread as well
-    held = ready.select("*", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias("block"),
+    part = F.pmod(F.xxhash64("vec_id", "vector"), of_range([max(1, p) for p in parts]))
+    held = ready.select("vec_id", "vector", (of_range(starts) + part).cast("int").alias("block"),
                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(asks - 1).cast("long"))).alias("ask"))
     found = (asked.groupBy("ask", "block").cogroup(held.groupBy("ask", "block"))
-             .applyInArrow(_search(k, float(about["longest"] or 0.0)), _FOUND))
+             .applyInArrow(_search(k), _FOUND))
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

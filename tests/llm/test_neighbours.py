@@ -85,3 +85,15 @@ def test_empty_tables_and_no_queries(spark):
     assert N.nearest_neighbours(table(spark, [(1, [1, 2])]), F.col("vec_id") % 20 == 0).count() == 0
     alone = table(spark, [(20, [1, 2])]).withColumn("block", F.lit(1)).withColumn("ask", F.lit(2))
     assert N.nearest_neighbours(alone, F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("norms", ["one longer", "lognormal"])
+def test_recall_with_unequal_norms(spark, monkeypatch, norms):
+    monkeypatch.setattr(N, "VECTORS_A_BLOCK", 4000)
+    monkeypatch.setattr(N, "VERIFY_LEAST", 50)
+    rng = np.random.default_rng(8)
+    length = np.exp(rng.standard_normal(4000)) if norms == "lognormal" else np.where(np.arange(4000) == 7, 30.0, 1.0)
+    rows = [(i, v / np.linalg.norm(v) * n) for (i, v), n in zip(clustered(4000, 8), length)]
+    got = by_query(N.nearest_neighbours(table(spark, rows), F.col("vec_id") % 40 == 0, k=20))
+    want = exact(rows, set(range(0, 4000, 40)), 20)
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * 20 * len(want)
