@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .bpe_codec import round_trip
-from . import quality, toxicity
+from . import licences, quality, toxicity
 from .fingerprints import edited_fingerprints
 from .frames import read_table
 from .labelled import bounded_sample, id_remainder, training_sample
+from .lexical_search import rank_documents
+from .licences import scan_licences
+from .merkle import manifest_of
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -155,3 +158,98 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op1_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return nearest_neighbours(read_table(spark, sf, "embeddings").select("vec_id", "embedding"),
                               is_query=F.col("vec_id") % 20 == 0, k=20)
+
+
+@register("op11_licences")
+def op11_licences(spark: SparkSession, sf: str) -> DataFrame:
+    found = scan_licences(read_table(spark, sf, "documents").select("doc_id", "text"))
+    words = licences.base_places()
+    return found.select(
+        "doc_id", "n_words", F.size(words).cast("long").alias("n_base"), F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"), F.array_join(licences.base_labels(), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score")
+
+
+@register("op12_search", """
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws
+        FROM documents),
+    q AS (
+        SELECT row_number() OVER () AS i, item_id,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws
+        FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+    qt AS (SELECT i, t, count(*)::BIGINT AS times FROM (SELECT i, unnest(ws) AS t FROM q) GROUP BY i, t),
+    s AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+    dt AS (
+        SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ws) AS t FROM d)
+        WHERE t IN (SELECT t FROM qt) GROUP BY r, t),
+    w AS (
+        SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM dt, s GROUP BY t, n_docs),
+    m AS (SELECT r, doc_id, (75 + (25 * len(ws)::BIGINT * n_docs) // n_terms)::BIGINT AS m FROM d, s WHERE len(ws) > 0),
+    x AS (
+        SELECT qt.i, dt.r, m.doc_id, sum(times * w.w * ((1000000000 * tf) // (1000 * tf + 12 * m.m)))::BIGINT AS score
+        FROM qt JOIN w USING (t) JOIN dt USING (t) JOIN m USING (r) GROUP BY ALL)
+    SELECT q.item_id, (row_number() OVER o)::INTEGER AS rank, x.doc_id, x.score
+    FROM x JOIN q USING (i) WHERE score > 0
+    WINDOW o AS (PARTITION BY x.i ORDER BY score DESC, x.doc_id NULLS LAST) QUALIFY rank <= 20""")
+def op12_search(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"), k=20)
+
+
+@register("op13_manifest", """
+    WITH RECURSIVE d AS (
+        SELECT doc_id, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS tree,
+               coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+               text, replace(text, chr(10), '') AS less,
+               list_reduce(list_concat([4294967295], flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]
+                                                              FOR c IN string_split(doc_id::VARCHAR, '')])),
+                           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+               AS crc
+        FROM documents),
+    l AS (
+        SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(head || coalesce(strlen(less) || ':' || less, '-')) END AS altered
+        FROM d),
+    p AS (SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS r,
+                 row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                 count(*) OVER (PARTITION BY tree) AS n FROM l),
+    a AS (
+        SELECT tree, 0 AS h, i, n, leaf AS x FROM p
+        UNION ALL
+        SELECT tree, h + 1, i // 3, (n + 2) // 3, sha256(string_agg(x, '' ORDER BY i)) FROM a WHERE n > 1
+        GROUP BY tree, h, i // 3, n),
+    s AS (
+        SELECT tree, x AS subroot, h AS height, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM a WHERE n = 1),
+    b AS (
+        SELECT 0 AS h, i, n, subroot AS x FROM s
+        UNION ALL
+        SELECT h + 1, i // 3, (n + 2) // 3, sha256(string_agg(x, '' ORDER BY i)) FROM b WHERE n > 1 GROUP BY h, i // 3, n),
+    u AS (
+        SELECT tree, h, i, x FROM a WHERE n > 1
+        UNION ALL SELECT s.tree, s.height + b.h, b.i, b.x FROM b, s WHERE b.n > 1),
+    w AS (
+        SELECT p.r, p.tree, 0 AS h, CASE WHEN s.height = 0 THEN s.i ELSE p.i END AS i, coalesce(altered, leaf) AS x, s.height, s.i AS si, ''
+               AS siblings
+        FROM p JOIN s USING (tree)
+        UNION ALL
+        SELECT w.r, w.tree, w.h + 1, CASE WHEN w.h + 1 = height THEN si ELSE w.i // 3 END,
+               sha256(string_agg(CASE WHEN u.i = w.i THEN w.x ELSE u.x END, '' ORDER BY u.i)), height, si,
+               siblings || coalesce(string_agg(CASE WHEN u.i <> w.i THEN u.x END, '' ORDER BY u.i), '')
+        FROM w JOIN u ON u.tree = w.tree AND u.h = w.h AND u.i // 3 = w.i // 3
+        GROUP BY w.r, w.tree, w.h, w.i, w.height, w.si, w.siblings)
+    SELECT p.doc_id, p.leaf, s.subroot, (SELECT x FROM b WHERE n = 1) AS root, sha256(e.siblings) AS proof_sha256,
+           e.x AS folded_root, e.x = (SELECT x FROM b WHERE n = 1) AS verified
+    FROM p JOIN s USING (tree) JOIN (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY r ORDER BY h DESC) = 1) e USING (r)""")
+def op13_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    def hexed(column: str):
+        return F.lower(F.hex(column))
+
+    paths = manifest_of(read_table(spark, sf, "documents"))
+    return paths.select(
+        "doc_id", *[hexed(c).alias(c) for c in ("leaf", "subroot", "root")], F.sha2(hexed("siblings"), 256).alias("proof_sha256"),
+        hexed("folded_root").alias("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
