@@ -10,7 +10,7 @@ of cross joins or driver round trips.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from pyspark.sql.types import IntegralType
 from ..functions.numeric import intdiv
 from ..functions.text import tokens
 from ..session import shared_dir
+from .joins import checked_broadcast
 
 # The English stop-word list of the public Python package
 # "wordcloud" (MIT licence), lower case, apostrophes kept.
@@ -76,6 +77,32 @@ def top_words(df: DataFrame, text: str | Column, n: int = 20, word: str = "word"
     return counts.orderBy(F.col(out).desc(), F.col(word)).limit(n)
 
 
+# A run of two or more word characters and inner apostrophes that is no number (nor a number's possessive).
+_CLOUD_WORD = (r"(?!\p{Nd}+(?:'s)?(?![\p{L}\p{N}\p{M}_']))"
+               r"[\p{L}\p{N}\p{M}_][\p{L}\p{N}\p{M}_']+")
+COLLOCATION_THRESHOLD = 30.0
+
+
+def _bare(raw: str) -> Column:
+    return F.regexp_replace(F.col(raw), r"'s$", "")
+
+
+def _singular(word: str) -> Column:
+    """``word`` without a single final ``s``; other words as they are."""
+    plural = F.col(word).endswith("s") & ~F.col(word).endswith("ss") & (F.length(word) > 2)
+    return F.when(plural, F.expr(f"left(`{word}`, length(`{word}`) - 1)")).otherwise(F.col(word))
+
+
+def _plurals_met(counts: DataFrame, last: str, others: Sequence[str] = ()) -> DataFrame:
+    """``counts`` (others, last, _n) with plurals of ``last`` counted under
+    their singular where both occur: others, ``last``, _n and _words, the
+    words counted."""
+    groups = (counts.withColumn("_stem", _singular(last)).groupBy(*others, "_stem")
+              .agg(F.sum("_n").alias("_n"), F.collect_list(last).alias("_words")))  # the singular, its plural or both
+    return groups.select(*others, F.when(F.array_contains("_words", F.col("_stem")), F.col("_stem"))
+                         .otherwise(F.element_at("_words", 1)).alias(last), "_n", "_words")
+
+
 def cloud_words(df: DataFrame, text: str | Column, stopwords: Iterable[str] = STOPWORDS,
                 word: str = "word", out: str = "n") -> DataFrame:
     """Word-cloud words and their counts.
@@ -85,27 +112,109 @@ def cloud_words(df: DataFrame, text: str | Column, stopwords: Iterable[str] = ST
     possessive ``'s`` is dropped; numbers and stop words are left out.  A word
     that ends in a single ``s`` counts for the word without it where that
     occurs too.  NULL texts are skipped.
+
+    The runs are counted as they stand (partial/final); possessives and stop
+    words are looked at once a distinct run.
     """
-    found = F.explode(F.regexp_extract_all(F.lower(_col(text)), F.lit(r"[\p{L}\p{N}\p{M}_][\p{L}\p{N}\p{M}_']+"), 0)).alias("_w")
-    bare = F.regexp_replace(F.col("_w"), r"'s$", "")
-    words = (df.select(found).select(bare.alias(word))
-             .filter(~F.col(word).rlike(r"^\p{Nd}+$") & ~F.col(word).isin(sorted(set(stopwords))) & (F.col(word) != "")))
-    counts = words.groupBy(word).agg(F.count(F.lit(1)).alias("_n"))
-    # A plural and its singular meet under the singular; without one the word keeps its s.
-    plural = F.col(word).endswith("s") & ~F.col(word).endswith("ss") & (F.length(word) > 2)
-    stem = F.when(plural, F.expr(f"left(`{word}`, length(`{word}`) - 1)")).otherwise(F.col(word))
-    met = (counts.withColumn("_stem", stem).withColumn("_plural", plural.cast("int"))
-           .groupBy("_stem").agg(F.sum("_n").alias(out), F.max(F.when(F.col("_plural") == 0, F.col(word))).alias("_single"),
-                                 F.max(word).alias("_any")))
-    return met.select(F.coalesce("_single", "_any").alias(word), F.col(out).cast("long").alias(out))
+    found = F.regexp_extract_all(F.lower(_col(text)), F.lit(_CLOUD_WORD), 0)
+    raw = df.select(F.explode(found).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
+    words = raw.select(_bare("_w").alias(word), "_n").filter(~F.col(word).isin(sorted(set(stopwords))) & (F.col(word) != ""))
+    met = _plurals_met(words.groupBy(word).agg(F.sum("_n").alias("_n")), word)
+    return met.select(word, F.col("_n").cast("long").alias(out))
+
+
+def _likelihood(hits: Column, trials: Column, share: Column) -> Column:
+    """Log likelihood of ``hits`` in ``trials`` at ``share``; shares of 0 and 1 are kept off the logarithm."""
+    least = F.lit(1e-10)
+    return hits * F.log(F.greatest(share, least)) + (trials - hits) * F.log(F.greatest(F.lit(1.0) - share, least))
+
+
+def log_likelihood_ratio(both: Column, first: Column, second: Column, total: Column) -> Column:
+    """Dunning's ratio for a pair seen ``both`` times, of words seen ``first``
+    and ``second`` times among ``total``: how much likelier it is that the
+    second word's share differs after the first word than that it does not.
+    0 where a word is all there is."""
+    both, first, second, total = (c.cast("double") for c in (both, first, second, total))
+    rest, elsewhere = second - both, total - first
+    apart = _likelihood(both, first, both / first) + _likelihood(rest, elsewhere, F.try_divide(rest, elsewhere))
+    alike = _likelihood(both, first, second / total) + _likelihood(rest, elsewhere, second / total)
+    return F.when((total > first) & (total > second), F.lit(2.0) * (apart - alike)).otherwise(F.lit(0.0))
+
+
+def _words_and_pairs(df: DataFrame, text: str | Column, stopwords: Iterable[str]) -> tuple[DataFrame, DataFrame]:
+    """(word, n, words) of :func:`cloud_words` and (first, second, n) of
+    neighbours that are both such words.
+
+    One scan: every word with its successor in the text (none: NULL) is counted
+    as it stands, and both tables are sums of those counts.
+    """
+    stop = sorted(set(stopwords))
+    found = df.select(F.regexp_extract_all(F.lower(_col(text)), F.lit(_CLOUD_WORD), 0).alias("_ws"))
+    follow = F.arrays_zip(F.col("_ws").alias("a"), F.slice("_ws", 2, F.greatest(F.size("_ws"), F.lit(1))).alias("b"))
+    shared_dir(df.sparkSession)
+    raw = (found.select(F.explode(follow).alias("_p")).groupBy(F.col("_p.a").alias("_a"), F.col("_p.b").alias("_b"))
+           .agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True))  # a row per distinct pair, read twice
+    single = raw.groupBy("_a").agg(F.sum("_n").alias("_n"))
+    words = (single.select(_bare("_a").alias("word"), "_n").filter(~F.col("word").isin(stop) & (F.col("word") != ""))
+             .groupBy("word").agg(F.sum("_n").alias("_n")))
+    pairs = (raw.filter(F.col("_b").isNotNull()).select(_bare("_a").alias("first"), _bare("_b").alias("second"), "_n")
+             .filter(~F.col("first").isin(stop) & ~F.col("second").isin(stop) & (F.col("first") != "") & (F.col("second") != ""))
+             .groupBy("first", "second").agg(F.sum("_n").alias("_n")))
+    met = _plurals_met(words, "word").select("word", F.col("_n").cast("long").alias("n"), F.col("_words").alias("words"))
+    return met.checkpoint(eager=True), _plurals_met(pairs, "second", ["first"]).select(
+        "first", "second", F.col("_n").cast("long").alias("n"))
+
+
+def _scored_pairs(words: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs above the threshold, with the words that they are counted under."""
+    forms = checked_broadcast(words.select(F.explode("words").alias("_of"), F.col("word").alias("_form"), F.col("n").alias("_c")))
+
+    def counted(frame: DataFrame, side: str) -> DataFrame:
+        of = forms.select(F.col("_of").alias(side), F.col("_form").alias(f"{side}_word"), F.col("_c").alias(f"{side}_n"))
+        return frame.join(of, side)
+
+    total = words.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    both = counted(counted(pairs, "first"), "second")
+    score = log_likelihood_ratio(F.col("n"), F.col("first_n"), F.col("second_n"), total)
+    return both.withColumn("score", score).filter(F.col("score") > F.lit(float(threshold)))
+
+
+def collocations(df: DataFrame, text: str | Column, stopwords: Iterable[str] = STOPWORDS,
+                 threshold: float = COLLOCATION_THRESHOLD) -> DataFrame:
+    """Pairs of neighbouring words that belong together: first, second, pair
+    ("first second"), n and score.
+
+    The words are those of :func:`cloud_words`; a stop word between two words
+    parts them, a number does not, and pairs never cross texts.  A plural
+    second word counts for its singular where that pair occurs too.  A pair is
+    kept when its log-likelihood ratio is above ``threshold``.
+    """
+    words, pairs = _words_and_pairs(df, text, stopwords)
+    return _scored_pairs(words, pairs, threshold).select(
+        "first", "second", F.concat_ws(" ", "first", "second").alias("pair"), "n", "score")
+
+
+def cloud_words_and_pairs(df: DataFrame, text: str | Column, stopwords: Iterable[str] = STOPWORDS,
+                          threshold: float = COLLOCATION_THRESHOLD, word: str = "word", out: str = "n") -> DataFrame:
+    """:func:`cloud_words` and :func:`collocations` in one list: a pair takes
+    its occurrences from the counts of both its words, and a word with nothing
+    left is dropped."""
+    words, pairs = _words_and_pairs(df, text, stopwords)
+    kept = _scored_pairs(words, pairs, threshold).select("first", "second", "first_word", "second_word", "n").checkpoint(eager=True)
+    taken = (kept.select(F.explode(F.array("first_word", "second_word")).alias("word"), F.col("n").alias("_t"))
+             .groupBy("word").agg(F.sum("_t").alias("_t")))
+    left_over = (words.join(taken, "word", "left").withColumn("_left", F.col("n") - F.coalesce("_t", F.lit(0)))
+                 .filter(F.col("_left") > 0).select(F.col("word").alias(word), F.col("_left").alias(out)))
+    return left_over.unionAll(kept.select(F.concat_ws(" ", "first", "second"), "n"))
 
 
 def word_weights(df: DataFrame, text: str | Column, n: int = 200,
                  stopwords: Iterable[str] = STOPWORDS, word: str = "word", out: str = "n",
-                 weight: str = "weight") -> DataFrame:
-    """Word-cloud input: the ``n`` most frequent :func:`cloud_words` and their
-    weight relative to the most frequent one (largest = 1.0)."""
-    counts = cloud_words(df, text, stopwords, word, out)
+                 weight: str = "weight", pairs: bool = False) -> DataFrame:
+    """Word-cloud input: the ``n`` most frequent :func:`cloud_words` (with
+    ``pairs`` also :func:`collocations`) and their weight relative to the most
+    frequent one (largest = 1.0)."""
+    counts = cloud_words_and_pairs(df, text, stopwords, word=word, out=out) if pairs else cloud_words(df, text, stopwords, word, out)
     top = counts.orderBy(F.col(out).desc(), F.col(word)).limit(n)
     # The largest count of all words is the first of the top n: a window
     # over those at most n rows, no second pass over the texts.

@@ -323,6 +323,50 @@ def q_word_weights(spark, sf):
     return TX.word_weights(_t(spark, sf, "documents"), "text", 200)
 
 
+# Words in their order, the pairs of neighbours, their counts with plurals met, and the pairs' log-likelihood ratios.
+_COLLOCATIONS_SQL = rf"""
+WITH l AS (SELECT row_number() OVER () AS d, list_filter(list_transform(
+             regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}\p{{M}}_][\p{{L}}\p{{N}}\p{{M}}_'']+'),
+             lambda w: regexp_replace(w, '''s$', '')), lambda w: NOT regexp_full_match(w, '\p{{Nd}}+')) AS ws FROM documents),
+o AS (SELECT d, i, ws[i] AS w FROM (SELECT d, ws, unnest(range(1, len(ws) + 1)) AS i FROM l)),
+st AS (SELECT unnest([{_sql_list(TX.STOPWORDS)}]) AS w),
+a AS (SELECT w, COUNT(*) AS n FROM o WHERE w NOT IN (SELECT w FROM st) GROUP BY w),
+fm AS (SELECT a.w, a.n, COALESCE(s.w, a.w) AS form FROM a LEFT JOIN a s
+       ON a.w LIKE '%s' AND a.w NOT LIKE '%ss' AND length(a.w) > 2 AND s.w = left(a.w, -1)),
+c AS (SELECT form AS word, CAST(SUM(n) AS BIGINT) AS n FROM fm GROUP BY form),
+p1 AS (SELECT x.w AS a, y.w AS b, COUNT(*) AS n FROM o x JOIN o y ON x.d = y.d AND y.i = x.i + 1
+       WHERE x.w NOT IN (SELECT w FROM st) AND y.w NOT IN (SELECT w FROM st) GROUP BY ALL),
+p2 AS (SELECT p.a, COALESCE(s.b, p.b) AS b, CAST(SUM(p.n) AS BIGINT) AS n FROM p1 p LEFT JOIN p1 s
+       ON p.b LIKE '%s' AND p.b NOT LIKE '%ss' AND length(p.b) > 2 AND s.a = p.a AND s.b = left(p.b, -1) GROUP BY ALL),
+k AS (SELECT p2.*, f1.form AS w1, f2.form AS w2, c1.n::DOUBLE AS c1, c2.n::DOUBLE AS c2, (SELECT SUM(n) FROM c)::DOUBLE AS t
+      FROM p2 JOIN fm f1 ON f1.w = p2.a JOIN fm f2 ON f2.w = p2.b JOIN c c1 ON c1.word = f1.form JOIN c c2 ON c2.word = f2.form),
+q AS (SELECT *, c2 - n AS r, t - c1 AS e, n / c1 AS s1, (c2 - n) / (t - c1) AS s2, c2 / t AS s0 FROM k WHERE t > c1 AND t > c2),
+sc AS (SELECT *, 2 * (n * ln(greatest(s1, 1e-10)) + (c1 - n) * ln(greatest(1 - s1, 1e-10))
+                      + r * ln(greatest(s2, 1e-10)) + (e - r) * ln(greatest(1 - s2, 1e-10))
+                      - n * ln(greatest(s0, 1e-10)) - (c1 - n) * ln(greatest(1 - s0, 1e-10))
+                      - r * ln(greatest(s0, 1e-10)) - (e - r) * ln(greatest(1 - s0, 1e-10))) AS score FROM q),
+co AS (SELECT a || ' ' || b AS pair, n, score, w1, w2 FROM sc WHERE score > 30)
+"""
+
+
+@register("word_collocations", _COLLOCATIONS_SQL + "SELECT pair, n, ROUND(score, 4) AS score FROM co")
+def q_word_collocations(spark, sf):
+    """Neighbouring words that belong together."""
+    found = TX.collocations(_t(spark, sf, "documents"), "text")
+    return found.select("pair", "n", F.round("score", 4).alias("score"))
+
+
+@register("word_pair_weights", _COLLOCATIONS_SQL + """,
+tk AS (SELECT w, SUM(n) AS n FROM (SELECT w1 AS w, n FROM co UNION ALL SELECT w2, n FROM co) GROUP BY w),
+al AS (SELECT word, CAST(c.n - COALESCE(tk.n, 0) AS BIGINT) AS n FROM c LEFT JOIN tk ON tk.w = c.word
+       WHERE c.n > COALESCE(tk.n, 0) UNION ALL SELECT pair, n FROM co)
+SELECT word, n, n / (SELECT MAX(n) FROM al) AS weight FROM al ORDER BY n DESC, word LIMIT 200
+""")
+def q_word_pair_weights(spark, sf):
+    """The word cloud's words and pairs."""
+    return TX.word_weights(_t(spark, sf, "documents"), "text", 200, pairs=True)
+
+
 @register("histogram_equal_width", """
 WITH v AS (SELECT CAST(length(text) AS BIGINT) AS x FROM documents WHERE text IS NOT NULL),
 s AS (SELECT MIN(x) AS lo, MAX(x) AS hi FROM v),

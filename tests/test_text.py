@@ -1,4 +1,5 @@
 import math
+import re
 from collections import Counter
 
 
@@ -76,3 +77,66 @@ def test_cloud_words_drop_punctuation_possessives_and_plurals(spark):
     df = spark.createDataFrame([("The clauses, the clause. A clause! Class 42 query's queries a b2",), (None,)], "t string")
     got = {r.word: r.n for r in T.cloud_words(df, "t").collect()}
     assert got == {"clause": 3, "class": 1, "query": 1, "queries": 1, "b2": 1}
+
+
+CLOUD = ["New York's taxis; a new york taxi, 12 New York taxis", "new york the new york", "Cats chase a cat's mouse. Cat chases mice",
+         None, "", "42", "it's 1990's rock rock rock'n'roll", "glass glasses glas", "new york " * 20 + "old town"]
+
+
+def _cloud_python(texts, threshold):
+    """Words and pairs in plain Python: (words, pairs with scores, both in one list)."""
+    stop, seq = T.STOPWORDS, []
+    for t in texts:
+        runs = [re.sub(r"'s$", "", w) for w in re.findall(r"\w[\w']+", (t or "").lower())]
+        seq.append([w for w in runs if not w.isdecimal()])
+    single = lambda w: w[:-1] if w.endswith("s") and not w.endswith("ss") and len(w) > 2 else w
+    raw = Counter(w for ws in seq for w in ws if w not in stop)
+    form = {w: single(w) if single(w) in raw else w for w in raw}
+    words = Counter()
+    for w, n in raw.items():
+        words[form[w]] += n
+    raw2 = Counter(p for ws in seq for p in zip(ws, ws[1:]) if not stop & set(p))
+    pairs = Counter()
+    for (a, b), n in raw2.items():
+        pairs[a, single(b) if (a, single(b)) in raw2 else b] += n
+    total = sum(words.values())
+
+    def ll(k, n, p):
+        return k * math.log(max(p, 1e-10)) + (n - k) * math.log(max(1 - p, 1e-10))
+
+    kept = {}
+    for (a, b), n in pairs.items():
+        x, y = words[form[a]], words[form[b]]
+        if total > x and total > y:
+            score = 2 * (ll(n, x, n / x) + ll(y - n, total - x, (y - n) / (total - x)) - ll(n, x, y / total) - ll(y - n, total - x, y / total))
+            if score > threshold:
+                kept[a, b] = (n, score)
+    left = Counter(words)
+    for (a, b), (n, _) in kept.items():
+        left[form[a]] -= n
+        left[form[b]] -= n
+    return words, kept, {w: n for w, n in left.items() if n > 0} | {f"{a} {b}": n for (a, b), (n, _) in kept.items()}
+
+
+def test_words_and_collocations_match_plain_python(spark):
+    df = spark.createDataFrame([(t,) for t in CLOUD], "t string").repartition(3)
+    for threshold in (0.5, 5.0, 30.0):
+        words, kept, both = _cloud_python(CLOUD, threshold)
+        assert dict(rows(T.cloud_words(df, "t"))) == words
+        got = {(r["first"], r["second"]): (r["n"], r["score"]) for r in T.collocations(df, "t", threshold=threshold).collect()}
+        assert got.keys() == kept.keys() and all(got[k][0] == n and abs(got[k][1] - s) < 1e-9 for k, (n, s) in kept.items())
+        assert dict(rows(T.cloud_words_and_pairs(df, "t", threshold=threshold))) == both
+    assert ("new", "york") in kept and "new" not in both  # taken by the pair
+
+
+def test_collocations_of_nothing(spark):
+    empty = spark.createDataFrame([], "t string")
+    assert T.collocations(empty, "t").count() == 0 and T.word_weights(empty, "t", pairs=True).count() == 0
+    one = spark.createDataFrame([("word",), ("word word",)], "t string")
+    assert T.collocations(one, "t", threshold=0.0).count() == 0  # a word that is all there is
+
+
+def test_word_counting_runs_one_regex_per_occurrence(spark):
+    plan = T.cloud_words(_df(spark), "t")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate"):]  # what runs for every occurrence
+    assert "regexp_replace" not in below and plan.count("regexp_extract_all") <= 2
