@@ -10,7 +10,6 @@ late, and the prompt is a JVM ``concat``.  The service call runs inside
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -20,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import left, render_template, strip_text
 from ..session import shared_dir
+from .calls import logged_calls, outcomes, per_row
 from .joins import DEFAULT_BROADCAST_MAX_ROWS, Dim, attach, checked_broadcast, join_null_safe
 
 
@@ -87,16 +87,6 @@ def feedback_worklist(fact: DataFrame, group: str | Sequence[str], n: int, order
     return rows.filter(F.col(prompt_name).isNotNull()).orderBy(rank_name)
 
 
-class per_row:  # noqa: N801 - used like a function
-    """Adapt a one-prompt service call to the batch interface of :func:`enrich_rows`."""
-
-    def __init__(self, fn: Callable[[str], str]):
-        self.fn = fn
-
-    def __call__(self, prompts: pd.Series) -> pd.Series:
-        return prompts.map(self.fn)
-
-
 def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col: str,
                 output_col: str = "response", error_col: str = "error",
                 drop_failed: bool = True, materialize: bool = True,
@@ -119,46 +109,15 @@ def enrich_rows(df: DataFrame, fn: Callable[[pd.Series], pd.Series], input_col:
     result is not that of ``df``.  With ``materialize`` the enriched rows are
     checkpointed into the shared folder at once, so later actions (an upsert
     reads its input twice) never call the service again; only a retried task
-    repeats its calls, so keep ``fn`` idempotent.
+    repeats its calls.  Where calls cost, use :func:`calls.logged_calls`.
     """
     schema = StructType(list(df.schema.fields) + [StructField(output_col, StringType(), True),
                                                   StructField(error_col, StringType(), True)])
 
-    def call(service, value):
-        try:
-            return service(value)
-        finally:
-            if pause_seconds:
-                time.sleep(pause_seconds)
-
-    def one(service, value):
-        try:
-            return call(service, value)
-        except Exception as e:  # noqa: BLE001 - service errors vary
-            return e
-
-    def first(values):
-        return list(fn(pd.Series([values])))[0]
-
-    single = isinstance(fn, per_row)
-
-    def outcomes(inputs: pd.Series) -> list:
-        if single:
-            return [one(fn.fn, v) for v in inputs]
-        try:
-            values = list(call(fn, inputs))  # positional: the function's own index is ignored
-            if len(values) != len(inputs):
-                raise ValueError(f"batch function returned {len(values)} values for {len(inputs)} rows")
-            return values
-        except Exception:  # noqa: BLE001 - the batch as a whole failed
-            return [one(first, v) for v in inputs]
-
     def run(batches):
         for pdf in batches:
-            values = outcomes(pdf[input_col])
-            errors = [f"{type(v).__name__}: {v}" if isinstance(v, Exception) else None for v in values]
-            out = pd.Series([None if e else v for v, e in zip(values, errors)], index=pdf.index, dtype=object)
-            yield pdf.assign(**{output_col: out.where(out.isna(), out.astype(str)),
+            values, errors = outcomes(fn, pdf[input_col], pause_seconds)
+            yield pdf.assign(**{output_col: pd.Series(values, index=pdf.index, dtype=object),
                                 error_col: pd.Series(errors, index=pdf.index, dtype=object)})
 
     spread = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -195,7 +154,8 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
                  table_path: str | None = None, model_name: str = "", example_columns: Sequence[str] = (),
                  example_dims: Sequence[Dim] = (), group_dims: Sequence[Dim] = (),
                  report_columns: Sequence[str] = (), now=None, preview_chars: int = 70,
-                 mode: str = "errorifexists", pause_seconds: float = 0.0) -> DataFrame:
+                 mode: str = "errorifexists", pause_seconds: float = 0.0,
+                 log_path: str | None = None, calls_per_commit: int = 1) -> DataFrame:
     """The whole feedback run: worklist -> service -> upsert -> report.
 
     Rows of the result table: ``feedback_id``, the group key, example id,
@@ -204,7 +164,9 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
     group key and written as a new version at ``out_path``; the report is
     read from that version, ordered by rank.  Patterns whose service call
     failed are skipped and keep their previous row, if any.  ``mode`` is the
-    write mode of the new version (never the folder being read).
+    write mode of the new version (never the folder being read).  With
+    ``log_path`` every answer is kept in that log as soon as it is there, and a
+    run after a crash calls only what the log has no answer to.
     """
     from ..sources.tables import upsert_by_key
 
@@ -212,7 +174,11 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
     g = _list(group)
     work = feedback_worklist(fact, g, n, order_col, template, fields, example_columns, example_dims,
                              group_dims)
-    done = enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
+    if log_path:
+        done = logged_calls(work, service, "prompt", log_path, "generated_feedback", model=model_name,
+                            calls_per_commit=calls_per_commit, pause_seconds=pause_seconds)
+    else:
+        done = enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
     rows = done.select(*g, F.col("example_id").cast("long").alias("example_id"),
                        F.lit(model_name).alias("model_name"), F.col("prompt").alias("prompt_text"),
                        strip_text("generated_feedback").alias("generated_feedback"),

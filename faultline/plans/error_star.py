@@ -232,14 +232,16 @@ FEEDBACK_FIELDS = {"concept": "concept_name", "error_type": "type_name", "subtyp
 
 def generate_feedback(t: Tables, service, out_path: str, table_path: str | None = None, top_n: int = 5,
                       model_name: str = "", template: str = FEEDBACK_TEMPLATE, now=None,
-                      pause_seconds: float = 0.0) -> DataFrame:
+                      pause_seconds: float = 0.0, log_path: str | None = None) -> DataFrame:
     """The feedback run over the star: the ``top_n`` subtypes, their first
     submission with concept and outcome, the rendered prompt, the caller's
     ``service`` (a batch function, see ``feedback.per_row`` for one-prompt
     calls), an upsert keyed by ``subtype_id`` into a new version of the
     result table at ``out_path`` (merged with ``table_path`` if given), and
     the report: rank, subtype name, frequency and a 70-character preview.
+    With ``log_path`` every answer is kept there as soon as it is there.
     """
+    from ..operators.calls import logged_calls
     from ..sources.schemas import SCHEMAS
     from ..sources.tables import upsert_by_key
     from ..functions.text import strip_text
@@ -252,7 +254,10 @@ def generate_feedback(t: Tables, service, out_path: str, table_path: str | None
                       Dim(t["LearningOutcome"], on="outcome_id", columns=["outcome_text"])],
         group_dims=[Dim(_subtype_with_type(t), on="subtype_id", columns=["subtype_name", "type_name"])],
         example_name="example_submission_id")
-    done = FB.enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
+    if log_path:
+        done = logged_calls(work, service, "prompt", log_path, "generated_feedback", model=model_name, pause_seconds=pause_seconds)
+    else:
+        done = FB.enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
     rows = done.select("subtype_id", "example_submission_id", F.lit(model_name).alias("model_name"),
                        F.col("prompt").alias("prompt_text"),
                        strip_text("generated_feedback").alias("generated_feedback"),

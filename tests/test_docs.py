@@ -3,6 +3,7 @@
 import os
 import re
 
+from faultline.plans import loads  # noqa: F401 (registers its own)
 from faultline.plans.registered import QUERIES
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
