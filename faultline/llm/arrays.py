@@ -8,6 +8,7 @@ characters or words in Python.
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
@@ -17,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19  # documents handled together, so temporaries stay small; a longer text goes alone
+LONG_SPAN = 128  # bytes; modulo 2**64 the polynomial hash is the same for some pairs of regular texts from 1,024 bytes on
 
 _MULTIPLIER = 0xD1342543DE82EF95  # odd, so powers have inverses modulo 2**64
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -84,11 +86,13 @@ class SpanHasher:
     """64-bit hashes of byte spans of one buffer, each in constant time.
 
     The buffer's bytes become random odd codes; a prefix sum of code times
-    power gives every span's polynomial hash as one difference.
+    power gives every span's polynomial hash as one difference.  Spans of more
+    than LONG_SPAN bytes have a cryptographic digest instead.
     """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
+        self.data = data
         size = 1 << max(20, int(n).bit_length())
         def make():
             return _powers(_MULTIPLIER, size), _powers(_INVERSE, size)
@@ -98,7 +102,11 @@ class SpanHasher:
         np.cumsum(_BYTE_CODE[data] * up[:n], out=self.prefix[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.prefix[ends] - self.prefix[starts]) * self.down[starts])
+        out = mix((self.prefix[ends] - self.prefix[starts]) * self.down[starts])
+        for i in np.flatnonzero(ends - starts > LONG_SPAN).tolist():
+            digest = hashlib.blake2b(self.data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+            out[i] = int.from_bytes(digest, "little")
+        return out
 
     def windows(self, length: int) -> np.ndarray:
         """Hash of the ``length`` bytes from every position that has as many."""

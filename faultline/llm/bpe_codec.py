@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .arrays import SpanHasher, doc_slices, remembered
 from .frames import add_columns
-from .vocabulary import NONE, HashTable, TextEncoder, Vocabulary, pair_key, token_bytes, vocabulary
+from .vocabulary import NONE, TextEncoder, Vocabulary, pair_key, ragged_places, token_bytes, vocabulary
 
 TOKENS_AT_ONCE = 1 << 20  # ids decoded together
 
@@ -25,21 +25,16 @@ TOKENS_AT_ONCE = 1 << 20  # ids decoded together
 class Codec(TextEncoder):
     def __init__(self, vocab: Vocabulary):
         super().__init__(vocab)
-        self.ordinary = np.array(sorted(vocab.whole.values()), np.int32)
-        pieces = [vocab.token_bytes[i] for i in self.ordinary.tolist()]
-        ends = np.cumsum([len(p) for p in pieces])
-        starts = ends - [len(p) for p in pieces]
-        self.by_bytes = HashTable(SpanHasher(np.frombuffer(b"".join(pieces), np.uint8)).spans(starts, ends))
-        self.longest = max(map(len, pieces))
+        self.ordinary, self.by_bytes = vocab.whole_ids, vocab.whole_keys
+        self.longest = max((len(vocab.token_bytes[i]) for i in self.ordinary.tolist()), default=1)
         self.bytes_len = np.array([len(b) for b in vocab.token_bytes], np.int64)
         self.merged_words = 0   # words that failed verification, for tests and tuning
 
     # -- speculate ----------------------------------------------------------
 
-    def propose(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+    def propose(self, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray):
         """Greedy longest-match tokens of every span: (token ids, word of each
         id), in word order.  Every byte is a token, so a match always exists."""
-        hasher = SpanHasher(data)
         word = np.arange(len(starts))
         at = starts.copy()
         words, tokens = [], []
@@ -96,29 +91,27 @@ class Codec(TextEncoder):
             a, b = np.where(left, v.right[made_a], a), np.where(left, b, v.left[made_b])
         return ok
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Token ids of every word, as the bytes of an int32 array."""
-        data = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum([len(w) for w in words])
-        starts = ends - [len(w) for w in words]
-        tokens, owner = self.propose(data, starts, ends)
+    def encode_words(self, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per word, all ids) of the words of the hasher's buffer."""
+        tokens, owner = self.propose(hasher, starts, ends)
         beside = np.flatnonzero(owner[1:] == owner[:-1])
         key = pair_key(tokens[beside], tokens[beside + 1])
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         fine = self.compatible(tokens[beside[first]], tokens[beside[first] + 1])[inverse]
+        counts = np.bincount(owner, minlength=len(starts))
         failing = np.unique(owner[beside[~fine]])
-        bounds = np.searchsorted(owner, np.arange(len(words) + 1))
-        raw = tokens.astype(np.int32).tobytes()
-        out = [raw[4 * i:4 * j] for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        if len(failing):
-            self.merged_words += len(failing)
-            counts, flat = self.vocab.merge([words[i] for i in failing.tolist()])
-            raw = flat.astype(np.int32).tobytes()
-            at = 0
-            for i, n in zip(failing.tolist(), counts.tolist()):
-                out[i] = raw[4 * at:4 * (at + n)]
-                at += n
-        return out
+        if not len(failing):
+            return counts, tokens
+        self.merged_words += len(failing)
+        failed = np.zeros(len(starts), bool)
+        failed[failing] = True
+        kept = tokens[~failed[owner]]
+        counts[failing], merged = self.vocab.merge(hasher.data, starts[failing], ends[failing])
+        flat = np.zeros(int(counts.sum()), np.int32)
+        begin = np.cumsum(counts) - counts
+        flat[ragged_places(begin[~failed], counts[~failed])] = kept
+        flat[ragged_places(begin[failing], counts[failing])] = merged
+        return counts, flat
 
 
 class Decoder:

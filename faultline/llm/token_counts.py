@@ -7,29 +7,30 @@ any merging; only the rest is merged, and each distinct word once per worker.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import doc_slices, remembered, utf8_column
+from .arrays import SpanHasher, doc_slices, remembered, utf8_column
 from .frames import add_columns
-from .vocabulary import Vocabulary, WordCache, vocabulary
+from .vocabulary import NONE, Vocabulary, WordCache, vocabulary
 
 
-def _count_words(vocab: Vocabulary, words: list[bytes]) -> list[int]:
-    out = [1] * len(words)
-    rest = [i for i, w in enumerate(words) if w not in vocab.whole]
-    counts, _ = vocab.merge([words[i] for i in rest])
-    for i, n in zip(rest, counts.tolist()):
-        out[i] = n
-    return out
+def _count_words(vocab: Vocabulary, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One value per word, its tokens: one for a whole token, counted merging for the rest."""
+    out = np.ones(len(starts), np.int32)
+    rest = vocab.whole_keys.find(hasher.spans(starts, ends)) == NONE
+    out[rest], _ = vocab.merge(hasher.data, starts[rest], ends[rest])
+    return np.ones(len(starts), np.int64), out
 
 
 def _counts(path: str, column: pa.Array) -> np.ndarray:
     vocab = vocabulary(path)
-    cache = remembered(("token counts", path), lambda: WordCache(lambda words: _count_words(vocab, words)))
+    cache = remembered(("token counts", path), lambda: WordCache(partial(_count_words, vocab)))
     data, offsets = utf8_column(column)
     out = np.zeros(len(offsets) - 1, np.int64)
     for i, j in doc_slices(offsets):
@@ -37,8 +38,8 @@ def _counts(path: str, column: pa.Array) -> np.ndarray:
         starts, ends, words, special = vocab.pretokens(part, offsets[i:j + 1] - offsets[i])
         if not len(starts):
             continue
-        values, inverse = cache.values(part, starts, ends)
-        tokens = np.array(values, np.int64)[inverse]
+        at = cache.lookup(part, starts, ends)
+        tokens = cache.flat.values()[at].astype(np.int64)  # one value an entry
         tokens[special >= 0] = 1
         total = np.concatenate([[0], np.cumsum(tokens)])
         upto = np.concatenate([[0], np.cumsum(words)])

@@ -16,8 +16,9 @@ import pyarrow as pa
 from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
 
 NONE = np.int32(np.iinfo(np.int32).max)
-CACHED_WORDS = 150_000  # distinct pre-tokens whose ids a worker remembers
+CACHED_WORDS = 1_000_000  # distinct pre-tokens whose ids a worker remembers, some 50 bytes each
 LONG_WORD = 64   # bytes; longer words are merged one by one
+ROWS_AT_ONCE = 20_000  # shorter words merged together
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 # The White_Space property, and the letters and numbers that Unicode 16 added.
@@ -58,13 +59,29 @@ def _char_classes() -> np.ndarray:
 
 
 class HashTable:
-    """Position of 64-bit keys in the array they were built from, for arrays
-    of keys at once, by open addressing."""
+    """Position of distinct 64-bit keys in the order they were added, for
+    arrays of keys at once, by open addressing at a load of a half at most."""
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(len(keys) * 8).bit_length())
+        self.size = 0
+        self._resize(len(keys))
+        self.add(keys)
+
+    def _resize(self, size: int) -> None:
+        self.bits = max(4, int(size * 4).bit_length())
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.at = np.full(1 << self.bits, NONE, np.int32)
+
+    def add(self, keys: np.ndarray) -> None:
+        """``keys``, none of them in the table, take the next positions."""
+        if 2 * (self.size + len(keys)) > len(self.at):
+            old, at = self.keys[self.at != NONE], self.at[self.at != NONE]
+            self._resize(self.size + len(keys))
+            self._place(old, at)
+        self._place(keys, np.arange(self.size, self.size + len(keys), dtype=np.int32))
+        self.size += len(keys)
+
+    def _place(self, keys: np.ndarray, at: np.ndarray) -> None:
         slot = self._slot(keys)
         todo = np.arange(len(keys))
         while len(todo):
@@ -72,7 +89,7 @@ class HashTable:
             _, first = np.unique(slot[free], return_index=True)
             placed = free[first]
             self.keys[slot[placed]] = keys[placed]
-            self.at[slot[placed]] = placed
+            self.at[slot[placed]] = at[placed]
             todo = np.setdiff1d(todo, placed, assume_unique=True)
             slot[todo] = (slot[todo] + 1) & ((1 << self.bits) - 1)
 
@@ -94,6 +111,18 @@ class HashTable:
         return out
 
 
+def spans_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``words`` as one buffer with starts and ends."""
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    return np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends
+
+
+def ragged_places(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """begin, begin + 1 .. begin + count - 1 of every run, in one row."""
+    total = np.cumsum(counts)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(begin - (total - counts), counts)
+
+
 def pair_key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
 
@@ -145,13 +174,15 @@ class Vocabulary:
         self.rank_of = np.full(size, -1, np.int32)  # rank of the merge that makes a token, -1 for bytes
         self.rank_of[self.merged[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
         ordinary = sorted(set(ids.values()))
-        counts, flat = self.merge([self.token_bytes[i] for i in ordinary])
+        counts, flat = self.merge(*spans_of([self.token_bytes[i] for i in ordinary]))
         alone = np.zeros(size, bool)  # the token's own bytes merge to it and nothing else
         first = np.r_[0, np.cumsum(counts)[:-1]]
         single = counts == 1
         alone[np.array(ordinary)[single]] = flat[first[single]] == np.array(ordinary)[single]
         self.alone = alone
-        self.whole = {self.token_bytes[i]: i for i in ordinary if alone[i]}
+        self.whole_ids = np.array(ordinary, np.int32)[alone[ordinary]]
+        data, starts, ends = spans_of([self.token_bytes[i] for i in self.whole_ids.tolist()])
+        self.whole_keys = HashTable(SpanHasher(data).spans(starts, ends))
 
     # -- pre-tokens ---------------------------------------------------------
 
@@ -222,60 +253,74 @@ class Vocabulary:
 
     # -- exact merging ------------------------------------------------------
 
-    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Exact BPE of every word: (tokens per word, token ids in one row).
+    def merge(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact BPE of every word data[start:end]: (tokens per word, token ids
+        in one row).
 
         Words of similar length are merged together: each round finds every
         word's lowest-ranked adjacent pair (leftmost on ties) and joins it.
         """
-        lengths = np.array([len(w) for w in words], np.int64)
-        counts = np.zeros(len(words), np.int64)
-        parts: list = [None] * len(words)
+        lengths = ends - starts
+        counts = np.zeros(len(starts), np.int64)
         order = np.argsort(lengths, kind="stable")
         order = order[lengths[order] > 0]
         short = order[lengths[order] <= LONG_WORD]
-        for lo in range(0, len(short), 20000):
-            group = short[lo:lo + 20000]
-            ids, left = self._merge_rows([words[i] for i in group], lengths[group])
-            counts[group] = left
-            for row, i, k in zip(ids, group.tolist(), left.tolist()):
-                parts[i] = row[:k]
+        parts = []
+        for lo in range(0, len(short), ROWS_AT_ONCE):
+            group = short[lo:lo + ROWS_AT_ONCE]
+            ids, counts[group] = self._merge_rows(data, starts[group], lengths[group])
+            parts.append((group, ids))
         for i in order[lengths[order] > LONG_WORD].tolist():
-            parts[i] = self._merge_long(words[i])
-            counts[i] = len(parts[i])
-        flat = [p for p in parts if p is not None]
-        return counts, np.concatenate(flat) if flat else np.zeros(0, np.int32)
-
-    def _merge_rows(self, words: list[bytes], lengths: np.ndarray):
+            ids = self._merge_long(data[starts[i]:ends[i]])
+            counts[i] = len(ids)
+            parts.append((np.array([i]), ids))
+        flat = np.zeros(int(counts.sum()), np.int32)
+        begin = np.cumsum(counts) - counts
+        for group, ids in parts:
+            flat[ragged_places(begin[group], counts[group])] = ids
+        return counts, flat
+
+    def _merge_rows(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray):
+        """(ids of all words in one row, ids per word) of words of similar length."""
         width = int(lengths.max())
-        ids = np.full((len(words), width + 1), -1, np.int32)
-        flat = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
-        ids[np.arange(width + 1) < lengths[:, None]] = flat
+        ids = np.full((len(starts), width + 1), -1, np.int32)
+        inside = np.arange(width + 1) < lengths[:, None]
+        ids[inside] = self.byte_id[data[ragged_places(starts, lengths)]]
         left = lengths.copy()
-        active = np.flatnonzero(left > 1)
+        ranks = np.full((len(starts), width), NONE, np.int32)  # of each pair of neighbours
+        real = inside[:, 1:]
+        ranks[real] = self.pairs.find(pair_key(ids[:, :-1][real], ids[:, 1:][real]))
+        active, a, r = np.arange(len(starts)), ids, ranks
         while len(active):
-            a = ids[active]
-            ranks = np.full((len(active), a.shape[1] - 1), NONE, np.int32)
-            real = a[:, 1:] >= 0
-            ranks[real] = self.pairs.find(pair_key(a[:, :-1][real], a[:, 1:][real]))
-            at = ranks.argmin(axis=1)
-            best = ranks[np.arange(len(active)), at]
+            at = r.argmin(axis=1)
+            best = r[np.arange(len(active)), at]
             some = best < NONE
-            active, a, at, best = active[some], a[some], at[some], best[some]
-            if not len(active):
-                break
-            column = np.arange(a.shape[1] - 1)
-            moved = np.where(column > at[:, None], a[:, 1:], a[:, :-1])
-            moved[np.arange(len(active)), at] = self.merged[best]
-            ids[active, :-1] = moved
-            ids[active, -1] = -1
+            if not some.all():
+                ids[active[~some], :a.shape[1]] = a[~some]
+                active, a, r, at, best = active[some], a[some], r[some], at[some], best[some]
+                if not len(active):
+                    break
+            row = np.arange(len(active))
+            column = np.arange(a.shape[1])
+            joined = np.empty((len(active), a.shape[1]), np.int32)
+            joined[:, :-1] = np.where(column[:-1] > at[:, None], a[:, 1:], a[:, :-1])
+            joined[:, -1] = -1
+            joined[row, at] = self.merged[best]
+            shifted = np.empty((len(active), r.shape[1]), np.int32)
+            shifted[:, :-1] = np.where(column[:-2] > at[:, None], r[:, 1:], r[:, :-1])
+            shifted[:, -1] = NONE
             left[active] -= 1
-            active = active[left[active] > 1]
-        return ids, left
-
-    def _merge_long(self, word: bytes) -> np.ndarray:
+            a, r = joined, shifted
+            for first, there in ((at - 1, at > 0), (at, at + 1 < left[active])):  # the pairs beside the new token
+                i, j = row[there], first[there]
+                r[i, j] = self.pairs.find(pair_key(a[i, j], a[i, j + 1]))
+            last = at + 1 >= left[active]
+            r[row[last], at[last]] = NONE
+        return ids[np.arange(width + 1) < left[:, None]], left
+
+    def _merge_long(self, word: np.ndarray) -> np.ndarray:
         """One long word: all joins of the lowest rank, left to right, per round."""
-        ids = self.byte_id[np.frombuffer(word, np.uint8)]
+        ids = self.byte_id[word]
         while len(ids) > 1:
             ranks = self.pairs.find(pair_key(ids[:-1], ids[1:]))
             best = ranks.min()
@@ -297,28 +342,63 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class WordCache:
-    """Per-worker memory of a value for every distinct pre-token, filled by
-    ``encode`` (words -> values); emptied when it holds ``limit`` words, so
-    its memory stays bounded however many words a corpus has."""
-
-    def __init__(self, encode, limit: int = 400_000):
-        self.encode, self.limit, self.known = encode, limit, {}
-
-    def values(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """(values of the distinct words, index of each word among them)."""
-        keys = SpanHasher(data).spans(starts, ends)
-        distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) > self.limit:
-            self.known.clear()
-        listed = distinct.tolist()
-        unseen = [i for i, k in enumerate(listed) if k not in self.known]
-        if unseen:
-            raw = data.tobytes()
-            at = first[unseen]
-            words = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-            for i, v in zip(unseen, self.encode(words)):
-                self.known[listed[i]] = v
-        return [self.known[k] for k in listed], inverse
+    """Per-worker memory of the values (int32) of every distinct pre-token,
+    filled by ``encode`` (span hasher, starts, ends -> values per word, all
+    values).  Beyond ``limit`` words it forgets the older half, so its memory
+    stays bounded however many words a corpus has."""
+
+    def __init__(self, encode, limit: int = CACHED_WORDS):
+        self.encode, self.limit = encode, limit
+        self._set(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+
+    def _set(self, keys: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
+        self.table = HashTable(keys)
+        self.keys, self.counts, self.flat = Growing(keys), Growing(counts), Growing(flat)
+        self.begin = Growing(np.cumsum(counts) - counts)
+
+    def _forget(self) -> None:
+        half = self.table.size // 2
+        first = int(self.begin.values()[half])
+        self._set(self.keys.values()[half:].copy(), self.counts.values()[half:].copy(), self.flat.values()[first:].copy())
+
+    def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Entry of every word; its values are flat[begin:begin + count]."""
+        if self.table.size > self.limit:
+            self._forget()
+        hasher = SpanHasher(data)
+        keys = hasher.spans(starts, ends)
+        at = self.table.find(keys)
+        missing = np.flatnonzero(at == NONE)
+        if len(missing):
+            new, first = np.unique(keys[missing], return_index=True)
+            words = missing[first]
+            counts, flat = self.encode(hasher, starts[words], ends[words])
+            self.begin.append(len(self.flat) + np.cumsum(counts) - counts)
+            for column, values in ((self.keys, new), (self.counts, counts), (self.flat, flat)):
+                column.append(values)
+            self.table.add(new)
+            at[missing] = self.table.find(keys[missing])
+        return at
+
+
+class Growing:
+    """An array that values are appended to."""
+
+    def __init__(self, values: np.ndarray):
+        self.buffer, self.size = values, len(values)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def values(self) -> np.ndarray:
+        return self.buffer[:self.size]
+
+    def append(self, values: np.ndarray) -> None:
+        size = self.size + len(values)
+        if size > len(self.buffer):
+            self.buffer = np.concatenate([self.values(), np.empty(max(len(values), self.size // 2), self.buffer.dtype)])
+        self.buffer[self.size:size] = values
+        self.size = size
 
 
 class TextEncoder:
@@ -327,16 +407,11 @@ class TextEncoder:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.cache = WordCache(self.encode_words, limit=CACHED_WORDS)
+        self.cache = WordCache(self.encode_words)
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Token ids of every word, as the bytes of an int32 array."""
-        whole = self.vocab.whole
-        rest = [w for w in words if w not in whole]
-        counts, flat = self.vocab.merge(rest)
-        raw, ends = flat.astype(np.int32).tobytes(), np.cumsum(counts).tolist()
-        merged = iter([raw[4 * (e - n):4 * e] for e, n in zip(ends, counts.tolist())])
-        return [whole[w].to_bytes(4, "little") if w in whole else next(merged) for w in words]
+    def encode_words(self, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per word, all ids) of the words of the hasher's buffer."""
+        return encode_whole(self.vocab, hasher, starts, ends)
 
     def encode(self, column: pa.Array) -> pa.Array:
         """Id list of every text of a string column; NULL has none."""
@@ -347,25 +422,32 @@ class TextEncoder:
             starts, ends, words, special = self.vocab.pretokens(part, offsets[i:j + 1] - offsets[i])
             if not len(starts):
                 continue
-            values, inverse = self.cache.values(part, starts, ends)
-            counts = np.array([len(v) for v in values], np.int64) // 4
-            flat = np.frombuffer(b"".join(values), np.int32)
-            begin = np.cumsum(counts) - counts
+            at = self.cache.lookup(part, starts, ends)
+            each, begin, flat = self.cache.counts.values()[at], self.cache.begin.values()[at], self.cache.flat.values()
             marked = np.flatnonzero(special >= 0)
             if len(marked):  # added tokens: one id, whatever the word cache says of their text
-                begin = np.append(begin, np.arange(len(marked)) + len(flat))
+                begin[marked] = np.arange(len(marked)) + len(flat)
                 flat = np.append(flat, special[marked])
-                counts = np.append(counts, np.ones(len(marked), np.int64))
-                inverse = inverse.copy()
-                inverse[marked] = np.arange(len(marked)) + len(values)
-            each = counts[inverse]
+                each[marked] = 1
             total = np.concatenate([[0], np.cumsum(each)])
-            pick = np.arange(total[-1]) + np.repeat(begin[inverse] - total[:-1], each)
-            flats.append(flat[pick])
+            flats.append(flat[ragged_places(begin, each)])
             upto = np.concatenate([[0], np.cumsum(words)])
             sizes[i:j] = total[upto[1:]] - total[upto[:-1]]
         return ragged(np.concatenate(flats) if flats else np.zeros(0, np.int32), sizes, pa.int32())
 
 
+def encode_whole(vocab: Vocabulary, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids per word, all ids): words that are tokens alone by lookup, the rest by exact merging."""
+    found = vocab.whole_keys.find(hasher.spans(starts, ends))
+    known = found != NONE
+    counts = np.ones(len(starts), np.int64)
+    counts[~known], merged = vocab.merge(hasher.data, starts[~known], ends[~known])
+    flat = np.zeros(int(counts.sum()), np.int32)
+    begin = np.cumsum(counts) - counts
+    flat[begin[known]] = vocab.whole_ids[found[known]]
+    flat[ragged_places(begin[~known], counts[~known])] = merged
+    return counts, flat
+
+
 def text_encoder(path: str) -> TextEncoder:
     return remembered(("text encoder", path), lambda: TextEncoder(vocabulary(path)))

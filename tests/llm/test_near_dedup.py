@@ -8,7 +8,7 @@ import pytest
 
 from faultline.llm import near_dedup as N
 from faultline.llm.components import connected_components
-from tests.llm.helpers import WORDS, awkward_texts, docs, prose
+from tests.llm.helpers import WORDS, awkward_texts, by_id, docs, prose
 
 
 def shingles(text, words):
@@ -132,3 +132,14 @@ def test_components_match_union_find(spark, seed):
         root[y] = x
     assert got == {x: find(x) for p in links if p[0] != p[1] for x in p}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_long_regular_words_are_told_apart(spark):
+    words = []
+    for size in (1024, 4096):
+        bits = [bin(i).count("1") % 2 for i in range(size)]
+        words += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    texts = [f"one two three four {w}" for w in words]
+    got = by_id(N.near_duplicates(docs(spark, texts), words=4, percent=60))
+    assert [got[i].component_id for i in range(4)] == [0, 1, 2, 3]
+    assert len({N.shingle_sets(pa.array([t]), 4)[0].tobytes() for t in texts}) == 4

@@ -13,9 +13,10 @@ from tokenizers import Tokenizer
 
 from faultline.llm import queries as Q
 from faultline.llm.bpe_codec import Codec, codec, decode, encode
+from faultline.llm.arrays import SpanHasher
 from faultline.llm.token_counts import count_tokens
 from faultline.llm.token_files import ids_crc32, read_token_files, write_token_files
-from faultline.llm.vocabulary import char_classes, text_encoder, vocabulary
+from faultline.llm.vocabulary import TextEncoder, char_classes, spans_of, text_encoder, vocabulary
 from faultline.session import scratch_path
 from tests.llm.helpers import awkward_texts, by_id, docs
 
@@ -71,15 +72,18 @@ def test_encoders_match_the_library(library, encoder):
 def test_only_failing_words_are_merged(library):
     c = Codec(vocabulary(PATH))
     words = [w.encode() for w in (" hello", " unbelievable", " thonatat", "lo", " erwhingly")]
-    out = c.encode_words(words)
-    assert [np.frombuffer(b, np.int32).tolist() for b in out] == [expected(library, w.decode()) for w in words]
+    data, starts, ends = spans_of(words)
+    counts, flat = c.encode_words(SpanHasher(data), starts, ends)
+    at = [0, *counts.cumsum().tolist()]
+    assert [flat[i:j].tolist() for i, j in zip(at, at[1:])] == [expected(library, w.decode()) for w in words]
     assert 0 < c.merged_words < len(words)
 
 
 def test_whole_tokens_are_proved_by_merging(library):
     vocab = vocabulary(PATH)
     rng = random.Random(4)
-    for raw, i in rng.sample(sorted(vocab.whole.items()), 400):
+    for i in rng.sample(vocab.whole_ids.tolist(), 400):
+        raw = vocab.token_bytes[i]
         try:
             text = raw.decode()
         except UnicodeDecodeError:
@@ -89,6 +93,48 @@ def test_whole_tokens_are_proved_by_merging(library):
             assert expected(library, text) == [i]
 
 
+def regular_words():
+    """Words of two letters and their complements, whose polynomial hashes
+    modulo 2**64 agree from 1,024 letters on, and long words of many letters."""
+    out = []
+    for size in (512, 1024, 2048, 4096, 65536):
+        bits = [bin(i).count("1") % 2 for i in range(size)]
+        out += ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+    rng = random.Random(8)
+    return out + ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(n)) for n in (129, 401, 5000)]
+
+
+@pytest.mark.parametrize("encoder", [Codec, TextEncoder])
+def test_long_regular_words_are_told_apart(library, encoder):
+    words = regular_words()
+    got = encoder(vocabulary(PATH)).encode(pa.array(words + [" ".join(words)])).to_pylist()
+    for text, ids in zip(words + [" ".join(words)], got):
+        assert ids == expected(library, text)
+
+
+def test_long_regular_words_are_counted_and_written(spark, library):
+    words = regular_words()
+    df = docs(spark, words)
+    counts, files = by_id(count_tokens(df, PATH)), scratch_path(spark, "token-files-regular")
+    write_token_files(df, files, PATH, end_id=2)
+    ids, digests = by_id(read_token_files(spark, files)), by_id(Q.codec_digests(df))
+    for i, w in enumerate(words):
+        want = expected(library, w)
+        assert counts[i].n_tokens == len(want) and ids[i].ids == want + [2]
+        assert digests[i].decoded_sha256 == hashlib.sha256(w.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("limit", [1, 50])
+def test_a_forgetful_cache_changes_nothing(library, limit):
+    encoder = TextEncoder(vocabulary(PATH))
+    encoder.cache.limit = limit
+    texts = random_texts(5, 300)
+    for part in range(0, 300, 20):
+        got = encoder.encode(pa.array(texts[part:part + 20])).to_pylist()
+        assert got == [expected(library, t) for t in texts[part:part + 20]]
+    assert encoder.cache.table.size < 5000
+
+
 def test_counts_of_awkward_texts(spark, library):
     texts = awkward_texts()
     got = by_id(count_tokens(docs(spark, texts), PATH, limit=100))
