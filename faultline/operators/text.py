@@ -319,3 +319,50 @@ def density_curve(df: DataFrame, value: str | Column, points: int = 200,
     return (sums.filter(bw > 0)
                 .select(F.col("point").cast("long").alias("point"), gx.alias("x"), density.alias("density"))
                 .orderBy("point"))
+
+
+def density_curve_binned(df: DataFrame, value: str | Column, points: int = 200, bandwidth: float | None = None,
+                         adjust: float = 1.0, count_bins: int | None = 40, grid: int = 4096,
+                         decimals: int | None = 9) -> DataFrame:
+    """:func:`density_curve` by linear binning, for values that are mostly distinct.
+
+    The range is cut into ``grid`` cells; every value gives the two edges of
+    its cell weights that add up to 1, the nearer edge the larger one.  The
+    kernel sums then run over at most ``grid + 1`` edges instead of every
+    distinct value, so the shuffle does not depend on the data's size.
+    A kernel is replaced by its chord over a cell of width h, so a point of the
+    curve is off by at most h**2 / (8 * bandwidth**2) of a kernel's height
+    (its second derivative is at most 1 / bandwidth**2 of it): with 4096 cells
+    and a bandwidth of a hundredth of the range 0.008 %.
+
+    Two passes over the input: count, extremes and deviation, then the weights.
+    """
+    if points < 2:
+        raise ValueError("a density curve needs at least two grid points")
+    vals = df.select(_col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    shared_dir(df.sparkSession)
+    stats = vals.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"),
+                     F.stddev_samp("_x").alias("sd")).checkpoint(eager=True)  # one row
+    one = stats.select(F.struct("n", "lo", "hi", "sd")).scalar()
+    n, lo, hi = one["n"], one["lo"], one["hi"]
+    bw = F.lit(float(bandwidth)) if bandwidth is not None else (
+        one["sd"] * F.pow(n.cast("double"), F.lit(-0.2)) * F.lit(float(adjust)))
+    at = F.try_divide((F.col("_x") - lo) * F.lit(float(grid)), hi - lo)
+    cell = F.least(F.floor(at), F.lit(grid - 1).cast("long"))
+    share = F.col("_at") - F.col("_cell")
+    edges = F.array(F.struct(F.col("_cell").alias("e"), (F.lit(1.0) - share).alias("w")),
+                    F.struct((F.col("_cell") + F.lit(1)).alias("e"), share.alias("w")))
+    weights = (vals.withColumn("_at", at).withColumn("_cell", cell).filter(F.col("_at").isNotNull())
+               .select(F.explode(edges).alias("_e")).groupBy(F.col("_e.e").alias("_e")).agg(F.sum("_e.w").alias("_w")))
+    step, width = (hi - lo) / F.lit(points - 1), (hi - lo) / F.lit(float(grid))
+    gx = F.when(F.col("point") == points - 1, hi).otherwise(F.col("point") * step + lo)
+    z = F.try_divide(gx - (F.col("_e") * width + lo), bw)
+    fan = weights.select("_e", "_w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    sums = fan.groupBy("point").agg(F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
+    density = F.try_divide(F.col("_s"), n * bw * F.lit(math.sqrt(2 * math.pi)))
+    if count_bins:
+        density = density * n * (hi - lo) / F.lit(count_bins)
+    if decimals is not None:
+        density = F.round(density, decimals)
+    return (sums.filter(bw > 0).select(F.col("point").cast("long").alias("point"), gx.alias("x"), density.alias("density"))
+            .orderBy("point"))

@@ -140,3 +140,30 @@ def test_word_counting_runs_one_regex_per_occurrence(spark):
     plan = T.cloud_words(_df(spark), "t")._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Generate"):]  # what runs for every occurrence
     assert "regexp_replace" not in below and plan.count("regexp_extract_all") <= 2
+
+
+def test_binned_density_is_near_the_exact_curve_and_shuffles_the_grid(spark):
+    df = spark.range(0, 100000, 1, 4).selectExpr("id", "sin(id * 0.7311) * 10 + (id % 97) / 7 AS x")
+    some = df.filter("id < 3000")
+    exact = rows(T.density_curve(some, "x", points=50, decimals=None))
+    binned = rows(T.density_curve_binned(some, "x", points=50, decimals=None))
+    top = max(d for *_, d in exact)
+    assert [(p, x) for p, x, _ in binned] == [(p, x) for p, x, _ in exact]
+    lo, hi = exact[0][1], exact[-1][1]
+    n = 3000
+    sd = some.selectExpr("stddev_samp(x)").first()[0]
+    bound = ((hi - lo) / 4096 / (sd * n ** -0.2)) ** 2 / 8  # of a kernel's height, for each value
+    height = n * (hi - lo) / 40 / (sd * n ** -0.2 * math.sqrt(2 * math.pi))
+    assert max(abs(a - b) for (*_, a), (*_, b) in zip(exact, binned)) <= bound * height and bound * height < 0.01 * top
+    many = T.density_curve_binned(df, "x", points=50, grid=256)
+    assert many.count() == 50
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    fan_out = plan.index("Generate")  # of the kernels; below it the values are summed by edge
+    assert "Aggregate" in plan[fan_out:plan.index("Generate", fan_out + 1)]
+
+
+def test_binned_density_of_equal_values_and_none(spark):
+    same = spark.createDataFrame([(2.0,)] * 4, "x double")
+    assert T.density_curve_binned(same, "x").count() == 0
+    assert T.density_curve_binned(same.limit(0), "x").count() == 0
+    assert T.density_curve_binned(spark.createDataFrame([(None,), (1.0,)], "x double"), "x").count() == 0
