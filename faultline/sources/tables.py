@@ -98,6 +98,17 @@ def append_with_ids(spark: SparkSession, path: str, new: DataFrame, id_col: str,
     return rows
 
 
+def one_per_key(new: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
+    """A row per key (NULL keys are one): that of the largest ``order_col``;
+    without one a key that occurs twice fails the job."""
+    rec = F.struct(*[F.col(c) for c in new.columns])
+    if order_col:
+        return new.groupBy(*keys).agg(F.max_by(rec, F.col(order_col)).alias("_r")).select("_r.*")
+    return (new.groupBy(*keys).agg(F.any_value(rec).alias("_r"), F.count(F.lit(1)).alias("_c"))
+            .select(F.when(F.col("_c") > 1, F.raise_error(F.lit("duplicate key in upsert input"))).otherwise(F.col("_r")).alias("_r"))
+            .select("_r.*"))
+
+
 def upsert_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str],
                   id_col: str | None = None, touched_col: str | None = None, now=None,
                   prune: bool = False, order_col: str | None = None,
@@ -114,42 +125,28 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     the one with the largest ``order_col`` wins (the reference's last write);
     without ``order_col`` such input is rejected when the merge runs.
 
-    ``new`` is reduced to a row per key and materialised; the old rows are
-    filtered and joined by it, without a shuffle of the old table when the
-    new rows are proven small.  Only inserted rows are numbered.
+    ``new`` is reduced to a row per key and materialised.  The old rows are
+    read once for the result, without a shuffle when the new rows are proven
+    small; two narrow scans find which new keys are known and the largest id.
+    Only inserted rows are numbered.  The result is the whole table; for few
+    rows into a large one see :mod:`keyed`.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    # One partial/final aggregate per key: keep the last write, or reject
-    # duplicates when no order is given.
-    rec = F.struct(*[F.col(c) for c in new.columns])
-    if order_col:
-        new = new.groupBy(*keys).agg(F.max_by(rec, F.col(order_col)).alias("_r")).select("_r.*")
-    else:
-        new = (new.groupBy(*keys)
-                  .agg(F.any_value(rec).alias("_r"), F.count(F.lit(1)).alias("_c"))
-                  .select(F.when(F.col("_c") > 1, F.raise_error(F.lit("duplicate key in upsert input")))
-                           .otherwise(F.col("_r")).alias("_r"))
-                  .select("_r.*"))
     shared_dir(old.sparkSession)
-    new = new.checkpoint(eager=True)
+    new = one_per_key(new, keys, order_col).checkpoint(eager=True)
     stamp = (F.current_timestamp() if now is None else F.lit(now)).cast(
         old.schema[touched_col].dataType) if touched_col else None
 
-    def changed(frame: DataFrame, what: str) -> DataFrame:
-        return frame.withColumn(change_col, F.lit(what)) if change_col else frame
-
     small = checked_broadcast(new)
-    theirs = small.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns])
+    theirs = small.select(*[F.col(c).alias(f"_n_{c}") for c in new.columns], F.lit(True).alias("_hit"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_n_{k}")) for k in keys])
     values = []
     for c in old.columns:
-        if c == touched_col:
-            values.append(stamp.alias(c))
-        else:
-            values.append(F.col(f"_n_{c}" if c in new.columns and c != id_col else c).alias(c))
-    parts = [changed(old.join(theirs, on=same, how="inner").select(*values), "update")]
-    if not prune:
-        parts.append(changed(old.join(theirs.select(*[f"_n_{k}" for k in keys]), on=same, how="left_anti"), "keep"))
+        newer = stamp if c == touched_col else F.col(f"_n_{c}") if c in new.columns and c != id_col else F.col(c)
+        values.append(F.when(F.col("_hit"), newer).otherwise(F.col(c)).alias(c))
+    if change_col:
+        values.append(F.when(F.col("_hit"), F.lit("update")).otherwise(F.lit("keep")).alias(change_col))
+    parts = [old.join(theirs, on=same, how="inner" if prune else "left").select(*values)]
     known = old.select(*[F.col(k).alias(f"_n_{k}") for k in keys])
     known = join_null_safe(known.select(*[F.col(f"_n_{k}").alias(k) for k in keys]), small.select(*keys), keys,
                            how="left_semi").distinct()  # the new keys that are in the old table
@@ -159,7 +156,7 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str],
                            for c in old.columns])
     if id_col:
         fresh = next_ids(old, fresh.drop(id_col), id_col, keys).select(*old.columns)
-    parts.append(changed(fresh, "insert"))
+    parts.append(fresh.withColumn(change_col, F.lit("insert")) if change_col else fresh)
     return reduce(DataFrame.unionByName, parts)
 
 

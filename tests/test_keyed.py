@@ -1,0 +1,87 @@
+"""Keyed tables: merges rewrite the touched partitions alone and follow upsert's rules."""
+
+import contextlib
+import datetime as dt
+import io
+import os
+import random
+
+import pytest
+
+from faultline.session import scratch_path
+from faultline.sources import keyed as K
+from tests.conftest import rows
+
+
+def files(table):
+    """{partition folder: its files}"""
+    top = table.rows_path.removeprefix("file:")
+    return {d: sorted(f for f in os.listdir(os.path.join(top, d)) if f.endswith(".parquet"))
+            for d in os.listdir(top) if d.startswith("_part=")}
+
+
+def test_three_new_rows_rewrite_at_most_three_partitions(spark):
+    df = spark.range(5000).selectExpr("id AS k", "id * 2 AS v")
+    table = K.create_keyed(df, scratch_path(spark, "keyed"), "k", partitions=64)
+    before = files(table)
+    assert len(before) == 64
+    new = spark.createDataFrame([(7, -1), (4999, -2), (9000, -3)], "k long, v long")
+    parts = K.merge_keyed(spark, table, new)
+    after = files(table)
+    assert 1 <= len(parts) <= 3
+    assert {d for d in after if after[d] != before[d]} == {f"_part={p}" for p in parts}
+    got = dict(rows(K.read_keyed(spark, table)))
+    assert got == {i: i * 2 for i in range(5000)} | {7: -1, 4999: -2, 9000: -3}
+
+
+def test_the_merge_reads_the_touched_partitions_once(spark):
+    table = K.create_keyed(spark.range(1000).selectExpr("id AS k", "id AS v"), scratch_path(spark, "keyed"), "k", partitions=32)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        K.partitions_read(spark, table, [3, 5]).explain("formatted")
+    plan = out.getvalue()
+    assert plan.count("Scan parquet") == 2 and "PartitionFilters: [_part" in plan  # the tree and its details: one scan
+    assert {r[0] for r in K.partitions_read(spark, table, [3, 5]).select("_part").distinct().collect()} == {3, 5}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merges_match_a_dictionary(spark, seed):
+    rng = random.Random(seed)
+    keys = [(a, b) for a in ("x", "y", None) for b in (1, 2, 3, None)]
+    at = [dt.datetime(2024, 1, 1 + i) for i in range(4)]
+    first = {k: (i + 1, rng.randrange(100), "old", at[0]) for i, k in enumerate(rng.sample(keys, 6))}
+    schema = "a string, b int, fid long, v int, note string, seen timestamp_ntz"
+    table = K.create_keyed(spark.createDataFrame([(*k, *v) for k, v in first.items()], schema), scratch_path(spark, "keyed"),
+                           ["a", "b"], partitions=5, id_col="fid")
+    want, last = dict(first), 6
+    for load in (1, 2, 3):
+        some = {k: rng.choice([None, rng.randrange(100)]) for k in rng.sample(keys, 5)}
+        new = spark.createDataFrame([(*k, v) for k, v in some.items()], "a string, b int, v int").repartition(3)
+        table = K.open_keyed(spark, table.path)  # from its folder alone
+        for again in range(2):  # the second time changes nothing but the time
+            K.merge_keyed(spark, table, new, touched_col="seen", now=at[load])
+        order = sorted((k for k in some if k not in want), key=lambda k: [(x is not None, x or 0 if not isinstance(x, str) else x) for x in k])
+        for k in some:
+            if k in want:
+                want[k] = (want[k][0], some[k], want[k][2], at[load])
+        for k in order:
+            last += 1
+            want[k] = (last, some[k], None, at[load])
+        assert {(r[0], r[1]): tuple(r[2:]) for r in rows(K.read_keyed(spark, table))} == want
+
+
+def test_duplicates_empty_loads_and_gaps(spark):
+    df = spark.createDataFrame([(1, "a", 10)], "fid long, k string, v int")
+    table = K.create_keyed(df, scratch_path(spark, "keyed"), "k", partitions=4, id_col="fid")
+    assert K.merge_keyed(spark, table, spark.createDataFrame([], "k string, v int")) == []
+    twice = spark.createDataFrame([("b", 1, 1), ("b", 2, 2)], "k string, v int, seq int")
+    with pytest.raises(Exception, match="duplicate key"):
+        K.merge_keyed(spark, table, twice.drop("seq"))
+    K.merge_keyed(spark, table, twice, order_col="seq")
+    assert sorted(rows(K.read_keyed(spark, table))) == [(1, "a", 10), (2, "b", 2)]
+    with pytest.raises(Exception, match="duplicate key"):
+        K.create_keyed(df.unionAll(df), scratch_path(spark, "keyed"), "k", partitions=4)
+    empty = K.create_keyed(df.limit(0), scratch_path(spark, "keyed"), "k", partitions=4, id_col="fid")
+    assert rows(K.read_keyed(spark, empty)) == []
+    K.merge_keyed(spark, empty, spark.createDataFrame([("z", 1)], "k string, v int"))
+    assert rows(K.read_keyed(spark, empty)) == [(1, "z", 1)]
