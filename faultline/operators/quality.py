@@ -15,6 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from .joins import checked_broadcast
+
+PROFILE_PREFIX = 16  # characters
+
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -137,22 +142,27 @@ def functional_dependency(df: DataFrame, determinant: str | Sequence[str], depen
 def profile_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``describe(include="all")`` for text: count, unique, top, freq per column.
 
-    Values are compared as strings.  One scan: the columns are unpivoted to
-    (column, value), counted per value (partial/final aggregate), then folded
-    per column; ``top`` ties go to the smallest value.  NULLs count in nothing;
+    Values are compared as strings, told apart by a 128-bit hash: the columns
+    are unpivoted to (column, hash) and counted per hash, so no long value is
+    shuffled.  ``top`` is the smallest value of the largest count; a hash keeps
+    the first characters of its value, which narrow a column's candidates down
+    to few hashes, and those values alone are fetched.  NULLs count in nothing;
     a column of NULLs alone has count and unique 0 and no top.
     """
     cols = list(cols or df.columns)
-    per_value = (df.select(*[F.col(c).cast("string").alias(c) for c in cols])
-                   .unpivot([], cols, "column", "value")
-                   .groupBy("column", "value").agg(F.count("value").alias("_n")))  # one row for all NULLs, counting 0
-    some = F.col("value").isNotNull()
-    return (per_value.groupBy("column")
-                     .agg(F.sum("_n").cast("long").alias("count"),
-                          F.count("value").alias("unique"),
-                          F.min_by("value", F.when(some, F.struct(-F.col("_n"), F.col("value")))).alias("top"),
-                          F.max(F.when(some, F.col("_n"))).alias("freq"))
-                     .orderBy("column"))
+    texts = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    hashed = texts.withColumn("_h", F.unhex(F.md5("value")))
+    shared_dir(df.sparkSession)
+    per_value = (hashed.groupBy("column", "_h").agg(F.count("_h").alias("_n"), F.min(F.left("value", F.lit(PROFILE_PREFIX))).alias("_p"))
+                 .checkpoint(eager=True))  # read twice
+    best = F.min(F.when(F.col("_h").isNotNull(), F.struct((-F.col("_n")).alias("n"), F.col("_p").alias("p"))))
+    stats = (per_value.groupBy("column").agg(F.sum("_n").cast("long").alias("count"), F.count("_h").alias("unique"), best.alias("_b"))
+             .select("column", "count", "unique", (-F.col("_b.n")).alias("freq"), F.col("_b.p").alias("_p")).checkpoint(eager=True))
+    tied = per_value.join(F.broadcast(stats.select("column", F.col("freq").alias("_n"), "_p")),  # a row per column
+                          ["column", "_n", "_p"]).select("column", "_h")
+    tops = (hashed.join(checked_broadcast(tied), ["column", "_h"], "left_semi")
+            .groupBy("column").agg(F.min("value").alias("top")))
+    return stats.join(tops, "column", "left").select("column", "count", "unique", "top", "freq").orderBy("column")
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
@@ -215,10 +225,10 @@ def violations(tables: Mapping[str, DataFrame], c: Constraint) -> DataFrame:
     raise ValueError(f"unknown constraint kind {c.kind!r}")
 
 
-_ROW_LEVEL = ("not_null", "between", "max_length")
+ROW_LEVEL = ("not_null", "between", "max_length")
 
 
-def _row_violation(c: Constraint):
+def row_violation(c: Constraint):
     """Predicate true on a row breaking a row-level constraint."""
     cols = list(c.columns)
     if c.kind == "not_null":
@@ -259,8 +269,8 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Con
     for i, c in enumerate(constraints):
         filled = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c.columns])
         mine = entries.setdefault(c.table, [])
-        if c.kind in _ROW_LEVEL:
-            mine.append(entry(i, F.coalesce(_row_violation(c), F.lit(False)), no_key, 1, 0))
+        if c.kind in ROW_LEVEL:
+            mine.append(entry(i, F.coalesce(row_violation(c), F.lit(False)), no_key, 1, 0))
         elif c.kind == "foreign_key":
             parent, pcols = c.arg
             mine.append(entry(i, filled, key(c.columns), 1, 0))
@@ -272,7 +282,7 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Con
         for t, es in entries.items()])
     per_key = rows.groupBy("id", "key").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
     kind = F.element_at(F.array(*[F.lit(c.kind) for c in constraints]), F.col("id") + 1)
-    broken = (F.when(kind.isin(*_ROW_LEVEL), F.col("child"))
+    broken = (F.when(kind.isin(*ROW_LEVEL), F.col("child"))
               .when(kind == "foreign_key", F.when(F.col("parent") == 0, F.col("child")).otherwise(0))
               .otherwise((F.col("child") > 1).cast("long")))
     counts = per_key.groupBy("id").agg(F.sum(broken).alias("violations"))

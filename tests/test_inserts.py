@@ -1,0 +1,100 @@
+"""Checks of new rows by key index against a full check of everything."""
+
+import random
+
+import pytest
+
+from faultline.operators import inserts as I
+from faultline.operators.quality import Constraint, constraint_report
+from faultline.session import scratch_path
+from tests.conftest import rows
+
+CHECKS = [Constraint("child", "primary_key", ("id",)), Constraint("child", "unique", ("a", "b")),
+          Constraint("child", "foreign_key", ("ref",), ("parent", ("pid",))), Constraint("child", "not_null", ("ref", "a")),
+          Constraint("child", "between", ("score",), (1, 4)), Constraint("child", "max_length", ("a",), 3)]
+SCHEMA = "id int, a string, b int, ref int, score int"
+
+
+def indexes(spark, old, parent):
+    return {("child", ("id",)): I.build_index(old, "id", scratch_path(spark, "ix"), 16),
+            ("child", ("a", "b")): I.build_index(old, ["a", "b"], scratch_path(spark, "ix"), 16),
+            ("parent", ("pid",)): I.build_index(parent, "pid", scratch_path(spark, "ix"), 16)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_report_matches_plain_python(spark, seed):
+    rng = random.Random(seed)
+
+    def some(n, ids):
+        return [(rng.choice(ids), rng.choice(["p", "q", "long", None]), rng.choice([1, 2, 3, None]), rng.choice([1, 2, 9, None]),
+                 rng.choice([0, 1, 4, 5, None])) for _ in range(n)]
+
+    old = [(i, f"o{i}", i, 1, 2) for i in range(20)] + [(100, "p", 1, 1, 1)]
+    new = some(60, [*range(15, 80), None])
+    parent = spark.createDataFrame([(1,), (2,), (3,)], "pid int")
+    df = spark.createDataFrame(new, SCHEMA).repartition(3)
+    report = I.insert_report(df, CHECKS, indexes(spark, spark.createDataFrame(old, SCHEMA), parent))
+    got = {(r["kind"], r["columns"]): r["violations"] for r in report.collect()}
+
+    def repeated(key, stored):
+        keys = [key(r) for r in new if None not in key(r)]
+        return len({k for k in keys if keys.count(k) > 1 or k in stored})
+
+    assert got == {
+        ("primary_key", "id"): repeated(lambda r: (r[0],), {(r[0],) for r in old}),
+        ("unique", "a,b"): repeated(lambda r: (r[1], r[2]), {(r[1], r[2]) for r in old}),
+        ("foreign_key", "ref"): sum(r[3] == 9 for r in new),
+        ("not_null", "ref,a"): sum(r[3] is None or r[1] is None for r in new),
+        ("between", "score"): sum(r[4] in (0, 5) for r in new), ("max_length", "a"): sum(r[1] == "long" for r in new)}
+
+
+def test_no_old_row_is_read(spark, tmp_path):
+    """The table's files are gone: only the indexes answer, and of those only some partitions."""
+    old = spark.range(10000).selectExpr("CAST(id AS int) AS id", "CAST(id AS string) AS a", "CAST(id AS int) AS b", "1 AS ref", "2 AS score")
+    ix = indexes(spark, old, spark.createDataFrame([(1,)], "pid int"))
+    new = spark.createDataFrame([(i, f"n{i % 10}", i, 1, 2) for i in range(9990, 10010)], SCHEMA)
+    got = {(r["kind"], r["columns"]): r["violations"] for r in I.insert_report(new, CHECKS, ix).collect()}
+    assert got[("primary_key", "id")] == 10 and sum(got.values()) == 10
+    one = ix[("child", ("id",))]
+    keys = one._keys(new.limit(1), ("id",)).collect()
+    plan = one.stored(spark, [keys[0]["_part"]])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and f"= {keys[0]['_part']}" in plan
+
+
+def test_insert_appends_or_changes_nothing(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "pid int")
+    old = spark.createDataFrame([(1, "x", 1, 1, 1)], SCHEMA)
+    path, ix = scratch_path(spark, "child"), indexes(spark, old, parent)
+    old.write.parquet(path)
+    good = spark.createDataFrame([(2, "y", 1, 2, 4), (3, "z", None, None, None)], SCHEMA)
+    checks = [c for c in CHECKS if c.kind != "not_null"]
+    I.insert_checked(good, path, checks, ix, "child", batch="load 1")
+    assert sorted(r[0] for r in rows(spark.read.parquet(path))) == [1, 2, 3]
+    for bad, what in (((2, "w", 1, 1, 1), "primary_key"), ((4, "y", 1, 1, 1), "unique"), ((5, "v", 1, 7, 1), "foreign_key"),
+                      ((6, "u", 1, 1, 9), "between"), ((7, "longer", 1, 1, 1), "max_length")):
+        with pytest.raises(ValueError, match=what):
+            I.insert_checked(spark.createDataFrame([bad], SCHEMA), path, checks, ix, "child", batch=what)
+    assert spark.read.parquet(path).count() == 3
+    full = constraint_report({"child": spark.read.parquet(path), "parent": parent}, checks)
+    assert sum(r["violations"] for r in full.collect()) == 0
+
+
+def test_an_interrupted_load_is_repeated(spark):
+    ix = indexes(spark, spark.createDataFrame([], SCHEMA), spark.createDataFrame([(1,)], "pid int"))
+    new, path = spark.createDataFrame([(1, "x", 1, 1, 1)], SCHEMA), scratch_path(spark, "child")
+    for (owner, columns), index in ix.items():  # the keys were written, the rows were not
+        if owner == "child":
+            index.add(new, "load 1", columns)
+    I.insert_checked(new, path, CHECKS, ix, "child", batch="load 1")
+    assert rows(spark.read.parquet(path)) == [(1, "x", 1, 1, 1)]
+    assert ix[("child", ("id",))].stored(spark, range(16)).count() == 1  # not twice
+    with pytest.raises(ValueError, match="primary_key"):
+        I.insert_checked(new, path, CHECKS, ix, "child", batch="load 2")
+
+
+def test_missing_index_and_no_rows(spark):
+    new = spark.createDataFrame([], SCHEMA)
+    ix = indexes(spark, new, spark.createDataFrame([(1,)], "pid int"))
+    with pytest.raises(ValueError, match="without an index"):
+        I.insert_report(new, CHECKS, {})
+    assert {r["violations"] for r in I.insert_report(new, CHECKS, ix).collect()} == {0}

@@ -131,3 +131,11 @@ def test_rekey_rejects_a_key_mapped_twice(spark):
     mapping = spark.createDataFrame([(1, 10), (1, 11)], "old_key int, new_key int")
     with pytest.raises(Exception, match="mapped more than once"):
         Q.cascade_rekey(child, mapping, "k").collect()
+
+
+def test_profile_fetches_few_values_and_shuffles_no_text(spark):
+    long = "x" * 5000
+    df = spark.createDataFrame([(long + "b", 1), (long + "a", 1), (long + "a", 2), (long + "b", None), ("z", 3), ("", 3)], "t string, n int")
+    assert [tuple(r) for r in Q.profile_columns(df).collect()] == [("n", 5, 3, "1", 2), ("t", 6, 4, long + "a", 2)]
+    unique = spark.range(2000).selectExpr("concat('v', id) AS v")
+    assert [tuple(r) for r in Q.profile_columns(unique).collect()] == [("v", 2000, 2000, "v0", 1)]
