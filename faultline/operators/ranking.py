@@ -22,7 +22,8 @@ row, the row's values, and - between identical rows - where the checkpoint
 holds them, so large tie groups and piles of identical rows spread over
 partitions and the numbers do not depend on the input's layout.
 
-There is one path for every size.  Rows in *read* order: :func:`sequence_ids`.
+There is one path for every size.  Rows in *read* order: :func:`sequence_ids`,
+which moves no row.
 """
 
 from __future__ import annotations
@@ -137,14 +138,31 @@ def sequence_ids(df: DataFrame, out: str = "id", order: Sequence | None = None)
     position in the file: Spark packs files into tasks by size, so the read
     order itself is no order.  A DataFrame that no file stands behind is
     numbered in the order of its partitions.
+
+    Rows of a scan are not moved: one narrow pass counts them per block of a
+    file, the counts are summed up in file order, and an id is the sum before
+    the block plus the row's place in it.  A block read elsewhere the second
+    time (another packing of the files) fails the job rather than misnumber.
     """
     cols = df.columns
     if order is not None:
         return rank_rows(df, order, out=out, method="row_number").select(out, *cols)
     position = F.monotonically_increasing_id().alias(_MID)  # ascending inside a block of a file
     try:
-        seq = df.select(*cols, F.col("_metadata.file_path").alias(_FILE),
-                        F.col("_metadata.file_block_start").alias(_BLOCK), position)
+        scan = df.select(*cols, F.col("_metadata.file_path").alias(_FILE),
+                         F.col("_metadata.file_block_start").alias(_BLOCK), position)
     except AnalysisException:  # no file behind it
         seq = df.select(*cols, F.lit("").alias(_FILE), F.lit(0).cast("long").alias(_BLOCK), position)
-    return rank_rows(seq, [_FILE, _BLOCK, _MID], out=out, method="row_number").select(out, *cols)
+        return rank_rows(seq, [_FILE, _BLOCK, _MID], out=out, method="row_number").select(out, *cols)
+    shared_dir(df.sparkSession)
+    # A row per block (tens of MB of a file each): the bound of the window and of the broadcast.
+    blocks = scan.groupBy(_FILE, _BLOCK).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_POS)).checkpoint(eager=True)
+    before = Window.orderBy(_FILE, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(F.col(_FILE).alias("_rk_f"), F.col(_BLOCK).alias("_rk_b"), F.col(_POS), F.col(_N),
+                            F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    place = F.col(_MID) - F.col(_POS)
+    moved = F.col(_POS).isNull() | (place < 0) | (place >= F.col(_N))
+    number = F.when(moved, F.raise_error(F.lit("a file was read in other tasks the second time")).cast("long")).otherwise(
+        F.col(_OFF) + place + F.lit(1))
+    same = (F.col(_FILE) == F.col("_rk_f")) & (F.col(_BLOCK) == F.col("_rk_b"))
+    return scan.join(F.broadcast(offsets), same, "left").select(number.cast("long").alias(out), *cols)

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from faultline.operators.ranking import rank_rows
+from faultline.operators.ranking import rank_rows, sequence_ids
 
 
 def _data(spark, n=3000, seed=7):
@@ -97,3 +97,24 @@ def test_rank_with_a_third_of_rows_identical(spark):
     counts = {k: sum(1 for x in rows_ if x[0] == k) for k in ranks}
     for k, (rk,) in ((k, tuple(v)) for k, v in ranks.items()):
         assert rk == 1 + sum(c for kk, c in counts.items() if kk > k)
+
+
+def test_file_ids_move_no_row_and_follow_files_of_any_size(spark, tmp_path):
+    """Files of unequal size, packed into tasks by size, kept rows only."""
+    want = []
+    for name, n in (("a", 5), ("b", 30000), ("c", 1), ("d", 0), ("e", 700)):
+        df = spark.range(n).selectExpr("id AS pos", f"'{name}' AS f", "repeat('x', 50) AS pad")
+        df.coalesce(1).write.parquet(f"{tmp_path}/t/{name}")
+        want += [(name, i) for i in range(n) if i % 3]
+    df = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/t").filter("pos % 3 <> 0").select("f", "pos")
+    df.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        numbered = sequence_ids(df, "seq")
+        got = [(r["f"], r["pos"]) for r in sorted(numbered.collect(), key=lambda r: r["seq"])]
+        ids = sorted(r["seq"] for r in numbered.collect())
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        df.sparkSession.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want and ids == list(range(1, len(want) + 1))
+    rows_side = plan[:plan.index("BroadcastExchange")]
+    assert "rangepartitioning" not in plan and "hashpartitioning" not in rows_side  # only a row per block is exchanged
