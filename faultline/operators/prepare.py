@@ -6,7 +6,7 @@ dimensions with surrogate ids -> encode the fact with those ids.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -148,6 +148,44 @@ def build_dimensions(df: DataFrame, specs: Sequence[tuple[str, str, str]],
     return out
 
 
+def extend_dimension(dimension: DataFrame, new: DataFrame, col: str, id_name: str = "id", name: str | None = None,
+                     mode: str = "sorted", order_col: str | None = None) -> DataFrame:
+    """The rows to append to a stored ``dimension`` (id, name) so that it holds
+    the members of ``new[col]`` too; no member it has changes its id.
+
+    New members (an anti join of the distinct values with the dimension) are
+    numbered after the largest id, in member order or, with ``first_seen``, by
+    their first ``order_col``.  NULL is no member.
+    """
+    name = name or col
+    if mode == "first_seen" and not order_col:
+        raise ValueError("first_seen numbering needs order_col")
+    if mode not in ("sorted", "first_seen"):
+        raise ValueError(f"unknown mode {mode!r}")
+    first = F.min(order_col) if mode == "first_seen" else F.lit(None).cast("long")
+    members = new.where(F.col(col).isNotNull()).groupBy(F.col(col).alias(name)).agg(first.alias("_first"))
+    unknown = members.join(dimension.select(name), name, "left_anti")
+    last = dimension.agg(F.coalesce(F.max(id_name), F.lit(0)).cast("long")).scalar()
+    ids = rank_rows(unknown, ["_first", name] if mode == "first_seen" else [name], out="_rn", method="row_number")
+    return ids.select((F.col("_rn") + last).cast(dimension.schema[id_name].dataType).alias(id_name), name)
+
+
+def load_star(flat: DataFrame, order_col: str, dimensions: Sequence[tuple], stored: Mapping[str, DataFrame]) -> Star:
+    """A further load of prepared rows: the members that ``stored`` dimensions
+    (column -> DataFrame) lack, with ids after theirs, and the fact rows of
+    this load encoded with old and new ids.
+
+    ``Star.dimensions`` holds the rows to append, ``Star.fact`` the rows to
+    append to the fact; nothing that was stored is read but the dimensions.
+    """
+    shared_dir(flat.sparkSession)
+    added, encodings = {}, []
+    for col, id_name, mode in dimensions:
+        added[col] = extend_dimension(stored[col], flat, col, id_name, mode=mode, order_col=order_col).checkpoint(eager=True)
+        encodings.append((col, stored[col].select(id_name, col).unionByName(added[col]), col, id_name))
+    return Star(encode_fact(flat, encodings), added)
+
+
 def encode_fact(fact: DataFrame, encodings: Sequence[tuple[str, DataFrame, str, str]],
                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Replace member columns by surrogate ids.

@@ -193,7 +193,9 @@ def profile_records(flat: DataFrame, bins: int = 40) -> dict[str, DataFrame]:
 
     length = F.length(F.col("feedback_target").cast("string"))
     with_len = flat.withColumn("feedback_length", length)
-    emotions = [r[0] for r in flat.select("emotion").dropna().distinct().orderBy("emotion").collect()]
+    emotions = [r[0] for r in flat.select("emotion").dropna().distinct().orderBy("emotion").limit(MOST_COLUMNS + 1).collect()]
+    if len(emotions) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} emotions: no columns of a cross tabulation")
     return {
         "shape": Q.profile_shape(flat),
         "head": Q.head_rows(flat, flat.columns[0], 5),
@@ -226,6 +228,8 @@ Correct expectation (what they should learn): {outcome}
 
 Write the feedback message this student would receive."""
 
+MOST_COLUMNS = 1000  # of a cross tabulation, a column per value
+
 FEEDBACK_FIELDS = {"concept": "concept_name", "error_type": "type_name", "subtype": "subtype_name",
                    "query": "query_text", "outcome": "outcome_text"}
 

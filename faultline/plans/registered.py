@@ -764,7 +764,7 @@ def q_feedback_job(spark, sf):
 
 @register("upsert_by_key", """
 WITH m AS (SELECT MIN(event_id) + MAX(event_id) AS s FROM events),
-o AS (SELECT user_id, COUNT(*) AS count FROM events, m WHERE event_id * 2 < m.s GROUP BY user_id),
+o AS (SELECT user_id, COUNT(*) AS count FROM events, m WHERE NOT COALESCE(event_id * 2 >= m.s, FALSE) GROUP BY user_id),
 n AS (SELECT user_id, COUNT(*) AS count FROM events, m WHERE event_id * 2 >= m.s GROUP BY user_id)
 SELECT CASE WHEN n.count IS NOT NULL THEN n.user_id ELSE o.user_id END AS user_id,
        COALESCE(n.count, o.count) AS count,
@@ -777,7 +777,8 @@ def q_upsert_by_key(spark, sf):
     of both halves are updated, of the second inserted, of the first kept."""
     events = _t(spark, sf, "events")
     mid = events.select(F.min("event_id") + F.max("event_id")).scalar()
-    counts = (events.groupBy("user_id", (F.col("event_id") * 2 >= mid).alias("_late"))
+    late = F.coalesce(F.col("event_id") * 2 >= mid, F.lit(False))  # no id: an early event
+    counts = (events.groupBy("user_id", late.alias("_late"))
                     .agg(F.count(F.lit(1)).alias("count")))
     old = counts.filter(~F.col("_late")).drop("_late")
     new = counts.filter(F.col("_late")).drop("_late")

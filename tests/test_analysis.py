@@ -213,3 +213,41 @@ def test_approximate_distinct_is_opt_in(spark):
     approx = {r[0]: r[2] for r in rows(A.ratio_total_to_distinct(df, "g", "v", approx_rsd=0.02))}
     assert exact == {0: 1000, 1: 1000, 2: 1000}
     assert all(abs(approx[g] - 1000) <= 80 for g in approx)
+
+
+def test_ranks_from_distinct_counts_match_rank(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    per_key = spark.range(500).selectExpr("id AS k", "id % 7 + 1 AS total", "id % 3 + 1 AS diversity")
+    order = [F.col("total").desc(), F.col("diversity").asc()]
+    want = {r["k"]: r["r"] for r in per_key.withColumn("r", F.rank().over(Window.orderBy(*order))).collect()}
+    got = A._rank_from_counts(per_key, "total", "diversity", "r")
+    assert {r["k"]: r["r"] for r in got.collect()} == want
+    assert A._rank_from_counts(per_key.limit(0), "total", "diversity", "r").count() == 0
+
+
+def test_difficulty_view_gathers_no_keys_in_one_task(spark):
+    fact = spark.range(3000).selectExpr("id % 40 AS k", "id % 11 AS m", "IF(id % 2 = 0, 'a', 'b') AS c")
+    ranked = A.difficulty_rank(fact, "k", "m", "c", {"a": "n_a"}, view="v_ranked")
+    assert sorted(map(tuple, spark.table("v_ranked").collect())) == sorted(map(tuple, ranked.collect()))
+    plan = spark.table("v_ranked")._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("windowspecdefinition(total"):]
+    assert plan.count("Window") == 2 and "Aggregate [total" in window  # windows over distinct counts, not over keys
+
+
+def test_united_sketches_are_the_sketch_of_all(spark):
+    df = spark.range(20000).selectExpr("id % 3 AS k", "CAST(id * 7 % 5000 AS string) AS m", "id % 5 AS load")
+    whole = A.ratio_from_sketches(A.distinct_sketches(df, "k", "m"), "k")
+    parts = A.distinct_sketches(df.filter("load < 2"), "k", "m").unionAll(A.distinct_sketches(df.filter("load >= 2"), "k", "m"))
+    united = A.ratio_from_sketches(A.united_sketches(parts, "k"), "k")
+    got = sorted(map(tuple, united.collect()))
+    assert got == sorted(map(tuple, whole.collect()))
+    assert all(abs(d - 5000) <= 5000 * 0.05 for _, _, d, _ in got) and sum(t for _, t, _, _ in got) == 20000
+
+
+def test_top_n_function_cuts_a_large_tie(spark):
+    spark.range(4000).selectExpr("id AS k").unionAll(spark.createDataFrame([(5,), (5,), (9,)], "k long")).createOrReplaceTempView("ties")
+    fn = A.register_top_n_function(spark, "top_ties", "ties", ["k"], ["BIGINT"])
+    got = sorted(map(tuple, spark.sql(f"SELECT * FROM {fn}(6)").collect()), key=lambda r: (-r[1], r[0]))
+    assert got == [(5, 3, 1), (9, 2, 2), (0, 1, 3), (1, 1, 3), (2, 1, 3), (3, 1, 3)]

@@ -39,3 +39,27 @@ def test_entry_module_from_another_directory():
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, env=env,
                          timeout=600, cwd=tempfile.mkdtemp(prefix="driver-cwd-"))
     assert out.stdout.strip().endswith("OK"), out.stderr[-2000:]
+
+
+WITHOUT = """
+import importlib.abc, importlib.util, sys
+
+class Hidden(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path=None, target=None):
+        if name == {hidden!r}:
+            raise ImportError(name + " is hidden")
+
+sys.meta_path.insert(0, Hidden())
+spec = importlib.util.spec_from_file_location("entry_mod", {entry!r})
+m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)
+print(len(m.queries()), any(k.startswith("op") and k[2].isdigit() for k in m.queries()), "pipeline" in m.queries())
+"""
+
+
+def test_entry_module_without_the_optional_parts():
+    from faultline.plans import loads, registered  # noqa: F401
+
+    for hidden in ("faultline.llm", "public_tokenizers", "zstandard"):
+        code = WITHOUT.format(hidden=hidden, entry=os.path.join(ROOT, "__spark_entry__.py"))
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, cwd=tempfile.gettempdir())
+        assert out.stdout.split() == [str(len(registered.QUERIES)), "False", "False"], out.stderr[-2000:]

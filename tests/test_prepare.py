@@ -70,3 +70,17 @@ def test_build_dimensions_one_pass_matches_single_builds(spark):
     for col, id_name, mode in specs:
         single = P.build_dimension(df, col, id_name=id_name, mode=mode, order_col="ord")
         assert sorted(rows(dims[col])) == sorted(rows(single)), col
+
+
+def test_a_second_load_keeps_every_id(spark):
+    first = spark.createDataFrame([(1, "b", "x"), (2, "a", "y"), (3, None, "x")], "id int, c string, s string")
+    dims = P.build_dimensions(first, [("c", "c_id", "sorted"), ("s", "s_id", "first_seen")], "id")
+    stored = {k: d.cache() for k, d in dims.items()}
+    more = spark.createDataFrame([(4, "aa", "z"), (5, "b", "w"), (6, None, "y"), (7, "aa", "z")], "id int, c string, s string")
+    star = P.load_star(more, "id", [("c", "c_id", "sorted"), ("s", "s_id", "first_seen")], stored)
+    assert sorted(map(tuple, stored["c"].collect())) == [(1, "a"), (2, "b")]
+    assert sorted(map(tuple, star.dimensions["c"].collect())) == [(3, "aa")]
+    assert sorted(map(tuple, star.dimensions["s"].collect())) == [(3, "z"), (4, "w")]
+    assert sorted(map(tuple, star.fact.collect())) == [(4, 3, 3), (5, 2, 4), (6, None, 2), (7, 3, 3)]
+    again = P.load_star(more, "id", [("c", "c_id", "sorted")], {"c": stored["c"].unionByName(star.dimensions["c"])})
+    assert again.dimensions["c"].count() == 0
