@@ -43,6 +43,15 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def release_driver(spark: SparkSession) -> None:
+    """Drop what finished jobs left on the driver: arrays trained on, plans,
+    and with them the shuffle files and broadcasts nobody can reach."""
+    release_memory()
+    gateway = getattr(spark, "_jvm", None)  # none behind Spark Connect
+    if gateway is not None:
+        gateway.System.gc()
+
+
 def add_columns(df: DataFrame, fields: list[T.StructField],
                 compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` with the columns ``compute`` makes of each Arrow batch; columns

@@ -26,13 +26,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import SpanHasher, ascii_words, doc_slices, lower_ascii, mix, utf8_column
 from .components import connected_components
-from .frames import add_columns, written
+from .frames import add_columns, release_driver, written
 
 BAND_ROWS = 5
 BANDS = 40           # a pair at similarity 0.8 shares no band with probability 1e-7
@@ -348,24 +348,25 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
              .select(F.col("key").alias("a"), F.col("pivot").alias("b"), "text_a", "text_b"))
     links = written(stars.mapInArrow(verify, _EDGE).distinct(), "near-links")
     labels = connected_components(links)
+    release_driver(docs.sparkSession)
 
     # buckets that still hold several components
     marked = (members.join(labels.withColumnRenamed("node", "key"), "key", "left")
               .withColumn("label", F.coalesce("label", "key")))
     marked = written(marked.join(classes.select("key", "n_shingles"), "key"), "near-marked")
-    size = F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / BLOCK_SHINGLES)
     open_buckets = (marked.groupBy("bucket", "band")
                     .agg(F.min("label").alias("low"), F.max("label").alias("high"),
                          F.max(F.when(F.col("key") == F.col("pivot"), F.col("label"))).alias("main"))
                     .where("low < high").drop("low", "high"))
     sided = (marked.join(open_buckets, ["bucket", "band"])
              .withColumn("side", F.when(F.col("label") == F.col("main"), 1).otherwise(0)))
-    chunks = (sided.groupBy("bucket", "band", "side")
-              .agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("shingles"))
-              .select("bucket", "band", "side", F.ceil(size).cast("int").alias("chunks")))
-    counts = chunks.groupBy("bucket", "band").agg(
-        F.coalesce(F.max(F.when(F.col("side") == 0, F.col("chunks"))), F.lit(0)).alias("others"),
-        F.coalesce(F.max(F.when(F.col("side") == 1, F.col("chunks"))), F.lit(0)).alias("mains"))
+    main, other = F.col("side") == 1, F.col("side") == 0
+
+    def chunks(side: Column) -> Column:
+        docs_, shingles_ = F.count_if(side), F.coalesce(F.sum(F.when(side, F.col("n_shingles"))), F.lit(0))
+        return F.ceil(F.greatest(docs_ / BLOCK_DOCS, shingles_ / BLOCK_SHINGLES)).cast("int")
+
+    counts = sided.groupBy("bucket", "band").agg(chunks(other).alias("others"), chunks(main).alias("mains"))
     dealt = sided.join(counts, ["bucket", "band"])
     chunk = F.pmod(F.xxhash64("key"), F.when(F.col("side") == 0, F.col("others")).otherwise(F.col("mains")))
     # a block is two chunks: (i, j) with i <= j of the others, or (i, main j)

@@ -17,7 +17,7 @@ from ..session import scratch_path
 from .bpe_codec import round_trip
 from . import licences, quality, toxicity
 from .fingerprints import edited_fingerprints
-from .frames import read_table
+from .frames import read_table, release_driver
 from .labelled import bounded_sample, id_remainder, training_sample
 from .lexical_search import rank_documents
 from .licences import scan_licences
@@ -88,7 +88,9 @@ def op5_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     learn = id_remainder("doc_id", 4) != 2
     sample = bounded_sample(docs, labels, "toxic", learn, toxicity.PER_LABEL, toxicity.TRAIN_BYTES, toxicity.LONGEST_BYTES)
-    return toxicity.train_bags(toxicity.sampled_bags(sample))
+    model = toxicity.train_bags(toxicity.sampled_bags(sample))
+    release_driver(docs.sparkSession)
+    return model
 
 
 def with_decision(scored: DataFrame, modulus: int, held: int) -> DataFrame:

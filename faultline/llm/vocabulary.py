@@ -16,7 +16,7 @@ import pyarrow as pa
 from .arrays import SpanHasher, doc_slices, ragged, remembered, utf8_column
 
 NONE = np.int32(np.iinfo(np.int32).max)
-CACHED_WORDS = 1_000_000  # distinct pre-tokens whose ids a worker remembers, some 50 bytes each
+CACHED_WORDS = 500_000  # distinct pre-tokens whose ids a worker remembers, some 100 bytes each
 LONG_WORD = 64   # bytes; longer words are merged one by one
 ROWS_AT_ONCE = 20_000  # shorter words merged together
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")  # fixed values of the split pattern
