@@ -13,6 +13,7 @@ counts.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -299,6 +300,13 @@ def register_top_n_function(spark, name: str, view: str, keys: Sequence[str], ke
     return name
 
 
+def of_groups(condition: Column, count: str) -> Column:
+    """``condition`` on group keys, looked at once a group: it reads the count
+    too, so the optimizer does not move it below the aggregate, where a
+    computed key would be computed a second time for every row."""
+    return F.when(F.col(count) > 0, condition)
+
+
 def value_counts(df: DataFrame, col: str | Sequence[str], out: str = "count",
                  n: int | None = None, dropna: bool = True) -> DataFrame:
     """``Series.value_counts()``: rows per value, descending (ties by value);
@@ -306,8 +314,8 @@ def value_counts(df: DataFrame, col: str | Sequence[str], out: str = "count",
     ``dropna=False``."""
     cols = _list(col)
     res = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
-    if dropna:  # the groups, not the rows: a computed column is then evaluated once a row
-        res = res.dropna(subset=cols)
+    if dropna:
+        res = res.filter(of_groups(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]), out))
     res = res.orderBy(F.col(out).desc(), *[F.col(c) for c in cols])
     return res.limit(n) if n is not None else res
 

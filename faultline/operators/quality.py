@@ -19,6 +19,7 @@ from ..session import shared_dir
 from .joins import checked_broadcast
 
 PROFILE_PREFIX = 16  # characters
+KEY_SEED = 0x9E3779B9  # sets a key's second hash apart from the first
 
 
 def _list(x) -> list[str]:
@@ -242,9 +243,9 @@ def row_violation(c: Constraint):
 def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Constraint]) -> DataFrame:
     """One row per constraint: table, kind, columns, violation count.
 
-    Every table is scanned once: a row gives an entry (constraint, key) for
-    each key it has or refers to, and one without a key for each check it
-    breaks.  One partial/final aggregate counts the child and parent entries
+    Every table is scanned once: a row gives an entry (constraint, 128-bit
+    hash of the key) for each key it has or refers to, and one without a key
+    for each check it breaks.  One partial/final aggregate counts the child and parent entries
     of every key (a hot key is one row per task), a second one the violations
     of every constraint: rows breaking a check, keys that repeat, child rows
     whose key has no parent.  A constraint on a table that is not given is an
@@ -257,15 +258,23 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Con
     if missing := sorted(needed - set(tables)):
         raise ValueError("constraints on tables that are not given: " + ", ".join(missing))
 
-    def key(cols) -> Column:
-        return F.array(*[F.col(x).cast("string") for x in cols])
+    def key(cols, others: Sequence | None = None, nulls: bool = False) -> Column:
+        """128 bits of a key: of its typed values, or of their text where the
+        other side's columns (types) differ."""
+        values = [F.col(x) if others is None or t == o else F.col(x).cast("string")
+                  for x, t, o in zip(cols, cols.values(), others or cols.values())]
+        marks = [F.col(x).isNull() for x in cols] if nulls else []  # a hash passes over NULLs
+        return F.struct(F.xxhash64(*values, *marks).alias("h"), F.xxhash64(F.lit(KEY_SEED), *values, *marks).alias("g"))
+
+    def typed(table: str, cols) -> dict:
+        return {c: tables[table].schema[c].dataType for c in cols}
 
     def entry(i: int, when: Column, value: Column, child: int, parent: int) -> Column:
         return F.when(when, F.struct(F.lit(i).alias("id"), value.alias("key"), F.lit(child).alias("child"),
                                      F.lit(parent).alias("parent")))
 
     entries: dict[str, list[Column]] = {}
-    no_key = F.array().cast("array<string>")
+    no_key = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("g"))
     for i, c in enumerate(constraints):
         filled = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c.columns])
         mine = entries.setdefault(c.table, [])
@@ -273,14 +282,18 @@ def constraint_report(tables: Mapping[str, DataFrame], constraints: Sequence[Con
             mine.append(entry(i, F.coalesce(row_violation(c), F.lit(False)), no_key, 1, 0))
         elif c.kind == "foreign_key":
             parent, pcols = c.arg
-            mine.append(entry(i, filled, key(c.columns), 1, 0))
-            entries.setdefault(parent, []).append(entry(i, F.lit(True), key(pcols), 0, 1))
-        else:  # NULLs never collide in a UNIQUE key
-            mine.append(entry(i, filled if c.kind == "unique" else F.lit(True), key(c.columns), 1, 0))
+            ours, theirs = typed(c.table, c.columns), typed(parent, pcols)
+            mine.append(entry(i, filled, key(ours, list(theirs.values())), 1, 0))
+            there = reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in pcols])
+            entries.setdefault(parent, []).append(entry(i, there, key(theirs, list(ours.values())), 0, 1))
+        elif c.kind == "unique":  # NULLs never collide in a UNIQUE key
+            mine.append(entry(i, filled, key(typed(c.table, c.columns)), 1, 0))
+        else:
+            mine.append(entry(i, F.lit(True), key(typed(c.table, c.columns), nulls=True), 1, 0))
     rows = reduce(DataFrame.unionAll, [
-        tables[t].select(F.explode(F.array_compact(F.array(*es))).alias("e")).select("e.*")
-        for t, es in entries.items()])
-    per_key = rows.groupBy("id", "key").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+        tables[t].select(F.explode(F.array_compact(F.array(*es))).alias("e"))
+        .select("e.id", "e.key.h", "e.key.g", "e.child", "e.parent") for t, es in entries.items()])
+    per_key = rows.groupBy("id", "h", "g").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
     kind = F.element_at(F.array(*[F.lit(c.kind) for c in constraints]), F.col("id") + 1)
     broken = (F.when(kind.isin(*ROW_LEVEL), F.col("child"))
               .when(kind == "foreign_key", F.when(F.col("parent") == 0, F.col("child")).otherwise(0))

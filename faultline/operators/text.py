@@ -19,6 +19,7 @@ from pyspark.sql.types import IntegralType
 from ..functions.numeric import intdiv
 from ..functions.text import tokens
 from ..session import shared_dir
+from .analysis import of_groups
 from .joins import checked_broadcast
 
 # The English stop-word list of the public Python package
@@ -118,7 +119,8 @@ def cloud_words(df: DataFrame, text: str | Column, stopwords: Iterable[str] = ST
     """
     found = F.regexp_extract_all(F.lower(_col(text)), F.lit(_CLOUD_WORD), 0)
     raw = df.select(F.explode(found).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
-    words = raw.select(_bare("_w").alias(word), "_n").filter(~F.col(word).isin(sorted(set(stopwords))) & (F.col(word) != ""))
+    wanted = ~F.col(word).isin(sorted(set(stopwords))) & (F.col(word) != "")
+    words = raw.select(_bare("_w").alias(word), "_n").filter(of_groups(wanted, "_n"))
     met = _plurals_met(words.groupBy(word).agg(F.sum("_n").alias("_n")), word)
     return met.select(word, F.col("_n").cast("long").alias(out))
 

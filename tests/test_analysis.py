@@ -251,3 +251,12 @@ def test_top_n_function_cuts_a_large_tie(spark):
     fn = A.register_top_n_function(spark, "top_ties", "ties", ["k"], ["BIGINT"])
     got = sorted(map(tuple, spark.sql(f"SELECT * FROM {fn}(6)").collect()), key=lambda r: (-r[1], r[0]))
     assert got == [(5, 3, 1), (9, 2, 2), (0, 1, 3), (1, 1, 3), (2, 1, 3), (3, 1, 3)]
+
+
+def test_value_counts_computes_a_key_once_a_row(spark):
+    from faultline.operators.prepare import classify_by_keywords
+
+    df = spark.createDataFrame([("select 1",), (None,), ("update x",)], "t string")
+    counts = A.value_counts(classify_by_keywords(df, "t"), "concept")
+    assert sorted(map(tuple, counts.collect())) == [("SELECT", 1), ("UPDATE", 1)]
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN Contains") == 1
