@@ -20,6 +20,7 @@ from .frames import add_columns
 from .vocabulary import NONE, TextEncoder, Vocabulary, pair_key, ragged_places, token_bytes, vocabulary
 
 TOKENS_AT_ONCE = 1 << 20  # ids decoded together
+LONGEST_GUESS = 256  # bytes; a longer word hardly ever passes, so it is merged at once
 
 
 class Codec(TextEncoder):
@@ -35,9 +36,9 @@ class Codec(TextEncoder):
     def propose(self, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray):
         """Greedy longest-match tokens of every span: (token ids, word of each
         id), in word order.  Every byte is a token, so a match always exists."""
-        word = np.arange(len(starts))
-        at = starts.copy()
-        words, tokens = [], []
+        word = np.flatnonzero(ends > starts)
+        at = starts[word]
+        words, tokens = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         while len(word):
             room = np.minimum(ends[word] - at, self.longest)
             todo = np.arange(len(word))
@@ -93,13 +94,13 @@ class Codec(TextEncoder):
 
     def encode_words(self, hasher: SpanHasher, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids per word, all ids) of the words of the hasher's buffer."""
-        tokens, owner = self.propose(hasher, starts, ends)
+        tokens, owner = self.propose(hasher, starts, np.where(ends - starts > LONGEST_GUESS, starts, ends))
         beside = np.flatnonzero(owner[1:] == owner[:-1])
         key = pair_key(tokens[beside], tokens[beside + 1])
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         fine = self.compatible(tokens[beside[first]], tokens[beside[first] + 1])[inverse]
         counts = np.bincount(owner, minlength=len(starts))
-        failing = np.unique(owner[beside[~fine]])
+        failing = np.union1d(owner[beside[~fine]], np.flatnonzero(ends - starts > LONGEST_GUESS))
         if not len(failing):
             return counts, tokens
         self.merged_words += len(failing)

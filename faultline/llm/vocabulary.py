@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -171,6 +172,7 @@ class Vocabulary:
         for c, b in of_char.items():
             self.byte_id[b] = ids[c]
         self.pairs = HashTable(pair_key(self.left, self.right))
+        self._plain = None
         self.rank_of = np.full(size, -1, np.int32)  # rank of the merge that makes a token, -1 for bytes
         self.rank_of[self.merged[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
         ordinary = sorted(set(ids.values()))
@@ -319,22 +321,35 @@ class Vocabulary:
         return ids[np.arange(width + 1) < left[:, None]], left
 
     def _merge_long(self, word: np.ndarray) -> np.ndarray:
-        """One long word: all joins of the lowest rank, left to right, per round."""
+        """One long word: a heap of its pairs by rank and place, and each token's neighbours."""
         ids = self.byte_id[word]
-        while len(ids) > 1:
-            ranks = self.pairs.find(pair_key(ids[:-1], ids[1:]))
-            best = ranks.min()
-            if best == NONE:
-                break
-            at = np.flatnonzero(ranks == best)
-            if self.left[best] == self.right[best]:  # overlapping pairs of one repeated token
-                run = np.cumsum(np.r_[True, np.diff(at) != 1]) - 1
-                begin = at[np.r_[True, np.diff(at) != 1]][run]
-                at = at[(at - begin) % 2 == 0]
-            ids = ids.copy()
-            ids[at] = self.merged[best]
-            ids = np.delete(ids, at + 1)
-        return ids
+        n = len(ids)
+        ranks = self.pairs.find(pair_key(ids[:-1], ids[1:])).astype(np.int64)
+        heap = np.sort(ranks[ranks < NONE] * n + np.flatnonzero(ranks < NONE)).tolist()
+        if not heap:
+            return ids
+        rank_of_pair, (left, right, merged) = self._merges()
+        ids, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            rank, at = divmod(heappop(heap), n)
+            other = after[at]
+            if ids[at] != left[rank] or other == n or ids[other] != right[rank]:
+                continue  # one of the two was joined since
+            ids[at], ids[other] = merged[rank], -1
+            beyond = after[at] = after[other]
+            if beyond < n:
+                before[beyond] = at
+            for i, j in ((before[at], at), (at, beyond)):
+                if i >= 0 and j < n and (new := rank_of_pair.get(ids[i] << 32 | ids[j])) is not None:
+                    heappush(heap, new * n + i)
+        return np.array([i for i in ids if i >= 0], np.int32)
+
+    def _merges(self):
+        """Ranks by pair, and (left, right, merged) of each rank, as plain Python; for long words only."""
+        if self._plain is None:
+            keys = pair_key(self.left, self.right).tolist()
+            self._plain = dict(zip(keys, range(len(keys)))), (self.left.tolist(), self.right.tolist(), self.merged.tolist())
+        return self._plain
 
 
 def vocabulary(path: str) -> Vocabulary:
