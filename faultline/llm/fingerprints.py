@@ -1,12 +1,15 @@
 """I-Match document fingerprints over randomised lexicons (operator 7).
 
 The lexicon holds the terms whose inverse document frequency lies in a chosen
-band.  Every term is in one of the random subsets for certain and in each other
-with a small chance; each subset gives one hash, of the distinct terms of the
-document that are in it, so an edit to any lexicon term shows.  Two fingerprints are as alike as the share of
-subsets, among those that hold a term of either, with equal hashes.  A text the
-band leaves too few terms of is compared by all its own terms, each in its
-certain subset.
+band.  Its subsets are random and nested: level by level half of the terms are
+left, and each level is dealt over SUBSETS subsets.  A document uses the level
+that leaves it at most MOST_TERMS terms, so a subset holds one or two of them
+whatever the document's length, and half a text that stays leaves many subsets
+untouched.  Each subset gives one hash, of the document's distinct terms in it;
+one more hash is of all lexicon terms, so an edit to any of them shows.  Two
+fingerprints are compared on the sparser level of the two: they are as alike as
+the share of equal hashes, among those that hold a term of either.  A text that
+the band leaves too few terms of is compared by all its own terms likewise.
 
 DataFrame operations only.  Document frequencies are counted over the whole
 corpus.
@@ -21,8 +24,9 @@ from pyspark.sql.window import Window
 from .frames import written
 
 BAND = (0.005, 0.2)    # share of the documents that hold a lexicon term
-SUBSETS = 32
-ONE_IN = 128           # a power of two: a term is in each subset but its certain one with this chance
+SUBSETS = 32           # a power of two
+MOST_TERMS = 32        # of a document on its level
+EVERY_TERM = (1 << 63) - 1  # limit of level 0
 FEW_TERMS = 20         # a text with fewer lexicon terms is compared by all its terms,
 FEW_SHARE = 0.25       # and one with a smaller share of its terms in the lexicon
 ROWS_A_RANGE = 400     # documents of a range of ids that are ordered together
@@ -30,27 +34,21 @@ MOST_RANGES = 1 << 16
 
 
 def terms(text: Column) -> Column:
-    """Hashes of the distinct lower-cased runs of letters and digits."""
+    """Hashes (63 bits) of the distinct lower-cased runs of letters and digits."""
     words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w).bitwiseAND(F.lit(EVERY_TERM))))
 
 
-def _certain(term: Column) -> Column:
-    """The one subset that every term is in for certain."""
-    return F.pmod(F.xxhash64(term, F.lit(-1)), F.lit(SUBSETS)).cast("int")
+def _level(held: Column) -> dict[str, Column]:
+    """Parts of the level of an array of term hashes.
 
-
-def _subsets(term: Column) -> Column:
-    """Bit k is set if a lexicon term is in subset k: its certain one, and
-    every other one in ONE_IN times."""
-    some = F.lit((1 << SUBSETS) - 1).cast("long")
-    for i in range(ONE_IN.bit_length() - 1):  # a bit set in all of n words is one in 2 ** n
-        some = some.bitwiseAND(F.xxhash64(term, F.lit(i)))
-    return some.bitwiseOR(F.element_at(F.array(*[F.lit(1 << k).cast("long") for k in range(SUBSETS)]), _certain(term) + 1))
-
-
-def _inside(subsets: Column, k: int) -> Column:
-    return subsets.bitwiseAND(F.lit(1 << k).cast("long")) != 0
+    A level holds the hashes below a power of two, its limit: the largest that
+    leaves MOST_TERMS at most.  ``beyond`` is the first hash that is one too
+    many (NULL if none is), ``first`` those before it, ``whole`` the exclusive
+    or of all, which stands for the set in any order."""
+    ascending = F.array_sort(held)
+    whole = F.aggregate(held, F.lit(None).cast("long"), lambda a, h: F.coalesce(a, F.lit(0).cast("long")).bitwiseXOR(h))
+    return {"whole": whole, "beyond": F.get(ascending, F.lit(MOST_TERMS)), "first": F.slice(ascending, 1, MOST_TERMS)}
 
 
 def lexicon_terms(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "text") -> DataFrame:
@@ -65,13 +63,6 @@ def lexicon_terms(docs: DataFrame, band: tuple[float, float] = BAND, text_col: s
     return inside.select("term")
 
 
-def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text_col: str = "text") -> DataFrame:
-    """(term, subset) of every term in the band, for each subset it is in."""
-    listed = F.array_compact(F.array(*[F.when(_inside(F.col("subsets"), k), F.lit(k)) for k in range(SUBSETS)]))
-    return (lexicon_terms(docs, band, text_col).withColumn("subsets", _subsets(F.col("term")))
-            .select("term", F.explode(listed).alias("subset")))
-
-
 def _ranges(docs: DataFrame) -> Column:
     """The range of ids each document falls into; ranges ascend with the ids.
 
@@ -110,55 +101,92 @@ def _next_head(heads: DataFrame, value: str) -> DataFrame:
     return heads.select("range", F.coalesce(F.lead(value).over(by), first).alias("head"))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal subset hashes among subsets that hold a term of either:
-    of the lexicon's terms, or of all terms if the lexicon has too few of a
+def subset_hashes(mark: Column, limit: Column) -> Column:
+    """The hash of all terms, and of each subset the exclusive or of the picks
+    below ``limit`` that are in it, by their last bits; NULL where none is."""
+    def of(k):
+        return F.aggregate(mark["picks"], F.lit(None).cast("long"), lambda a, h: F.when(
+            (h < limit) & (h.bitwiseAND(F.lit(SUBSETS - 1)) == k), F.coalesce(a, F.lit(0).cast("long")).bitwiseXOR(h)).otherwise(a))
+    return F.concat(F.array(mark["whole"]), F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), of))
+
+
+def with_likeness(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """``rows`` with a likeness for each name in ``pairs``, of two mark columns:
+    the share of equal hashes among those that hold a term of either, on the
+    sparser level of the two; by all terms if the lexicon has too few of a
     text's.  Texts without any term are alike."""
-    few = a["few"] | b["few"]
-    pairs = F.arrays_zip(F.when(few, a["own"]).otherwise(a["hashes"]).alias("a"),
-                         F.when(few, b["own"]).otherwise(b["hashes"]).alias("b"))
-    some = F.size(F.filter(pairs, lambda p: p["a"].isNotNull() | p["b"].isNotNull()))
-    same = F.size(F.filter(pairs, lambda p: p["a"] == p["b"]))
-    return F.when(some > 0, same / some).otherwise(F.lit(1.0))
+    sides = rows
+    for name, (a, b) in pairs.items():
+        few = F.col(a)["few"] | F.col(b)["few"]
+        sides = sides.withColumns({f"_a_{name}": F.when(few, F.col(a)["own"]).otherwise(F.col(a)["known"]),
+                                   f"_b_{name}": F.when(few, F.col(b)["own"]).otherwise(F.col(b)["known"])})
+    both = {name: F.arrays_zip(subset_hashes(F.col(f"_a_{name}"), limit).alias("a"), subset_hashes(F.col(f"_b_{name}"), limit).alias("b"))
+            for name in pairs
+            for limit in [F.least(F.col(f"_a_{name}")["limit"], F.col(f"_b_{name}")["limit"])]}
+    zipped = sides.withColumns({f"_z_{name}": z for name, z in both.items()})
+
+    def share(z: Column) -> Column:
+        some = F.size(F.filter(z, lambda p: p["a"].isNotNull() | p["b"].isNotNull()))
+        same = F.size(F.filter(z, lambda p: p["a"] == p["b"]))
+        return F.when(some > 0, same / some).otherwise(F.lit(1.0))
+
+    return zipped.select(*rows.columns, *[share(F.col(f"_z_{name}")).alias(name) for name in pairs])
 
 
 def text_of(mark: Column) -> Column:
-    """A fingerprint as a string: 8 hex digits a subset, none for an empty one;
-    "all:" before it if it is of all terms."""
-    def digits(hashes: Column) -> Column:
-        return F.array_join(F.transform(hashes, lambda h: F.coalesce(
-            F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"), F.lit(""))), "-")
-    return F.when(mark["few"], F.concat(F.lit("all:"), digits(mark["own"]))).otherwise(digits(mark["hashes"]))
-
-
-def fingerprints(docs: DataFrame, keys: list[str], texts: list[str], lexicon_rows: DataFrame) -> DataFrame:
-    """``docs`` reduced to ``keys`` plus, for every text column t: t_hashes and
-    t_own, arrays of SUBSETS hashes of the lexicon's terms and of all terms
-    (NULL where the subset holds none of them), and t_few, whether the lexicon has
-    too few of the text's terms.
-
-    ``keys`` identify the rows.  Grouping keeps the rows' partitioning when it
-    is by some of the keys.  ``lexicon_rows`` have a column term.
+    """A fingerprint as a string: the bits of its level's limit, then 8 hex
+    digits a hash, none for an empty one; "all:" before it if it is of all terms."""
+    def digits(side: Column) -> Column:
+        hashes = F.transform(subset_hashes(side, side["limit"]), lambda h: F.coalesce(
+            F.lpad(F.lower(F.hex(h.bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"), F.lit("")))
+        return F.concat_ws("-", F.length(F.bin(side["limit"])).cast("string"), F.array_join(hashes, "-"))
+    return F.when(mark["few"], F.concat(F.lit("all:"), digits(mark["own"]))).otherwise(digits(mark["known"]))
+
+
+def fingerprints(docs: DataFrame, keys: list[str], texts: list[str], lexicon_rows: DataFrame,
+                 carried: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` reduced to ``keys`` and ``carried`` plus, for every text column
+    t, t_mark: ``known`` and ``own``, the level (whole, limit, picks) of the
+    lexicon's terms and of all terms, and ``few``, whether the lexicon has too
+    few of the text's terms.
+
+    ``keys`` identify the rows; the ``carried`` columns travel with one entry a
+    row.  Grouping keeps the rows' partitioning when it is by some of the keys.
+    ``lexicon_rows`` have a column term.
     """
+    def entry(i: int, term: Column, first: bool) -> Column:
+        own = [F.col(c) if first else F.lit(None).cast(docs.schema[c].dataType) for c in carried]
+        return F.struct(F.lit(i).alias("which"), term.alias("term"), *[c.alias(n) for c, n in zip(own, carried)])
+
     def marked(i: int) -> Column:  # the NULL term keeps texts without any
-        one = F.array(F.struct(F.lit(i).alias("which"), F.lit(None).cast("long").alias("term")))
-        return F.concat(one, F.transform(terms(F.coalesce(F.col(texts[i]), F.lit(""))),
-                                         lambda x: F.struct(F.lit(i).alias("which"), x.alias("term"))))
+        one = F.array(entry(i, F.lit(None).cast("long"), True))
+        return F.concat(one, F.transform(terms(F.coalesce(F.col(texts[i]), F.lit(""))), lambda x: entry(i, x, False)))
+
     entries = F.concat(*[marked(i) for i in range(len(texts))])
-    known = lexicon_rows.select("term").distinct().withColumn("subsets", _subsets(F.col("term")))
-    each = (docs.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.which", "e.term")
-            .withColumn("certain", _certain(F.col("term")))
-            .join(F.broadcast(known), "term", "left"))
-    # distinct terms, so the exclusive or of their hashes stands for the set, in any order
-    own = [F.bit_xor(F.when(F.col("certain") == k, F.col("term"))).alias(f"own{k}") for k in range(SUBSETS)]
-    hashes = [F.bit_xor(F.when(_inside(F.col("subsets"), k), F.col("term"))).alias(f"hash{k}") for k in range(SUBSETS)]
-    grouped = each.groupBy(*keys, "which").agg(F.count("term").alias("n"), F.count("subsets").alias("n_known"), *own, *hashes)
-    few = (F.col("n_known") < FEW_TERMS) | (F.col("n_known") < FEW_SHARE * F.col("n"))
-    mark = F.struct(F.array(*[f"hash{k}" for k in range(SUBSETS)]).alias("hashes"),
-                    F.array(*[f"own{k}" for k in range(SUBSETS)]).alias("own"), few.alias("few"))
-    wide = (grouped.select(*keys, "which", mark.alias("mark")).groupBy(*keys)
-            .agg(*[F.first(F.when(F.col("which") == i, F.col("mark")), ignorenulls=True).alias(t) for i, t in enumerate(texts)]))
-    return wide.select(*keys, *[F.col(t)[part].alias(f"{t}_{part}") for t in texts for part in ("hashes", "own", "few")])
+    known = lexicon_rows.select("term").distinct().withColumn("listed", F.lit(True))
+    each = (docs.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.*").join(F.broadcast(known), "term", "left"))
+
+    def of(i: int, column: Column) -> Column:
+        return F.collect_list(F.when(F.col("which") == i, column))  # NULLs are not collected
+
+    lists = [of(i, column).alias(f"{part}{i}") for i in range(len(texts))
+             for part, column in (("all", F.col("term")), ("known", F.when(F.col("listed"), F.col("term"))))]
+    grouped = each.groupBy(*keys).agg(*[F.max(c).alias(c) for c in carried], *lists)
+    sides = {f"{part}{i}": _level(F.col(f"{part}{i}")) for i in range(len(texts)) for part in ("all", "known")}
+    out = grouped.withColumns({f"{n}_{x}": v for n, parts in sides.items() for x, v in parts.items()})
+    out = out.withColumns({f"{n}_limit": F.coalesce(F.expr(f"shiftleft(1L, length(bin({n}_beyond)) - 1)"), F.lit(EVERY_TERM)) for n in sides})
+
+    def side(n: str) -> Column:
+        limit = F.col(f"{n}_limit")
+        return F.struct(F.col(f"{n}_whole").alias("whole"), limit.alias("limit"),
+                        F.filter(F.col(f"{n}_first"), lambda h: h < limit).alias("picks"))
+
+    marks = []
+    for i, t in enumerate(texts):
+        n, n_known = F.size(f"all{i}"), F.size(f"known{i}")
+        few = (n_known < FEW_TERMS) | (n_known < FEW_SHARE * n)
+        marks.append(F.struct(side(f"known{i}").alias("known"), side(f"all{i}").alias("own"), few.alias("few")).alias(f"{t}_mark"))
+    return out.select(*keys, *carried, *marks)
 
 
 def edited_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_col: str = "doc_id",
@@ -193,17 +221,13 @@ def edited_fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, id_co
     pairs = (beside.withColumn("n_chars", n_chars).withColumn("following", F.coalesce("after", "head"))
              .select("range", "row", "doc_id", "n_chars", "text", edited.alias("edited"))
              .withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)))
-    keys = ["range", "row", "doc_id", "n_chars", "edited_sha256"]
-    marked = written(fingerprints(pairs, keys, ["text", "edited"], words), "imatch-fingerprints")
-    def mark(text: str) -> Column:
-        return F.struct(*[F.col(f"{text}_{part}").alias(part) for part in ("hashes", "own", "few")])
-    marked = marked.withColumn("mark", mark("text")).withColumn("edited_mark", mark("edited"))
-    heads = _next_head(marked.where("row = 1").select("range", "mark"), "mark")
+    marked = written(fingerprints(pairs, ["range", "row"], ["text", "edited"], words, ("doc_id", "n_chars", "edited_sha256")),
+                     "imatch-fingerprints")
+    heads = _next_head(marked.where("row = 1").select("range", "text_mark"), "text_mark")
     by_row = Window.partitionBy("range").orderBy("row")
-    beside = (marked.withColumn("after", F.lead("mark").over(by_row)).join(heads.hint("merge"), "range")
+    beside = (marked.withColumn("after", F.lead("text_mark").over(by_row)).join(heads.hint("merge"), "range")
               .withColumn("after", F.coalesce("after", "head")))
-    return beside.select(
-        "doc_id", "n_chars", "edited_sha256",
-        text_of(F.col("mark")).alias("fingerprint"), text_of(F.col("edited_mark")).alias("edited_fingerprint"),
-        likeness(F.col("mark"), F.col("edited_mark")).alias("near_edited"),
-        likeness(F.col("mark"), F.col("after")).alias("near_next"))
+    compared = with_likeness(beside, {"near_edited": ("text_mark", "edited_mark"), "near_next": ("text_mark", "after")})
+    return compared.select(
+        "doc_id", "n_chars", "edited_sha256", text_of(F.col("text_mark")).alias("fingerprint"),
+        text_of(F.col("edited_mark")).alias("edited_fingerprint"), "near_edited", "near_next")

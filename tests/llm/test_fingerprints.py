@@ -1,11 +1,15 @@
 """I-Match fingerprints against a plain-Python version of the band and the edits."""
 
+import functools
 import hashlib
+import operator
 import random
-import re
-
-from pyspark.sql import functions as F
+import statistics
+from collections import Counter
 
+import pytest
+import regex
+import xxhash
 from faultline.llm import fingerprints as P
 from tests.llm.helpers import awkward_texts, by_id, docs, prose
 
@@ -32,7 +36,6 @@ def check_edits(got, ids, texts):
 
 def test_edits_and_equal_texts(spark, monkeypatch):
     monkeypatch.setattr(P, "ROWS_A_RANGE", 6)  # many ranges, so neighbours cross their ends
-    monkeypatch.setattr(P, "ONE_IN", 4)
     texts = awkward_texts() + corpus(60)
     ids = random.Random(2).sample(range(-50, 1000), len(texts))
     ids.sort()
@@ -49,29 +52,102 @@ def test_edits_and_equal_texts(spark, monkeypatch):
     assert sum(r.near_edited for r in rows) > sum(r.near_next for r in rows)
 
 
-def test_lexicon_is_the_band(spark, monkeypatch):
-    monkeypatch.setattr(P, "ONE_IN", 1)
+def term_hash(word):
+    return xxhash.xxh64(word.encode(), seed=42).intdigest() & P.EVERY_TERM
+
+
+def distinct_terms(text):
+    return {term_hash(w) for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w}
+
+
+def level(held):
+    """(hash of all, limit, picks) of a set of term hashes."""
+    limit = P.EVERY_TERM
+    whole = functools.reduce(operator.xor, held) if held else None
+    if len(held) > P.MOST_TERMS:
+        limit = 1 << 62
+        while sum(h < limit for h in held) > P.MOST_TERMS:
+            limit >>= 1
+    return whole, limit, {h for h in held if h < limit}
+
+
+def hashes(side, limit):
+    whole, _, picks = side
+    out = [whole]
+    for k in range(P.SUBSETS):
+        mine = [h for h in picks if h < limit and h % P.SUBSETS == k]
+        out.append(functools.reduce(operator.xor, mine) if mine else None)
+    return out
+
+
+def brute_force(texts):
+    """(fingerprint, edited fingerprint, near_edited, near_next) of each text."""
+    texts = [t or "" for t in texts]
+    sets = [distinct_terms(t) for t in texts]
+    df = Counter(h for s in sets for h in s)
+    n = len(texts)
+    listed = {h for h, c in df.items() if max(2, P.BAND[0] * n) <= c <= max(2, P.BAND[1] * n)}
+
+    def mark(held):
+        known = held & listed
+        few = len(known) < P.FEW_TERMS or len(known) < P.FEW_SHARE * len(held)
+        return few, level(known), level(held)
+
+    def text_of(m):
+        few, known, own = m
+        side = own if few else known
+        digits = ["" if h is None else f"{h & 0xFFFFFFFF:08x}" for h in hashes(side, side[1])]
+        return ("all:" if few else "") + "-".join([str(side[1].bit_length()), *digits])
+
+    def near(a, b):
+        few = a[0] or b[0]
+        x, y = (a[2], b[2]) if few else (a[1], b[1])
+        limit = min(x[1], y[1])
+        pairs = [(i, j) for i, j in zip(hashes(x, limit), hashes(y, limit)) if i is not None or j is not None]
+        return sum(i == j for i, j in pairs) / len(pairs) if pairs else 1.0
+
+    marks = [mark(s) for s in sets]
+    after = [mark(distinct_terms(e)) for e in edited(texts)]
+    return [(text_of(m), text_of(e), near(m, e), near(m, marks[(i + 1) % n])) for i, (m, e) in enumerate(zip(marks, after))]
+
+
+def test_matches_brute_force_at_production_constants(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.sample(words, rng.choice([1, 10, 33, 64, 65, 400, 2000]))) for _ in range(250)] + awkward_texts() + corpus(40)
+    got = by_id(P.edited_fingerprints(docs(spark, texts).repartition(4)))
+    for i, want in enumerate(brute_force(texts)):
+        row = got[i]
+        assert (row.fingerprint, row.edited_fingerprint) == want[:2], texts[i]
+        assert (row.near_edited, row.near_next) == pytest.approx(want[2:])
+
+
+def test_half_a_text_that_stays_is_seen_at_every_length(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(rng.choice(words) for _ in range(40 * 2 ** (i % 7))) for i in range(210)]
+    rows = P.edited_fingerprints(docs(spark, texts)).collect()
+    assert sum(r.near_edited > r.near_next for r in rows) >= 0.95 * len(rows)
+    assert statistics.median(r.near_edited for r in rows) >= 0.2
+    assert statistics.median(r.near_edited for r in rows if r.n_chars > 10000) >= 0.2
+
+
+def test_lexicon_is_the_band(spark):
     texts = corpus(80)
-    words = {}
-    for t in texts:
-        for w in set(re.findall(r"\w+", t.lower())):
-            words[w] = words.get(w, 0) + 1
+    words = Counter(w for t in texts for w in set(regex.findall(r"[\p{L}\p{N}]+", t.lower())))
     band = (0.05, 0.4)
-    want = {w for w, n in words.items() if band[0] * 80 <= n <= band[1] * 80 and n >= 2}
-    hashes = {r.h for r in spark.createDataFrame([(w,) for w in want], "w string").select(F.xxhash64("w").alias("h")).collect()}
-    got = P.lexicon(docs(spark, texts), band)
-    assert {r.term for r in got.collect()} == hashes
-    assert got.count() == len(hashes) * P.SUBSETS
-    assert len(hashes) <= sum(words.values()) / 80 / band[0]  # the bound of the broadcast
+    want = {term_hash(w) for w, n in words.items() if band[0] * 80 <= n <= band[1] * 80 and n >= 2}
+    got = [r.term for r in P.lexicon_terms(docs(spark, texts), band).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert len(want) <= sum(words.values()) / 80 / band[0]  # the bound of the broadcast
 
 
-def test_subset_hashes_ignore_order_and_other_terms(spark, monkeypatch):
-    monkeypatch.setattr(P, "ONE_IN", 2)
-    lex = P.lexicon(docs(spark, ["alpha beta gamma", "gamma delta alpha"] * 3 + ["x"] * 20), (0.05, 0.9)).cache()
+def test_hashes_ignore_order_and_terms_outside_the_lexicon(spark):
+    lex = P.lexicon_terms(docs(spark, ["alpha beta gamma", "gamma delta alpha"] * 3 + ["x"] * 20), (0.05, 0.9)).cache()
     df = docs(spark, ["alpha beta, gamma!", "GAMMA unseen beta\nalpha alpha", "alpha delta"])
     got = by_id(P.fingerprints(df, ["doc_id"], ["text"], lex))
-    assert got[0].text_hashes == got[1].text_hashes and any(h is not None for h in got[0].text_hashes)
-    assert got[0].text_hashes != got[2].text_hashes
+    assert got[0].text_mark.known == got[1].text_mark.known and len(got[0].text_mark.known.picks) == 3
+    assert got[0].text_mark.known != got[2].text_mark.known and got[1].text_mark.own != got[0].text_mark.own
 
 
 def test_odd_rows_and_empty_tables(spark):
@@ -93,18 +169,15 @@ def test_plan_has_no_python(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
-def test_every_lexicon_term_is_in_a_subset_and_edits_to_it_are_seen(spark):
+def test_edits_to_any_lexicon_term_are_seen(spark):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(60)]
-    texts = [" ".join(rng.sample(words, 6)) for _ in range(200)]
-    rows = P.lexicon(docs(spark, texts)).collect()
-    assert {r.term for r in rows} == {r.h for r in spark.createDataFrame([(w,) for w in words], "w string")
-                                      .select(F.xxhash64("w").alias("h")).collect()}
-    lex = P.lexicon(docs(spark, texts)).cache()
+    lex = P.lexicon_terms(docs(spark, [" ".join(rng.sample(words, 6)) for _ in range(200)])).cache()
+    assert {r.term for r in lex.collect()} == {term_hash(w) for w in words}
     got = by_id(P.fingerprints(docs(spark, [" ".join(words), *[" ".join(words[:i] + words[i + 1:]) for i in range(60)]]),
                                ["doc_id"], ["text"], lex))
-    assert len({tuple(r.text_hashes) for r in got.values()}) == 61
-    assert all(not got[i].text_few for i in got)
+    assert len({r.text_mark.known.whole for r in got.values()}) == 61
+    assert not any(r.text_mark.few for r in got.values())
 
 
 def test_near_copies_of_a_large_group_and_of_a_rare_language_are_alike(spark):
@@ -118,10 +191,3 @@ def test_near_copies_of_a_large_group_and_of_a_rare_language_are_alike(spark):
     assert got[899].fingerprint == got[600].fingerprint and got[898].near_next == 1.0
     assert 0.5 < got[899].near_next < 1.0 and 0.5 < got[901].near_next < 1.0
     assert got[900].near_next == 0.0
-
-
-def test_short_texts_hit_several_subsets(spark):
-    texts = [f"a{i} b{i} c{i} d{i} e{i}" for i in range(200)]
-    lex = spark.createDataFrame([], "term long, subset int")
-    got = P.fingerprints(docs(spark, texts), ["doc_id"], ["text"], lex).collect()
-    assert all(sum(h is not None for h in r.text_own) >= 2 and r.text_few for r in got)
