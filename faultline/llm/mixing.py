@@ -27,11 +27,12 @@ WEIGHTS = (5, 2, 1)
 def _with_order(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
     """Adds size, source key, shuffle hash and tie-break to every document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    tie = F.md5(text.cast("binary"))  # in the shuffle hash too: rows without an id spread like others
     return docs.select(
         "*", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.when(F.col(source_col).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source_col).cast("string"))).alias("_source"),
-        F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary")).alias("_shuffle"),
-        F.md5(text.cast("binary")).alias("_tie"))
+        F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), tie).cast("binary")).alias("_shuffle"),
+        tie.alias("_tie"))
 
 
 def source_targets(sizes: DataFrame, share_percent: int, cap: int, weights: tuple[int, ...]) -> DataFrame:

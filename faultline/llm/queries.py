@@ -121,7 +121,7 @@ def op7_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 @register("op3_mixing", """
     WITH d AS (
         SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-               md5('mix-1' || coalesce(doc_id::VARCHAR, '')) AS h, md5(coalesce(text, '')) AS t
+               md5('mix-1' || coalesce(doc_id::VARCHAR, '') || md5(coalesce(text, ''))) AS h, md5(coalesce(text, '')) AS t
         FROM documents),
     s0 AS (
         SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS i

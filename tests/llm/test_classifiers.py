@@ -58,8 +58,7 @@ def test_misspelt_words_share_subwords():
     assert high > 0.5 > low
 
 
-def test_attention_gradients_match_differences():
-    """A step on the loss's numeric gradient is what training follows."""
+def test_attention_weighs_the_passages_of_a_document():
     rng = np.random.default_rng(0)
     model = quality.Model({k: v.astype(np.float64) for k, v in quality._blank(rng).items()})
     x, count = rng.random((9, quality.FEATURES)), np.array([2, 4, 3])
@@ -69,6 +68,40 @@ def test_attention_gradients_match_differences():
         assert np.allclose(z[i], (a[lo:hi, None] * h[lo:hi]).sum(axis=0))
 
 
+def test_the_first_step_goes_against_the_numeric_gradient(monkeypatch):
+    """Adam's first step has the size of the rate and the sign of the gradient:
+    compared with differences of the loss, for every kind of weight."""
+    monkeypatch.setattr(quality, "EPOCHS", 1)
+    sample = junk(4, 40)  # one batch
+    after = quality.train(sample).w
+    before = {k: v.astype(np.float64) for k, v in quality._blank(np.random.default_rng(3)).items()}
+    before["mean"], before["scale"] = after["mean"].astype(np.float64), after["scale"].astype(np.float64)
+    text = pa.array([t for t, _ in sample])
+    data, offsets = quality.utf8_column(text)
+    x, count = quality.passages(data, offsets)
+    y = np.array([label for _, label in sample], np.float64)
+
+    def loss(w):
+        logit = quality.Model(w).forward(x.astype(np.float64), count)[-1]
+        return np.mean(np.logaddexp(0, logit) - y * logit)
+
+    rng, checked = np.random.default_rng(1), 0
+    for k in ("enc", "enc_b", "att", "gate", "att_w", "out", "out_b"):
+        flat = before[k].reshape(-1)
+        for i in rng.permutation(flat.size)[:40].tolist():
+            sides = []
+            for d in (1e-5, -1e-5):
+                moved = flat.copy()
+                moved[i] += d
+                sides.append(loss(before | {k: moved.reshape(before[k].shape)}))
+            grad = (sides[0] - sides[1]) / 2e-5 + 1e-4 * flat[i]
+            if abs(grad) > 1e-5:
+                step = flat[i] - after[k].reshape(-1)[i]
+                assert np.sign(step) == np.sign(grad) and abs(abs(step) - 0.0101) < 2e-4, (k, i, grad, step)
+                checked += 1
+    assert checked > 100
+
+
 @pytest.mark.parametrize("module", [toxicity, quality])
 def test_scores_are_the_same_alone_and_together(module):
     model = module.train((insults if module is toxicity else junk)(3, 200))

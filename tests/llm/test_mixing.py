@@ -32,8 +32,8 @@ def brute_force(rows, share=150, cap=2, weights=(5, 2, 1)):
             rest -= target[n]
             open_.remove(n)
     queue, upto = [], dict.fromkeys(names, 0)
-    key = [(hashlib.md5(("mix-1" + ("" if d is None else str(d))).encode()).hexdigest(), hashlib.md5((t or "").encode()).hexdigest())
-           for d, t, _ in rows]
+    tie = [hashlib.md5((t or "").encode()).hexdigest() for _, t, _ in rows]
+    key = [(hashlib.md5(("mix-1" + ("" if d is None else str(d)) + t).encode()).hexdigest(), t) for (d, *_), t in zip(rows, tie)]
     for i in sorted(range(len(rows)), key=lambda i: key[i]):
         n = rows[i][2]
         upto[n] += size[i]
@@ -103,6 +103,14 @@ def test_odd_rows_and_empty_tables(spark):
     assert M.mix_sources(clash).columns == ["doc_id", "text", "source", "_cell", "size", "source_size", "target", "times", "taken"]
 
 
+def test_rows_without_an_id_spread(spark):
+    rows = [(None if i % 3 == 0 else i, f"words of {i}", "a") for i in range(900)]
+    df = docs(spark, [t for _, t, _ in rows], ids=[d for d, _, _ in rows], sources=["a"] * 900)
+    ordered = M._with_order(df, "doc_id", "text", "source", "mix-1")
+    assert ordered.select("_shuffle").distinct().count() == 900
+    assert rows_of(M.mix_sources(df)) == sorted(brute_force(rows), key=str)
+
+
 def test_mixed_documents_repeat_whole_rows(spark):
     rows = corpus(6, 60)
     df = docs(spark, [t for _, t, _ in rows], sources=[s for _, _, s in rows])
