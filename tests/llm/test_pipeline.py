@@ -73,7 +73,7 @@ def test_empty_documents(spark, tmp_path):
 
 def test_every_operator_is_registered():
     keys = set(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in keys) == 1
     assert "pipeline" in keys and set(Q.ORACLE_SQL) <= set(E.oracle_sql()) <= keys
 
@@ -87,3 +87,30 @@ def test_toxicity_stage_decides_as_op10(spark, tmp_path, monkeypatch):
     called = {r.doc_id for r in Q.op10_toxicity(spark, str(tmp_path)).collect() if r.predicted}
     kept = {r.doc_id for r in C.reject_toxic(spark, frame, str(tmp_path)).collect()}
     assert called and not called & kept
+
+
+def test_odd_rows_and_clashing_columns(spark, tmp_path):
+    """NULL ids and texts, repeated rows, blank and long texts, and columns named like the stages' own."""
+    odd = [(None, None), (None, "a b c d e f"), (None, "a b c d e f"), (1, ""), (1, ""), (2, " \n "), (3, prose(9, 6000)),
+           (4, prose(10, 80)), (5, prose(10, 80)), (5, prose(10, 80))]
+    frame = docs(spark, [t for _, t in odd], ids=[i for i, _ in odd], sources=["s", None] * 5).selectExpr(
+        "*", "'x' AS _toxic", "1 AS score", "2 AS size", "'k' AS key", "3 AS kept", "'t' AS tie", "4 AS label", "5 AS _copy")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    counts = {}
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (name, stage) in enumerate(C.STAGES):
+        stage(spark, at, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
+        at = spark.read.parquet(f"{tmp_path}/{k}")
+        counts[name] = at.count()
+        assert name == "bpe" or at.columns == frame.columns
+    # no label: everything stays or goes at 0.5; without labels the score is 0.5 and every text is rejected
+    assert counts["toxicity"] == 0 and counts["bpe"] == 0
+    deduped = C.near_dedup(spark, frame, str(tmp_path)).collect()
+    texts = sorted(((r.doc_id, (r.text or "")[:11]) for r in deduped), key=str)
+    # the copies of 4 go, rows of no shingle stay, NULL ids alone keep no name and stay
+    assert [d for d, _ in texts if d is not None] == [1, 1, 2, 3, 4]
+    mixed = C.mix(spark, frame, str(tmp_path))
+    assert mixed.columns == frame.columns and mixed.where("text IS NULL OR trim(text) = ''").count() == 0
+    tokens = C.tokenize(spark, frame, str(tmp_path))
+    assert tokens.count() == len(odd) and tokens.where("n_tokens = 0").count() == 3
