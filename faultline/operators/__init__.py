@@ -5,7 +5,7 @@ from .analysis import (conditional_split, crosstab_row_pct, difficulty_rank, dis
                        ratio_total_to_distinct, register_top_n_function, share_within_group, top_n_ranked,
                        united_sketches, value_counts)
 from .calls import call_id, logged_calls, read_log
-from .feedback import (clean_response, enrich_rows, feedback_job, feedback_report, feedback_worklist,
+from .feedback import (clean_response, enrich_rows, feedback_job, feedback_report, feedback_run, feedback_worklist,
                        first_example_per_group, per_row)
 from .inserts import KeyIndex, build_index, insert_checked, insert_report
 from .joins import Dim, attach, checked_broadcast, fits, fits_each, join_null_safe

@@ -15,7 +15,7 @@ from collections.abc import Callable, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from ..functions.text import left, render_template, strip_text
 from ..session import shared_dir
@@ -172,6 +172,21 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
 
     spark = fact.sparkSession
     g = _list(group)
+    rows = _feedback_rows(fact, g, n, order_col, template, fields, service, model_name, example_columns, example_dims,
+                          group_dims, pause_seconds, log_path, calls_per_commit)
+    old = spark.read.parquet(table_path) if table_path else spark.createDataFrame([], _result_schema(rows))
+    if table_path and table_path.rstrip("/") == out_path.rstrip("/"):
+        raise ValueError("write the new version to a new path, not over its input")
+    merged = upsert_by_key(old, rows, g, id_col="feedback_id", touched_col="generated_at", now=now)
+    merged.write.mode(mode).parquet(out_path)
+    stored = spark.read.parquet(out_path)
+    return feedback_report(stored, "frequency_rank", "generated_feedback",
+                           [*g, *report_columns, "error_frequency"], preview_chars=preview_chars)
+
+
+def _feedback_rows(fact, g, n, order_col, template, fields, service, model_name, example_columns, example_dims, group_dims,
+                   pause_seconds, log_path, calls_per_commit) -> DataFrame:
+    """Worklist and answers as rows of the result table, without id and time."""
     work = feedback_worklist(fact, g, n, order_col, template, fields, example_columns, example_dims,
                              group_dims)
     if log_path:
@@ -179,20 +194,39 @@ def feedback_job(fact: DataFrame, group: str | Sequence[str], n: int, order_col:
                             calls_per_commit=calls_per_commit, pause_seconds=pause_seconds)
     else:
         done = enrich_rows(work, service, "prompt", output_col="generated_feedback", pause_seconds=pause_seconds)
-    rows = done.select(*g, F.col("example_id").cast("long").alias("example_id"),
+    return done.select(*g, F.col("example_id").cast("long").alias("example_id"),
                        F.lit(model_name).alias("model_name"), F.col("prompt").alias("prompt_text"),
                        strip_text("generated_feedback").alias("generated_feedback"),
                        F.col("frequency_rank").cast("long").alias("frequency_rank"),
                        F.col("frequency").cast("long").alias("error_frequency"))
-    if table_path:
-        old = spark.read.parquet(table_path)
-    else:
-        schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields])
-        old = spark.createDataFrame([], f"feedback_id long, {schema}, generated_at timestamp_ntz")
-    if table_path and table_path.rstrip("/") == out_path.rstrip("/"):
-        raise ValueError("write the new version to a new path, not over its input")
-    merged = upsert_by_key(old, rows, g, id_col="feedback_id", touched_col="generated_at", now=now)
-    merged.write.mode(mode).parquet(out_path)
-    stored = spark.read.parquet(out_path)
-    return feedback_report(stored, "frequency_rank", "generated_feedback",
+
+
+def _result_schema(rows: DataFrame) -> StructType:
+    return StructType([StructField("feedback_id", LongType()), *rows.schema.fields, StructField("generated_at", TimestampNTZType())])
+
+
+def feedback_run(fact: DataFrame, group: str | Sequence[str], n: int, order_col: str, template: str,
+                 fields: Mapping[str, str], service: Callable[[pd.Series], pd.Series], store_path: str,
+                 model_name: str = "", example_columns: Sequence[str] = (), example_dims: Sequence[Dim] = (),
+                 group_dims: Sequence[Dim] = (), report_columns: Sequence[str] = (), now=None, preview_chars: int = 70,
+                 pause_seconds: float = 0.0, calls_per_commit: int = 1, partitions: int = 16) -> DataFrame:
+    """:func:`feedback_job` over one folder that grows from run to run.
+
+    ``store_path`` holds the result table as a keyed table, started by the
+    first run with ``partitions`` partitions, and the log of calls.  Every
+    answer is in the log as soon as it is there; results are merged into the
+    partitions of their keys.  A run that was interrupted anywhere is simply
+    repeated: it calls what the log lacks and merges the rest.  The report
+    lists the patterns of this run's worklist.
+    """
+    from ..sources import keyed as K
+
+    spark, g, store = fact.sparkSession, _list(group), store_path.rstrip("/")
+    shared_dir(spark)
+    rows = _feedback_rows(fact, g, n, order_col, template, fields, service, model_name, example_columns, example_dims,
+                          group_dims, pause_seconds, f"{store}/calls", calls_per_commit).checkpoint(eager=True)
+    table = K.open_or_create(spark, f"{store}/results", _result_schema(rows), g, partitions, id_col="feedback_id")
+    parts = K.merge_keyed(spark, table, rows, touched_col="generated_at", now=now)
+    mine = join_null_safe(K.partitions_read(spark, table, parts).drop(K.PART), rows.select(*g), g, how="left_semi")
+    return feedback_report(mine, "frequency_rank", "generated_feedback",
                            [*g, *report_columns, "error_frequency"], preview_chars=preview_chars)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import analysis as A
+from ..operators import feedback as FB
 from ..operators import prepare as P
 from ..operators import text as TX
 from ..operators.calls import call_id, logged_calls, read_log
@@ -18,7 +19,7 @@ from ..operators.quality import Constraint
 from ..session import scratch_path
 from ..sources import keyed as K
 from ..sources.tables import next_ids
-from .registered import _SNOWFLAKE_FROM, _t, q_difficulty_rank, register, review_service
+from .registered import DOC_TEMPLATE, ORACLE_SQL, _SNOWFLAKE_FROM, _t, q_difficulty_rank, register, review_service
 
 
 @register("logged_calls", """
@@ -37,6 +38,19 @@ def q_logged_calls(spark, sf):
             .select("conv_id", "turn", "response", "calls"))
 
 
+@register("feedback_run", ORACLE_SQL["feedback_report"])
+def q_feedback_run(spark, sf):
+    """The feedback job twice over one folder of results and calls: a first run
+    of one pattern, then all three."""
+    fields = {"frequency_rank": "frequency_rank", "frequency": "frequency", "lang": "lang", "source": "source", "text": "text"}
+    store = scratch_path(spark, "feedback_store")
+    docs = _t(spark, sf, "documents")
+    for n in (1, 3):
+        report = FB.feedback_run(docs, "lang", n, "doc_id", DOC_TEMPLATE, fields, review_service, store,
+                                 model_name="review-service", example_columns=["source", "text"])
+    return report
+
+
 @register("keyed_merge", """
 WITH f AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS order_id FROM orders WHERE o_orderstatus = 'F'),
 n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_orderkey) + (SELECT COUNT(*) FROM f) AS order_id

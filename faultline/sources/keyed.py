@@ -15,10 +15,12 @@ a load that was interrupted between two partitions is simply repeated.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +66,7 @@ def create_keyed(df: DataFrame, path: str, key: str | Sequence[str], partitions:
     rows = one_per_key(df, keys).checkpoint(eager=True)
     _overwrite(table, rows)
     if id_col:
-        rows.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("last")).write.parquet(f"{path}/last_id")
+        rows.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("last")).write.mode("overwrite").parquet(f"{path}/last_id")
     layout = spark.createDataFrame([(list(keys), partitions, df.schema.json(), id_col)],
                                    "key array<string>, partitions int, schema string, id_col string")
     layout.write.parquet(f"{path}/layout")
@@ -72,13 +74,23 @@ def create_keyed(df: DataFrame, path: str, key: str | Sequence[str], partitions:
 
 
 def open_keyed(spark: SparkSession, path: str) -> KeyedTable:
-    import json
-
     path = path.rstrip("/")
     row = spark.read.parquet(f"{path}/layout").first()
     return KeyedTable(path, tuple(row["key"]), row["partitions"], T.StructType.fromJson(json.loads(row["schema"])), row["id_col"])
 
 
+def open_or_create(spark: SparkSession, path: str, schema: T.StructType, key: str | Sequence[str], partitions: int,
+                   id_col: str | None = None) -> KeyedTable:
+    """The keyed table at ``path``; an empty one of these settings if there is
+    none.  The layout is written last, so a table half made is made again."""
+    try:
+        return open_keyed(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return create_keyed(spark.createDataFrame([], schema), path, key, partitions, id_col)
+
+
 def _stored(spark: SparkSession, table: KeyedTable) -> DataFrame:
     return spark.read.schema(T.StructType([*table.schema.fields, T.StructField(PART, T.IntegerType())])).parquet(table.rows_path)
 

@@ -11,6 +11,7 @@ import pandas as pd
 from faultline.operators import calls as C
 from faultline.operators import feedback as FB
 from faultline.session import scratch_path
+from faultline.sources import keyed as K
 from tests.conftest import rows
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -71,6 +72,22 @@ def test_feedback_job_with_a_log_calls_once(spark, tmp_path):
     assert sorted(f.name for f in tmp_path.iterdir()) == ["q1-0", "q3-0"]
 
 
+def test_feedback_runs_over_one_folder(spark, tmp_path):
+    def fact(extra=()):
+        return spark.createDataFrame([(10, "s1", "q10"), (3, "s1", "q3"), (7, "s2", "q7"), (1, "s2", "q1"), (2, "s2", "q2"), *extra],
+                                     "submission_id int, subtype string, query string")
+    args = dict(group="subtype", n=2, order_col="submission_id", template="{query}", fields={"query": "query"},
+                service=counting(tmp_path), example_columns=["query"], store_path=scratch_path(spark, "store"), partitions=4)
+    first = rows(FB.feedback_run(fact(), now=dt.datetime(2024, 3, 1), **args))
+    assert first == [(1, "s2", 3, "Q1"), (2, "s1", 2, "Q3")]
+    more = [(i, "s3", f"q{i}") for i in range(20, 25)]  # a new pattern, ahead of the others
+    assert rows(FB.feedback_run(fact(more), now=dt.datetime(2024, 4, 1), **args)) == [(1, "s3", 5, "Q20"), (2, "s2", 3, "Q1")]
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["q1-0", "q20-0", "q3-0"]
+    table = K.open_keyed(spark, args["store_path"] + "/results")
+    stored = {r["subtype"]: (r["feedback_id"], r["frequency_rank"], r["generated_at"].month) for r in K.read_keyed(spark, table).collect()}
+    assert stored == {"s1": (1, 2, 3), "s2": (2, 2, 4), "s3": (3, 1, 4)}  # s1 keeps its row, ids are kept
+
+
 KILLED = """
 import os, sys
 sys.path.insert(0, {root!r})
