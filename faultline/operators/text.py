@@ -88,20 +88,26 @@ def _bare(raw: str) -> Column:
     return F.regexp_replace(F.col(raw), r"'s$", "")
 
 
+def _without_s(raw: str) -> Column:
+    """:func:`_bare` of a run without a regex, cheap enough for every occurrence."""
+    return F.when(F.col(raw).endswith("'s"), F.expr(f"left(`{raw}`, length(`{raw}`) - 2)")).otherwise(F.col(raw))
+
+
 def _singular(word: str) -> Column:
     """``word`` without a single final ``s``; other words as they are."""
     plural = F.col(word).endswith("s") & ~F.col(word).endswith("ss") & (F.length(word) > 2)
     return F.when(plural, F.expr(f"left(`{word}`, length(`{word}`) - 1)")).otherwise(F.col(word))
 
 
-def _plurals_met(counts: DataFrame, last: str, others: Sequence[str] = ()) -> DataFrame:
-    """``counts`` (others, last, _n) with plurals of ``last`` counted under
-    their singular where both occur: others, ``last``, _n and _words, the
-    words counted."""
+def _plurals_met(counts: DataFrame, last: str, others: Sequence[str] = (), n: Column | None = None) -> DataFrame:
+    """Rows of (others, last), each counted ``n`` times (the sum of a column,
+    else rows), with plurals of ``last`` under their singular where both occur:
+    others, _stem (the singular, met or not), ``last`` and _n."""
+    met = F.bool_or(F.col(last) == F.col("_stem"))  # a stem's words: the singular, its plural or both
     groups = (counts.withColumn("_stem", _singular(last)).groupBy(*others, "_stem")
-              .agg(F.sum("_n").alias("_n"), F.collect_list(last).alias("_words")))  # the singular, its plural or both
-    return groups.select(*others, F.when(F.array_contains("_words", F.col("_stem")), F.col("_stem"))
-                         .otherwise(F.element_at("_words", 1)).alias(last), "_n", "_words")
+              .agg((F.count(F.lit(1)) if n is None else F.sum(n)).alias("_n"), met.alias("_met")))
+    return groups.select(*others, "_stem", F.when(F.col("_met"), F.col("_stem"))
+                         .otherwise(F.concat("_stem", F.lit("s"))).alias(last), "_n")
 
 
 def cloud_words(df: DataFrame, text: str | Column, stopwords: Iterable[str] = STOPWORDS,
@@ -117,12 +123,16 @@ def cloud_words(df: DataFrame, text: str | Column, stopwords: Iterable[str] = ST
     The runs are counted as they stand (partial/final); possessives and stop
     words are looked at once a distinct run.
     """
+    return _stems(df, text, stopwords, word).select(word, F.col("_n").cast("long").alias(out))
+
+
+def _stems(df: DataFrame, text: str | Column, stopwords: Iterable[str], word: str) -> DataFrame:
+    """:func:`cloud_words` with the stem they are counted by: _stem, ``word`` and _n."""
     found = F.regexp_extract_all(F.lower(_col(text)), F.lit(_CLOUD_WORD), 0)
     raw = df.select(F.explode(found).alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_n"))
     wanted = ~F.col(word).isin(sorted(set(stopwords))) & (F.col(word) != "")
     words = raw.select(_bare("_w").alias(word), "_n").filter(of_groups(wanted, "_n"))
-    met = _plurals_met(words.groupBy(word).agg(F.sum("_n").alias("_n")), word)
-    return met.select(word, F.col("_n").cast("long").alias(out))
+    return _plurals_met(words, word, n=F.col("_n"))
 
 
 def _likelihood(hits: Column, trials: Column, share: Column) -> Column:
@@ -144,39 +154,39 @@ def log_likelihood_ratio(both: Column, first: Column, second: Column, total: Col
 
 
 def _words_and_pairs(df: DataFrame, text: str | Column, stopwords: Iterable[str]) -> tuple[DataFrame, DataFrame]:
-    """(word, n, words) of :func:`cloud_words` and (first, second, n) of
-    neighbours that are both such words.
+    """(stem, word, n) of :func:`cloud_words` and (first, second, stem, n) of
+    neighbours that are both such words; ``stem`` is that of the second.
 
-    One scan: every word with its successor in the text (none: NULL) is counted
-    as it stands, and both tables are sums of those counts.
+    Two scans.  The words are few and checkpointed.  The pairs, mostly
+    distinct, are a table as large as the texts: those with a stop word go
+    before they are counted, and the others are shuffled once, by the first
+    word and the stem of the second, and read once, by the score.
     """
-    stop = sorted(set(stopwords))
+    stop = set(stopwords)
+    shared_dir(df.sparkSession)
+    words = (_stems(df, text, stop, "word").select(F.col("_stem").alias("stem"), "word", F.col("_n").cast("long").alias("n"))
+             .checkpoint(eager=True))
     found = df.select(F.regexp_extract_all(F.lower(_col(text)), F.lit(_CLOUD_WORD), 0).alias("_ws"))
     follow = F.arrays_zip(F.col("_ws").alias("a"), F.slice("_ws", 2, F.greatest(F.size("_ws"), F.lit(1))).alias("b"))
-    shared_dir(df.sparkSession)
-    raw = (found.select(F.explode(follow).alias("_p")).groupBy(F.col("_p.a").alias("_a"), F.col("_p.b").alias("_b"))
-           .agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True))  # a row per distinct pair, read twice
-    single = raw.groupBy("_a").agg(F.sum("_n").alias("_n"))
-    words = (single.select(_bare("_a").alias("word"), "_n").filter(~F.col("word").isin(stop) & (F.col("word") != ""))
-             .groupBy("word").agg(F.sum("_n").alias("_n")))
-    pairs = (raw.filter(F.col("_b").isNotNull()).select(_bare("_a").alias("first"), _bare("_b").alias("second"), "_n")
-             .filter(~F.col("first").isin(stop) & ~F.col("second").isin(stop) & (F.col("first") != "") & (F.col("second") != ""))
-             .groupBy("first", "second").agg(F.sum("_n").alias("_n")))
-    met = _plurals_met(words, "word").select("word", F.col("_n").cast("long").alias("n"), F.col("_words").alias("words"))
-    return met.checkpoint(eager=True), _plurals_met(pairs, "second", ["first"]).select(
-        "first", "second", F.col("_n").cast("long").alias("n"))
+    raw = found.select(F.explode(follow).alias("_p")).select(F.col("_p.a").alias("_a"), F.col("_p.b").alias("_b"))
+    # the runs that are a stop word without their possessive, so a run is looked up as it stands
+    unwanted = sorted({w for w in stop if not w.endswith("'s")} | {f"{w}'s" for w in stop})
+    if unwanted:
+        raw = raw.filter(~F.col("_a").isin(unwanted) & ~F.col("_b").isin(unwanted))
+    pairs = raw.filter(F.col("_b").isNotNull()).select(_without_s("_a").alias("first"), _without_s("_b").alias("second"))
+    return words, _plurals_met(pairs, "second", ["first"]).select("first", "second", F.col("_stem").alias("stem"), F.col("_n").alias("n"))
 
 
 def _scored_pairs(words: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs above the threshold, with the words that they are counted under."""
-    forms = checked_broadcast(words.select(F.explode("words").alias("_of"), F.col("word").alias("_form"), F.col("n").alias("_c")))
+    forms = checked_broadcast(words.select(F.col("stem").alias("_of"), F.col("word").alias("_form"), F.col("n").alias("_c")))
 
-    def counted(frame: DataFrame, side: str) -> DataFrame:
-        of = forms.select(F.col("_of").alias(side), F.col("_form").alias(f"{side}_word"), F.col("_c").alias(f"{side}_n"))
-        return frame.join(of, side)
+    def counted(frame: DataFrame, side: str, stem: Column) -> DataFrame:
+        of = forms.select(F.col("_of").alias(f"{side}_stem"), F.col("_form").alias(f"{side}_word"), F.col("_c").alias(f"{side}_n"))
+        return frame.withColumn(f"{side}_stem", stem).join(of, f"{side}_stem")
 
     total = words.select(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    both = counted(counted(pairs, "first"), "second")
+    both = counted(counted(pairs, "first", _singular("first")), "second", F.col("stem"))
     score = log_likelihood_ratio(F.col("n"), F.col("first_n"), F.col("second_n"), total)
     return both.withColumn("score", score).filter(F.col("score") > F.lit(float(threshold)))
 

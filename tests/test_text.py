@@ -136,6 +136,15 @@ def test_collocations_of_nothing(spark):
     assert T.collocations(one, "t", threshold=0.0).count() == 0  # a word that is all there is
 
 
+def test_pairs_are_counted_without_stop_words_and_shuffled_once(spark):
+    texts = ["the red house and the red houses", "a red house", None]
+    words, pairs = T._words_and_pairs(spark.createDataFrame([(t,) for t in texts], "t string"), "t", T.STOPWORDS)
+    assert {(r["first"], r["second"], r["n"]) for r in pairs.collect()} == {("red", "house", 3)}
+    assert {(r["word"], r["n"]) for r in words.collect()} == {("red", 3), ("house", 3)}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and plan.index("Aggregate [") < plan.index("INSET") < plan.index("Generate")
+
+
 def test_word_counting_runs_one_regex_per_occurrence(spark):
     plan = T.cloud_words(_df(spark), "t")._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
