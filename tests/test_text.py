@@ -145,6 +145,12 @@ def test_pairs_are_counted_without_stop_words_and_shuffled_once(spark):
     assert plan.count("Aggregate [") == 1 and plan.index("Aggregate [") < plan.index("INSET") < plan.index("Generate")
 
 
+def test_stop_words_are_looked_up_without_possessives(spark):
+    df = spark.createDataFrame([("big cat's dog's bone",)], "t string")
+    found = lambda stop: {r["pair"] for r in T.collocations(df, "t", stopwords=stop, threshold=-1.0).collect()}
+    assert found(["cat", "dog's"]) == {"dog bone"} and found([]) == {"big cat", "cat dog", "dog bone"}
+
+
 def test_word_counting_runs_one_regex_per_occurrence(spark):
     plan = T.cloud_words(_df(spark), "t")._jdf.queryExecution().optimizedPlan().toString()
     lines = plan.splitlines()
