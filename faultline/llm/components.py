@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import written
+from .frames import written_step
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -19,18 +19,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     when nothing changed.  No link, no row.
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = written(both.where("a <> b").distinct(), "component-links")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("b"))
-                     .select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "component-labels")
+    both = written_step(both.where("a <> b").distinct(), "component-links")
+    labels = written_step(both.groupBy("a").agg(F.min("b").alias("b"))
+                          .select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "component-labels")
     while True:
         seen = (both.join(labels.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen")))
         near = (labels.join(seen, "node")
                 .select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label")))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        moved = written(near.join(up, "label", "left")
-                        .select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")),
-                        "component-labels")
+        moved = written_step(near.join(up, "label", "left")
+                             .select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label")),
+                             "component-labels")
         labels = moved.select("node", "label")
         if moved.where("old <> label").isEmpty():
             return labels

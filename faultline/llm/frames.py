@@ -52,6 +52,14 @@ def release_driver(spark: SparkSession) -> None:
         gateway.System.gc()
 
 
+def written_step(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for one of many steps: what the step left on the driver goes
+    before the next one, so their garbage does not add up."""
+    out = written(df, name)
+    release_driver(df.sparkSession)
+    return out
+
+
 def add_columns(df: DataFrame, fields: list[T.StructField],
                 compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
     """``df`` with the columns ``compute`` makes of each Arrow batch; columns

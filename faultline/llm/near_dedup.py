@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .arrays import SpanHasher, ascii_words, doc_slices, lower_ascii, mix, utf8_column
 from .components import connected_components
-from .frames import add_columns, release_driver, written
+from .frames import add_columns, written_step
 
 BAND_ROWS = 5
 BANDS = 40           # a pair at similarity 0.8 shares no band with probability 1e-7
@@ -202,8 +202,8 @@ _EDGE = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.B
 
 
 def _verify_block(words: int, percent: int):
-    """Links that join the components of one block (columns key, label, side,
-    text); sides 0 meet each other and side 1, sides 1 only sides 0."""
+    """Links between the components of one block, by label (columns key, label,
+    side, text); sides 0 meet each other and side 1, sides 1 only sides 0."""
     def run(table: pa.Table) -> pa.Table:
         keys, labels = table.column("key").to_pylist(), table.column("label").to_pylist()
         side = np.array(table.column("side").to_pylist())
@@ -229,8 +229,8 @@ def _verify_block(words: int, percent: int):
                 x, y = find(labels[i]), find(labels[j])
                 if x != y:
                     root[x] = y
-                    out_a.append(keys[i])
-                    out_b.append(keys[j])
+                    out_a.append(labels[i])
+                    out_b.append(labels[j])
         return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
     return run
 
@@ -289,7 +289,8 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all columns.
     Rows are known by id and text together, so repeated rows stay or go alike."""
-    kept = _groups(docs, words, percent, MISS, id_col, text_col).where("kept").select("doc_id", "tie").distinct()
+    groups = _groups(docs, words, percent, MISS, id_col, text_col)
+    kept = written_step(groups.where("kept").select("doc_id", "tie").distinct(), "near-kept")
     tie = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
     same = F.col("_own").eqNullSafe(F.col("doc_id")) & (F.col("_tie") == F.col("tie"))
     own = {c: f"_{i}" for i, c in enumerate(docs.columns)}  # free of clashes with the decision's columns
@@ -303,8 +304,8 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
     limits = prune_limits(BANDS * BAND_ROWS, percent, miss, BATCH)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tied = source.withColumn("tie", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    rows = written(add_columns(tied, _DESCRIBED, _describe(words)).drop("text"), "near-signatures")
-    classes = written(
+    rows = written_step(add_columns(tied, _DESCRIBED, _describe(words)).drop("text"), "near-signatures")
+    classes = written_step(
         rows.where("key IS NOT NULL").groupBy("key")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tie")).alias("of"),
              F.min(F.struct("sig", "bands", "n_shingles")).alias("x"))
@@ -314,7 +315,7 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
     banded = classes.select("key", F.posexplode("bands").alias("band", "bucket"))
     buckets = (banded.groupBy("bucket", "band").agg(F.min("key").alias("pivot"), F.max("key").alias("last"))
                .where("pivot < last").drop("last"))
-    members = written(banded.join(buckets, ["bucket", "band"]), "near-buckets")
+    members = written_step(banded.join(buckets, ["bucket", "band"]), "near-buckets")
 
     pairs = members.where("key <> pivot").select("key", "pivot").distinct()
     sigs = classes.select("key", "sig")
@@ -327,8 +328,8 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
                 keep = surviving(_sig_rows(batch.column("sig")), _sig_rows(batch.column("pivot_sig")), limits)
                 yield batch.select(["key", "pivot"]).filter(pa.array(keep))
 
-    survivors = written(compared.select("key", "pivot", "sig", "pivot_sig")
-                        .mapInArrow(prune, "key binary, pivot binary"), "near-survivors")
+    survivors = written_step(compared.select("key", "pivot", "sig", "pivot_sig")
+                             .mapInArrow(prune, "key binary, pivot binary"), "near-survivors")
 
     def texts(keys: DataFrame) -> DataFrame:
         """A text of each class: of its smallest id, known by id and text hash."""
@@ -336,7 +337,7 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
         mine = (of["tie"] == tied["tie"]) & of["of_id"].eqNullSafe(tied["doc_id"])
         return of.join(tied, mine).select("key", "text").dropDuplicates(["key"])
 
-    needed = written(texts(survivors.select("key").union(survivors.select("pivot"))), "near-texts")
+    needed = written_step(texts(survivors.select("key").union(survivors.select("pivot"))), "near-texts")
 
     def verify(batches):
         for batch in batches:
@@ -346,14 +347,13 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
     stars = (survivors.join(needed, "key").withColumnRenamed("text", "text_a")
              .join(needed.select(F.col("key").alias("pivot"), F.col("text").alias("text_b")), "pivot")
              .select(F.col("key").alias("a"), F.col("pivot").alias("b"), "text_a", "text_b"))
-    links = written(stars.mapInArrow(verify, _EDGE).distinct(), "near-links")
+    links = written_step(stars.mapInArrow(verify, _EDGE).distinct(), "near-links")
     labels = connected_components(links)
-    release_driver(docs.sparkSession)
 
     # buckets that still hold several components
     marked = (members.join(labels.withColumnRenamed("node", "key"), "key", "left")
               .withColumn("label", F.coalesce("label", "key")))
-    marked = written(marked.join(classes.select("key", "n_shingles"), "key"), "near-marked")
+    marked = written_step(marked.join(classes.select("key", "n_shingles"), "key"), "near-marked")
     open_buckets = (marked.groupBy("bucket", "band")
                     .agg(F.min("label").alias("low"), F.max("label").alias("high"),
                          F.max(F.when(F.col("key") == F.col("pivot"), F.col("label"))).alias("main"))
@@ -381,17 +381,17 @@ def _groups(docs: DataFrame, words: int, percent: int, miss: float, id_col: str,
     blocks = (dealt.withColumn("chunk", chunk.cast("int"))
               .withColumn("block", F.explode(F.when(F.col("side") == 0, blocks_of_other).otherwise(blocks_of_main)))
               .select(F.xxhash64("bucket", "band", "block").alias("block"), "band", "key", "label", "side"))
-    shortlist = written(
+    shortlist = written_step(
         blocks.join(sigs, "key").groupBy("block").applyInArrow(_shortlist_block(limits), _SHORTLIST),
         "near-shortlist")
     more = (shortlist.join(texts(shortlist.select("key")), "key").groupBy("block")
             .applyInArrow(_verify_block(words, percent), _EDGE))
-    joined = connected_components(written(links.union(more).distinct(), "near-all-links"))
+    above = connected_components(written_step(more.distinct(), "near-more-links"))
 
-    # components back to documents
-    named = classes.select("key").join(joined.withColumnRenamed("node", "key"), "key", "left") \
-        .withColumn("label", F.coalesce("label", "key"))
-    named = named.join(classes.select("key", "doc_id"), "key")
+    # components back to documents: a class's component, or the one that it was joined to
+    named = (classes.select("key", "doc_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
+             .select("key", "doc_id", F.coalesce("label", "key").alias("node")).join(above, "node", "left")
+             .select("key", "doc_id", F.coalesce("label", "node").alias("label")))
     lowest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     component = named.select("key", "label").join(lowest, "label").select("key", "component_id")
     return (rows.select("doc_id", "tie", "n_shingles", "key").join(component, "key", "left")

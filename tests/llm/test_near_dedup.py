@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from faultline.llm import frames
 from faultline.llm import near_dedup as N
 from faultline.llm.components import connected_components
 from tests.llm.helpers import WORDS, awkward_texts, by_id, docs, prose
@@ -94,6 +95,25 @@ def test_blocks_split_large_buckets(spark, monkeypatch):
     assert got == sorted(brute_force(rows, 4, 80), key=str)
 
 
+def test_every_step_leaves_the_driver_clean(spark, monkeypatch):
+    """The driver's garbage goes after each step, and components meet once: the second round knows only their labels."""
+    steps, released, met = [], [], []
+    write, release, components = frames.written, frames.release_driver, N.connected_components
+
+    def recorded(links):
+        out = components(links)
+        met.append(({x for r in links.collect() for x in (bytes(r.a), bytes(r.b))}, {bytes(r.node) for r in out.where("node <> label").collect()}))
+        return out
+    monkeypatch.setattr(frames, "written", lambda df, name: (steps.append(name), write(df, name))[1])
+    monkeypatch.setattr(frames, "release_driver", lambda session: (released.append(len(steps)), release(session)))
+    monkeypatch.setattr(N, "connected_components", recorded)
+    rows = list(enumerate(near_group(7, 18, 8) + near_group(8, 6, 1)))
+    kept = N.one_of_each(docs(spark, [t for _, t in rows]), words=4, percent=80)
+    assert {r.doc_id for r in kept.collect()} == {d for d, _, c in brute_force(rows, 4, 80) if c == d}
+    assert steps[-1] == "near-kept" and released == list(range(1, len(steps) + 1))
+    assert len(met) == 2 and met[0][1] and not met[0][1] & met[1][0]
+
+
 def test_prune_limits_follow_the_posterior():
     limits = N.prune_limits(200, 80, 1e-9, 20)
     rng = np.random.default_rng(0)
