@@ -159,8 +159,8 @@ def _words_and_pairs(df: DataFrame, text: str | Column, stopwords: Iterable[str]
 
     Two scans.  The words are few and checkpointed.  The pairs, mostly
     distinct, are a table as large as the texts: those with a stop word go
-    before they are counted, and the others are shuffled once, by the first
-    word and the stem of the second, and read once, by the score.
+    before they are counted, and the others are shuffled once to be counted, by
+    the first word and the stem of the second, and read once, by the score.
     """
     stop = set(stopwords)
     shared_dir(df.sparkSession)
