@@ -7,6 +7,7 @@ import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -43,6 +44,30 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def _trim_jvm(spark: SparkSession) -> str | None:
+    """``malloc_trim`` in the driver's JVM, by its diagnostic command: what
+    compilers and codecs freed stays with the process otherwise.  What the
+    command says; None from a JVM without it."""
+    gateway, jvm = spark.sparkContext._gateway, spark._jvm
+    kind = jvm.java.lang.Class.forName
+
+    def array(of, *items):
+        out = gateway.new_array(of, len(items))
+        for i, item in enumerate(items):
+            out[i] = item
+        return out
+    try:
+        # by the interface's method: py4j finds none on the server's class, which is not public
+        invoke = kind("javax.management.MBeanServer").getMethod("invoke", array(
+            jvm.java.lang.Class, kind("javax.management.ObjectName"), kind("java.lang.String"),
+            kind("[Ljava.lang.Object;"), kind("[Ljava.lang.String;")))
+        commands = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        return invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(),
+                             array(jvm.java.lang.Object, commands, "systemTrimNativeHeap", None, None))
+    except Py4JError:
+        return None
+
+
 def release_driver(spark: SparkSession) -> None:
     """Drop what finished jobs left on the driver: arrays trained on, plans,
     and with them the shuffle files and broadcasts nobody can reach."""
@@ -50,6 +75,7 @@ def release_driver(spark: SparkSession) -> None:
     gateway = getattr(spark, "_jvm", None)  # none behind Spark Connect
     if gateway is not None:
         gateway.System.gc()
+        _trim_jvm(spark)
 
 
 def written_step(df: DataFrame, name: str) -> DataFrame:

@@ -88,10 +88,7 @@ def op5_repeats(spark: SparkSession, sf: str) -> DataFrame:
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     learn = id_remainder("doc_id", 4) != 2
     sample = bounded_sample(docs, labels, "toxic", learn, toxicity.PER_LABEL, toxicity.TRAIN_BYTES, toxicity.LONGEST_BYTES)
-    bags = toxicity.sampled_bags(sample)
-    release_driver(docs.sparkSession)
-    model = toxicity.train_bags(bags)
-    del bags
+    model = toxicity.train_sampled(toxicity.sampled_bags(sample))
     release_driver(docs.sparkSession)
     return model
 

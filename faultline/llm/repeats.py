@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import SpanHasher, doc_slices, utf8_column
-from .frames import add_columns, written
+from .frames import add_columns, written_step
 
 GRAM = 24               # bytes of an anchor
 ANCHORS_A_PART = 1 << 20  # anchors that one partition compares at once, on average
@@ -475,19 +475,25 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id",
     docs = docs.drop(*[c for c in docs.columns if c.lower() in new])
     own = {c: f"_{i}" for i, c in enumerate(docs.columns)}
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    base = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()],
+    # the text goes through the shuffles once, as its bytes
+    kind = docs.select(text_col).schema[0].dataType
+    text = text_col if text_col in own else next((c for c in own if c.lower() == text_col.lower()), None)
+    plain = {c for c in own if c != text}
+    given = F.when(~F.col("no_text"), F.col("raw").cast("string").cast(kind))
+    base = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items() if c in plain],
+                       F.col(text_col).isNull().alias("no_text"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))).alias("doc"), raw.alias("raw"),
                        F.unhex(F.md5(raw)).alias("key"))
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(NO_ID))).alias("doc"), F.col(text_col).alias("text"))
-    narrow = written(base.select("doc", "key", F.octet_length("raw").cast("long").alias("n_bytes"))
-                     .groupBy("key").agg(F.min("doc").alias("doc"), F.sum("n_bytes").alias("n_bytes")), "repeat-texts")
+    narrow = written_step(base.select("doc", "key", F.octet_length("raw").cast("long").alias("n_bytes"))
+                          .groupBy("key").agg(F.min("doc").alias("doc"), F.sum("n_bytes").alias("n_bytes")), "repeat-texts")
     total = narrow.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     expected = max(1, 2 * total // (min_bytes - GRAM + 2))
     parts = max(8, -(-expected // ANCHORS_A_PART))
     hot_from = max(HOT_LEAST, expected // HOT_SHARE)
 
-    found = written(texts.select("doc", "text").mapInArrow(_find_anchors(min_bytes, parts), _ANCHOR_ROWS)
-                    .groupBy("part").applyInArrow(_shared_anchors(hot_from), _CANDIDATES), "repeat-anchors")
+    found = written_step(texts.select("doc", "text").mapInArrow(_find_anchors(min_bytes, parts), _ANCHOR_ROWS)
+                         .groupBy("part").applyInArrow(_shared_anchors(hot_from), _CANDIDATES), "repeat-anchors")
     # at most HOT_SHARE (2 * HOT_SHARE with repeats of the rounding) anchors reach the threshold
     hot_grams = np.array(sorted(r.hot for r in found.where("hot >= 0").select("hot").toLocalIterator()), np.int64)
 
@@ -498,15 +504,16 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, id_col: str = "doc_id",
     wanted = (base.where(F.octet_length("raw") >= min_bytes)
               .select("doc", "key", F.col("raw").cast("string").alias("text"))
               .join(places, "doc").withColumn("mark", mark).select("doc", "mark", "text", "places"))
-    spans = written(wanted.mapInArrow(_send_segments(min_bytes, parts, hot_grams), _SEGMENT_ROWS)
-                    .groupBy("part").applyInArrow(_repeat_spans(min_bytes), _SPANS).distinct(), "repeat-spans")
+    spans = written_step(wanted.mapInArrow(_send_segments(min_bytes, parts, hot_grams), _SEGMENT_ROWS)
+                         .groupBy("part").applyInArrow(_repeat_spans(min_bytes), _SPANS).distinct(), "repeat-spans")
 
     per_text = (spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
                 .join(one_each.withColumn("mark", mark), ["doc", "mark"], "right")
                 .select("key", F.col("doc").alias("first_doc"), "spans"))
     joined = base.join(per_text, "key", "left").withColumn("copy", F.col("doc") > F.col("first_doc"))
-    cut = add_columns(joined.select(*own.values(), "raw", "copy", "spans"), _cut_fields(as_text), _apply(min_bytes, as_text))
-    return cut.select(*[F.col(n).alias(c) for c, n in own.items()],
+    cut = add_columns(joined.select(*[own[c] for c in own if c in plain], "no_text", "raw", "copy", "spans"), _cut_fields(as_text),
+                      _apply(min_bytes, as_text))
+    return cut.select(*[(F.col(n) if c in plain else given).alias(c) for c, n in own.items()],
                       F.octet_length("raw").cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
 
 

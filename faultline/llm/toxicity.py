@@ -4,7 +4,7 @@ A text is the bag of its words' character n-grams (word ends marked), hashed
 into buckets; a document's vector is the mean of its buckets' embeddings, and
 a softmax over two classes reads it.  Embeddings and softmax are trained
 together in numpy on a bounded sample of labelled documents of every length,
-whose n-grams are counted on the executors.  A word never
+in one task; its n-grams are counted by many.  A word never
 seen shares n-grams, so vectors, with the words it was misspelt from.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import SpanHasher, doc_slices, lower_ascii, utf8_column
-from .frames import add_columns, release_memory, small_batches, written
+from .frames import add_columns, release_memory, small_batches, written_step
 
 SIZES = (3, 4, 5)       # bytes of the n-grams
 BUCKET_BITS = 18
@@ -83,8 +83,8 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return bucket, (count / max(1, count.sum())).astype(np.float32)
 
 
-def sampled_bags(sample: DataFrame, id_col: str = "doc_id") -> list[tuple[tuple[np.ndarray, np.ndarray], int]]:
-    """(bag, label) of every row of ``sample`` (text, label), in the order of the ids."""
+def sampled_bags(sample: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """id, label and the bag (the bytes of its two arrays) of every row of ``sample`` (text, label)."""
     def batches(it):
         for batch in (small for whole in it for small in small_batches(whole)):
             bags = [bag(t) for t in batch.column("text").to_pylist()]
@@ -96,10 +96,27 @@ def sampled_bags(sample: DataFrame, id_col: str = "doc_id") -> list[tuple[tuple[
 
     rows = (sample.select(F.col(id_col).cast("long").alias("id"), F.col("label").cast("int").alias("label"), "text")
             .mapInArrow(batches, "id long, label int, bucket binary, share binary"))
-    # one partition at a time, so the driver holds the bags once
-    got = [(r["id"], r["label"], np.frombuffer(bytes(r["bucket"]), np.int32), np.frombuffer(bytes(r["share"]), np.float32))
-           for r in written(rows, "toxicity-sample").toLocalIterator()]
-    return [((bucket, share), label) for _, label, bucket, share in sorted(got, key=lambda g: g[0])]
+    return written_step(rows, "toxicity-sample")
+
+
+def train_sampled(bags: DataFrame) -> Model:
+    """``train_bags`` on ``sampled_bags``, in the order of the ids.
+
+    The training is one task, as its steps follow each other; the sample is
+    bounded, and the driver gets the model alone: 2 ** BUCKET_BITS floats.
+    """
+    def fit(it):
+        got = [(i, np.frombuffer(b, np.int32), np.frombuffer(s, np.float32), y)
+               for batch in it for i, y, b, s in zip(*(batch.column(n).to_pylist() for n in ("id", "label", "bucket", "share")))]
+        if got:
+            model = train_bags([((bucket, share), y) for _, bucket, share, y in sorted(got, key=lambda g: g[0])])
+            del got
+            yield pa.RecordBatch.from_pydict({"weight": pa.array([model.weight.tobytes()], pa.binary()),
+                                              "bias": pa.array([model.bias], pa.float64())})
+        release_memory()
+
+    made = bags.coalesce(1).mapInArrow(fit, "weight binary, bias double").collect()
+    return Model(np.frombuffer(bytes(made[0]["weight"]), np.float32), made[0]["bias"]) if made else train_bags([])
 
 
 def train(sample: list[tuple[str, int]], seed: int = 1) -> Model:
