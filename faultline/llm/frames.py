@@ -78,10 +78,27 @@ def release_driver(spark: SparkSession) -> None:
         _trim_jvm(spark)
 
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_go_at_once(spark: SparkSession) -> Iterator[None]:
+    """Queries that start in here delete their shuffle files as they end.
+    Otherwise the files stay until the driver collects the query's plan, which
+    its listeners may still hold after ``release_driver``."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+
+
 def written_step(df: DataFrame, name: str) -> DataFrame:
-    """``written`` for one of many steps: what the step left on the driver goes
-    before the next one, so their garbage does not add up."""
-    out = written(df, name)
+    """``written`` for one of many steps: its shuffle files and what it left on
+    the driver go before the next one, so their garbage does not add up."""
+    with shuffles_go_at_once(df.sparkSession):
+        out = written(df, name)
     release_driver(df.sparkSession)
     return out
 

@@ -36,3 +36,10 @@ def awkward_texts():
 
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that the session holds on disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {n for n in names if n.startswith("shuffle_")}

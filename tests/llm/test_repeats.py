@@ -6,8 +6,9 @@ import random
 import numpy as np
 import pytest
 
+from faultline.llm import frames
 from faultline.llm import repeats as R
-from tests.llm.helpers import awkward_texts, docs, prose
+from tests.llm.helpers import awkward_texts, docs, prose, shuffle_files
 
 
 def brute_force(rows, length):
@@ -125,3 +126,20 @@ def test_query_digest(spark, tmp_path):
     for d, n, gone, runs, kept in brute_force(list(enumerate(texts)), 50):
         assert (got[d].n_bytes, got[d].n_removed, got[d].n_spans) == (n, gone, runs)
         assert got[d].kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+def test_steps_leave_no_shuffle_files(spark, monkeypatch):
+    """Each step's shuffle files go as it ends, not once the driver collects garbage."""
+    monkeypatch.setattr(frames, "release_driver", lambda spark: None)
+    setting, plain, left = spark.conf.get(frames.SHUFFLES_GO), R.written_step, {}
+
+    def step(df, name):
+        before = shuffle_files(spark)
+        out = plain(df, name)
+        left[name] = shuffle_files(spark) - before
+        return out
+    monkeypatch.setattr(R, "written_step", step)
+    rows = list(enumerate(passages(11, 30)))
+    check(spark, rows)
+    assert left == {"repeat-texts": set(), "repeat-anchors": set(), "repeat-spans": set()}
+    assert spark.conf.get(frames.SHUFFLES_GO) == setting
