@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from faultline.llm import toxicity
 from faultline.llm.bpe_codec import round_trip
-from faultline.llm.frames import read_table, written
+from faultline.llm.frames import read_table, written_step
 from faultline.llm.mixing import mixed_documents
 from faultline.llm.near_dedup import one_of_each
 from faultline.llm.queries import BYTE_BPE, DECIDE_FROM, toxicity_model
@@ -74,5 +74,5 @@ ORACLE_SQL = None  # learned scores, similarity groups and merges are not SQL; t
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written_step(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,8 +6,9 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline as C
+from faultline.llm import frames
 from faultline.llm import queries as Q
-from tests.llm.helpers import docs, prose
+from tests.llm.helpers import docs, prose, shuffle_files
 from tests.llm.test_classifiers import insults
 from tests.llm.test_mixing import brute_force as mix
 from tests.llm.test_near_dedup import brute_force as groups
@@ -65,6 +66,24 @@ def test_stages(spark, tmp_path):
     assert sorted((r.doc_id, r.ids) for r in run.collect()) == got
 
 
+def test_stages_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """The last query of a stage deletes its shuffle files too, not only the steps before it."""
+    corpus(spark, str(tmp_path))
+    monkeypatch.setattr(frames, "release_driver", lambda spark: None)
+    left = {}
+
+    def cut(spark, frame, sf_dir):
+        out = C.remove_repeats(spark, frame, sf_dir)
+        left["before"] = shuffle_files(spark)
+        return out
+
+    def look(spark, frame, sf_dir):
+        left["after"] = shuffle_files(spark) - left["before"]
+        return frame
+    monkeypatch.setattr(C, "STAGES", [("repeats", cut), ("look", look)])
+    assert C.run(spark, str(tmp_path)).count() == 133 and left["after"] == set()
+
+
 def test_empty_documents(spark, tmp_path):
     docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
